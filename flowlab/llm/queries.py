@@ -58,7 +58,7 @@ def _secrets_sql() -> str:
     WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS txt FROM documents),
     f AS ({" UNION ALL ".join(parts)}),
     e AS (SELECT row, ord, kind, least, m, g, p, unnest(range(1, len(m) + 1)) AS i FROM f WHERE len(m) > 0),
-    s AS (SELECT row, ord, kind, CAST(list_sum(list_transform(p[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0) AS BIGINT) AS a, length(m[i]) AS n
+    s AS (SELECT row, ord, kind, CAST(list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a, length(m[i]) AS n
           FROM e WHERE length(g[i]) >= least),
     t AS (SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
                  string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, ord) FILTER (ord < {len(secrets.BASE)}) AS base,
