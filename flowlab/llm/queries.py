@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import chat, secrets, urls
+from flowlab.llm import bpe, chat, secrets, token_counts, urls
 from flowlab.llm.common import stage, table
 
 #: The URL rules of op5.
@@ -38,8 +38,16 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_chat_formatting, op3_secret_scans, op5_url_filters)}
+    return {f.__name__: f for f in (op2_chat_formatting, op3_secret_scans, op5_url_filters, op6_byte_level_bpe, op7_token_counts)}
 
 
 def _quoted(text: str) -> str:
