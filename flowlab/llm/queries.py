@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import bpe, chat, secrets, token_counts, urls
+from flowlab.llm import bpe, chat, langid, lines, secrets, token_counts, urls
 from flowlab.llm.common import stage, table
 
 #: The URL rules of op5.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs.select("doc_id", "text", langid.held_out(F.col("doc_id")).alias("held_out")), langid.fit(docs)).drop("text")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
@@ -46,8 +51,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents")))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", F.array_join("removed", ",").alias("removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_chat_formatting, op3_secret_scans, op5_url_filters, op6_byte_level_bpe, op7_token_counts)}
+    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op3_secret_scans, op5_url_filters, op6_byte_level_bpe, op7_token_counts, op8_line_dedup)}
 
 
 def _quoted(text: str) -> str:
