@@ -177,7 +177,7 @@ def _within_one(x: Column, y: Column) -> Column:
     what stands behind the last one must leave at most one word of either. Arrays are compared as wholes, in the JVM."""
     n, m = F.size(x), F.size(y)
     most = F.least(n, m)
-    place = F.coalesce(F.element_at(F.filter(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), lambda i: F.get(x, i - 1) != F.get(y, i - 1)), 1), most + 1)
+    place = F.coalesce(F.get(F.filter(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), lambda i: F.get(x, i - 1) != F.get(y, i - 1)), F.lit(0)), most + 1)
 
     def rest(c: Column, first: Column) -> Column:
         return F.slice(c, first, F.greatest(F.size(c) - first + 1, F.lit(0)))
