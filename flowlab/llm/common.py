@@ -37,6 +37,13 @@ def others(df: DataFrame, taken: Iterable[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
 
 
+def shelved(df: DataFrame, taken: Iterable[str]) -> tuple[list[Column], list[Column]]:
+    """`others` under names that no operator uses, and the columns that give them their names back."""
+    names = {t.lower() for t in taken}
+    kept = [c for c in df.columns if c.lower() not in names]
+    return [F.col(f"`{c}`").alias(f"__shelf_{i}") for i, c in enumerate(kept)], [F.col(f"__shelf_{i}").alias(c) for i, c in enumerate(kept)]
+
+
 def exclusive_sums(lengths: Column) -> Column:
     """[0, a1, a1+a2, ...] of an array<int>, one element per input element. Two levels keep arrays of many thousands of
     elements cheap: sums inside blocks of BLOCK, then sums over blocks."""

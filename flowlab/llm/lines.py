@@ -19,13 +19,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm import textops
-from flowlab.llm.common import others, stage
+from flowlab.llm import bloom, textops
+from flowlab.llm.common import shelved, stage
 
 #: Words from which copies of a line are removed, and from which near lines are.
 MIN_WORDS, NEAR_WORDS = 3, 8
-#: Bounds of the Bloom filter: bits for each shared half, and bits in all (32 MB). A full filter lets more lines through.
-BITS_EACH, MOST_BITS, PROBES = 12, 1 << 28, 4
 
 _Q = np.uint64(0xD6E8FEB86659FD93)
 _Q_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
@@ -88,34 +86,6 @@ def _line_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _probes(key: Column, bits: int) -> Column:
-    """The filter's bit positions for a 64-bit key."""
-    return F.array(*[F.pmod(F.shiftrightunsigned(key, 13 * i), F.lit(bits)) for i in range(PROBES)])
-
-
-def _filter(keys: DataFrame, column: str) -> tuple[np.ndarray, int]:
-    """A Bloom filter of the keys: bits are set by an aggregation, and at most MOST_BITS / 8 bytes reach the driver."""
-    n = keys.count()
-    bits = 1 << max(10, min(MOST_BITS.bit_length() - 1, (n * BITS_EACH).bit_length()))
-    set_bits = (
-        keys.select(F.explode(_probes(F.col(column), bits)).alias("p"))
-        .groupBy(F.shiftright("p", 6).alias("w"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("v"))
-    )
-    out = np.zeros(bits // 64, np.int64)
-    for batch in set_bits.toArrow().to_batches():
-        out[batch["w"].to_numpy()] = batch["v"].to_numpy()
-    return out.view(np.uint64), bits
-
-
-def _hit(table: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
-    hit = np.ones(keys.shape, bool)
-    for i in range(PROBES):
-        p = (keys >> np.uint64(13 * i)) & np.uint64(bits - 1) if i else keys & np.uint64(bits - 1)
-        hit &= (table[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
-    return hit
-
-
 VARIANTS = "key bigint, kind int, a bigint, b bigint"
 WORDS = "a bigint, b bigint, words array<bigint>"
 
@@ -127,7 +97,7 @@ def _candidates(pdf: pd.DataFrame, table: np.ndarray, bits: int, seen: set) -> I
         if not len(lines.n):
             continue
         a, b = lines.ids()
-        at = np.flatnonzero(_hit(table, bits, lines.halves()).any(1))
+        at = np.flatnonzero(bloom.hits(table, bits, lines.halves()).any(1))
         fresh = []
         for i in at:
             name = (int(a[i]), int(b[i]))
@@ -197,7 +167,7 @@ def near_removed(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     shared = (
         distinct.select("a", F.explode("halves").alias("half")).groupBy("half").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter(F.col("x") != F.col("y")).select("half")
     )
-    table, bits = _filter(stage(shared, "halves"), "half")
+    table, bits = bloom.build(stage(shared, "halves"), "half")
     sent = docs.sparkSession.sparkContext.broadcast(table)
     # broadcast values are opened in the tasks
     variants = docs.select("text").mapInPandas(lambda it: _variant_rows(sent.value, bits)(it), VARIANTS)
@@ -246,11 +216,12 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         .groupBy(F.col("doc_id").alias("d_id"), F.col("th").alias("d_th"))
         .agg(F.sort_array(F.collect_set("pos")).alias("d_pos"))
     )
-    base = docs.select(*others(docs, ["n_lines", "removed", text]), t.alias("_text"), k.alias("_k"), th.alias("_th"))
-    joined = base.join(dropped, F.col("_k").eqNullSafe(F.col("d_id")) & (F.col("_th") == F.col("d_th")), "left")
-    parts = F.split("_text", "\n", -1)
+    away, back = shelved(docs, ["n_lines", "removed"])
+    base = docs.select(*away, t.alias("t"), k.alias("k"), th.alias("th"))
+    joined = base.join(dropped, F.col("k").eqNullSafe(F.col("d_id")) & (F.col("th") == F.col("d_th")), "left")
+    parts = F.split("t", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("d_pos"))
-    new = F.when(F.col("d_pos").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    own = {"n_lines": F.coalesce(F.size(parts), F.lit(0)), "removed": F.coalesce("d_pos", F.array().cast("array<int>")), text: new}
+    new = F.when(F.col("d_pos").isNull(), F.col("t")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
     order = [c for c in docs.columns if c.lower() not in ("n_lines", "removed")]
-    return joined.select(*[own[c].alias(c) if c == text else F.col(f"`{c}`") for c in order], own["n_lines"].alias("n_lines"), own["removed"].alias("removed"))
+    own = [F.when(F.col("t").isNull(), 0).otherwise(F.size(parts)).alias("n_lines"), F.coalesce("d_pos", F.array().cast("array<int>")).alias("removed")]
+    return joined.select(*[new.alias(c) if c == text else b for c, b in zip(order, back, strict=True)], *own)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import bpe, chat, langid, lines, secrets, token_counts, urls
+from flowlab.llm import bpe, chat, jaccard, langid, lines, secrets, token_counts, urls
 from flowlab.llm.common import stage, table
 
 #: The URL rules of op5.
@@ -38,6 +38,10 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
@@ -57,7 +61,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op3_secret_scans, op5_url_filters, op6_byte_level_bpe, op7_token_counts, op8_line_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op3_secret_scans, op4_ngram_jaccard_join, op5_url_filters, op6_byte_level_bpe, op7_token_counts, op8_line_dedup)}
 
 
 def _quoted(text: str) -> str:

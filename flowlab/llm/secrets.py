@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import exclusive_sums, others
+from flowlab.llm.common import exclusive_sums, shelved
 
 
 @dataclass(frozen=True)
@@ -114,9 +114,10 @@ def findings_by_path(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]
             ).alias("l_findings"),
         )
     )
-    paths = docs.select(*others(docs, ("blob", "findings", text)), blob_of(F.col(f"`{text}`")).alias("blob"))
+    away, back = shelved(docs, ("blob", "findings", text))
+    paths = docs.select(*away, blob_of(F.col(f"`{text}`")).alias("blob"))
     empty = F.array().cast("array<struct<start:bigint,order:int,kind:string,end:bigint>>")
-    return paths.join(found, F.col("blob") == F.col("l_blob"), "left").withColumn("findings", F.coalesce("l_findings", empty)).drop("l_blob", "l_findings")
+    return paths.join(found, F.col("blob") == F.col("l_blob"), "left").select(*back, "blob", F.coalesce("l_findings", empty).alias("findings"))
 
 
 def of_kinds(findings: Column, kinds: tuple[str, ...]) -> Column:

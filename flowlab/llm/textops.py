@@ -68,6 +68,22 @@ def words(texts: list[bytes], word_byte: np.ndarray) -> tuple[np.ndarray, np.nda
     return hashes, text, line - before[text]
 
 
+def shingles(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of every text's runs of `size` words; a text of fewer words has one run, of them all."""
+    h, text, _ = words(texts, WORD_CHARACTER)
+    count = np.bincount(text, minlength=len(texts)) if len(h) else np.zeros(len(texts), np.int64)
+    first = np.cumsum(count) - count
+    runs = np.where(count > 0, np.maximum(count - size + 1, 1), 0)
+    at = spread(first, runs)
+    end = np.repeat(first + count, runs)
+    acc = np.zeros(len(at), np.uint64)
+    for j in range(size):
+        inside = at + j < end
+        acc = mix(acc * np.uint64(3) + np.where(inside, h[np.minimum(at + j, len(h) - 1)], np.uint64(j + 1)))
+    stop = np.cumsum(runs)
+    return [np.unique(acc[e - n : e]) for e, n in zip(stop, runs, strict=True)]
+
+
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The concatenated ranges starts[i] .. starts[i] + counts[i] - 1."""
     shift = np.cumsum(counts) - counts

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import others
+from flowlab.llm.common import others, shelved
 
 #: Hexadecimal digits of a digest that the join compares first (32 bits).
 PREFIX_DIGITS = 8
@@ -96,8 +96,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         .groupBy("u_url")
         .agg(F.max(F.struct(F.length("r_rule").alias("n"), F.col("r_host").alias("h"), F.col("r_rule").alias("rule"), F.col("r_verdict").alias("verdict"))).alias("b"))
     )
-    base = pages.select(*out, F.col(f"`{url}`").alias("_url_key"))
-    kept = [c for c in base.columns if c != "_url_key"]
-    return base.join(best, F.col("_url_key") == F.col("u_url"), "left").select(
-        *[F.col(f"`{c}`") for c in kept], F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict")
-    )
+    away, back = shelved(pages, own)
+    base = pages.select(*away, host.alias("host"), path.alias("path"), F.col(f"`{url}`").alias("p_url"))
+    return base.join(best, F.col("p_url") == F.col("u_url"), "left").select(*back, "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
