@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import bpe, chat, jaccard, langid, lines, secrets, token_counts, urls
+from flowlab.llm import ann, bpe, chat, decontam, jaccard, langid, lines, secrets, token_counts, urls
 from flowlab.llm.common import stage, table
 
 #: The URL rules of op5.
@@ -60,8 +60,20 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", F.array_join("removed", ",").alias("removed"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_chat_formatting, op3_secret_scans, op4_ngram_jaccard_join, op5_url_filters, op6_byte_level_bpe, op7_token_counts, op8_line_dedup)}
+    every = (
+        op1_language_id, op2_chat_formatting, op3_secret_scans, op4_ngram_jaccard_join, op5_url_filters,
+        op6_byte_level_bpe, op7_token_counts, op8_line_dedup, op9_nearest_neighbours, op10_decontamination,
+    )
+    return {f.__name__: f for f in every}
 
 
 def _quoted(text: str) -> str:
