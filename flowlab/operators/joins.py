@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,8 +70,6 @@ def _positions(key: Column, bits: int, hashes: int) -> Column:
 def bloom_semi_join(df: DataFrame, on: str, filter_: tuple[np.ndarray, int, int]) -> DataFrame:
     """Rows whose key may be in the filter: never misses a key, passes others at the filter's error rate. The filter is
     a binary literal probed by a vectorised UDF."""
-    import pandas as pd
-
     words, bits, hashes = filter_
     sent = df.sparkSession.sparkContext.broadcast(words.view(np.uint64))
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from flowlab.plans import alerts, flows
+from flowlab.plans.base import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+BOOKS = (flows.book, alerts.book)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {k: v for b in BOOKS for k, v in b.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for b in BOOKS for k, v in b.sql.items()}
