@@ -28,7 +28,9 @@ MIN_WORDS, NEAR_WORDS = 3, 8
 _Q = np.uint64(0xD6E8FEB86659FD93)
 _Q_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
-LINES = "doc_id bigint, th bigint, pos int, a bigint, b bigint, n int, halves array<bigint>"
+LINES = "doc_id bigint, th bigint, pos int, a bigint, b bigint, h0 bigint, h1 bigint, h2 bigint, h3 bigint"
+#: Stands for a null key, and comes before every other.
+NO_KEY = -(1 << 63)
 
 
 class _Lines:
@@ -74,70 +76,53 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 def _line_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
+        ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
         for first, part in textops.slices(list(pdf["text"])):
             lines = _Lines(part, MIN_WORDS)
-            if not len(lines.n):
-                continue
-            a, b = lines.ids()
-            halves = [list(_signed(x)) if n >= NEAR_WORDS else [] for x, n in zip(map(np.unique, lines.halves()), lines.n, strict=True)]
-            rows = first + lines.text
-            yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"].astype("Int64").to_numpy()[rows], "th": pdf["th"].to_numpy()[rows], "pos": lines.pos, "a": _signed(a), "b": _signed(b), "n": lines.n, "halves": halves}
-            )
-
-
-VARIANTS = "key bigint, kind int, a bigint, b bigint"
-WORDS = "a bigint, b bigint, words array<bigint>"
-
-
-def _candidates(pdf: pd.DataFrame, table: np.ndarray, bits: int, seen: set) -> Iterator[tuple[_Lines, np.ndarray, np.ndarray, np.ndarray]]:
-    """Lines that may share a half with another line, each once per task as far as `seen` remembers."""
-    for _, part in textops.slices(list(pdf["text"])):
-        lines = _Lines(part, NEAR_WORDS)
-        if not len(lines.n):
-            continue
-        a, b = lines.ids()
-        at = np.flatnonzero(bloom.hits(table, bits, lines.halves()).any(1))
-        fresh = []
-        for i in at:
-            name = (int(a[i]), int(b[i]))
-            if name not in seen:
-                if len(seen) < 200_000:  # what is not remembered is only emitted again
-                    seen.add(name)
-                fresh.append(i)
-        if fresh:
-            yield lines, a, b, np.array(fresh)
+            if len(lines.n):
+                a, b = lines.ids()
+                rows = first + lines.text
+                halves = {f"h{i}": _signed(h) for i, h in enumerate(lines.halves().T)}
+                yield pd.DataFrame({"doc_id": ids[rows], "th": hashes[rows], "pos": lines.pos, "a": _signed(a), "b": _signed(b)} | halves)
+
+
+VARIANTS = "a bigint, doc_id bigint, th bigint, pos int, kind int, left bigint, place int, words array<bigint>"
 
 
 def _variant_rows(table: np.ndarray, bits: int):
-    """For each candidate line: a key of kind 0 for itself, and for each word left out one of kind 1 (what is left) and one
-    of kind 2 (what is left and the place)."""
+    """For each line that may share a half with another one: its words (kind 0), and for each word of the half that is not
+    shared a hash of what is left without it, with its place (kind 1). Of equal lines in a batch the earliest is used."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set = set()
         for pdf in batches:
-            for lines, a, b, at in _candidates(pdf, table, bits, seen):
+            ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
+            for first, part in textops.slices(list(pdf["text"])):
+                lines = _Lines(part, NEAR_WORDS)
+                if not len(lines.n):
+                    continue
+                hit = bloom.hits(table, bits, lines.halves())
+                front, back = hit[:, 0] | hit[:, 2], hit[:, 1] | hit[:, 3]
+                at = np.flatnonzero(front | back)
+                if not len(at):
+                    continue
+                a, _ = lines.ids()
+                doc = first + lines.text
+                order = at[np.lexsort((lines.pos[at], hashes[doc[at]], ids[doc[at]], a[at]))]
+                at = order[np.concatenate([[True], a[order[1:]] != a[order[:-1]]])]
                 n = lines.n[at]
-                line, place = np.repeat(at, n), textops.spread(np.zeros_like(n), n)
+                # a shared front leaves the difference to the back half, and the other way round
+                lo, hi = np.where(back[at], 0, (n - 1) // 2), np.where(front[at], n, n - (n - 1) // 2)
+                line, place = np.repeat(at, hi - lo), textops.spread(lo, hi - lo)
                 s = lines.start[line]
                 head = lines.sum[s + place] - lines.sum[s]
                 tail = (lines.sum[s + lines.n[line]] - lines.sum[s + place + 1]) * lines.down[1]
                 left = textops.mix(head + tail + (lines.n[line] - 1).astype(np.uint64))
-                placed = textops.mix(left ^ textops.mix(place.astype(np.uint64) + np.uint64(1)))
-                key = np.concatenate([a[at], left, placed])
-                kind = np.repeat([0, 1, 2], [len(at), len(line), len(line)]).astype(np.int32)
-                owner = np.concatenate([at, line, line])
-                yield pd.DataFrame({"key": _signed(key), "kind": kind, "a": _signed(a[owner]), "b": _signed(b[owner])})
-
-    return rows
-
-
-def _word_rows(table: np.ndarray, bits: int):
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set = set()
-        for pdf in batches:
-            for lines, a, b, at in _candidates(pdf, table, bits, seen):
-                yield pd.DataFrame({"a": _signed(a[at]), "b": _signed(b[at]), "words": [_signed(lines.words[lines.start[i] : lines.start[i] + lines.n[i]]) for i in at]})
+                who = np.concatenate([at, line])
+                yield pd.DataFrame({
+                    "a": _signed(a[who]), "doc_id": ids[doc[who]], "th": hashes[doc[who]], "pos": lines.pos[who], "kind": np.repeat([0, 1], [len(at), len(line)]),
+                    "left": np.concatenate([_signed(a[at]), _signed(left)]), "place": np.concatenate([np.full(len(at), -1), place]),
+                    "words": [*(_signed(lines.words[lines.start[i] : lines.start[i] + lines.n[i]]) for i in at), *[None] * len(line)],
+                })
 
     return rows
 
@@ -160,34 +145,38 @@ def _within_one(x: Column, y: Column) -> Column:
     )
 
 
-def near_removed(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(a, b, by_a, by_b): lines with an earlier line within one word, and the earliest such line of one of their keys.
+def _order() -> Column:
+    """(doc_id, th, pos) as one number, so that sums by it stay in hash aggregation: the lowest 10 digits for pos, 8 for th."""
+    low = F.pmod(F.col("th"), F.lit(100_000_000)) * F.lit(10_000_000_000) + F.col("pos")
+    return (F.col("doc_id").cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
 
-    docs: text; distinct: a, b, first, halves (one row per distinct line)."""
-    shared = (
-        distinct.select("a", F.explode("halves").alias("half")).groupBy("half").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter(F.col("x") != F.col("y")).select("half")
-    )
+
+def near_removed(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(a, by): lines with an earlier line within one word, and one such line. docs: doc_id, th, text; distinct: a and
+    halves h0 to h3, one row per distinct line of at least NEAR_WORDS words or more (others do not matter)."""
+    halves = distinct.select("a", F.explode(F.array("h0", "h1", "h2", "h3")).alias("half"))
+    shared = halves.groupBy("half").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter("x <> y").select("half")
     table, bits = bloom.build(stage(shared, "halves"), "half")
     sent = docs.sparkSession.sparkContext.broadcast(table)
     # broadcast values are opened in the tasks
-    variants = docs.select("text").mapInPandas(lambda it: _variant_rows(sent.value, bits)(it), VARIANTS)
-    words = docs.select("text").mapInPandas(lambda it: _word_rows(sent.value, bits)(it), WORDS).groupBy("a", "b").agg(F.first("words").alias("words"))
-    names = distinct.select("a", "b", "first")
-    members = stage(variants.join(names, ["a", "b"]), "variants")
-    line = F.struct("first", "a", "b")
-    # Lines that agree but for the word at one place differ by a replacement; a line that equals what is left of another
-    # one differs by an insertion. Each group is summed up by its earliest line, so no pairs within a group arise.
-    same_place = members.filter("kind = 2").groupBy("key").agg(F.min(line).alias("by"), F.max(line).alias("last")).filter(F.col("by") != F.col("last")).select("key", "by")
-    replaced = members.filter("kind = 2").join(same_place, "key").filter(F.col("by.first") < F.col("first")).select("a", "b", "by")
-    longer = members.filter("kind = 1").groupBy("key").agg(F.min(line).alias("by"))
-    whole = members.filter("kind = 0")
-    shortened = whole.join(longer, "key").filter(F.col("by.first") < F.col("first")).select("a", "b", "by")
-    lengthened = (
-        members.filter("kind = 1").join(whole.select("key", line.alias("by")), "key").filter(F.col("by.first") < F.col("first")).select("a", "b", "by")
+    made = docs.mapInPandas(lambda it: _variant_rows(sent.value, bits)(it), VARIANTS)
+    rows = stage(made.select("a", _order().alias("o"), "kind", "left", "place", "words"), "variants")
+    whole = rows.filter("kind = 0").groupBy("a").agg(F.min("o").alias("o"))
+    variants = rows.filter("kind = 1").select("left", "place", "a", "o")
+    # Lines that agree but for the word at one place differ by a replacement. Each such group is summed up by its earliest
+    # line, so no pairs within a group arise; nearly all variants occur once and go here.
+    groups = variants.groupBy("left", "place").agg(F.min_by("a", "o").alias("by"), F.min("o").alias("by_o"), F.min("a").alias("lo"), F.max("a").alias("hi")).filter("lo <> hi")
+    replaced = variants.join(groups.select("left", "place", "by"), ["left", "place"]).filter("a <> by").select("a", "by")
+    # A line that equals what is left of another one differs by an insertion; the later of the two goes.
+    inserted = variants.join(whole.select(F.col("a").alias("left"), F.col("o").alias("s_o")), "left")
+    longer = inserted.join(whole.withColumnRenamed("o", "t_o"), "a").select(
+        F.when(F.col("t_o") > F.col("s_o"), F.col("a")).otherwise(F.col("left")).alias("a"), F.when(F.col("t_o") > F.col("s_o"), F.col("left")).otherwise(F.col("a")).alias("by")
     )
-    pairs = replaced.unionByName(shortened).unionByName(lengthened).groupBy("a", "b").agg(F.min("by").alias("by")).select("a", "b", F.col("by.a").alias("by_a"), F.col("by.b").alias("by_b"))
-    partner = words.select(F.col("a").alias("by_a"), F.col("b").alias("by_b"), F.col("words").alias("by_words"))
-    return pairs.join(words, ["a", "b"]).join(partner, ["by_a", "by_b"]).filter(_within_one(F.col("words"), F.col("by_words"))).select("a", "b", "by_a", "by_b")
+    pairs = stage(replaced.unionByName(longer).groupBy("a").agg(F.min("by").alias("by"), F.max("by").alias("by2")).select("a", F.explode(F.array_distinct(F.array("by", "by2"))).alias("by")), "pairs")
+    needed = pairs.select("a").union(pairs.select("by")).distinct()
+    words = stage(rows.filter("kind = 0").select("a", "words").join(needed, "a", "left_semi").groupBy("a").agg(F.first("words").alias("words")), "words")
+    partner = words.select(F.col("a").alias("by"), F.col("words").alias("by_words"))
+    return pairs.join(words, "a").join(partner, "by").filter(_within_one(F.col("words"), F.col("by_words"))).select("a").distinct()
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,25 +189,25 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     come first. Rows that agree in key and text are one document and all get its result. Columns of docs named n_lines
     or removed are replaced; an empty table gives an empty result.
     """
-    t, k = F.col(f"`{text}`"), F.col(f"`{key}`").cast("bigint")
-    th = F.xxhash64(t)
+    t, k = F.col(f"`{text}`"), F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(NO_KEY))
+    th = F.coalesce(F.xxhash64(t), F.lit(0))
     slim = docs.select(k.alias("doc_id"), th.alias("th"), t.alias("text"))
-    lines = stage(slim.mapInPandas(_line_rows, LINES), "lines")
-    first = F.struct("doc_id", "th", "pos")
-    distinct = stage(lines.groupBy("a", "b").agg(F.min(first).alias("first"), F.max(first).alias("last"), F.any_value("halves").alias("halves")), "distinct")
-    near = near_removed(slim, distinct)
+    lines = stage(slim.mapInPandas(_line_rows, LINES).withColumn("o", _order()), "lines")
+    half = [F.first(f"h{i}").alias(f"h{i}") for i in range(4)]
+    distinct = stage(lines.groupBy("a", "b").agg(F.min("o").alias("first"), F.max("o").alias("last"), *half), "distinct")
+    near = near_removed(slim, distinct).withColumn("near", F.lit(True))
     # only lines that occur again or go need be looked up
-    gone = distinct.join(near.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left").filter(F.col("near") | (F.col("first") != F.col("last")))
+    gone = distinct.select("a", "b", "first", "last").join(near, "a", "left").filter(F.col("near") | (F.col("first") != F.col("last")))
     dropped = (
-        lines.select("doc_id", "th", "pos", "a", "b")
+        lines.select("doc_id", "th", "pos", "o", "a", "b")
         .join(gone.select("a", "b", "first", "near"), ["a", "b"])
-        .filter(F.col("near") | ~first.eqNullSafe(F.col("first")))
+        .filter(F.col("near") | (F.col("o") != F.col("first")))
         .groupBy(F.col("doc_id").alias("d_id"), F.col("th").alias("d_th"))
         .agg(F.sort_array(F.collect_set("pos")).alias("d_pos"))
     )
     away, back = shelved(docs, ["n_lines", "removed"])
     base = docs.select(*away, t.alias("t"), k.alias("k"), th.alias("th"))
-    joined = base.join(dropped, F.col("k").eqNullSafe(F.col("d_id")) & (F.col("th") == F.col("d_th")), "left")
+    joined = base.join(dropped, (F.col("k") == F.col("d_id")) & (F.col("th") == F.col("d_th")), "left")
     parts = F.split("t", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("d_pos"))
     new = F.when(F.col("d_pos").isNull(), F.col("t")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
