@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.llm.bpe import token_lengths
+from flowlab.llm.common import stage
 
 #: Lengths in one band of the two-step suffix sums.
 BAND = 1024
 
 
 def length_histogram(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """(n_tokens, n_docs): how many documents have each encoded length. Null texts have length 0."""
-    return token_lengths(docs.select(F.col(f"`{text}`").alias("text")), path=path).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    """(n_tokens, n_docs): how many documents have each encoded length. Null texts have length 0. It is written once, so
+    that whatever reads it twice does not encode twice."""
+    return stage(token_lengths(docs.select(F.col(f"`{text}`").alias("text")), path=path).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "histogram")
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
