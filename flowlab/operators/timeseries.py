@@ -52,6 +52,12 @@ def bandwidth(total: Column, seconds: int) -> Column:
     return F.when(bps >= 1e9, F.concat(F.round(bps / 1e9, 2), F.lit(" Gbps"))).when(bps >= 1e6, F.concat(F.round(bps / 1e6, 2), F.lit(" Mbps"))).when(bps >= 1e3, F.concat(F.round(bps / 1e3, 2), F.lit(" Kbps"))).otherwise(F.concat(F.round(bps, 2), F.lit(" bps")))
 
 
+def _correlation(x: str, y: str) -> Column:
+    """0 with fewer than 3 points or no variance (where the built-in one divides by zero)."""
+    r = F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+    return F.when(F.count(F.lit(1)) >= 3, F.coalesce(r, F.lit(0.0))).otherwise(0.0)
+
+
 def lag_correlation(series: DataFrame, seconds: int, most: int = 15) -> DataFrame:
     """(x, y, lag, r) for every ordered pair of families and lag: the correlation of x at t with y at t + lag buckets; 0 with
     fewer than 3 common points or no variance. The self-join is an equi-join on the shifted bucket."""
@@ -59,16 +65,14 @@ def lag_correlation(series: DataFrame, seconds: int, most: int = 15) -> DataFram
     left = at.select(F.explode(F.sequence(F.lit(-most), F.lit(most))).alias("lag"), "t", F.col("family").alias("x"), F.col("value").alias("vx")).withColumn("u", F.col("t") + F.col("lag"))
     right = at.select(F.col("t").alias("u"), F.col("family").alias("y"), F.col("value").alias("vy"))
     pairs = left.join(right, "u").filter(F.col("x") < F.col("y")).groupBy("x", "y", "lag")
-    enough = (F.count(F.lit(1)) >= 3) & (F.stddev_pop("vx") > 0) & (F.stddev_pop("vy") > 0)
-    return pairs.agg(F.when(enough, F.corr("vx", "vy")).otherwise(0.0).alias("r"))
+    return pairs.agg(_correlation("vx", "vy").alias("r"))
 
 
 def pearson(series: DataFrame) -> DataFrame:
     """(x, y, r) of every pair of families at the same time."""
     left = series.select("bucket", F.col("family").alias("x"), F.col("value").alias("vx"))
     right = series.select("bucket", F.col("family").alias("y"), F.col("value").alias("vy"))
-    enough = (F.count(F.lit(1)) >= 3) & (F.stddev_pop("vx") > 0) & (F.stddev_pop("vy") > 0)
-    return left.join(right, "bucket").filter(F.col("x") < F.col("y")).groupBy("x", "y").agg(F.round(F.when(enough, F.corr("vx", "vy")).otherwise(0.0), 6).alias("r"))
+    return left.join(right, "bucket").filter(F.col("x") < F.col("y")).groupBy("x", "y").agg(F.round(_correlation("vx", "vy"), 6).alias("r"))
 
 
 def best_lag(lagged: DataFrame) -> DataFrame:
