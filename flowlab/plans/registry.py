@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from flowlab.plans import alerts, flows, graphs, learned
+from flowlab.plans import alerts, flows, graphs, learned, storage
 from flowlab.plans.base import Query
 
-BOOKS = (flows.book, alerts.book, graphs.book, learned.book)
+BOOKS = (flows.book, alerts.book, graphs.book, learned.book, storage.book)
 
 
 def queries() -> dict[str, Query]:
