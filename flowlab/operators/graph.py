@@ -250,7 +250,8 @@ def severity_class(nodes: DataFrame, parts: DataFrame, malicious: DataFrame) ->
 
 
 def node_payload(scored: DataFrame, classes: DataFrame) -> DataFrame:
-    """Display form: class and size (page rank times 1000, between 10 and 60). Percentile of danger by `percent_rank`."""
+    """Display form: class and size (page rank times 1000, between 10 and 60). danger_pct is the percentile of
+    danger in the view; scored is a view of bounded size, as a global rank is one task."""
     pct = F.percent_rank().over(Window.partitionBy(F.lit(0)).orderBy("danger"))
     return scored.join(classes.select("ip", "severity"), "ip").select("ip", "severity", F.round(F.greatest(F.lit(10.0), F.least(F.lit(60.0), F.col("pagerank") * 1000)), 6).alias("size"), "danger", F.round(100 * pct, 6).alias("danger_pct"))
 

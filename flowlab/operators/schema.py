@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,8 +98,10 @@ def corpus_build(parts: Iterable[tuple[DataFrame, SourceSpec]], features: list[s
     return out
 
 
-def schema_coverage(spark: SparkSession, columns: Iterable[str], spec: SourceSpec, features: list[str]) -> DataFrame:
-    """(column, status) for every canonical column a source lacks and every column it has besides."""
-    got = {spec.rename.get(c.strip(), c.strip()) for c in columns} - set(spec.drop)
-    rows = [(f, "missing") for f in features if f not in got] + [(c, "extra") for c in sorted(got - set(features))]
-    return spark.createDataFrame(rows, "column string, status string")
+def schema_coverage(df: DataFrame, spec: SourceSpec, features: list[str]) -> DataFrame:
+    """(column, status, filled): every canonical column a source lacks, has, or has besides, with its non-null values."""
+    named = rename_by_map(strip_column_names(df), spec.rename).drop(*spec.drop)
+    counts = named.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in named.columns])
+    status = {c: "covered" if c in features else "extra" for c in named.columns} | {f: "missing" for f in features if f not in named.columns}
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(s).alias("status"), (F.lit(0).cast("long") if s == "missing" else F.col(f"`{c}`")).alias("filled")) for c, s in status.items()]
+    return counts.select(F.inline(F.array(*rows)))
