@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from flowlab.llm.common import others
 
 #: Bounds of the training sample: windows per language, characters per window, languages.
-SAMPLE_PER_LANG, SAMPLE_CHARS, SAMPLE_LANGS = 1500, 160, 200
+SAMPLE_PER_LANG, SAMPLE_CHARS, SAMPLE_LANGS = 1536, 160, 200
+SAMPLE_PARTS = 64
 HIDDEN, STEPS_TRAIN, BATCH, ROUNDS, RATE, SEED = 12, 48, 256, 260, 0.02, 7
 #: Inference: bytes in a row of the batch, and rows run together.
 STEPS, ROWS = 96, 2048
@@ -193,14 +194,16 @@ def held_out(key: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[list[str], list[str]]:
-    """A bounded sample for the driver: for each of at most SAMPLE_LANGS languages SAMPLE_PER_LANG documents, the first in
-    order of a hash of their id, of each a window of SAMPLE_CHARS at a place that the hash chooses."""
+    """A bounded sample for the driver: for each of at most SAMPLE_LANGS languages SAMPLE_PER_LANG documents, the
+    first in order of a hash of their id in each of SAMPLE_PARTS parts, and of each document a window of SAMPLE_CHARS at a place that the hash chooses."""
     t, k = F.lower(F.col(f"`{text}`")), F.xxhash64(F.col(f"`{key}`").cast("string"))
     span = F.greatest(F.length(t) - SAMPLE_CHARS, F.lit(0)) + 1
     rows = docs.filter(
         (F.crc32(F.col(f"`{key}`").cast("string")) % 5 != 0) & F.col(f"`{lang}`").isNotNull() & F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
     ).select(F.col(f"`{lang}`").alias("lang"), k.alias("k"), F.substring(t, (F.pmod(k, span) + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
-    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("k", "text"))).filter(F.col("n") <= SAMPLE_PER_LANG)
+    # a common language is ranked in SAMPLE_PARTS parts, dealt by other bits of the hash
+    dealt = rows.withColumn("part", F.pmod(F.shiftright("k", 40), F.lit(SAMPLE_PARTS)))
+    first = dealt.withColumn("n", F.row_number().over(Window.partitionBy("lang", "part").orderBy("k", "text"))).filter(F.col("n") <= SAMPLE_PER_LANG // SAMPLE_PARTS)
     got = first.select("lang", "text", "n").orderBy("n", "lang", "text").limit(SAMPLE_PER_LANG * SAMPLE_LANGS).collect()
     return [r["text"] for r in got], [r["lang"] for r in got]
 
