@@ -22,6 +22,7 @@ import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
@@ -29,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import others, read_bytes
+from flowlab.llm.common import bounded_batches, frugal, others, read_bytes
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Characters in a leaf; bytes in a leaf of one long piece; the first window at a join, in characters and in tokens.
@@ -153,9 +154,11 @@ def encode_documents(docs: DataFrame, text: str = "text", path: str | None = Non
     empty and have no ids. Repeated rows are encoded each. Columns of docs named like the results are replaced. Texts
     may have any length and content; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(read_bytes(path or public_tokenizers.path(VOCABULARY)))
     own = ["n_tokens", "ids", "ids_sha256", "decoded_sha256"][: None if with_ids else 1] + ([] if with_ids else ["ids_sha256", "decoded_sha256"])
 
+    @frugal
     def digest(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tree = encoder(ranks.value)
         for batch in texts:
@@ -171,14 +174,16 @@ def encode_documents(docs: DataFrame, text: str = "text", path: str | None = Non
 def _encoded(tree: TreeEncoder, text: str, with_ids: bool) -> tuple:
     ids = tree.encode(text)
     digests = (hashlib.sha256(" ".join(map(tree.text_of.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(tree.decode(ids)).hexdigest())
-    return (len(ids), ids, *digests) if with_ids else (len(ids), *digests)
+    return (len(ids), np.array(ids, np.int32), *digests) if with_ids else (len(ids), *digests)
 
 
 def token_lengths(docs: DataFrame, text: str = "text", path: str | None = None, length: Callable[[TreeEncoder, str], int] | None = None) -> DataFrame:
     """The columns of docs (but text) with n_tokens only. `length` replaces the tree encoder's own count."""
+    bounded_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(read_bytes(path or public_tokenizers.path(VOCABULARY)))
     count = length or (lambda tree, t: len(tree.encode(t)))
 
+    @frugal
     def lengths(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tree = encoder(ranks.value)
         for batch in texts:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Elements per block in `exclusive_sums`; within a block the cost is quadratic, so it stays small.
 BLOCK = 256
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -65,6 +69,31 @@ def exclusive_sums(lengths: Column) -> Column:
     return F.flatten(F.zip_with(base, inner, lambda start, part: F.transform(part, lambda x: x + start)))
 
 
+def frugal(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A generator over batches that hands freed memory back to the system when it ends: workers outlive their tasks, and
+    what one stage leaves in them would add to what the next one needs."""
+
+    @wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return run
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python workers in batches of at most BATCH_BYTES, so that a worker's memory does not follow the length of
+    texts (one longer text is a batch of its own). The session's setting is only ever lowered."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import shelved
+from flowlab.llm.common import bounded_batches, frugal, shelved
 
 #: Characters of a piece, at least, and of an item that can be matched (both of normalised text).
 PIECE, LEAST = 12, 24
@@ -142,6 +142,7 @@ def _item_parts(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tup
 def _finder(sent: Broadcast):
     name = uuid.uuid4().hex
 
+    @frugal
     def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         matcher = _matcher(name, sent.value)
         for batch in texts:
@@ -159,6 +160,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: s
     column of docs named hits is replaced. Empty tables give no rows or no hits. Whole texts are searched.
     """
     away, back = shelved(docs, ["hits"])
+    bounded_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     out = docs.select(*away, normalised(F.col(f"`{text}`")).alias("_t"))
     columns = []

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlab.llm import bloom, textops
-from flowlab.llm.common import shelved, stage
+from flowlab.llm.common import bounded_batches, frugal, shelved, stage
 from flowlab.llm.components import connected
 
 SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.995
@@ -78,6 +78,7 @@ def named(docs: DataFrame, text: str = "text", out: str = "_set") -> DataFrame:
 def _forest_rows(trees: int, depth: int):
     """(a, b, n, prefixes) of each text with words; a text that recurs in a task is signed once."""
 
+    @frugal
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set = set()
         for pdf in batches:
@@ -98,6 +99,7 @@ def _forest_rows(trees: int, depth: int):
 def _shingle_rows(table: np.ndarray, bits: int):
     """(a, b, shingles) of texts whose name the filter lets through."""
 
+    @frugal
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set = set()
         for pdf in batches:
@@ -181,6 +183,7 @@ def _verify_rows(threshold: float):
             return None
         return pd.DataFrame({"a": a[some], "b": b[some], "texts": texts[some], "copies": copies[some], "to_a": a[root[some]], "to_b": b[root[some]]})
 
+    @frugal
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_key, parts = None, []
         for pdf in batches:
@@ -207,6 +210,7 @@ def _verify_rows(threshold: float):
 def similar_sets(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
     """(sets, found). sets: a, b, n, copies of each distinct shingle set. found: a, b, texts, copies (links to other sets,
     and to documents that hold those) and label struct<a,b> of the connected component, for sets with a link."""
+    bounded_batches(docs.sparkSession)
     depth = forest_depth(threshold, recall, trees)
     slim = docs.select(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("text"))
     sets = stage(named(slim).groupBy(F.col("_set.a").alias("a"), F.col("_set.b").alias("b")).agg(F.min("_set.n").alias("n"), F.count(F.lit(1)).alias("copies")), "sets")

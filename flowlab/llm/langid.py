@@ -14,14 +14,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import others
+from flowlab.llm import textops
+from flowlab.llm.common import bounded_batches, frugal, others
 
 #: Bounds of the training sample: windows per language, characters per window, languages.
 SAMPLE_PER_LANG, SAMPLE_CHARS, SAMPLE_LANGS = 1536, 160, 200
 SAMPLE_PARTS = 64
 HIDDEN, STEPS_TRAIN, BATCH, ROUNDS, RATE, SEED = 12, 48, 256, 260, 0.02, 7
 #: Inference: bytes in a row of the batch, and rows run together.
-STEPS, ROWS = 96, 2048
+STEPS, ROWS = 96, 1024
 UNDETERMINED = "und"
 
 
@@ -224,12 +225,14 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     kept = others(docs, ["lang_pred", "score"])
     if model is None:
         return docs.select(*kept, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # about 60 kB
 
+    @frugal
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for batch in texts:
-            p = pooled(m, [x.encode() for x in batch])
+            p = np.concatenate([np.zeros((0, len(m.langs))), *(pooled(m, part) for _, part in textops.slices(list(batch)))])
             best = p.argmax(1)
             yield pd.DataFrame({"lang": np.array(m.langs, object)[best], "score": np.clip(p[np.arange(len(p)), best], 0, 1)})
 

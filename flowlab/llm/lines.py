@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm import bloom, textops
-from flowlab.llm.common import shelved, stage
+from flowlab.llm.common import bounded_batches, frugal, shelved, stage
 
 #: Words from which copies of a line are removed, and from which near lines are.
 MIN_WORDS, NEAR_WORDS = 3, 8
@@ -74,6 +74,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
+@frugal
 def _line_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
@@ -93,6 +94,7 @@ def _variant_rows(table: np.ndarray, bits: int):
     """For each line that may share a half with another one: its words (kind 0), and for each word of the half that is not
     shared a hash of what is left without it, with its place (kind 1). Of equal lines in a batch the earliest is used."""
 
+    @frugal
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
@@ -191,6 +193,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     t, k = F.col(f"`{text}`"), F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(NO_KEY))
     th = F.coalesce(F.xxhash64(t), F.lit(0))
+    bounded_batches(docs.sparkSession)
     slim = docs.select(k.alias("doc_id"), th.alias("th"), t.alias("text"))
     lines = stage(slim.mapInPandas(_line_rows, LINES).withColumn("o", _order()), "lines")
     half = [F.first(f"h{i}").alias(f"h{i}") for i in range(4)]

@@ -9,7 +9,7 @@ import numpy as np
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes of text that are hashed at once; a longer text is taken alone.
-SLICE = 2_000_000
+SLICE = 500_000
 
 _up = np.ones(1, np.uint64)
 _down = np.ones(1, np.uint64)
