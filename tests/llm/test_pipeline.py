@@ -39,7 +39,7 @@ def plain(rows, hashes, items, model):
     gone = line_rules({(r[0], hashes[r[1]], r[1]) for r in kept})
     texts = [(r[0], r[2], "\n".join(x for n, x in enumerate(r[1].split("\n")) if n not in gone[(r[0], r[1])])) for r in kept]
     out = []
-    for i, lang, t in sorted(set(texts)):
+    for i, lang, t in sorted(x for x in set(texts) if x[2].strip()):  # nothing is left of the others
         s = shingles(t)
         if not s or not any(len(s & o) >= 0.8 * len(s | o) for _, _, _, o in out):
             out.append((i, lang, t, s))
