@@ -13,8 +13,8 @@ from flowlab.llm import bpe, decontam, jaccard, langid, lines
 from flowlab.llm.common import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document is rejected if no language reaches this pooled probability.
-LEAST_SCORE = 0.5
+#: A document is rejected if no language reaches this pooled probability. It is low: short clean texts are unsure too.
+LEAST_SCORE = 0.35
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +24,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line go from the texts; every document stays."""
-    return lines.dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """Lines that repeat an earlier line go from the texts. A document goes only if nothing is left of its text."""
+    out = lines.dedup_lines(docs.select(*COLUMNS)).filter((F.size("removed") == 0) | (F.trim("text") != ""))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
