@@ -1,11 +1,11 @@
-"""Line dedup by a deletion-neighbourhood join, edits counted in words.
+"""Line dedup by a deletion-neighbourhood join, edits counted in words, or for lines of few words in characters.
 
-Two lines are near if one word inserted, removed or replaced turns one into the other. Every line emits hashed keys of
-its variants with one word left out; lines meet on equal variants, the edit distance of those that meet is verified on
-their words, and only the earliest line stays.
+Two lines are near if one word (or character) inserted, removed or replaced turns one into the other. Every line emits
+hashed keys of its variants with one of them left out; lines meet on equal variants, the edit distance of those that meet
+is verified on their words (or characters), and only the earliest line stays.
 
 Emitting variants of all lines would move several times the input, so a pigeonhole test goes first: near lines share
-their first or their last half (in words). Only lines that share a half with another line emit variants. Which halves
+their first or their last half (in words or characters). Only lines that share a half with another line emit variants. Which halves
 are shared is sent to the tasks as a Bloom filter of bounded size: a false hit emits variants for nothing, no line is
 missed.
 """
@@ -23,24 +23,38 @@ from flowlab.llm import bloom, textops
 from flowlab.llm.common import bounded_batches, frugal, shelved, stage
 
 #: Words from which copies of a line are removed, and from which near lines are.
-MIN_WORDS, NEAR_WORDS = 3, 8
+MIN_WORDS, NEAR_WORDS = 1, 8
+#: Characters from which near lines of fewer than NEAR_WORDS words are.
+NEAR_CHARACTERS = 24
 
 _Q = np.uint64(0xD6E8FEB86659FD93)
+_CHARACTERS = np.uint64(0xA0761D6478BD642F)  # keys of characters do not meet those of words
 _Q_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
-LINES = "doc_id bigint, th bigint, pos int, a bigint, b bigint, h0 bigint, h1 bigint, h2 bigint, h3 bigint"
+#: Halves of words (h), of characters (c); NO_HALF where a line has none.
+HALVES = [f"{k}{i}" for k in "hc" for i in range(4)]
+LINES = "doc_id bigint, th bigint, pos int, a bigint, b bigint, " + ", ".join(f"{h} bigint" for h in HALVES)
+NO_HALF = 0
 #: Stands for a null key, and comes before every other.
 NO_KEY = -(1 << 63)
 
 
 class _Lines:
-    """The lines of some texts, of at least `least` words, as ranges of word hashes with sums of hash * Q^position."""
-
-    def __init__(self, texts: list[bytes], least: int):
-        h, text, line = textops.words(texts, textops.NOT_SPACE)
+    """The lines of some texts, of at least `least` words, as ranges of word hashes with sums of hash * Q^position. With
+    `characters` the ranges are of character hashes, and the lines those of at least `least` characters and at most NEAR_WORDS words."""
+
+    def __init__(self, texts: list[bytes], least: int, characters: bool = False):
+        self.salt = _CHARACTERS if characters else np.uint64(0)
+        if characters:
+            code, text, line = textops.characters(texts)
+            h = textops.mix(code.astype(np.uint64) + np.uint64(1))
+        else:
+            h, text, line = textops.words(texts, textops.NOT_SPACE)
         new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (line[1:] != line[:-1])])) if len(h) else np.zeros(0, np.int64)
         count = np.diff(np.concatenate([new, [len(h)]]))
         keep = count >= least
+        if characters and len(h):
+            keep &= np.add.reduceat(code == 32, new, dtype=np.int64) < NEAR_WORDS
         self.start, self.n = new[keep], count[keep]
         self.text, self.pos = text[self.start] if len(h) else new, line[self.start] if len(h) else new
         self.words = h
@@ -52,7 +66,11 @@ class _Lines:
     def part(self, first: np.ndarray, count: np.ndarray, line: np.ndarray) -> np.ndarray:
         """Hash of `count` words from word `first` of each line."""
         s = self.start[line] + first
-        return textops.mix((self.sum[s + count] - self.sum[s]) * self.down[first] + count.astype(np.uint64))
+        return textops.mix((self.sum[s + count] - self.sum[s]) * self.down[first] + count.astype(np.uint64)) ^ self.salt
+
+    def place(self) -> np.ndarray:
+        """The text and the number of each line as one number, ascending."""
+        return self.text.astype(np.int64) << 32 | self.pos
 
     def ids(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits that name the line's words."""
@@ -62,7 +80,7 @@ class _Lines:
         return a, textops.mix(other[self.start + self.n] - other[self.start] + self.n.astype(np.uint64))
 
     def halves(self) -> np.ndarray:
-        """(lines, 4): hashes of the first and last words that a near line of equal, greater or smaller length shares."""
+        """(lines, 4): hashes of the first and last words (characters) that a near line of equal, greater or smaller length shares."""
         every, zero = np.arange(len(self.n)), np.zeros_like(self.n)
         out = []
         for h in (self.n // 2, (self.n - 1) // 2):
@@ -83,55 +101,69 @@ def _line_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(lines.n):
                 a, b = lines.ids()
                 rows = first + lines.text
-                halves = {f"h{i}": _signed(h) for i, h in enumerate(lines.halves().T)}
-                yield pd.DataFrame({"doc_id": ids[rows], "th": hashes[rows], "pos": lines.pos, "a": _signed(a), "b": _signed(b)} | halves)
+                halves = np.full((len(rows), 8), NO_HALF, np.int64)
+                long = lines.n >= NEAR_WORDS
+                halves[long, :4] = _signed(lines.halves()[long])
+                short = _Lines(part, NEAR_CHARACTERS, characters=True)
+                halves[np.searchsorted(lines.place(), short.place()), 4:] = _signed(short.halves())
+                yield pd.DataFrame({"doc_id": ids[rows], "th": hashes[rows], "pos": lines.pos, "a": _signed(a), "b": _signed(b)} | dict(zip(HALVES, halves.T, strict=True)))
 
 
 VARIANTS = "a bigint, doc_id bigint, th bigint, pos int, kind int, left bigint, place int, words array<bigint>"
 
 
+def _variants(lines: _Lines, names: np.ndarray, table: np.ndarray, bits: int, doc: np.ndarray, ids: np.ndarray, hashes: np.ndarray, kind: int) -> pd.DataFrame | None:
+    """VARIANTS of the lines that may share a half with another one; names: the hash that names each line, doc: its row of ids and hashes."""
+    if not len(lines.n):
+        return None
+    hit = bloom.hits(table, bits, lines.halves())
+    front, back = hit[:, 0] | hit[:, 2], hit[:, 1] | hit[:, 3]
+    at = np.flatnonzero(front | back)
+    if not len(at):
+        return None
+    order = at[np.lexsort((lines.pos[at], hashes[doc[at]], ids[doc[at]], names[at]))]
+    at = order[np.concatenate([[True], names[order[1:]] != names[order[:-1]]])]
+    n = lines.n[at]
+    # a shared front leaves the difference to the back half, and the other way round
+    lo, hi = np.where(back[at], 0, (n - 1) // 2), np.where(front[at], n, n - (n - 1) // 2)
+    line, place = np.repeat(at, hi - lo), textops.spread(lo, hi - lo)
+    s = lines.start[line]
+    head = lines.sum[s + place] - lines.sum[s]
+    tail = (lines.sum[s + lines.n[line]] - lines.sum[s + place + 1]) * lines.down[1]
+    left = textops.mix(head + tail + (lines.n[line] - 1).astype(np.uint64)) ^ lines.salt
+    who = np.concatenate([at, line])
+    return pd.DataFrame({
+        "a": _signed(names[who]), "doc_id": ids[doc[who]], "th": hashes[doc[who]], "pos": lines.pos[who], "kind": np.repeat([kind, kind + 1], [len(at), len(line)]),
+        "left": np.concatenate([_signed(lines.part(np.zeros_like(at), n, at)), _signed(left)]), "place": np.concatenate([np.full(len(at), -1), place]),
+        "words": [*(_signed(lines.words[lines.start[i] : lines.start[i] + lines.n[i]]) for i in at), *[None] * len(line)],
+    })
+
+
 def _variant_rows(table: np.ndarray, bits: int):
-    """For each line that may share a half with another one: its words (kind 0), and for each word of the half that is not
-    shared a hash of what is left without it, with its place (kind 1). Of equal lines in a batch the earliest is used."""
+    """For each line that may share a half with another one: its words and their hash (kind 0), and for each word of the half
+    that is not shared a hash of what is left without it, with its place (kind 1); the same in characters (kinds 2 and 3). Of
+    equal lines in a batch the earliest is used."""
 
     @frugal
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
             for first, part in textops.slices(list(pdf["text"])):
-                lines = _Lines(part, NEAR_WORDS)
-                if not len(lines.n):
-                    continue
-                hit = bloom.hits(table, bits, lines.halves())
-                front, back = hit[:, 0] | hit[:, 2], hit[:, 1] | hit[:, 3]
-                at = np.flatnonzero(front | back)
-                if not len(at):
+                every = _Lines(part, MIN_WORDS)
+                if not len(every.n):
                     continue
-                a, _ = lines.ids()
-                doc = first + lines.text
-                order = at[np.lexsort((lines.pos[at], hashes[doc[at]], ids[doc[at]], a[at]))]
-                at = order[np.concatenate([[True], a[order[1:]] != a[order[:-1]]])]
-                n = lines.n[at]
-                # a shared front leaves the difference to the back half, and the other way round
-                lo, hi = np.where(back[at], 0, (n - 1) // 2), np.where(front[at], n, n - (n - 1) // 2)
-                line, place = np.repeat(at, hi - lo), textops.spread(lo, hi - lo)
-                s = lines.start[line]
-                head = lines.sum[s + place] - lines.sum[s]
-                tail = (lines.sum[s + lines.n[line]] - lines.sum[s + place + 1]) * lines.down[1]
-                left = textops.mix(head + tail + (lines.n[line] - 1).astype(np.uint64))
-                who = np.concatenate([at, line])
-                yield pd.DataFrame({
-                    "a": _signed(a[who]), "doc_id": ids[doc[who]], "th": hashes[doc[who]], "pos": lines.pos[who], "kind": np.repeat([0, 1], [len(at), len(line)]),
-                    "left": np.concatenate([_signed(a[at]), _signed(left)]), "place": np.concatenate([np.full(len(at), -1), place]),
-                    "words": [*(_signed(lines.words[lines.start[i] : lines.start[i] + lines.n[i]]) for i in at), *[None] * len(line)],
-                })
+                names, _ = every.ids()
+                for kind, lines in ((0, _Lines(part, NEAR_WORDS)), (2, _Lines(part, NEAR_CHARACTERS, characters=True))):
+                    made = _variants(lines, names[np.searchsorted(every.place(), lines.place())], table, bits, first + lines.text, ids, hashes, kind)
+                    if made is not None:
+                        yield made
 
     return rows
 
 
 def _within_one(x: Column, y: Column) -> Column:
-    """Whether one word inserted, removed or replaced turns array x into y: what stands before the first difference and
-    what stands behind the last one must leave at most one word of either. Arrays are compared as wholes, in the JVM."""
+    """Whether one element inserted, removed or replaced turns array x into y: what stands before the first difference and
+    what stands behind the last one must leave at most one element of either. Arrays are compared as wholes, in the JVM."""
     n, m = F.size(x), F.size(y)
     most = F.least(n, m)
     place = F.coalesce(F.get(F.filter(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), lambda i: F.get(x, i - 1) != F.get(y, i - 1)), F.lit(0)), most + 1)
@@ -154,40 +186,43 @@ def _order() -> Column:
 
 
 def near_removed(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(a, by): lines with an earlier line within one word, and one such line. docs: doc_id, th, text; distinct: a and
-    halves h0 to h3, one row per distinct line of at least NEAR_WORDS words or more (others do not matter)."""
-    halves = distinct.select("a", F.explode(F.array("h0", "h1", "h2", "h3")).alias("half"))
+    """(a, by): lines with an earlier line within one word or character, and one such line. docs: doc_id, th, text; distinct: a
+    and HALVES, one row per distinct line."""
+    halves = distinct.select("a", F.explode(F.array(*HALVES)).alias("half")).filter(F.col("half") != NO_HALF)
     shared = halves.groupBy("half").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter("x <> y").select("half")
     table, bits = bloom.build(stage(shared, "halves"), "half")
     sent = docs.sparkSession.sparkContext.broadcast(table)
     # broadcast values are opened in the tasks
     made = docs.mapInPandas(lambda it: _variant_rows(sent.value, bits)(it), VARIANTS)
     rows = stage(made.select("a", _order().alias("o"), "kind", "left", "place", "words"), "variants")
-    whole = rows.filter("kind = 0").groupBy("a").agg(F.min("o").alias("o"))
-    variants = rows.filter("kind = 1").select("left", "place", "a", "o")
-    # Lines that agree but for the word at one place differ by a replacement. Each such group is summed up by its earliest
+    whole = rows.filter("kind % 2 = 0").groupBy("a", "left").agg(F.min("o").alias("o"))
+    variants = rows.filter("kind % 2 = 1").select("left", "place", "a", "o", (F.col("kind") - 1).alias("of"))
+    # Lines that agree but for the word (character) at one place differ by a replacement. Each such group is summed up by its earliest
     # line, so no pairs within a group arise; nearly all variants occur once and go here.
     groups = variants.groupBy("left", "place").agg(F.min_by("a", "o").alias("by"), F.min("o").alias("by_o"), F.min("a").alias("lo"), F.max("a").alias("hi")).filter("lo <> hi")
-    replaced = variants.join(groups.select("left", "place", "by"), ["left", "place"]).filter("a <> by").select("a", "by")
+    replaced = variants.join(groups.select("left", "place", "by"), ["left", "place"]).filter("a <> by").select("a", "by", "of")
     # A line that equals what is left of another one differs by an insertion; the later of the two goes.
-    inserted = variants.join(whole.select(F.col("a").alias("left"), F.col("o").alias("s_o")), "left")
-    longer = inserted.join(whole.withColumnRenamed("o", "t_o"), "a").select(
-        F.when(F.col("t_o") > F.col("s_o"), F.col("a")).otherwise(F.col("left")).alias("a"), F.when(F.col("t_o") > F.col("s_o"), F.col("left")).otherwise(F.col("a")).alias("by")
-    )
-    pairs = stage(replaced.unionByName(longer).groupBy("a").agg(F.min("by").alias("by"), F.max("by").alias("by2")).select("a", F.explode(F.array_distinct(F.array("by", "by2"))).alias("by")), "pairs")
-    needed = pairs.select("a").union(pairs.select("by")).distinct()
-    words = stage(rows.filter("kind = 0").select("a", "words").join(needed, "a", "left_semi").groupBy("a").agg(F.first("words").alias("words")), "words")
-    partner = words.select(F.col("a").alias("by"), F.col("words").alias("by_words"))
-    return pairs.join(words, "a").join(partner, "by").filter(_within_one(F.col("words"), F.col("by_words"))).select("a").distinct()
+    short = whole.select("left", F.col("a").alias("s"), F.col("o").alias("s_o"))
+    inserted = variants.drop("o").join(short, "left").join(whole.groupBy("a").agg(F.min("o").alias("t_o")), "a")
+    later = F.col("t_o") > F.col("s_o")
+    longer = inserted.select(F.when(later, F.col("a")).otherwise(F.col("s")).alias("a"), F.when(later, F.col("s")).otherwise(F.col("a")).alias("by"), "of")
+    found = replaced.unionByName(longer).groupBy("a", "of").agg(F.min("by").alias("by"), F.max("by").alias("by2"))
+    pairs = stage(found.select("a", "of", F.explode(F.array_distinct(F.array("by", "by2"))).alias("by")), "pairs")
+    needed = pairs.select("a", "of").union(pairs.select("by", "of")).distinct()
+    own = rows.filter("kind % 2 = 0").select("a", F.col("kind").alias("of"), "words")
+    words = stage(own.join(needed, ["a", "of"], "left_semi").groupBy("a", "of").agg(F.first("words").alias("words")), "words")
+    partner = words.select(F.col("a").alias("by"), "of", F.col("words").alias("by_words"))
+    return pairs.join(words, ["a", "of"]).join(partner, ["by", "of"]).filter(_within_one(F.col("words"), F.col("by_words"))).select("a").distinct()
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The columns of docs with text rewritten, n_lines (before) and removed array<int> (numbers of the lines removed,
-    from 0). A line goes if its words, in order, equal those of an earlier line, or if it has at least NEAR_WORDS words
-    and an earlier line is within one word of it. Earlier is: by key, then by a hash of the text, then by place.
+    from 0). A line goes if its words, in order, equal those of an earlier line; if it has at least NEAR_WORDS words and an
+    earlier line of as many is within one word of it; or if it has at least NEAR_CHARACTERS characters (one space between
+    words), an earlier line of as many is within one character of it, and one of the two has fewer than NEAR_WORDS words. Earlier is: by key, then by a hash of the text, then by place.
 
-    Lines are what line feeds separate; words are what ASCII white space separates. Lines of fewer than MIN_WORDS words
-    always stay. A line also goes if the earlier line near it goes itself. Null texts stay null with no lines; null keys
+    Lines are what line feeds separate; words are what ASCII white space separates. Lines without a word always
+    stay. A line also goes if the earlier line near it goes itself. Null texts stay null with no lines; null keys
     come first. Rows that agree in key and text are one document and all get its result. Columns of docs named n_lines
     or removed are replaced; an empty table gives an empty result.
     """
@@ -196,7 +231,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     bounded_batches(docs.sparkSession)
     slim = docs.select(k.alias("doc_id"), th.alias("th"), t.alias("text"))
     lines = stage(slim.mapInPandas(_line_rows, LINES).withColumn("o", _order()), "lines")
-    half = [F.first(f"h{i}").alias(f"h{i}") for i in range(4)]
+    half = [F.first(h).alias(h) for h in HALVES]
     distinct = stage(lines.groupBy("a", "b").agg(F.min("o").alias("first"), F.max("o").alias("last"), *half), "distinct")
     near = near_removed(slim, distinct).withColumn("near", F.lit(True))
     # only lines that occur again or go need be looked up

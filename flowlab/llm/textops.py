@@ -68,6 +68,24 @@ def words(texts: list[bytes], word_byte: np.ndarray) -> tuple[np.ndarray, np.nda
     return hashes, text, line - before[text]
 
 
+def characters(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code point, text index, line index in the text) of every character of the lines, in order. Lines end at line feeds;
+    white space (characters up to the space) between two words of a line is one space, and goes elsewhere."""
+    data = np.frombuffer(b"\n".join([*texts, b""]).decode().encode("utf-32-le"), np.uint32)
+    inside = data > 32
+    feed = data == 10
+    line = np.cumsum(feed) - feed
+    start = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    keep = inside.copy()
+    keep[start[1:][line[start[1:]] == line[start[:-1]]] - 1] = True
+    at = np.flatnonzero(keep)
+    size = np.array([len(t.decode()) + 1 for t in texts], np.int64)
+    last = np.cumsum(size) - 1
+    text = np.searchsorted(last, at)
+    before = np.concatenate([[0], line[last[:-1]] + 1]) if len(texts) else np.zeros(0, np.int64)
+    return np.where(inside[at], data[at], 32), text, line[at] - before[text]
+
+
 def shingles(texts: list[bytes], size: int) -> list[np.ndarray]:
     """The sorted distinct hashes of every text's runs of `size` words; a text of fewer words has one run, of them all."""
     h, text, _ = words(texts, WORD_CHARACTER)
