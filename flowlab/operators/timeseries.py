@@ -14,6 +14,14 @@ def grid(spark: SparkSession, start: str, minutes: int, seconds: int) -> DataFra
     return spark.range(minutes * 60 // seconds + 1).select(F.timestamp_seconds(F.expr(first) + F.col("id") * seconds).alias("bucket"))
 
 
+def grid_over(df: DataFrame, ts: str, seconds: int) -> DataFrame:
+    """(bucket): the instants, aligned on epoch seconds, from the bucket of the first to that of the last time of df; none if it has no times."""
+    t = F.floor(F.unix_seconds(ts) / seconds)
+    ends = df.agg(F.min(t).alias("first"), F.max(t).alias("last")).first()
+    first, stop = (0, 0) if ends["first"] is None else (ends["first"], ends["last"] + 1)
+    return df.sparkSession.range(first, stop).select(F.timestamp_seconds(F.col("id") * seconds).alias("bucket"))
+
+
 def bucket_label(bucket: Column, seconds: int) -> Column:
     """Sortable labels; seconds are shown for buckets under a minute."""
     return F.date_format(bucket, "yyyy-MM-dd HH:mm:ss" if seconds < 60 else "yyyy-MM-dd HH:mm")

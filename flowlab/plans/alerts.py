@@ -474,6 +474,62 @@ def ts_stft(spark, d):
     return timeseries.stft(series(spark, d), 3600)
 
 
+# The same over the whole range of the events; those above are of one week, as their SQL is.
+
+ENDS = "(SELECT CAST(floor(epoch(min(ts)) / 3600) AS BIGINT) AS lo, CAST(floor(epoch(max(ts)) / 3600) AS BIGINT) AS hi FROM events)"
+WHOLE_GRID = f"(SELECT to_timestamp(3600 * t)::TIMESTAMP AS bucket FROM (SELECT unnest(range(lo, hi + 1)) AS t FROM {ENDS}))"
+FRAMES = f"(SELECT unnest(range(0, (hi - lo + 1 - 16) // 8 + 1)) AS frame FROM {ENDS})"
+
+
+def over_all(name: str) -> str:
+    """The SQL of a query of one week, on the grid of the whole range."""
+    return book.sql[name].replace(GRID, WHOLE_GRID).replace("(SELECT unnest(range(0, 20)) AS frame)", FRAMES)
+
+
+def whole_series(spark, d):
+    return timeseries.densify(volume(spark, d), timeseries.grid_over(events(spark, d), "ts", 3600))
+
+
+@book.add(over_all("ts_densify"))
+def ts_densify_all(spark, d):
+    return whole_series(spark, d)
+
+
+@book.add(over_all("ts_aggregate_peak"))
+def ts_aggregate_peak_all(spark, d):
+    return timeseries.aggregate_peak(whole_series(spark, d))
+
+
+@book.add(over_all("ts_surge"))
+def ts_surge_all(spark, d):
+    return timeseries.surge(whole_series(spark, d))
+
+
+@book.add(over_all("ts_pearson"))
+def ts_pearson_all(spark, d):
+    return timeseries.pearson(whole_series(spark, d))
+
+
+@book.add(over_all("ts_best_lag"))
+def ts_best_lag_all(spark, d):
+    return timeseries.best_lag(timeseries.lag_correlation(whole_series(spark, d), 3600))
+
+
+@book.add(over_all("ts_narrative"))
+def ts_narrative_all(spark, d):
+    return timeseries.narrative(ts_best_lag_all(spark, d), 3600, 0.1)
+
+
+@book.add(over_all("ts_classify_shape"))
+def ts_classify_shape_all(spark, d):
+    return timeseries.shape(whole_series(spark, d))
+
+
+@book.add(over_all("ts_stft"))
+def ts_stft_all(spark, d):
+    return timeseries.stft(whole_series(spark, d), 3600)
+
+
 @book.add("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M') AS label, date_trunc('second', ts) AS seen FROM events")
 def time_labels(spark, d):
     text = F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" "))
