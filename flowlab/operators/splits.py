@@ -132,3 +132,15 @@ def denoise_conflicts(df: DataFrame, features: list[str], label: str) -> DataFra
 def shuffled(df: DataFrame, key: str, salt: str = "42") -> DataFrame:
     """A repeatable global random order."""
     return df.orderBy(F.md5(F.concat(F.lit(salt), F.col(key).cast("string"))), key)
+
+
+def positions(df: DataFrame, key: str, salt: str = "42") -> DataFrame:
+    """df with position: the place of each row, from 1, in the order of `shuffled`. Rows are ranked in 4096 hash buckets,
+    and the running sum passes over the buckets."""
+    rows = df.withColumn("_h", F.md5(F.concat(F.lit(salt), F.col(key).cast("string")))).withColumn("_b", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))
+    sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = sizes.select(F.col("_b").alias("_sb"), ahead.alias("_base"))
+    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
+    joined = ranked.join(bases, F.col("_b").eqNullSafe(F.col("_sb")))
+    return joined.withColumn("position", F.col("_r") + F.col("_base")).drop("_h", "_b", "_sb", "_base", "_r")

@@ -428,6 +428,11 @@ def sort_global_shuffle(spark, d):
     return splits.shuffled(lineitem(spark, d), KEY).select(KEY).limit(100)
 
 
+@book.add(f"SELECT l_rowkey, row_number() OVER (ORDER BY md5('42' || l_rowkey), l_rowkey) AS position FROM {SQL_L}")
+def sort_global_positions(spark, d):
+    return splits.positions(lineitem(spark, d), KEY).select(KEY, "position")
+
+
 @book.add("SELECT round(sum(CASE WHEN l_quantity = 10 THEN 0.0 ELSE l_quantity END), 6) AS total, count(*) AS n FROM lineitem")
 def column_project_for_stream(spark, d):
     from flowlab.sources.tables import project_for_stream
