@@ -1,9 +1,12 @@
 """N-gram Jaccard join by a MinHash LSH forest with exact verification.
 
-Texts with the same set of word shingles are one representative. Each representative has one MinHash sequence per tree
-of the forest; a tree is the sorted trie of those sequences, and two texts are candidates if they share a trie node at
-the depth in use. The depth starts at the longest prefix and is shortened until the chance to share a node in some
-tree, at the threshold itself, reaches the target recall. Candidates are verified on whole shingle sets.
+Texts with the same set of word shingles are one representative. Each tree of the forest labels every representative with
+DEEPEST MinHash values of eight bits, packed most significant first into one number; a tree is the sorted trie of those
+labels, and what two labels share from the front is a node of it. Representatives start from the longest prefix. It
+is shortened, in all trees at once, until two sets at the threshold itself share a node in some tree with the target
+probability, and then further for every representative that has met few others on the shorter prefix: those in sparse
+parts of the tries are compared with all that share five values in some tree, those in crowded ones with what
+the target needs. Candidates are verified on whole shingle sets.
 
 Large nodes are cut into blocks and verified block against block: only counts of links and one row per member leave a
 block, never all pairs.
@@ -15,23 +18,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowlab.llm import bloom, textops
 from flowlab.llm.common import bounded_batches, frugal, shelved, stage
 from flowlab.llm.components import connected
+from flowlab.llm.skew import join_weighted
 
 SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.995
-TREES, DEEPEST = 24, 8
+#: Trees; values in a label; the shortest prefix used, and how many others a representative that goes on to a shorter prefix may
+#: meet on it in one tree.
+TREES, DEEPEST, SHORTEST, FEW = 24, 8, 5, 32
 #: Members and shingles in a block, about; columns of a block's incidence matrix held at once.
 BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS = 128, 150_000, 16_384
 
 
-def forest_depth(threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES, deepest: int = DEEPEST) -> int:
-    """The longest prefix at which two sets of that similarity share a node in some tree often enough."""
-    for depth in range(deepest, 0, -1):
+def sure_depth(threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> int:
+    """The longest prefix at which two sets of that similarity share a node in some tree with probability `recall`."""
+    for depth in range(DEEPEST, 0, -1):
         if 1 - (1 - threshold**depth) ** trees >= recall:
             return depth
     raise ValueError("more trees are needed for this recall")
@@ -42,15 +47,15 @@ def _hash_parameters(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, np.uint64)
 
 
-def _prefixes(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
-    """(sets, trees): a hash of each tree's MinHash sequence cut at `depth`; sets are not empty."""
+def _labels(sets: list[np.ndarray], trees: int) -> np.ndarray:
+    """(sets, trees): the label of each set in each tree; sets are not empty."""
     every = np.concatenate(sets)
     first = np.cumsum([0, *map(len, sets[:-1])])
-    times, flip = _hash_parameters(trees * depth)
+    times, flip = _hash_parameters(trees * DEEPEST)
     out = np.zeros((trees, len(sets)), np.uint64)
-    for k in range(trees * depth):
+    for k in range(trees * DEEPEST):
         least = np.minimum.reduceat((every ^ flip[k]) * times[k] >> np.uint64(32), first)
-        out[k // depth] = textops.mix(out[k // depth] * np.uint64(5) + least + np.uint64(k))
+        out[k // DEEPEST] = out[k // DEEPEST] << np.uint64(8) | textops.mix(least + np.uint64(k)) >> np.uint64(56)
     return out.T
 
 
@@ -62,38 +67,40 @@ def _name(s: np.ndarray) -> tuple[int, int]:
     return int(a), int(b)
 
 
-def set_names(texts: pd.Series) -> pd.DataFrame:
-    """(a, b, n): name and size of each text's shingle set; zeros for texts without a word."""
-    rows = []
-    for _, part in textops.slices(list(texts)):
-        rows += [(*_name(s), len(s)) if len(s) else (0, 0, 0) for s in textops.shingles(part, SHINGLE)]
-    return pd.DataFrame(rows, columns=["a", "b", "n"])
-
-
-def named(docs: DataFrame, text: str = "text", out: str = "_set") -> DataFrame:
-    """docs with a struct<a,b,n> that names the shingle set of each text."""
-    return docs.withColumn(out, F.pandas_udf(lambda s: set_names(s), "struct<a:bigint,b:bigint,n:int>")(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit("")))))
-
-
-def _forest_rows(trees: int, depth: int):
-    """(a, b, n, prefixes) of each text with words; a text that recurs in a task is signed once."""
+def _signer(trees: int):
+    """(a, b, n, labels) for each text: name and size of its shingle set, zeros without a word. A set that recurs in a task
+    has its labels once."""
 
     @frugal
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         seen: set = set()
-        for pdf in batches:
-            for _, part in textops.slices(list(pdf["text"])):
-                fresh = []
+        for texts in batches:
+            names, sizes, labels = [], [], []
+            for _, part in textops.slices(list(texts)):
+                fresh, at = [], []
                 for s in textops.shingles(part, SHINGLE):
-                    if len(s) and (name := _name(s)) not in seen:
-                        if len(seen) < 200_000:
+                    name = _name(s) if len(s) else (0, 0)
+                    if len(s) and name not in seen:
+                        if len(seen) < 200_000:  # beyond it labels are made again, and merged later
                             seen.add(name)
-                        fresh.append((name, s))
+                        fresh.append(s)
+                        at.append(len(names))
+                    names.append(name)
+                    sizes.append(len(s))
+                    labels.append(None)
                 if fresh:
-                    p = _prefixes([s for _, s in fresh], trees, depth).view(np.int64)
-                    yield pd.DataFrame({"a": [x[0] for x, _ in fresh], "b": [x[1] for x, _ in fresh], "n": [len(s) for _, s in fresh], "prefixes": list(p)})
+                    for i, row in zip(at, _labels(fresh, trees).view(np.int64), strict=True):
+                        labels[i] = row
+            yield pd.DataFrame({"a": [x for x, _ in names], "b": [x for _, x in names], "n": sizes, "labels": labels}).astype({"a": "int64", "b": "int64", "n": "int32"})
+
+    return sign
 
-    return rows
+
+def named(docs: DataFrame, text: str = "text", trees: int = TREES) -> DataFrame:
+    """docs (but text) with a, b, n, labels of the shingle set of each text; docs must not use these names."""
+    made = F.pandas_udf(_signer(trees), "struct<a:bigint,b:bigint,n:int,labels:array<bigint>>")(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    kept = [c for c in docs.columns if c != text]
+    return docs.select(*kept, made.alias("_named")).select(*kept, "_named.*")
 
 
 def _shingle_rows(table: np.ndarray, bits: int):
@@ -137,21 +144,23 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _verified(group: dict, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For one block pair: per member the links first found in this tree (texts, copies), and the smallest member that it
-    is linked with through members of the group."""
+    """For one block pair of a node: per member the links first found there (texts, copies), and the smallest member that it
+    is linked with through members of the group. A pair is compared at the shorter of its two prefixes, in the first tree in
+    which it shares that much."""
     sizes = group["n"].astype(float)
-    common = _intersections(group["shingles"])
-    # common / (x + y - common) >= threshold, without division; the slack is far below one element's weight
-    linked = common * (1 + threshold) >= threshold * (sizes[:, None] + sizes) - 1e-7
-    np.fill_diagonal(linked, False)
+    due = np.minimum(group["depth"][:, None], group["depth"]) == group["at"]
+    np.fill_diagonal(due, False)
     if group["i"] != group["j"]:
         side = group["block"] == group["i"]
-        linked &= side[:, None] != side
-    earlier = np.zeros_like(linked)
-    for p in group["prefixes"].T[: group["tree"]]:
-        earlier |= p[:, None] == p
-    counted = linked & ~earlier
+        due &= side[:, None] != side
+    for p in (group["labels"] >> np.uint64(8 * (DEEPEST - group["at"]))).T[: group["tree"]]:
+        due &= p[:, None] != p
     root = np.arange(len(sizes))
+    if not due.any():
+        return np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), root
+    common = _intersections(group["shingles"])
+    # common / (x + y - common) >= threshold, without division; the slack is far below one element's weight
+    linked = due & (common * (1 + threshold) >= threshold * (sizes[:, None] + sizes) - 1e-7)
     while True:
         least = np.where(linked, root, len(root)).min(1, initial=len(root))
         new = np.minimum(root, least)
@@ -159,7 +168,7 @@ def _verified(group: dict, threshold: float) -> tuple[np.ndarray, np.ndarray, np
         if (new == root).all():
             break
         root = new
-    return counted.sum(1), counted @ group["copies"], root
+    return linked.sum(1), linked @ group["copies"], root
 
 
 FOUND = "a bigint, b bigint, texts bigint, copies bigint, to_a bigint, to_b bigint"
@@ -175,8 +184,8 @@ def _verify_rows(threshold: float):
             return None
         g = g.sort_values(["a", "b"])
         a, b = g["a"].to_numpy(), g["b"].to_numpy()
-        group = {k: g[k].to_numpy() for k in ("n", "copies", "block")} | {"shingles": list(g["shingles"]), "prefixes": np.stack(list(g["prefixes"]))}
-        group |= {"i": g["i"].iat[0], "j": g["j"].iat[0], "tree": int(g["tree"].iat[0])}
+        group = {k: g[k].to_numpy() for k in ("n", "copies", "block", "depth")} | {"shingles": list(g["shingles"]), "labels": np.stack(list(g["labels"])).view(np.uint64)}
+        group |= {k: int(g[k].iat[0]) for k in ("i", "j", "tree", "at")}
         texts, copies, root = _verified(group, threshold)
         some = (texts > 0) | (root != np.arange(len(root)))
         if not some.any():
@@ -207,85 +216,130 @@ def _verify_rows(threshold: float):
     return rows
 
 
-def similar_sets(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
-    """(sets, found). sets: a, b, n, copies of each distinct shingle set. found: a, b, texts, copies (links to other sets,
-    and to documents that hold those) and label struct<a,b> of the connected component, for sets with a link."""
-    bounded_batches(docs.sparkSession)
-    depth = forest_depth(threshold, recall, trees)
-    slim = docs.select(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("text"))
-    sets = stage(named(slim).groupBy(F.col("_set.a").alias("a"), F.col("_set.b").alias("b")).agg(F.min("_set.n").alias("n"), F.count(F.lit(1)).alias("copies")), "sets")
-    signed = slim.mapInPandas(_forest_rows(trees, depth), "a bigint, b bigint, n int, prefixes array<bigint>").groupBy("a", "b").agg(F.first("n").alias("n"), F.first("prefixes").alias("prefixes"))
-    signed = stage(signed, "forest")
-    # nodes of the tries with at least two members
-    at = signed.select("a", "b", "n", F.posexplode("prefixes").alias("tree", "prefix")).withColumn("node", F.xxhash64("tree", "prefix"))
-    size = (F.count(F.lit(1)).alias("m"), F.sum(F.col("n").cast("long")).alias("s"), F.min("tree").alias("tree"))
-    nodes = at.groupBy("node").agg(*size, F.bit_xor("a").alias("xa"), F.bit_xor("b").alias("xb"), F.sum(F.col("a") % 1_000_003).alias("sa")).filter("m > 1")
+def _node(depth: Column) -> Column:
+    """The trie node of a label at a depth."""
+    bits = F.lit(8) * (F.lit(DEEPEST) - depth)
+    return F.xxhash64("tree", depth, F.call_function("shiftrightunsigned", F.col("label"), bits.cast("int")))
+
+
+def forest(sets: DataFrame, sure: int) -> tuple[DataFrame, DataFrame]:
+    """(members, depths) of sets(a, b, n, labels). depths: a, b, depth, the prefix each representative is compared at; absent
+    if nothing shares even SHORTEST values with it. members: node, at (its depth), tree, blocks, a, b, depth, a row for each
+    member of a node at which some representative is compared."""
+    shortest = min(SHORTEST, sure)
+    levels = F.array(*[F.lit(d) for d in range(shortest, sure + 1)])
+    at = sets.select("a", "b", "n", F.posexplode("labels").alias("tree", "label")).withColumn("top", _node(F.lit(shortest)))
+    # most labels share no node of the shortest prefix with another one, and are done
+    shared = at.groupBy("top").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("top")
+    rows = stage(at.join(shared, "top", "left_semi").select("a", "b", "n", "tree", "label", F.explode(levels).alias("at")).withColumn("node", _node(F.col("at"))).drop("label"), "trie")
+    size = (F.count(F.lit(1)).alias("m"), F.sum(F.col("n").cast("long")).alias("s"), F.min("tree").alias("first_tree"))
+    marks = (F.bit_xor("a").alias("xa"), F.bit_xor("b").alias("xb"), F.sum(F.col("a") % 1_000_003).alias("sa"))
+    nodes = stage(rows.groupBy("node").agg(F.min("at").alias("n_at"), *size, *marks).filter("m > 1").withColumnRenamed("node", "n_node"), "nodes")
+    met = stage(join_weighted(rows, nodes, F.col("node") == F.col("n_node"), "m").select("node", "at", "a", "b", "m"), "met")
+    # the shortest prefix on which only a few others are met in any tree; without one the prefix that is sure to reach the recall
+    few = F.min(F.when(F.col("met") <= FEW, F.col("at")))
+    depths = stage(met.groupBy("a", "b", "at").agg(F.max(F.col("m") - 1).alias("met")).groupBy("a", "b").agg(F.coalesce(few, F.lit(sure)).alias("depth")), "depths")
+    placed = stage(met.join(depths, ["a", "b"]), "placed")
+    used = placed.filter("at = depth").select("node").distinct()
     # the same members often meet in several trees; the first tree stands for all of them
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK_MEMBERS, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    kept = nodes.groupBy("m", "s", "xa", "xb", "sa").agg(F.min(F.struct("tree", "node")).alias("f")).select(F.col("f.node").alias("node"), F.col("f.tree").alias("node_tree"), blocks)
-    members = stage(at.select("node", "a", "b").join(kept, "node"), "members")
+    kept = nodes.join(used, F.col("n_node") == F.col("node"), "left_semi").groupBy("n_at", "m", "s", "xa", "xb", "sa").agg(F.min(F.struct("first_tree", "n_node")).alias("f"))
+    kept = stage(kept.select(F.col("f.n_node").alias("k_node"), F.col("f.first_tree").alias("tree"), blocks, F.col("m").alias("k_m")), "kept")
+    members = join_weighted(placed.drop("m"), kept, F.col("node") == F.col("k_node"), "k_m")
+    return stage(members.select("node", "at", "tree", "blocks", "a", "b", "depth"), "members"), depths
 
+
+def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
+    """(found, depths). sets: a, b, n, copies, labels of each distinct shingle set, staged; texts: one column text. found: a, b,
+    texts, copies (links to other sets, and to documents that hold those) and label struct<a,b> of the connected component, for sets with a link."""
+    members, depths = forest(sets, sure_depth(threshold, recall, trees))
     table, bits = bloom.build(members.select("a").distinct(), "a")
-    sent = docs.sparkSession.sparkContext.broadcast(table)
-    shingles = slim.mapInPandas(lambda it: _shingle_rows(sent.value, bits)(it), "a bigint, b bigint, shingles array<bigint>").groupBy("a", "b").agg(F.first("shingles").alias("shingles"))
-    full = shingles.join(signed, ["a", "b"]).join(sets.select("a", "b", "copies"), ["a", "b"])
+    sent = texts.sparkSession.sparkContext.broadcast(table)
+    lowered = texts.select(F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("text"))
+    # broadcast values are opened in the tasks
+    shingles = lowered.mapInPandas(lambda it: _shingle_rows(sent.value, bits)(it), "a bigint, b bigint, shingles array<bigint>").groupBy("a", "b").agg(F.first("shingles").alias("shingles"))
+    full = shingles.join(sets.select("a", "b", "n", "copies", "labels"), ["a", "b"])
     block = F.pmod(F.xxhash64("a", "b", "node"), F.col("blocks").cast("long")).cast("int")
     dealt = (
         members.withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .join(full, ["a", "b"])
-        .select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", F.col("node_tree").alias("tree"), "a", "b", "n", "copies", "prefixes", "shingles")
+        .select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "tree", "at", "depth", "a", "b", "n", "copies", "labels", "shingles")
         .repartition(*KEYS)
         .sortWithinPartitions(*KEYS)
     )
     found = stage(dealt.mapInPandas(_verify_rows(threshold), FOUND), "found")
     links = found.groupBy("a", "b").agg(F.sum("texts").alias("texts"), F.sum("copies").alias("copies"))
     ends = (F.struct(F.col("a"), F.col("b")).alias("x"), F.struct(F.col("to_a").alias("a"), F.col("to_b").alias("b")).alias("y"))
-    labels = connected(found.select(*ends).filter("x <> y"))
-    return sets, links.join(labels, (F.col("a") == F.col("id.a")) & (F.col("b") == F.col("id.b"))).select("a", "b", "texts", "copies", "label")
+    component = connected(found.select(*ends).filter("x <> y"))
+    return links.join(component, (F.col("a") == F.col("id.a")) & (F.col("b") == F.col("id.b"))).select("a", "b", "texts", "copies", "label"), depths
+
+
+def _grouped(names: DataFrame, least: Column, texts: DataFrame, threshold: float, recall: float, trees: int) -> DataFrame:
+    """For each distinct shingle set of names(a, b, n, labels): s_a, s_b, copies, texts and linked (links to sets and to
+    documents), depth, and c_least, the least value of `least` in its class."""
+    own = names.filter("n > 0").groupBy("a", "b").agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("labels", ignorenulls=True).alias("labels"), F.min(least).alias("least"))
+    sets = stage(own, "sets")
+    found, depths = similar_sets(sets, texts, threshold, recall, trees)
+    zero = F.lit(0).cast("long")
+    labelled = (
+        sets.drop("labels")
+        .join(found.withColumnRenamed("copies", "linked"), ["a", "b"], "left")
+        .join(depths, ["a", "b"], "left")
+        .select("a", "b", "copies", "least", "label", F.coalesce("texts", zero).alias("texts"), F.coalesce("linked", zero).alias("linked"), F.coalesce("depth", F.lit(min(SHORTEST, sure_depth(threshold, recall, trees)))).alias("depth"))
+    )
+    labelled = stage(labelled, "labelled")
+    together = labelled.filter(F.col("label").isNotNull())
+    classes = stage(together.groupBy(F.col("label").alias("c_label")).agg(F.min("least").alias("c_least"), F.count(F.lit(1)).alias("c_m")), "classes")
+    columns = (F.col("a").alias("s_a"), F.col("b").alias("s_b"), "copies", "texts", "linked", "depth")
+    joined = join_weighted(together, classes, F.col("label") == F.col("c_label"), "c_m").select(*columns, "c_least")
+    return stage(joined.unionByName(labelled.filter(F.col("label").isNull()).select(*columns, F.col("least").alias("c_least"))), "grouped")
+
+
+def _of_set() -> Column:
+    return (F.col("a") == F.col("s_a")) & (F.col("b") == F.col("s_b"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> DataFrame:
-    """The columns of docs (but text) with class_id, n_links and n_link_texts.
+    """The columns of docs (but text) with class_id, n_links, n_link_texts and depth.
 
     Two documents are linked if the Jaccard similarity of their sets of five-word shingles is at least `threshold`; words
     are runs of ASCII letters and digits and of non-ASCII characters, in lower case, and a text of one to four words is
-    one shingle. class_id is the smallest key of the connected component; n_links counts other documents linked to this
-    one, n_link_texts the different shingle sets among them. Texts without a word (null, empty) are linked to nothing and
-    form their own class. Null keys count as the largest; a component of null keys has class null. Repeated rows are copies of each other.
+    one shingle. A link between different sets at the threshold itself is found with probability `recall`, more similar ones
+    more surely; copies always. class_id is the smallest key of the connected component; n_links counts other documents linked
+    to this one, n_link_texts the different shingle sets among them, depth is the prefix at which its set was
+    compared. Texts without a word (null, empty) are linked to nothing, form their own class and have depth null. Keys of any
+    sortable type; null keys count as the largest, and a component of null keys has class null. Repeated rows are copies of each other.
     Columns of docs named like the results are replaced; an empty table gives an empty result.
     """
-    own = ("class_id", "n_links", "n_link_texts")
-    sets, found = similar_sets(docs, text, threshold, recall, trees)
-    labelled = sets.filter("n > 0").join(found.withColumnsRenamed({"copies": "linked"}), ["a", "b"], "left").select(
-        F.col("a").alias("s_a"), F.col("b").alias("s_b"), F.coalesce("label", F.struct("a", "b")).alias("label"),
-        (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0).cast("long")).alias("n_link_texts"),
-    )
-    away, back = shelved(docs, [*own, text])
-    base = named(docs.select(*away, F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")), "_text").drop("_text")
-    same = (F.col("_set.a") == F.col("s_a")) & (F.col("_set.b") == F.col("s_b")) & (F.col("_set.n") > 0)
-    rows = stage(base.join(labelled, same, "left").drop("s_a", "s_b"), "labelled")
-    classes = rows.filter(F.col("label").isNotNull()).groupBy(F.col("label").alias("c_label")).agg(F.min("_key").alias("c_id"))
+    bounded_batches(docs.sparkSession)
+    away, back = shelved(docs, ["class_id", "n_links", "n_link_texts", "depth", text])
+    base = docs.select(*away, F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
+    names = stage(named(base, "_text", trees), "named")
+    groups = _grouped(names, F.col("_key"), docs.select(F.col(f"`{text}`").alias("text")), threshold, recall, trees)
+    rows = join_weighted(names.filter("n > 0").drop("n", "labels"), groups, _of_set(), "copies")
     zero = F.lit(0).cast("long")
-    return rows.join(classes, F.col("label") == F.col("c_label"), "left").select(
-        *back, F.when(F.col("label").isNull(), F.col("_key")).otherwise(F.col("c_id")).alias("class_id"), F.coalesce("n_links", zero).alias("n_links"), F.coalesce("n_link_texts", zero).alias("n_link_texts"),
-    )
+    worded = rows.select(*back, F.col("c_least").alias("class_id"), (F.col("linked") + F.col("copies") - 1).alias("n_links"), F.col("texts").alias("n_link_texts"), "depth")
+    return worded.unionByName(names.filter("n = 0").select(*back, F.col("_key").alias("class_id"), zero.alias("n_links"), zero.alias("n_link_texts"), F.lit(None).cast("int").alias("depth")))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> DataFrame:
     """The rows of docs that stay when one document of each class of `near_duplicates` stays: the one with the smallest
     key (nulls last), then the smallest hash of its text. Of rows equal in key and text one stays. Texts without a
-    word all stay."""
-    th = F.xxhash64(F.col(f"`{text}`"))
-    slim = docs.select(F.col(f"`{key}`").alias("k"), th.alias("th"), F.col(f"`{text}`").alias("text"))
-    sets, found = similar_sets(slim, "text", **how)
-    names = named(slim).select("k", "th", F.col("_set.a").alias("a"), F.col("_set.b").alias("b"), F.col("_set.n").alias("n")).filter("n > 0")
-    labelled = names.join(found.select(F.col("a").alias("f_a"), F.col("b").alias("f_b"), "label"), (F.col("a") == F.col("f_a")) & (F.col("b") == F.col("f_b")), "left")
-    order = F.struct(F.col("k").isNull().alias("none"), "k", "th")
-    stays = stage(labelled.groupBy(F.coalesce("label", F.struct("a", "b")).alias("c")).agg(F.min(order).alias("o")).select(F.col("o.k").alias("o_k"), F.col("o.th").alias("o_th")), "stays")
-    wordless = ~F.coalesce(F.lower(F.col(f"`{text}`")), F.lit("")).rlike("[a-z0-9]|[^\\x00-\\x7f]")
+    word all stay. Only the keys of those that go are joined to docs."""
+    bounded_batches(docs.sparkSession)
+    k, th = F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))
+    slim = docs.select(k.alias("k"), th.alias("th"), F.col(f"`{text}`").alias("text"))
+    names = stage(named(slim, "text", trees).filter("n > 0"), "named")
+    order = F.struct(F.col("k").isNull().alias("none"), F.col("k").alias("k"), F.col("th").alias("th"))
+    groups = _grouped(names, order, slim.select("text"), threshold, recall, trees)
+    rows = join_weighted(names.select("k", "th", "a", "b"), groups.select("s_a", "s_b", "copies", "c_least"), _of_set(), "copies")
+    stays = F.col("k").eqNullSafe(F.col("c_least.k")) & (F.col("th") == F.col("c_least.th"))
+    # rows of a key and text, and whether one of them stays
+    odd = rows.groupBy("k", "th").agg(F.count(F.lit(1)).alias("rows"), F.max(stays).alias("stays")).filter("rows > 1 or not stays")
+    odd = stage(odd.select(F.col("k").alias("o_k"), F.col("th").alias("o_th"), "stays"), "odd")
     away, back = shelved(docs, [])
-    rows = docs.filter(~wordless).select(*away, F.col(f"`{key}`").alias("k"), th.alias("th"))
+    whole = docs.select(*away, k.alias("k"), th.alias("th"))
     match = F.col("k").eqNullSafe(F.col("o_k")) & (F.col("th") == F.col("o_th"))
-    kept = rows.join(stays, match).dropDuplicates(["o_k", "o_th"]).select(*back)
-    return kept.unionByName(docs.filter(wordless))
+    once = whole.join(odd.filter("stays"), match).dropDuplicates(["o_k", "o_th"])
+    return whole.join(odd, match, "left_anti").select(*back).unionByName(once.select(*back))

@@ -59,7 +59,7 @@ def test_edge_cases(spark):
     check(spark, [(1, same), (2, same.upper() + "!"), (3, None), (4, ""), (5, "?!"), (6, "one"), (7, "One."), (8, "one two"), (9, " ".join(f"x{i}" for i in range(30_000)))])
     assert jaccard.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
     clash = spark.createDataFrame([(None, same, 1, "y"), (None, same, 2, "z")], "doc_id bigint, text string, label int, n_links string")
-    assert sorted(map(tuple, jaccard.near_duplicates(clash).collect())) == [(None, 1, None, 1, 0), (None, 2, None, 1, 0)]
+    assert sorted(map(tuple, jaccard.near_duplicates(clash).collect())) == [(None, 1, None, 1, 0, 5), (None, 2, None, 1, 0, 5)]
 
 
 def test_one_of_each(spark):
@@ -69,6 +69,46 @@ def test_one_of_each(spark):
     assert sorted(map(tuple, got), key=repr) == sorted([(1, same), rows[3], rows[4], rows[5], rows[6]], key=repr)
 
 
-def test_depth_reaches_recall():
-    d = jaccard.forest_depth()
-    assert 1 - (1 - 0.8**d) ** jaccard.TREES >= 0.995 > 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES
+def test_prefix_is_shortened_for_each_set_until_the_recall_is_reached(spark, monkeypatch):
+    """Pairs of similarity 0.8 to 0.85: measured recall, at depths that differ between sets. A crowded part of the tries (a
+    group of near copies larger than FEW) stays at the prefix that the target needs, the others go on to shorter ones."""
+    sure = jaccard.sure_depth()
+    assert 1 - (1 - 0.8**sure) ** jaccard.TREES >= 0.995 > 1 - (1 - 0.8 ** (sure + 1)) ** jaccard.TREES
+    monkeypatch.setattr(jaccard, "FEW", 8)
+    rng = random.Random(9)
+    rows, body = [], [f"v{rng.randint(0, 99_999)}" for _ in range(300)]
+    for i in range(40):  # one crowd
+        w = list(body)
+        w[rng.randrange(300)] = f"crowd{i}"
+        rows.append((i, " ".join(w)))
+    for i in range(300):  # pairs near the threshold: a few words replaced far from each other
+        w = [f"u{rng.randint(0, 99_999)}" for _ in range(200)]
+        other = list(w)
+        for j in range(4):
+            other[20 + 45 * j] = f"new{i}x{j}"
+        rows += [(100 + 2 * i, " ".join(w)), (101 + 2 * i, " ".join(other))]
+    got = {r["doc_id"]: r for r in jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {i: (c, n) for i, c, n, _ in brute(rows)}
+    pairs = [i for i in range(100, 700) if want[i][1]]
+    assert len(pairs) > 500
+    assert sum(got[i]["n_links"] for i in pairs) >= 0.99 * len(pairs)
+    assert {got[i]["depth"] for i in range(40)} == {sure} and {got[i]["depth"] for i in pairs} == {jaccard.SHORTEST}
+    assert all((got[i]["class_id"], got[i]["n_links"]) == want[i] for i in range(40))
+
+
+def test_text_keys(spark):
+    same = "some words that occur twice in here"
+    got = jaccard.near_duplicates(spark.createDataFrame([("b", same), ("a", same), (None, "x")], "doc_id string, text string"))
+    assert sorted((r["doc_id"] or "", r["class_id"]) for r in got.collect()) == [("", None), ("a", "a"), ("b", "a")]
+    assert [tuple(r) for r in jaccard.one_of_each(spark.createDataFrame([("b", same), ("a", same)], "doc_id string, text string")).collect()] == [("a", same)]
+
+
+def test_hot_sets_and_classes(spark, monkeypatch):
+    """With every key hot, and with some, joins give the same rows."""
+    from flowlab.llm import skew
+
+    rows = corpus(random.Random(4), 80, 30)
+    for hot in (1, 10**9):
+        monkeypatch.setattr(skew, "HOT", hot)
+        monkeypatch.setattr(skew, "LEAST", 1)
+        check(spark, rows)
