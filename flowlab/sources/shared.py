@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or where it is unset (tests on one machine) a folder of the warehouse."""
+    """spark.checkpoint.dir. Where it is unset a folder of the warehouse serves on one machine; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    return found or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/flowlab-stages"
+    if found:
+        return found
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/flowlab-stages"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
