@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
+import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 from pathlib import Path
@@ -11,30 +11,18 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flowlab.llm.skew import join_weighted
+from flowlab.sources.shared import stage
+
+__all__ = ["bounded_batches", "exclusive_sums", "frugal", "others", "read_bytes", "shelved", "stage", "table", "whole_key"]
 
 #: Elements per block in `exclusive_sums`; within a block the cost is quadratic, so it stays small.
 BLOCK = 256
 BATCH_BYTES = 4 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or where it is unset (tests on one
-    machine) a folder of the warehouse."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/flowlab-stages"
-
-
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write df as Parquet to the shared folder and read it again: the plan behind it is cut, and a lost executor
-    costs nothing that is already written."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/flowlab/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def others(df: DataFrame, taken: Iterable[str]) -> list[Column]:
     """Columns of df whose names (without regard to case) are not taken by the operator's own output."""
     names = {t.lower() for t in taken}
@@ -48,6 +36,17 @@ def shelved(df: DataFrame, taken: Iterable[str]) -> tuple[list[Column], list[Col
     return [F.col(f"`{c}`").alias(f"__shelf_{i}") for i, c in enumerate(kept)], [F.col(f"__shelf_{i}").alias(c) for i, c in enumerate(kept)]
 
 
+def whole_key(docs: DataFrame, key: str, out: str) -> DataFrame:
+    """docs with a bigint `out` that orders rows like their key: an integer key itself; a key of another sortable type by its place
+    among the distinct keys, which a global sort of the keys alone gives. Null stays null."""
+    k = F.col(f"`{key}`")
+    if isinstance(docs.schema[key].dataType, T.IntegralType):
+        return docs.withColumn(out, k.cast("bigint"))
+    counts = docs.filter(k.isNotNull()).groupBy(k.alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
+    places = stage(counts.orderBy("__key").withColumn(out, F.monotonically_increasing_id()), "key-places")
+    return join_weighted(docs, places, k == F.col("__key"), "__rows", "left").drop("__key", "__rows")
+
+
 def exclusive_sums(lengths: Column) -> Column:
     """[0, a1, a1+a2, ...] of an array<int>, one element per input element. Two levels keep arrays of many thousands of
     elements cheap: sums inside blocks of BLOCK, then sums over blocks."""
@@ -88,12 +87,19 @@ def frugal(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
 
 def bounded_batches(spark: SparkSession) -> None:
     """Texts go to Python workers in batches of at most BATCH_BYTES, so that a worker's memory does not follow the length of
-    texts (one longer text is a batch of its own). The session's setting is only ever lowered."""
+    texts (one longer text is a batch of its own). The session's setting is only ever lowered; it stays lowered, as plans
+    run after the operator that asked for it has returned."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+    if _bytes(spark.conf.get(name)) > BATCH_BYTES:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+def _bytes(size: str) -> int:
+    """The bytes that a size in Spark's notation means, such as 4m, 1g or 1048576b."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([a-z]*)\s*", size.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit[:1] or "b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
