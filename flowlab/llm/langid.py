@@ -15,14 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.llm import textops
-from flowlab.llm.common import bounded_batches, frugal, others
+from flowlab.llm.common import bounded_batches, frugal, shelved
 
 #: Bounds of the training sample: windows per language, characters per window, languages.
 SAMPLE_PER_LANG, SAMPLE_CHARS, SAMPLE_LANGS = 1536, 160, 200
 SAMPLE_PARTS = 64
 HIDDEN, STEPS_TRAIN, BATCH, ROUNDS, RATE, SEED = 12, 48, 256, 260, 0.02, 7
-#: Inference: bytes in a row of the batch, and rows run together.
-STEPS, ROWS = 96, 1024
+#: Inference: bytes that a row of the batch labels, bytes read before and behind them, and rows run together.
+STEPS, CONTEXT, ROWS = 208, 24, 512
 UNDETERMINED = "und"
 
 
@@ -141,50 +141,61 @@ def train(texts: list[str], langs: list[str], rounds: int = ROUNDS, hidden: int
     return m
 
 
-def pooled(m: Model, texts: list[bytes]) -> np.ndarray:
-    """(texts, L): the mean of the probabilities of all byte positions; rows of zeros for empty texts."""
-    sums = np.zeros((len(texts), len(m.langs)))
-    for part, doc, x, valid in _rows(texts):
+def labelled(m: Model, texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Whole texts, in pieces: (first position in the joined texts, probabilities (positions, L)), in order."""
+    for at, x, lo, hi in _rows(texts):
         p = _position_probabilities(m, _states(m, x))
-        by_row = np.einsum("trl,tr->rl", p, valid)
-        np.add.at(sums, doc, by_row)
-    return sums / np.maximum([[len(t)] for t in texts], 1)
+        steps = np.arange(x.shape[1])[:, None]
+        yield at, p.transpose(1, 0, 2)[((steps >= lo) & (steps < hi)).T]
 
 
-def _rows(texts: list[bytes]):
-    """Cut texts into rows of STEPS bytes, whole texts, ROWS of them at a time. A text's last row starts STEPS before its
-    end, and only its new positions count; shorter texts are filled with spaces that do not count."""
+def pooled(m: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the mean of the probabilities of all byte positions (texts, L), how many positions have each language
+    as their label (texts, L), and the runs of equal labels; zeros for empty texts."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    sums, counts, runs = np.zeros((len(texts), len(m.langs))), np.zeros((len(texts), len(m.langs)), np.int64), np.zeros(len(texts), np.int64)
+    last = (-1, -1)
+    for at, p in labelled(m, texts):
+        text, label = owner[at : at + len(p)], p.argmax(1)
+        first = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+        sums[text[first]] += np.add.reduceat(p, first, axis=0, dtype=float)
+        counts += np.bincount(text * len(m.langs) + label, minlength=counts.size).reshape(counts.shape)
+        new = np.concatenate([[(text[0], label[0]) != last], (text[1:] != text[:-1]) | (label[1:] != label[:-1])])
+        runs += np.bincount(text[new], minlength=len(texts))
+        last = (text[-1], label[-1])
+    return sums / np.maximum(lengths, 1)[:, None], counts, runs
+
+
+def _rows(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Cut whole texts into rows that label STEPS bytes each and also read the CONTEXT bytes before and behind them, so that
+    both directions know their surroundings where labels count; ROWS of them at a time, all of one width, so that a text's result depends on nothing else: (first position in the joined
+    texts, bytes, first and last position that counts in each row). What lies outside a text is read as spaces."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     counts = -(-lengths // STEPS)
-    data = np.frombuffer(b"".join(texts) + b" " * STEPS, np.uint8)
+    data = np.frombuffer(b" " * CONTEXT + b"".join(texts) + b" " * (STEPS + CONTEXT), np.uint8)
     doc = np.repeat(np.arange(len(texts)), counts)
-    offset = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(texts) else lengths
-    nth = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
-    planned = nth * STEPS
-    start = np.minimum(planned, np.maximum(lengths[doc] - STEPS, 0))
-    lo, hi = planned - start, np.minimum(lengths[doc] - start, STEPS)
-    steps = np.arange(STEPS)
+    offset = np.cumsum(lengths) - lengths
+    start = (np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)) * STEPS
+    steps = np.arange(STEPS + 2 * CONTEXT)
     for i in range(0, len(doc), ROWS):
-        at = slice(i, i + ROWS)
-        inside = steps[:, None] < hi[at]
-        x = data[(offset[doc[at]] + start[at])[:, None] + steps]
-        x = np.where(inside.T, x, 32).astype(np.uint8)
-        yield i, doc[at], x, ((steps[:, None] >= lo[at]) & inside).astype(np.float32)
+        d, s = doc[i : i + ROWS], start[i : i + ROWS]
+        long = np.minimum(lengths[d] - s, STEPS)
+        place = s[:, None] + steps - CONTEXT
+        x = data[(offset[d] + CONTEXT)[:, None] + place]
+        yield int(offset[d[0]] + s[0]), np.where((place >= 0) & (place < lengths[d][:, None]), x, 32).astype(np.uint8), np.full(len(d), CONTEXT), CONTEXT + long
 
 
 def position_labels(m: Model, text: str) -> list[tuple[int, int, str]]:
     """Runs (start, end, lang) of equal labels over the bytes of the lower-cased text."""
     out: list[tuple[int, int, str]] = []
-    at = 0
-    for _, _, x, valid in _rows([text.lower().encode()]):
-        best = _position_probabilities(m, _states(m, x)).argmax(-1)
-        for label in best.T[valid.T > 0]:
+    for at, p in labelled(m, [text.lower().encode()]):
+        for i, label in enumerate(p.argmax(1)):
             name = m.langs[label]
             if out and out[-1][2] == name:
-                out[-1] = (out[-1][0], at + 1, name)
+                out[-1] = (out[-1][0], at + i + 1, name)
             else:
-                out.append((at, at + 1, name))
-            at += 1
+                out.append((at + i, at + i + 1, name))
     return out
 
 
@@ -213,34 +224,40 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return train(*training_sample(docs, key, text, lang))
 
 
+OWN = {"lang_pred": "string", "score": "double", "agreeing": "double", "n_runs": "bigint"}
+
+
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The columns of docs with lang_pred and score (the pooled probability of that language).
+    """The columns of docs with lang_pred, score (the pooled probability of that language), agreeing (the share of byte
+    positions labelled with it) and n_runs (runs of equal labels).
 
     Only the text is read. Null texts and texts without a letter, and all texts if there is no model, are `und` with
-    score 0. Repeated rows are each predicted. Columns of docs named like the results are replaced. Whole texts are
+    zeros. Repeated rows are each predicted. Columns of docs named like the results are replaced. Whole texts are
     read, whatever their length; ties between languages go to the first by name. An empty table gives an empty result.
     """
+    away, back = shelved(docs, OWN)
     t = F.col(f"`{text}`")
     known = F.coalesce(t.rlike(r"\p{L}"), F.lit(False))
-    kept = others(docs, ["lang_pred", "score"])
+    none = [F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("agreeing"), F.lit(0).cast("bigint").alias("n_runs")]
     if model is None:
-        return docs.select(*kept, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*away).select(*back, *none)
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # about 60 kB
 
     @frugal
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
+        names = np.array(m.langs, object)
         for batch in texts:
-            p = np.concatenate([np.zeros((0, len(m.langs))), *(pooled(m, part) for _, part in textops.slices(list(batch)))])
-            best = p.argmax(1)
-            yield pd.DataFrame({"lang": np.array(m.langs, object)[best], "score": np.clip(p[np.arange(len(p)), best], 0, 1)})
-
-    made = F.pandas_udf(predict, "struct<lang:string,score:double>")
-    names = [c for c in docs.columns if c.lower() not in {"lang_pred", "score"}]
-    scored = docs.select(*kept, known.alias("_known"), made(F.when(known, F.lower(t)).otherwise(F.lit(""))).alias("_p"))
-    return scored.select(
-        *[F.col(f"`{c}`") for c in names],
-        F.when(F.col("_known"), F.col("_p.lang")).otherwise(F.lit(UNDETERMINED)).alias("lang_pred"),
-        F.when(F.col("_known"), F.col("_p.score")).otherwise(F.lit(0.0)).alias("score"),
-    )
+            made = []
+            for _, part in textops.slices(list(batch)):
+                p, counts, runs = pooled(m, part)
+                best = p.argmax(1)
+                every = np.arange(len(part))
+                share = counts[every, best] / np.maximum(counts.sum(1), 1)
+                made.append(pd.DataFrame({"lang_pred": names[best], "score": np.clip(p[every, best], 0, 1), "agreeing": share, "n_runs": runs}))
+            yield pd.concat(made) if made else pd.DataFrame({c: [] for c in OWN})
+
+    made = F.pandas_udf(predict, "struct<" + ",".join(f"{c}:{k}" for c, k in OWN.items()) + ">")
+    scored = docs.select(*away, known.alias("_known"), made(F.when(known, F.lower(t)).otherwise(F.lit(""))).alias("_p"))
+    return scored.select(*back, *[F.when(F.col("_known"), F.col(f"_p.{c}")).otherwise(n).alias(c) for c, n in zip(OWN, none, strict=True)])

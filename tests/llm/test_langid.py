@@ -36,13 +36,48 @@ def test_gradients_by_finite_differences():
         assert abs(g[at] - (up - down) / 2e-2) < 1e-3 * max(1, abs(g[at]))
 
 
-def test_pooling_covers_every_position_once():
+def plain(m, text):
+    """Probabilities of every position of a stretch of bytes, by a plain loop in each direction, one byte at a time."""
+    hidden, out = m.gate.shape[1], []
+    for d, order in enumerate((text, text[::-1])):
+        h, states = np.zeros(hidden), []
+        for byte in order:
+            given = m.input[byte + 256 * d].astype(float)
+            f = 1 / (1 + np.exp(-(given[:hidden] + h @ m.gate[d])))
+            h = h + f * (np.tanh(given[hidden:] + (f * h) @ m.cand[d]) - h)
+            states.append(h)
+        out.append(np.array(states))
+    logits = out[0] @ m.out[:hidden] + out[1][::-1] @ m.out[hidden:] + m.bias
+    p = np.exp(logits - logits.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
+
+
+def test_rows_against_plain_loops():
+    """Each row equals a plain loop over its stretch of the text, and every position counts once."""
     rng = random.Random(1)
-    texts = [b"", b"a", *(prose(rng, "aa", n).encode() for n in (5, 30, 90)), b"x" * langid.STEPS, b"y" * (3 * langid.STEPS + 1)]
-    seen = np.zeros(len(texts))
-    for _, doc, _, valid in langid._rows(texts):
-        np.add.at(seen, doc, valid.sum(0))
-    assert seen.tolist() == [len(t) for t in texts]
+    m = langid.train([prose(rng, g) for g in SYLLABLES for _ in range(60)], [g for g in SYLLABLES for _ in range(60)])
+    n, c = langid.STEPS, langid.CONTEXT
+    texts = [b"", b"a", *(prose(rng, g, k).encode() for g in SYLLABLES for k in (1, 5, 30, 300)), b"x" * n]
+    p, counts, runs = langid.pooled(m, texts)
+    assert counts.sum(1).tolist() == [len(t) for t in texts]
+    for i, t in enumerate(texts):
+        rows = [plain(m, (b" " * c + t + b" " * (n + c))[s : s + n + 2 * c])[c : c + min(n, len(t) - s)] for s in range(0, len(t), n)]
+        if len(t):
+            every = np.concatenate(rows)
+            labels = every.argmax(1)
+            assert np.abs(p[i] - every.mean(0)).max() < 1e-4
+            assert np.abs(counts[i] - np.bincount(labels, minlength=3)).max() <= 1 and abs(runs[i] - 1 - np.count_nonzero(np.diff(labels))) <= 2
+        alone = langid.pooled(m, [t])
+        assert np.allclose(alone[0][0], p[i]) and alone[2][0] == runs[i] == len(langid.position_labels(m, t.decode()))
+
+
+def test_ties_and_clashing_names(spark):
+    flat = langid.train(["ab " * 30, "cd " * 30], ["x", "b"], rounds=1)
+    for w in (flat.input, flat.gate, flat.cand, flat.out, flat.bias):
+        w[:] = 0
+    df = spark.createDataFrame([(1, "abc", 5, 6, 7)], "doc_id bigint, text string, _p int, _known int, Score int")
+    got = langid.identify(df, flat).collect()[0].asDict()
+    assert got == {"doc_id": 1, "text": "abc", "_p": 5, "_known": 6, "lang_pred": "b", "score": 0.5, "agreeing": 1.0, "n_runs": 1}
 
 
 def test_held_out_accuracy_and_edge_cases(spark):
