@@ -26,10 +26,13 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    ledger = stage(secrets.scan(secrets.unseen_blobs(docs)), "ledger")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = stage(secrets.addressed(docs), "paths")
+    # two generations of rules: the second run scans for what the first one did not know
+    first = stage(secrets.scan(docs, secrets.pending_blobs(paths, None, secrets.BASE), secrets.BASE), "ledger")
+    second = stage(secrets.scan(docs, secrets.pending_blobs(paths, first)), "ledger")
     base = tuple(r.kind for r in secrets.BASE)
-    found = secrets.findings_by_path(docs.select("doc_id", "text"), ledger)
+    found = secrets.findings_by_path(paths, first.unionByName(second))
     return found.select(
         "doc_id",
         *[F.size(secrets.of_kinds(F.col("findings"), (k,))).cast("long").alias(f"n_{k}") for k in base],
@@ -52,7 +55,7 @@ def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+    return token_counts.answers(token_counts.length_histogram(table(spark, sf_dir, "documents")))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,12 @@
 """Secret scans over an incremental ledger of content-addressed versions.
 
-Every version of a text is addressed by its SHA-256. The ledger says which rule versions each blob has been scanned
+Every historical version of a text is addressed by its SHA-256. The ledger says which rule versions each blob has been scanned
 with and what they found; a run scans only pairs of blob and rule version that the ledger lacks, appends its rows, and
 joins findings back to every path that holds the blob. All of it is DataFrame operations.
+
+Addresses are compared before any text moves. While a text is addressed, a plain hint of every rule (a fragment that each
+of its matches holds) is looked for in place: a blob without the hint of a pending rule is done with it, and only texts that
+are both unseen and hinted at are brought together, one for each blob.
 """
 
 from __future__ import annotations
@@ -12,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import exclusive_sums, shelved
+from flowlab.llm.common import exclusive_sums, shelved, stage
+from flowlab.llm.skew import join_weighted
 
 
 @dataclass(frozen=True)
@@ -24,6 +29,8 @@ class Rule:
     pattern: str
     group: int = 0
     least: int = 1
+    #: A pattern that is found in every text in which a match passes.
+    hint: str = ""
 
     @property
     def id(self) -> str:
@@ -32,14 +39,15 @@ class Rule:
 
 #: The base kinds, in their order.
 BASE = (
-    Rule("assign", 1, r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24),  # a run of at least 24 starts where the whole run starts
+    Rule("assign", 1, r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6,
+         r"""([Dd]|[Tt]|[Nn]|[Yy])["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}"""),
+    Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 20, "AKIA"),
+    Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24, "[0-9a-f]{24}"),  # a run of at least 24 starts where the whole run starts
 )
 #: What later rule versions add.
 ADDED = (
-    Rule("pem", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", 2, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 24),
+    Rule("pem", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hint="PRIVATE KEY-----"),
+    Rule("jwt", 2, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 24, r"eyJ[A-Za-z0-9_-]+\."),
 )
 RULES = BASE + ADDED
 
@@ -66,40 +74,55 @@ def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
-def unseen_blobs(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """(blob, text, pending): each distinct text once, with the rule ids that the ledger lacks for it; none where nothing
-    is pending. Copies meet in map-side aggregation, so a text with many copies moves once per task."""
-    blobs = docs.select(blob_of(F.col(f"`{text}`")).alias("blob"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+def addressed(versions: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The columns of versions (but text) with blob, and hinted array<string>, the ids of the rules whose hint is in the
+    text. versions: a row for each path and historical version, or just for each path. Columns named blob or hinted are replaced."""
+    away, back = shelved(versions, ("blob", "hinted", text))
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    hints = F.array_compact(F.array(*[F.when(t.rlike(r.hint), F.lit(r.id)) for r in rules]))
+    return versions.select(*away, blob_of(F.col(f"`{text}`")).alias("blob"), hints.alias("hinted")).select(*back, "blob", "hinted")
+
+
+def pending_blobs(paths: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, hinted, pending): each distinct blob of addressed paths for which the ledger lacks a rule version, with the ids of
+    those. Copies meet in map-side aggregation. No text is read."""
+    # array_intersect keeps what this call asks for
     wanted = F.array(*[F.lit(r.id) for r in rules])
+    blobs = paths.groupBy("blob").agg(F.first("hinted").alias("hinted"))
     if ledger is None:
         return blobs.withColumn("pending", wanted)
-    seen = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("scanned"))).alias("seen"))
-    return (
-        blobs.join(seen, "blob", "left")
-        .withColumn("pending", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
-        .drop("seen")
-        .filter(F.size("pending") > 0)
-    )
+    seen = ledger.groupBy(F.col("blob").alias("s_blob")).agg(F.array_distinct(F.flatten(F.collect_list("scanned"))).alias("seen"))
+    pending = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
+    return blobs.join(seen, F.col("blob") == F.col("s_blob"), "left").select("blob", "hinted", pending.alias("pending")).filter(F.size("pending") > 0)
 
 
-def scan(unseen: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Ledger rows for the pending pairs. A blob without findings has a row too: it need not be scanned again."""
+def scan(versions: DataFrame, pending: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """Ledger rows for the pending pairs. A blob without findings has a row too: it need not be scanned again. Texts are
+    brought together only of blobs whose text holds a hint of a pending rule."""
     none = F.array().cast("array<struct<rule:string,start:bigint,end:bigint>>")
-    found = [F.when(F.array_contains("pending", r.id), _spans(F.col("text"), r)).otherwise(none).alias(f"f{i}") for i, r in enumerate(rules)]
-    return unseen.select("blob", "pending", *found).select("blob", F.col("pending").alias("scanned"), F.concat(*[F.col(f"f{i}") for i in range(len(rules))]).alias("findings"))
-
-
-def findings_by_path(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The columns of docs (but text) with blob and findings array<struct<start,order,kind,end>>, ordered by start, then
+    due = pending.withColumn("due", F.array_intersect("pending", "hinted"))
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    ids = {r["id"] for r in due.select(F.explode("due").alias("id")).distinct().collect()}  # at most a row for each rule
+    might = t.rlike("|".join(f"(?:{r.hint})" for r in rules if r.id in ids)) if ids else F.lit(False)
+    texts = versions.filter(might).select(blob_of(F.col(f"`{text}`")).alias("blob"), t.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    wanted = due.filter(F.size("due") > 0).select(F.col("blob").alias("w_blob"), "pending", "due")
+    met = texts.join(wanted, F.col("blob") == F.col("w_blob"))
+    found = [F.when(F.array_contains("due", r.id), _spans(F.col("text"), r)).otherwise(none).alias(f"f{i}") for i, r in enumerate(rules)]
+    read = met.select("blob", "pending", *found).select("blob", F.col("pending").alias("scanned"), F.concat(*[F.col(f"f{i}") for i in range(len(rules))]).alias("findings"))
+    return read.unionByName(due.filter(F.size("due") == 0).select("blob", F.col("pending").alias("scanned"), none.alias("findings")))
+
+
+def findings_by_path(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The columns of addressed paths (but hinted) with findings array<struct<start,order,kind,end>>, ordered by start, then
     by the rules' order.
 
-    Null texts count as empty and have no findings. Repeated rows and copies each get the findings of their blob. Columns
-    of docs named blob or findings are replaced. An empty table gives an empty result. Findings of rule versions not in
-    `rules` are left out; a ledger that holds a pair twice gives its findings once.
+    Null texts count as empty and have no findings. Repeated rows and copies each get the findings of their blob. A column
+    named findings is replaced. An empty table gives an empty result. Findings of rule versions not in
+    `rules` are left out; a ledger that holds a pair twice gives its findings once. A blob that very many paths hold is not one task.
     """
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.id), F.lit(i))])
     kind = F.create_map(*[x for r in rules for x in (F.lit(r.id), F.lit(r.kind))])
-    # only blobs with findings are joined; a hot blob is one row here, and the documents' side can be split
+    # only blobs with findings are joined
     found = (
         ledger.filter(F.size("findings") > 0)
         .groupBy("blob")
@@ -114,10 +137,13 @@ def findings_by_path(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]
             ).alias("l_findings"),
         )
     )
-    away, back = shelved(docs, ("blob", "findings", text))
-    paths = docs.select(*away, blob_of(F.col(f"`{text}`")).alias("blob"))
+    away, back = shelved(paths, ("blob", "hinted", "findings"))
+    slim = paths.select(*away, "blob")
+    copies = slim.groupBy(F.col("blob").alias("c_blob")).agg(F.count(F.lit(1)).alias("l_paths"))
+    right = stage(found.join(copies, F.col("l_blob") == F.col("c_blob")).drop("c_blob"), "findings")
     empty = F.array().cast("array<struct<start:bigint,order:int,kind:string,end:bigint>>")
-    return paths.join(found, F.col("blob") == F.col("l_blob"), "left").select(*back, "blob", F.coalesce("l_findings", empty).alias("findings"))
+    joined = join_weighted(slim, right, F.col("blob") == F.col("l_blob"), "l_paths", "left")
+    return joined.select(*back, "blob", F.coalesce("l_findings", empty).alias("findings"))
 
 
 def of_kinds(findings: Column, kinds: tuple[str, ...]) -> Column:

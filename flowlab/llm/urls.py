@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import others, shelved
+from flowlab.llm.common import others, shelved, stage
+from flowlab.llm.skew import join_weighted
 
 #: Hexadecimal digits of a digest that the join compares first (32 bits).
 PREFIX_DIGITS = 8
@@ -84,18 +85,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     )
     if shape["n"] <= BROADCAST_RULES:
         keyed = F.broadcast(keyed)
-    urls = pages.select(F.col(f"`{url}`").alias("u_url")).filter(F.col("u_url").isNotNull()).distinct()
+    urls = pages.select(F.col(f"`{url}`").alias("u_url")).filter(F.col("u_url").isNotNull()).groupBy("u_url").agg(F.count(F.lit(1)).alias("u_rows"))
     expanded = (
-        urls.select("u_url", F.explode(expressions(host_of(F.col("u_url")), path_of(F.col("u_url")), shape["labels"], shape["lengths"])).alias("e"))
-        .select("u_url", F.sha2(F.concat("e.host", "e.path"), 256).alias("u_digest"))
+        urls.select("u_url", "u_rows", F.explode(expressions(host_of(F.col("u_url")), path_of(F.col("u_url")), shape["labels"], shape["lengths"])).alias("e"))
+        .select("u_url", "u_rows", F.sha2(F.concat("e.host", "e.path"), 256).alias("u_digest"))
         .withColumn("u_short", F.substring("u_digest", 1, PREFIX_DIGITS))
     )
     best = (
         expanded.join(keyed, F.col("u_short") == F.col("r_short"))
         .filter(F.col("u_digest") == F.col("r_digest"))
         .groupBy("u_url")
-        .agg(F.max(F.struct(F.length("r_rule").alias("n"), F.col("r_host").alias("h"), F.col("r_rule").alias("rule"), F.col("r_verdict").alias("verdict"))).alias("b"))
+        .agg(F.min("u_rows").alias("u_rows"), F.max(F.struct(F.length("r_rule").alias("n"), F.col("r_host").alias("h"), F.col("r_rule").alias("rule"), F.col("r_verdict").alias("verdict"))).alias("b"))
     )
     away, back = shelved(pages, own)
     base = pages.select(*away, host.alias("host"), path.alias("path"), F.col(f"`{url}`").alias("p_url"))
-    return base.join(best, F.col("p_url") == F.col("u_url"), "left").select(*back, "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
+    # neither rows without a URL nor those of one very common URL are one task
+    judged = join_weighted(base.filter(F.col("p_url").isNotNull()), stage(best, "judged-urls"), F.col("p_url") == F.col("u_url"), "u_rows", "left")
+    result = judged.select(*back, "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
+    return result.unionByName(base.filter(F.col("p_url").isNull()).select(*back, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")))

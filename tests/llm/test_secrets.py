@@ -1,3 +1,4 @@
+import random
 import re
 
 from flowlab.llm import secrets
@@ -26,7 +27,8 @@ TEXTS = [
 
 def scanned(spark, rows, ledger=None, rules=secrets.RULES):
     docs = spark.createDataFrame(rows, SCHEMA)
-    return docs, stage(secrets.scan(secrets.unseen_blobs(docs, ledger, rules), rules), "ledger")
+    paths = stage(secrets.addressed(docs), "paths")
+    return paths, stage(secrets.scan(docs, secrets.pending_blobs(paths, ledger, rules), rules), "ledger")
 
 
 def test_base_findings_against_brute_force(spark):
@@ -50,10 +52,34 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert found == {1: ["assign"], 9: ["jwt"]}
 
 
+def test_hints_lose_no_match():
+    """Every match that passes holds the hint of its rule."""
+    rng = random.Random(3)
+    parts = ["password", "PassWD", "secret", "token", "api_key", "APIKEY", '"', "'", " ", ":", "=", "abc", "x1_", "AKIA", "Z9", "0af", "eyJ", ".", "-----BEGIN ", "PRIVATE KEY-----", "é"]
+    found = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(2, 24)))
+        for r in secrets.RULES:
+            if any(len(m[r.group]) >= r.least for m in re.finditer(r.pattern, text)):
+                found += 1
+                assert re.search(r.hint, text), (r, text)
+    assert found > 1000
+
+
+def test_versions_of_paths(spark):
+    """Every historical version of a path is addressed; an old secret is found though the newest version is clean."""
+    rows = [("a.txt", 1, "secret=abcdef1"), ("a.txt", 2, "gone"), ("b.txt", 1, "secret=abcdef1"), (None, 1, None)]
+    versions = spark.createDataFrame(rows, "path string, version int, text string")
+    paths = secrets.addressed(versions)
+    ledger = secrets.scan(versions, secrets.pending_blobs(paths))
+    got = {(r["path"], r["version"]): len(r["findings"]) for r in secrets.findings_by_path(paths, ledger).collect()}
+    assert got == {("a.txt", 1): 1, ("a.txt", 2): 0, ("b.txt", 1): 1, (None, 1): 0}
+
+
 def test_clashing_columns_and_empty_table(spark):
-    docs = spark.createDataFrame([(1, "secret=abcdef1", "x", 5)], "doc_id bigint, text string, blob string, l_blob int")
-    ledger = secrets.scan(secrets.unseen_blobs(docs))
-    row = secrets.findings_by_path(docs, ledger).collect()[0]
-    assert (row["l_blob"], len(row["blob"]), len(row["findings"])) == (5, 64, 1)
-    docs, ledger = scanned(spark, [])
-    assert secrets.findings_by_path(docs, ledger).collect() == []
+    docs = spark.createDataFrame([(1, "secret=abcdef1", "x", 5, 6)], "doc_id bigint, text string, blob string, l_blob int, due int")
+    paths = secrets.addressed(docs)
+    row = secrets.findings_by_path(paths, secrets.scan(docs, secrets.pending_blobs(paths))).collect()[0]
+    assert (row["l_blob"], row["due"], len(row["blob"]), len(row["findings"])) == (5, 6, 64, 1)
+    paths, ledger = scanned(spark, [])
+    assert secrets.findings_by_path(paths, ledger).collect() == []
