@@ -30,11 +30,11 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import bounded_batches, frugal, others, read_bytes
+from flowlab.llm.common import bounded_batches, frugal, others, read_bytes, shelved
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Characters in a leaf; bytes in a leaf of one long piece; the first window at a join, in characters and in tokens.
-LEAF_CHARS, LEAF_BYTES, FIRST_CHARS, FIRST_TOKENS = 2048, 1024, 64, 4
+LEAF_CHARS, LEAF_BYTES, FIRST_CHARS, FIRST_TOKENS = 512, 1024, 64, 4
 
 #: A place where a border between pieces is certain: a printable character, then a space or line feed.
 CERTAIN = re.compile("[!-~À-ɏ][ \n]")
@@ -46,6 +46,7 @@ class TreeEncoder:
     def __init__(self, ranks: bytes, pattern: str = public_tokenizers.PATTERN):
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
         self._base = tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        self._one = tiktoken.Encoding("byte-bpe-piece", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})  # all of a text is one piece
         self._pieces = regex.compile(pattern)
         self.bytes_of = {v: k for k, v in table.items()}
         self.text_of = {v: str(v) for v in table.values()}
@@ -114,18 +115,26 @@ class TreeEncoder:
         if hi - lo <= LEAF_BYTES:
             return self._merge(piece[lo:hi])
         mid = (lo + hi) // 2
+        while piece[mid] & 0xC0 == 0x80:  # not inside a character
+            mid -= 1
+        if mid == lo:  # one long character in front
+            return self._merge(piece[lo:hi])
         left, right = self._piece(piece, lo, mid), self._piece(piece, mid, hi)
         k = FIRST_TOKENS
         while True:
             a, b = left[-k:], right[:k]
             middle = self._merge(b"".join(map(self.bytes_of.__getitem__, a + b)))
             whole_left, whole_right = k >= len(left), k >= len(right)
-            if (whole_left or self._stable(left[-k - 1], middle[0])) and (whole_right or self._stable(middle[-1], right[k])):
+            if middle and (whole_left or self._stable(left[-k - 1], middle[0])) and (whole_right or self._stable(middle[-1], right[k])):
                 return left[:-k] + middle + right[k:]
             k *= 2
 
-    def _merge(self, piece: bytes) -> list[int]:
-        return self._base._core_bpe.encode_single_piece(piece)
+    def _merge(self, piece: bytes) -> list[int] | None:
+        """The encoding of bytes as one piece; None if they cut a character."""
+        try:
+            return self._one.encode_ordinary(piece.decode())
+        except UnicodeDecodeError:
+            return None
 
     def _stable(self, a: int, b: int) -> bool:
         return self._merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
@@ -167,8 +176,8 @@ def encode_documents(docs: DataFrame, text: str = "text", path: str | None = Non
 
     kinds = {"n_tokens": "bigint", "ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string"}
     made = F.pandas_udf(digest, "struct<" + ",".join(f"{c}:{kinds[c]}" for c in own) + ">")
-    names = [c for c in docs.columns if c.lower() not in {*own, text.lower()}]
-    return docs.select(*others(docs, [*own, text]), made(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_bpe")).select(*[F.col(f"`{c}`") for c in names], "_bpe.*")
+    away, back = shelved(docs, [*own, text])
+    return docs.select(*away, made(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_bpe")).select(*back, "_bpe.*")
 
 
 def _encoded(tree: TreeEncoder, text: str, with_ids: bool) -> tuple:

@@ -14,10 +14,14 @@ from flowlab.llm.common import stage
 
 #: Lengths in one band of the two-step suffix sums.
 BAND = 1024
+#: Context limits and quantiles that `answers` gives.
+LIMITS = [128, 512, 1000, 2048, 4096, 8192, 32_768, 131_072]
+SHARES = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 0.999]
 
 
 def length_histogram(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """(n_tokens, n_docs): how many documents have each encoded length. Null texts have length 0. It is written once, so
+    """(n_tokens, n_docs): how many documents have each encoded length. Null and empty texts have length 0, repeated rows
+    count each, texts of any length are encoded whole, other columns are not read, and an empty table has no rows. It is written once, so
     that whatever reads it twice does not encode twice."""
     return stage(token_lengths(docs.select(F.col(f"`{text}`").alias("text")), path=path).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "histogram")
 
@@ -50,22 +54,41 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     )
 
 
+def answers(histogram: DataFrame, limits: list[int] = LIMITS, shares: list[float] = SHARES) -> DataFrame:
+    """`suffix_sums` with kind `length`, then a row for each context limit (kind `limit`: at and n_tokens are the limit, n_docs
+    the documents of just that length) and for each quantile (kind `quantile`: at is the share, the rest the row of the
+    length of the document with rank ceil(share * documents), at least 1). Limits above every length are answered too; an
+    empty histogram gives no rows."""
+    sums = stage(suffix_sums(histogram), "sums")
+    rest = [c for c in sums.columns if c != "n_tokens"]
+    limit = truncated_totals(sums, limits).select(
+        F.lit("limit").alias("kind"), F.col("context").cast("double").alias("at"), F.col("context").cast("bigint").alias("n_tokens"),
+        "n_docs", "docs_over", "tokens_over", F.col("all_docs").alias("total_docs"), F.col("all_tokens").alias("total_tokens"), "truncated_total",
+        (F.col("all_docs") - F.col("docs_over") - F.col("n_docs") + 1).alias("rank_from"), (F.col("all_docs") - F.col("docs_over")).alias("rank_to"),
+    )
+    quantile = quantiles(sums, shares).withColumnRenamed("n_tokens", "q").join(sums, F.col("q") == F.col("n_tokens"))
+    quantile = quantile.select(F.lit("quantile").alias("kind"), F.col("share").alias("at"), "n_tokens", *rest)
+    return sums.select(F.lit("length").alias("kind"), F.lit(None).cast("double").alias("at"), "n_tokens", *rest).unionByName(limit).unionByName(quantile)
+
+
 def truncated_totals(sums: DataFrame, limits: list[int]) -> DataFrame:
-    """(context, docs_over, truncated_total) for each of the given context limits, from `suffix_sums`."""
-    return _per_value(sums, limits, "context", F.col("n_tokens") <= F.col("context"), F.max).select(
-        "context", F.coalesce("docs_over", "all_docs").alias("docs_over"),
-        F.coalesce(F.col("total_tokens") - F.col("tokens_over") + F.col("docs_over") * F.col("context"), F.col("all_docs") * F.col("context")).alias("truncated_total"),
+    """(context, n_docs, docs_over, tokens_over, truncated_total, all_docs, all_tokens) for each of the given context limits, from `suffix_sums`."""
+    below = _per_value(sums, limits, "context", F.col("n_tokens") <= F.col("context"))
+    over, tokens = F.coalesce("docs_over", "all_docs"), F.coalesce("tokens_over", "all_tokens")
+    return below.select(
+        "context", F.when(F.col("n_tokens") == F.col("context"), F.col("n_docs")).otherwise(F.lit(0)).alias("n_docs"),
+        over.alias("docs_over"), tokens.alias("tokens_over"), (F.col("all_tokens") - tokens + over * F.col("context")).alias("truncated_total"), "all_docs", "all_tokens",
     )
 
 
 def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
     """(share, n_tokens): the length of the document with rank ceil(share * documents), at least 1."""
     rank = F.greatest(F.ceil(F.col("share") * F.col("total_docs")), F.lit(1))
-    return _per_value(sums, shares, "share", (F.col("rank_from") <= rank) & (rank <= F.col("rank_to")), F.max).select("share", "n_tokens")
+    return _per_value(sums, shares, "share", (F.col("rank_from") <= rank) & (rank <= F.col("rank_to"))).select("share", "n_tokens")
 
 
-def _per_value(sums: DataFrame, values: list, name: str, fits, pick) -> DataFrame:
-    """For each value the row with the greatest length that fits, and the number of all documents."""
+def _per_value(sums: DataFrame, values: list, name: str, fits) -> DataFrame:
+    """For each value the row with the greatest length that fits, and the number and tokens of all documents."""
     spread = sums.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
-    row = F.struct("n_tokens", "docs_over", "tokens_over", "total_tokens")
-    return spread.groupBy(name).agg(pick(F.when(fits, row)).alias("r"), F.max("total_docs").alias("all_docs")).select(name, "r.*", "all_docs")
+    row = F.struct("n_tokens", "n_docs", "docs_over", "tokens_over")
+    return spread.groupBy(name).agg(F.max(F.when(fits, row)).alias("r"), F.max("total_docs").alias("all_docs"), F.max("total_tokens").alias("all_tokens")).select(name, "r.*", "all_docs", "all_tokens")
