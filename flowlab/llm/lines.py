@@ -20,12 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm import bloom, textops
-from flowlab.llm.common import bounded_batches, frugal, shelved, stage
+from flowlab.llm.common import bounded_batches, frugal, shelved, stage, whole_key
+from flowlab.llm.skew import join_weighted
 
-#: Words from which copies of a line are removed, and from which near lines are.
-MIN_WORDS, NEAR_WORDS = 1, 8
-#: Characters from which near lines of fewer than NEAR_WORDS words are.
-NEAR_CHARACTERS = 24
+#: Words from which copies of a line are removed.
+MIN_WORDS = 1
+#: Defaults: words from which near lines are compared by words, and characters from which lines of fewer words are by characters.
+NEAR_WORDS, NEAR_CHARACTERS = 8, 24
 
 _Q = np.uint64(0xD6E8FEB86659FD93)
 _CHARACTERS = np.uint64(0xA0761D6478BD642F)  # keys of characters do not meet those of words
@@ -41,9 +42,10 @@ NO_KEY = -(1 << 63)
 
 class _Lines:
     """The lines of some texts, of at least `least` words, as ranges of word hashes with sums of hash * Q^position. With
-    `characters` the ranges are of character hashes, and the lines those of at least `least` characters and at most NEAR_WORDS words."""
+    `words_below` the ranges are of character hashes, and the lines those of at least `least` characters and at most so many words."""
 
-    def __init__(self, texts: list[bytes], least: int, characters: bool = False):
+    def __init__(self, texts: list[bytes], least: int, words_below: int | None = None):
+        characters = words_below is not None
         self.salt = _CHARACTERS if characters else np.uint64(0)
         if characters:
             code, text, line = textops.characters(texts)
@@ -54,7 +56,7 @@ class _Lines:
         count = np.diff(np.concatenate([new, [len(h)]]))
         keep = count >= least
         if characters and len(h):
-            keep &= np.add.reduceat(code == 32, new, dtype=np.int64) < NEAR_WORDS
+            keep &= np.add.reduceat(code == 32, new, dtype=np.int64) < words_below
         self.start, self.n = new[keep], count[keep]
         self.text, self.pos = text[self.start] if len(h) else new, line[self.start] if len(h) else new
         self.words = h
@@ -92,21 +94,26 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-@frugal
-def _line_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
-        for first, part in textops.slices(list(pdf["text"])):
-            lines = _Lines(part, MIN_WORDS)
-            if len(lines.n):
-                a, b = lines.ids()
-                rows = first + lines.text
-                halves = np.full((len(rows), 8), NO_HALF, np.int64)
-                long = lines.n >= NEAR_WORDS
-                halves[long, :4] = _signed(lines.halves()[long])
-                short = _Lines(part, NEAR_CHARACTERS, characters=True)
-                halves[np.searchsorted(lines.place(), short.place()), 4:] = _signed(short.halves())
-                yield pd.DataFrame({"doc_id": ids[rows], "th": hashes[rows], "pos": lines.pos, "a": _signed(a), "b": _signed(b)} | dict(zip(HALVES, halves.T, strict=True)))
+def _line_rows(near_words: int, near_characters: int):
+    """LINES of each text."""
+
+    @frugal
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
+            for first, part in textops.slices(list(pdf["text"])):
+                lines = _Lines(part, MIN_WORDS)
+                if len(lines.n):
+                    a, b = lines.ids()
+                    at = first + lines.text
+                    halves = np.full((len(at), 8), NO_HALF, np.int64)
+                    long = lines.n >= near_words
+                    halves[long, :4] = _signed(lines.halves()[long])
+                    short = _Lines(part, near_characters, near_words)
+                    halves[np.searchsorted(lines.place(), short.place()), 4:] = _signed(short.halves())
+                    yield pd.DataFrame({"doc_id": ids[at], "th": hashes[at], "pos": lines.pos, "a": _signed(a), "b": _signed(b)} | dict(zip(HALVES, halves.T, strict=True)))
+
+    return rows
 
 
 VARIANTS = "a bigint, doc_id bigint, th bigint, pos int, kind int, left bigint, place int, words array<bigint>"
@@ -139,7 +146,7 @@ def _variants(lines: _Lines, names: np.ndarray, table: np.ndarray, bits: int, do
     })
 
 
-def _variant_rows(table: np.ndarray, bits: int):
+def _variant_rows(table: np.ndarray, bits: int, near_words: int, near_characters: int):
     """For each line that may share a half with another one: its words and their hash (kind 0), and for each word of the half
     that is not shared a hash of what is left without it, with its place (kind 1); the same in characters (kinds 2 and 3). Of
     equal lines in a batch the earliest is used."""
@@ -153,7 +160,7 @@ def _variant_rows(table: np.ndarray, bits: int):
                 if not len(every.n):
                     continue
                 names, _ = every.ids()
-                for kind, lines in ((0, _Lines(part, NEAR_WORDS)), (2, _Lines(part, NEAR_CHARACTERS, characters=True))):
+                for kind, lines in ((0, _Lines(part, near_words)), (2, _Lines(part, near_characters, near_words))):
                     made = _variants(lines, names[np.searchsorted(every.place(), lines.place())], table, bits, first + lines.text, ids, hashes, kind)
                     if made is not None:
                         yield made
@@ -185,7 +192,7 @@ def _order() -> Column:
     return (F.col("doc_id").cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
-def near_removed(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+def near_removed(docs: DataFrame, distinct: DataFrame, near_words: int, near_characters: int) -> DataFrame:
     """(a, by): lines with an earlier line within one word or character, and one such line. docs: doc_id, th, text; distinct: a
     and HALVES, one row per distinct line."""
     halves = distinct.select("a", F.explode(F.array(*HALVES)).alias("half")).filter(F.col("half") != NO_HALF)
@@ -193,14 +200,16 @@ def near_removed(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     table, bits = bloom.build(stage(shared, "halves"), "half")
     sent = docs.sparkSession.sparkContext.broadcast(table)
     # broadcast values are opened in the tasks
-    made = docs.mapInPandas(lambda it: _variant_rows(sent.value, bits)(it), VARIANTS)
+    made = docs.mapInPandas(lambda it: _variant_rows(sent.value, bits, near_words, near_characters)(it), VARIANTS)
     rows = stage(made.select("a", _order().alias("o"), "kind", "left", "place", "words"), "variants")
     whole = rows.filter("kind % 2 = 0").groupBy("a", "left").agg(F.min("o").alias("o"))
     variants = rows.filter("kind % 2 = 1").select("left", "place", "a", "o", (F.col("kind") - 1).alias("of"))
     # Lines that agree but for the word (character) at one place differ by a replacement. Each such group is summed up by its earliest
     # line, so no pairs within a group arise; nearly all variants occur once and go here.
-    groups = variants.groupBy("left", "place").agg(F.min_by("a", "o").alias("by"), F.min("o").alias("by_o"), F.min("a").alias("lo"), F.max("a").alias("hi")).filter("lo <> hi")
-    replaced = variants.join(groups.select("left", "place", "by"), ["left", "place"]).filter("a <> by").select("a", "by", "of")
+    groups = variants.groupBy("left", "place").agg(F.min_by("a", "o").alias("by"), F.min("o").alias("by_o"), F.min("a").alias("lo"), F.max("a").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi")
+    # one common variant is not one task
+    groups = stage(groups.select(F.col("left").alias("g_left"), F.col("place").alias("g_place"), "by", "n"), "variant-groups")
+    replaced = join_weighted(variants, groups, (F.col("left") == F.col("g_left")) & (F.col("place") == F.col("g_place")), "n").filter("a <> by").select("a", "by", "of")
     # A line that equals what is left of another one differs by an insertion; the later of the two goes.
     short = whole.select("left", F.col("a").alias("s"), F.col("o").alias("s_o"))
     inserted = variants.drop("o").join(short, "left").join(whole.groupBy("a").agg(F.min("o").alias("t_o")), "a")
@@ -215,40 +224,40 @@ def near_removed(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return pairs.join(words, ["a", "of"]).join(partner, ["by", "of"]).filter(_within_one(F.col("words"), F.col("by_words"))).select("a").distinct()
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", near_words: int = NEAR_WORDS, near_characters: int = NEAR_CHARACTERS) -> DataFrame:
     """The columns of docs with text rewritten, n_lines (before) and removed array<int> (numbers of the lines removed,
-    from 0). A line goes if its words, in order, equal those of an earlier line; if it has at least NEAR_WORDS words and an
-    earlier line of as many is within one word of it; or if it has at least NEAR_CHARACTERS characters (one space between
-    words), an earlier line of as many is within one character of it, and one of the two has fewer than NEAR_WORDS words. Earlier is: by key, then by a hash of the text, then by place.
+    from 0). A line goes if its words, in order, equal those of an earlier line; if it has at least `near_words` words and an
+    earlier line of as many is within one word of it; or if it has at least `near_characters` characters (one space between
+    words), an earlier line of as many is within one character of it, and one of the two has fewer than `near_words` words.
+    A great `near_words` counts edits of all lines in characters, a small `near_characters` compares shorter lines. Earlier is:
+    by key, then by a hash of the text, then by place.
 
     Lines are what line feeds separate; words are what ASCII white space separates. Lines without a word always
     stay. A line also goes if the earlier line near it goes itself. Null texts stay null with no lines; null keys
-    come first. Rows that agree in key and text are one document and all get its result. Columns of docs named n_lines
+    come first, and keys may be of any sortable type. Rows that agree in key and text are one document and all get its result. Columns of docs named n_lines
     or removed are replaced; an empty table gives an empty result.
     """
-    t, k = F.col(f"`{text}`"), F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(NO_KEY))
-    th = F.coalesce(F.xxhash64(t), F.lit(0))
+    t = F.col("t")
     bounded_batches(docs.sparkSession)
-    slim = docs.select(k.alias("doc_id"), th.alias("th"), t.alias("text"))
-    lines = stage(slim.mapInPandas(_line_rows, LINES).withColumn("o", _order()), "lines")
-    half = [F.first(h).alias(h) for h in HALVES]
-    distinct = stage(lines.groupBy("a", "b").agg(F.min("o").alias("first"), F.max("o").alias("last"), *half), "distinct")
-    near = near_removed(slim, distinct).withColumn("near", F.lit(True))
-    # only lines that occur again or go need be looked up
-    gone = distinct.select("a", "b", "first", "last").join(near, "a", "left").filter(F.col("near") | (F.col("first") != F.col("last")))
-    dropped = (
-        lines.select("doc_id", "th", "pos", "o", "a", "b")
-        .join(gone.select("a", "b", "first", "near"), ["a", "b"])
-        .filter(F.col("near") | (F.col("o") != F.col("first")))
-        .groupBy(F.col("doc_id").alias("d_id"), F.col("th").alias("d_th"))
-        .agg(F.sort_array(F.collect_set("pos")).alias("d_pos"))
-    )
     away, back = shelved(docs, ["n_lines", "removed"])
-    base = docs.select(*away, t.alias("t"), k.alias("k"), th.alias("th"))
-    joined = base.join(dropped, (F.col("k") == F.col("d_id")) & (F.col("th") == F.col("d_th")), "left")
-    parts = F.split("t", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("d_pos"))
-    new = F.when(F.col("d_pos").isNull(), F.col("t")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
+    base = whole_key(docs.select(*away, F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("t"), F.coalesce(F.xxhash64(F.col(f"`{text}`")), F.lit(0)).alias("th")), "_key", "_k")
+    base = base.withColumn("k", F.coalesce("_k", F.lit(NO_KEY)))
+    slim = base.select(F.col("k").alias("doc_id"), "th", F.col("t").alias("text"))
+    lines = stage(slim.mapInPandas(_line_rows(near_words, near_characters), LINES).withColumn("o", _order()), "lines")
+    half = [F.first(h).alias(h) for h in HALVES]
+    distinct = stage(lines.groupBy("a", "b").agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count(F.lit(1)).alias("n"), *half), "distinct")
+    near = near_removed(slim, distinct, near_words, near_characters).select(F.col("a").alias("near_a"), F.lit(True).alias("near"))
+    # only lines that occur again or go need be looked up; a line that a great part of all documents holds is not one task
+    gone = distinct.join(near, F.col("a") == F.col("near_a"), "left").filter(F.col("near") | (F.col("first") != F.col("last")))
+    gone = stage(gone.select(F.col("a").alias("g_a"), F.col("b").alias("g_b"), "first", "near", "n"), "gone")
+    met = join_weighted(lines.select("doc_id", "th", "pos", "o", "a", "b"), gone, (F.col("a") == F.col("g_a")) & (F.col("b") == F.col("g_b")), "n")
+    dropped = met.filter(F.col("near") | (F.col("o") != F.col("first"))).groupBy(F.col("doc_id").alias("d_id"), F.col("th").alias("d_th")).agg(F.sort_array(F.collect_set("pos")).alias("d_pos"))
+    # texts are matched by hashing, not sorted
+    joined = base.drop("_key", "_k").join(dropped.hint("shuffle_hash"), (F.col("k") == F.col("d_id")) & (F.col("th") == F.col("d_th")), "left")
+    split = joined.withColumn("parts", F.when(F.col("d_pos").isNotNull(), F.split("t", "\n", -1)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("d_pos"))
+    new = F.when(F.col("d_pos").isNull(), t).otherwise(F.array_join(F.transform(kept, lambda i: F.get("parts", i)), "\n"))
     order = [c for c in docs.columns if c.lower() not in ("n_lines", "removed")]
-    own = [F.when(F.col("t").isNull(), 0).otherwise(F.size(parts)).alias("n_lines"), F.coalesce("d_pos", F.array().cast("array<int>")).alias("removed")]
-    return joined.select(*[new.alias(c) if c == text else b for c, b in zip(order, back, strict=True)], *own)
+    n_lines = F.when(t.isNull(), 0).otherwise(F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1).cast("int")
+    own = [n_lines.alias("n_lines"), F.coalesce("d_pos", F.array().cast("array<int>")).alias("removed")]
+    return split.select(*[new.alias(c) if c == text else b for c, b in zip(order, back, strict=True)], *own)

@@ -23,6 +23,20 @@ def test_near_copies_of_few_words_go(spark):
     assert removed(spark, rows) == {0: [], 1: [0, 1, 2], 2: [0], 3: [0], 4: []}
 
 
+def test_unit_and_bound_are_parameters(spark):
+    rows = [(0, "one two three four five six seven eight nine\nnext line"), (1, "one two three four five six seven eight nones\nnexr line"), (2, "one two three four five six seven eight nine!")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    by_word = {r["doc_id"]: list(r["removed"]) for r in lines.dedup_lines(df).collect()}
+    by_character = {r["doc_id"]: list(r["removed"]) for r in lines.dedup_lines(df, near_words=10**6, near_characters=9).collect()}
+    assert by_word == {0: [], 1: [0], 2: [0]} and by_character == {0: [], 1: [1], 2: [0]}
+
+
+def test_text_keys(spark):
+    rows = [("b", "one two\nx"), ("a", "one two"), (None, "x"), ("c", "one two")]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: list(r["removed"]) for r in got} == {"b": [0, 1], "a": [], None: [], "c": [0]}
+
+
 def test_random_short_lines_against_brute_force(spark):
     rng = random.Random(5)
     base = ["".join(rng.choice("abcdefg    é城") for _ in range(rng.randint(20, 44))) for _ in range(12)]
