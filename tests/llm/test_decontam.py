@@ -48,9 +48,32 @@ def test_edited_items_are_found_and_clean_texts_are_not(spark):
     assert {r["doc_id"] for r in decontam.decontaminate(df, bench).collect()} == {i for i in range(60) if i % 3 == 0}
 
 
+def test_short_items_are_found_as_whole_words(spark):
+    bench = spark.createDataFrame([("a", "Ten chars!"), ("b", "x9"), ("c", "exactly twelve"), ("d", "ab cd ef gh ij kl mno")], "item_id string, text string")
+    rows = [(1, "here: TEN  chars."), (2, "often chars"), (3, "ten charsx x9"), (4, "x9"), (5, "inexactly twelve"), (6, "x exactly, twelve\nx99"), (7, "ab cd ef gh ij kl mno"), (8, "ab cd ef gh ij kl mnop")]
+    got = sorted((r["doc_id"], r["item_id"], r["distance"], r["end"]) for r in decontam.contaminations(spark.createDataFrame(rows, DOCS), bench).collect())
+    assert got == [(1, "a", 0, 14), (3, "b", 0, 13), (4, "b", 0, 2), (6, "c", 0, 16), (7, "d", 0, 21)]
+
+
+def test_a_benchmark_of_many_parts(spark, monkeypatch):
+    """The plan does not grow with the number of parts."""
+    rng = random.Random(8)
+    items = [(i, prose(rng, 12)) for i in range(30)]
+    rows = [(i, prose(rng, 20) + " " + items[i % 30][1] + " " + items[(i * 7) % 30][1]) for i in range(40)] + [(40, prose(rng, 30)), (3, None)]
+    df, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS)
+    whole = sorted(map(tuple, decontam.contaminations(df, bench).collect()))
+    sizes = []
+    for chars in (1200, 600):
+        monkeypatch.setattr(decontam, "MOST_CHARS", chars)
+        split = decontam.contaminations(df, bench)
+        assert sorted(map(tuple, split.collect())) == whole and len(whole) >= 70
+        sizes.append(split._jdf.queryExecution().optimizedPlan().toString().count("Python"))
+    assert sizes == [0, 0]
+
+
 def test_edge_cases(spark, monkeypatch):
     item = "the quick brown fox jumps over the lazy dog again and again"
-    bench = spark.createDataFrame([(1, item), (1, item), (2, "too short"), (None, item), (3, None), (4, item + " and more words to follow it")], ITEMS)
+    bench = spark.createDataFrame([(1, item), (1, item), (2, "too short"), (7, "no"), (8, "¡!"), (None, item), (3, None), (4, item + " and more words to follow it")], ITEMS)
     df = spark.createDataFrame([(1, item, 9), (1, item, 9), (None, "x " + item.upper(), 8), (2, None, 7), (3, "", 6), (4, "a" * 200_000, 5)], DOCS + ", hits int")
     got = sorted((repr(r["doc_id"]), r["item_id"], r["distance"]) for r in decontam.contaminations(df, bench).collect())
     assert got == [("1", 1, 0), ("1", 1, 0), ("None", 1, 0)]
