@@ -68,7 +68,9 @@ def diversified_pick(df: DataFrame, band: str, quotas: dict[str, int], family: s
     Each band is first cut to the best row of each (family, subnet) and to `slots` further rows, by top-k passes."""
     rows = df.withColumn("_sub", subnet)
     order = [*rank, F.asc(key)]
-    leaders = rows.withColumn("_r", F.row_number().over(Window.partitionBy(band, family, "_sub").orderBy(*order))).filter("_r <= " + str(slots))
+    # ranks are cut to `slots` in every part of a family and subnet, then over its parts
+    cut = lambda df, *by: df.withColumn("_r", F.row_number().over(Window.partitionBy(band, family, "_sub", *by).orderBy(*order))).filter("_r <= " + str(slots))
+    leaders = cut(cut(rows.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(64))), "_part").drop("_part"))
     heads = []
     for i, (b, quota) in enumerate(quotas.items()):
         part = leaders.filter(F.col(band) == b).orderBy(F.when(F.col("_r") == 1, 0).otherwise(1), *order).limit(slots)

@@ -35,13 +35,15 @@ def degrees(edges: DataFrame) -> DataFrame:
     """Raw degrees over distinct edges and centralities (divided by n - 1)."""
     ends = edges.select(F.col("src").alias("ip"), F.lit(1).alias("o"), F.lit(0).alias("i")).unionByName(edges.select(F.col("dst").alias("ip"), F.lit(0).alias("o"), F.lit(1).alias("i")))
     raw = ends.groupBy("ip").agg(F.sum("o").alias("raw_out"), F.sum("i").alias("raw_in"))
-    n = F.greatest(F.count(F.lit(1)).over(Window.partitionBy()) - 1, F.lit(1))
-    return raw.select("ip", "raw_out", "raw_in", F.round(F.col("raw_out") / n, 9).alias("out_c"), F.round(F.col("raw_in") / n, 9).alias("in_c"), F.round((F.col("raw_out") + F.col("raw_in")) / n, 9).alias("degree_c"))
+    total = raw.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(1)).alias("_n"))
+    n = F.col("_n")
+    return raw.join(F.broadcast(total), how="cross").select("ip", "raw_out", "raw_in", F.round(F.col("raw_out") / n, 9).alias("out_c"), F.round(F.col("raw_in") / n, 9).alias("in_c"), F.round((F.col("raw_out") + F.col("raw_in")) / n, 9).alias("degree_c"))
 
 
-def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 200, tolerance: float = 1e-6, every: int = 8) -> DataFrame:
+def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 200, tolerance: float = 1e-6) -> DataFrame:
     """(ip, pagerank): weighted, the mass of nodes without out-edges spread evenly, until the L1 change is under n * tolerance.
-    One join and one aggregation per round; the plan is cut every few rounds by a written table."""
+    A round is one join and one aggregation whose ranks are written; one more aggregation over them gives the change and the mass without
+    out-edges. Raises if `rounds` rounds are not enough."""
     weights = edges.groupBy("src", "dst").agg(F.sum("weight").cast("double").alias("w"))
     share = weights.join(weights.groupBy("src").agg(F.sum("w").alias("all")), "src").select("src", "dst", (F.col("w") / F.col("all")).alias("p"))
     share = stage(share, "transitions")
@@ -51,16 +53,16 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 200, tolerance
     if not n:
         return nodes.withColumn("pagerank", F.lit(0.0))
     ranks = stage(nodes.join(sources, "ip", "left").select("ip", F.coalesce("has_out", F.lit(False)).alias("has_out"), F.lit(1.0 / n).alias("r")), "ranks")
-    for i in range(1, rounds + 1):
-        dangling = ranks.filter(~F.col("has_out")).agg(F.coalesce(F.sum("r"), F.lit(0.0))).first()[0]
-        given = ranks.join(share, ranks["ip"] == share["src"]).groupBy("dst").agg(F.sum(F.col("r") * F.col("p")).alias("g"))
-        new = ranks.join(given, ranks["ip"] == given["dst"], "left").select("ip", "has_out", F.col("r").alias("old"), (F.lit((1 - alpha) / n + alpha * dangling / n) + alpha * F.coalesce("g", F.lit(0.0))).alias("r"))
-        new = stage(new, "ranks")
-        change = new.agg(F.sum(F.abs(F.col("r") - F.col("old")))).first()[0]
-        ranks = new.drop("old")
-        if change < n * tolerance:
-            break
-    return ranks.select("ip", F.col("r").alias("pagerank"))
+    lost = ranks.agg(F.coalesce(F.sum(F.when(~F.col("has_out"), F.col("r"))), F.lit(0.0))).first()[0]
+    for _ in range(rounds):
+        given = ranks.select("ip", "r").join(share, F.col("ip") == F.col("src")).groupBy("dst").agg(F.sum(F.col("r") * F.col("p")).alias("g"))
+        met = ranks.select("ip", "has_out", F.col("r").alias("old")).join(given, F.col("ip") == F.col("dst"), "left")
+        ranks = stage(met.select("ip", "has_out", "old", (F.lit((1 - alpha) / n + alpha * lost / n) + alpha * F.coalesce("g", F.lit(0.0))).alias("r")), "ranks")
+        row = ranks.agg(F.sum(F.abs(F.col("r") - F.col("old"))).alias("change"), F.coalesce(F.sum(F.when(~F.col("has_out"), F.col("r"))), F.lit(0.0)).alias("lost")).first()
+        lost = row["lost"]
+        if row["change"] < n * tolerance:
+            return ranks.select("ip", F.col("r").alias("pagerank"))
+    raise ValueError(f"ranks still change by more than {tolerance} a node after {rounds} rounds")
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -102,39 +104,52 @@ def label_propagation(edges: DataFrame, rounds: int = 10) -> DataFrame:
         labels = stage(moved, "labels")
 
 
-def communities(edges: DataFrame, levels: int = 3, rounds: int = 8) -> DataFrame:
+def _quality(level: DataFrame, home: DataFrame, m2: float) -> float:
+    """Modularity of home(x, k, c) over level(x, y, w)."""
+    a, b = home.select("x", F.col("c").alias("cx")), home.select(F.col("x").alias("y"), F.col("c").alias("cy"))
+    inside = level.join(a, "x").join(b, "y").filter("cx = cy").agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("v"))
+    spread = home.groupBy("c").agg(F.sum("k").alias("t")).agg(F.coalesce(F.sum(F.col("t") * F.col("t")), F.lit(0.0)).alias("v"))
+    i, s = (r["v"] for r in inside.unionAll(spread).collect())
+    return i / m2 - s / m2**2
+
+
+def communities(edges: DataFrame, patience: int = 4) -> DataFrame:
     """(ip, community): Louvain with synchronous moves. In a round half of the nodes (by a hash that changes) move to the
-    neighbouring community with the greatest gain in modularity, ties to the smaller name; then communities become the
-    nodes of the next level. Every round is joins and aggregations."""
+    neighbouring community with the greatest gain in modularity, ties to the smaller name. Rounds go on until no node wants to
+    move, or `patience` rounds have not raised the modularity (moves made at once can undo each other); the best round counts.
+    Then communities become the nodes of the next level, until a level raises nothing. Modularity rises from level to level, so it
+    ends. Every round is joins and aggregations."""
     both = stage(undirected(edges), "undirected")
     parts = stage(both.select(F.col("x").alias("ip")).distinct().withColumn("community", F.col("ip").cast("string")), "parts")
     level = stage(both.select(F.col("x").cast("string").alias("x"), F.col("y").cast("string").alias("y"), "w"), "level")
     m2 = level.agg(F.sum("w")).first()[0]
-    for _ in range(levels):
-        if not m2:
-            break
+    while m2:
         home = stage(level.groupBy("x").agg(F.sum("w").alias("k")).withColumn("c", F.col("x")), "homes")
-        any_moved = False
-        for i in range(rounds):
+        first = best_q = _quality(level, home, m2)
+        best, stale = home, 0
+        for i in itertools.count():
             totals = home.groupBy("c").agg(F.sum("k").alias("tot"))
             around = level.filter("x <> y").join(home.select(F.col("x").alias("y"), F.col("c").alias("nc")), "y").groupBy("x", "nc").agg(F.sum("w").alias("w"))
             own = home.select("x", F.col("c").alias("nc"), F.lit(0.0).alias("w"))
             options = around.unionByName(own).groupBy("x", "nc").agg(F.sum("w").alias("w")).join(home, "x").join(totals.withColumnRenamed("c", "nc"), "nc")
             gain = F.col("w") - F.col("k") * (F.col("tot") - F.when(F.col("nc") == F.col("c"), F.col("k")).otherwise(0.0)) / m2
-            best = options.withColumn("g", F.round(gain, 9)).groupBy("x").agg(
+            wish = options.withColumn("g", F.round(gain, 9)).groupBy("x").agg(
                 F.max_by("nc", F.struct(F.col("g"), (F.col("nc") == F.col("c")).alias("stay"))).alias("to"), F.max("g").alias("top"), F.max(F.when(F.col("nc") == F.col("c"), F.col("g"))).alias("here")
             )
             turn = F.pmod(F.xxhash64("x", F.lit(i)), F.lit(2)) == 0
-            moves = (F.col("top") > F.col("here") + 1e-9)
-            new = stage(home.join(best, "x").select("x", "k", F.when(turn & moves, F.col("to")).otherwise(F.col("c")).alias("c"), moves.alias("open")), "homes")
-            home = new.select("x", "k", "c")
+            moves = F.col("top") > F.col("here") + 1e-9
+            new = stage(home.join(wish, "x").select("x", "k", F.when(turn & moves, F.col("to")).otherwise(F.col("c")).alias("c"), moves.alias("open")), "homes")
             if new.filter("open").isEmpty():
                 break
-            any_moved = True
-        if not any_moved:
+            home = new.select("x", "k", "c")
+            q = _quality(level, home, m2)
+            best, best_q, stale = (home, q, 0) if q > best_q + 1e-9 else (best, best_q, stale + 1)
+            if stale == patience:
+                break
+        if best_q <= first + 1e-9:
             break
-        parts = stage(parts.join(home.select(F.col("x").alias("community"), F.col("c").alias("to")), "community").select("ip", F.col("to").alias("community")), "parts")
-        to = home.select("x", "c")
+        to = best.select("x", "c")
+        parts = stage(parts.join(to.select(F.col("x").alias("community"), F.col("c").alias("to")), "community").select("ip", F.col("to").alias("community")), "parts")
         level = stage(
             level.join(to.withColumnRenamed("c", "cx"), "x").join(to.select(F.col("x").alias("y"), F.col("c").alias("cy")), "y").groupBy(F.col("cx").alias("x"), F.col("cy").alias("y")).agg(F.sum("w").alias("w")), "level"
         )
@@ -274,5 +289,10 @@ def edge_payload(edges: DataFrame) -> DataFrame:
 
 def cluster_names(stats: DataFrame) -> DataFrame:
     """Communities in order of severity with names C1, C2 ..."""
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("is_malicious"), F.desc("attacker_count"), F.desc("size"), "community")
-    return stats.select("community", F.concat(F.lit("C"), F.row_number().over(order).cast("string")).alias("name"))
+    order = [F.desc("is_malicious"), F.desc("attacker_count"), F.desc("size"), F.asc("community")]
+    # a global sort; rows of a partition are numbered on from the rows of those before it
+    rows = stage(stats.orderBy(*order).select("community", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i")), "names")
+    sizes = rows.groupBy("p").agg(F.count(F.lit(1)).alias("m"), F.min("i").alias("i0"))
+    before = F.coalesce(F.sum("m").over(Window.partitionBy(F.lit(0)).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each partition
+    placed = rows.join(F.broadcast(sizes.select("p", "i0", before.alias("b"))), "p")
+    return placed.select("community", F.concat(F.lit("C"), (F.col("b") + F.col("i") - F.col("i0") + 1).cast("string")).alias("name"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.functions.scores import above
+from flowlab.operators.quantiles import exact_quantiles, pivoted, range_parts
 
 
 def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -44,6 +45,16 @@ def per_class_prf(confusion: DataFrame) -> DataFrame:
     return per.select("label", "support", F.round(F.coalesce(p, zero), 6).alias("precision"), F.round(F.coalesce(r, zero), 6).alias("recall"), F.round(F.coalesce(f1, zero), 6).alias("f1"))
 
 
+def multiclass_metrics(confusion: DataFrame) -> DataFrame:
+    """One row from confusion counts (label, prediction, n): accuracy, macro F1, and precision, recall and F1 weighted by support."""
+    total = confusion.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("correct"))
+    prf = per_class_prf(confusion)
+    weighted = lambda c: F.round(F.sum(F.col(c) * F.col("support")) / F.nullif(F.sum("support"), F.lit(0)), 6).alias(f"weighted_{c}")
+    classes = prf.filter("support > 0").agg(F.count(F.lit(1)).alias("classes"), F.round(F.avg("f1"), 6).alias("macro_f1"), weighted("precision"), weighted("recall"), weighted("f1"))
+    # each side is one row
+    return total.join(classes, how="cross").withColumn("accuracy", F.round(F.col("correct") / F.nullif(F.col("n"), F.lit(0)), 6))
+
+
 def macro_scores(prf: DataFrame) -> DataFrame:
     return prf.agg(F.round(F.avg("f1"), 6).alias("macro_f1"), F.round(F.sum(F.col("f1") * F.col("support")) / F.sum("support"), 6).alias("weighted_f1"))
 
@@ -67,19 +78,20 @@ def threshold_sweep(df: DataFrame, score: str, truth: Column, cuts: list[float])
 
 def cut_for_fpr(benign: DataFrame, score: str, rates: list[float]) -> DataFrame:
     """(fpr, cut): the exact quantile of benign scores at 1 - fpr, interpolated."""
-    row = benign.agg(F.percentile(F.col(score), F.array(*[F.lit(1 - r) for r in rates])).alias("q"))
-    return row.select(F.posexplode("q").alias("i", "cut")).select(F.element_at(F.array(*[F.lit(float(r)) for r in rates]), F.col("i") + 1).alias("fpr"), F.round("cut", 6).alias("cut"))
+    cuts = exact_quantiles(benign, [], score, [1 - r for r in rates])
+    return cuts.select(F.element_at(F.array(*[F.lit(float(r)) for r in rates]), F.col("i") + 1).alias("fpr"), F.round("quantile", 6).alias("cut"))
 
 
 def severity_ladder(benign: DataFrame, score: str, fpr: float) -> DataFrame:
     """One row: the cuts at fpr, fpr / 2 and fpr / 10."""
-    q = F.percentile(F.col(score), F.array(F.lit(1 - fpr), F.lit(1 - fpr / 2), F.lit(1 - fpr / 10)))
-    return benign.agg(q.alias("q")).select(F.round(F.col("q")[0], 6).alias("medium"), F.round(F.col("q")[1], 6).alias("high"), F.round(F.col("q")[2], 6).alias("critical"))
+    names = ["medium", "high", "critical"]
+    return pivoted(exact_quantiles(benign, [], score, [1 - fpr, 1 - fpr / 2, 1 - fpr / 10]), [], names).select(*[F.round(n, 6).alias(n) for n in names])
 
 
 def matched_fpr_compare(df: DataFrame, scores: list[str], label: str, benign: str, fpr: float) -> DataFrame:
     """(version, cut, label, n, flagged, rate): versions compared at the same benign false-positive rate."""
-    cuts = df.filter(F.col(label) == benign).agg(*[F.percentile(F.col(s), 1 - fpr).alias(s) for s in scores]).first()
+    long = df.filter(F.col(label) == benign).select(*[F.col(s).cast("double").alias(s) for s in scores]).unpivot([], scores, "version", "score")
+    cuts = dict.fromkeys(scores) | {r["version"]: r["quantile"] for r in exact_quantiles(long, ["version"], "score", [1 - fpr]).collect()}  # a row for each version
     per = [F.count_if(above(F.col(s), cuts[s])).alias(s) for s in scores if cuts[s] is not None]
     one = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"), *per)
     rows = F.array(*[F.struct(F.lit(s).alias("version"), F.round(F.lit(cuts[s]), 6).alias("cut"), F.col(s).alias("flagged")) for s in scores if cuts[s] is not None])
@@ -123,8 +135,12 @@ def rank_auc(df: DataFrame, features: list[str], truth: Column) -> DataFrame:
     Rows are counted by (feature, value) before anything is ordered, so what is ranked grows with distinct values."""
     long = df.select(truth.alias("t"), *[F.col(f"`{f}`").cast("double").alias(f) for f in features]).unpivot(["t"], features, "feature", "value").filter(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").agg(F.count_if("t").alias("pos"), F.count_if(~F.col("t")).alias("neg"))
-    before = F.coalesce(F.sum("neg").over(Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    wins = counts.withColumn("w", F.col("pos") * (before + F.col("neg") / 2))
+    # running sums inside parts of a feature's values, then over its parts
+    placed = range_parts(counts, ["feature"], "value", "part")
+    ahead = lambda c, *by: F.coalesce(F.sum(c).over(Window.partitionBy(*by).orderBy("part" if len(by) == 1 else "value").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = placed.groupBy("feature", "part").agg(F.sum("neg").alias("m")).select("feature", "part", ahead("m", "feature").alias("base"))
+    inside = placed.withColumn("within", ahead("neg", "feature", "part"))
+    wins = inside.join(bases, ["feature", "part"]).withColumn("w", F.col("pos") * (F.col("base") + F.col("within") + F.col("neg") / 2))
     auc = F.sum("w") / F.nullif(F.sum("pos").cast("double") * F.sum("neg"), F.lit(0.0))
     return wins.groupBy("feature").agg(F.round(auc, 6).alias("auc")).withColumn("flagged", F.greatest(F.col("auc"), 1 - F.col("auc")) > 0.8)
 

@@ -79,12 +79,16 @@ def alert_rollup(alerts: DataFrame, keys: list[str], dst: str, order: str, confi
     by_dst = alerts.groupBy(*keys, F.col(dst).alias("_dst")).agg(
         F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.min(time).alias("t0"), F.max(time).alias("t1"), F.max(F.struct(conf.alias("c"), (-F.col(order)).alias("o"))).alias("best")
     )
-    seen = F.transform(F.slice(F.sort_array(F.collect_list(F.when(F.col("_dst").isNotNull() & (F.col("_rank") <= most), F.struct("first", "_dst")))), 1, most), lambda x: x["_dst"])
-    ranked = by_dst.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_dst").isNull(), "first")))
-    return ranked.groupBy(*keys).agg(
-        F.sum("n").alias("flow_count"), F.count("_dst").alias("dst_count"), seen.alias("dsts"), F.min("t0").alias("first_seen"), F.max("t1").alias("last_seen"),
-        F.max_by("_dst", "best").alias("top_dst"), F.max("best.c").alias("max_confidence"),
+    plain = by_dst.groupBy(*keys).agg(
+        F.sum("n").alias("flow_count"), F.count("_dst").alias("dst_count"), F.min("t0").alias("first_seen"), F.max("t1").alias("last_seen"), F.max_by("_dst", "best").alias("top_dst"), F.max("best.c").alias("max_confidence"),
     )
+    # ranks are cut to `most` in every part of a key's destinations, then over its parts
+    part = F.pmod(F.xxhash64("_dst"), F.lit(64))
+    top = lambda df, *by: df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, *by).orderBy("first", "_dst"))).filter(F.col("_rank") <= most)
+    heads = top(top(by_dst.filter(F.col("_dst").isNotNull()).select(*keys, "_dst", "first").withColumn("_part", part), "_part"))
+    seen = heads.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]).agg(F.transform(F.sort_array(F.collect_list(F.struct("first", "_dst"))), lambda x: x["_dst"]).alias("dsts"))
+    both = plain.join(seen, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)], "left")
+    return both.select(*keys, "flow_count", "dst_count", F.coalesce("dsts", F.array().cast(f"array<{dict(alerts.dtypes)[dst]}>")).alias("dsts"), "first_seen", "last_seen", "top_dst", "max_confidence")
 
 
 def rules_infiltration(duration: Column, rate: Column, port: Column, fwd: Column, bwd: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.functions.fingerprint import fingerprint_hash
+from flowlab.operators.quantiles import exact_quantiles, pivoted
 
 
 def col(name: str) -> Column:
@@ -44,11 +45,11 @@ def label_scan_many(parts: dict[str, DataFrame], label: str, marker: str) -> Dat
 def feature_summary(df: DataFrame, features: list[str], by: str) -> DataFrame:
     """n, mean, population deviation, min, quartiles, p95 and max of each feature and group; exact interpolated quantiles."""
     long = df.select(col(by).alias("source"), *[col(f).cast("double").alias(f) for f in features]).unpivot(["source"], features, "feature", "value").filter(F.col("value").isNotNull())
-    quantile = lambda q: F.round(F.percentile("value", q), 6)
-    return long.groupBy("source", "feature").agg(
-        F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_pop("value"), 6).alias("std"), F.min("value").alias("min"),
-        quantile(0.25).alias("p25"), quantile(0.5).alias("median"), quantile(0.75).alias("p75"), quantile(0.95).alias("p95"), F.max("value").alias("max"),
-    )
+    by, names = ["source", "feature"], ["p25", "median", "p75", "p95"]
+    plain = long.groupBy(*by).agg(F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_pop("value"), 6).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    ranked = pivoted(exact_quantiles(long, by, "value", [0.25, 0.5, 0.75, 0.95]), by, names).withColumnsRenamed({c: f"_{c}" for c in by})
+    both = plain.join(ranked, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    return both.select(*by, "n", "mean", "std", "min", *[F.round(c, 6).alias(c) for c in names], "max")
 
 
 def ratio_tag(ratio: Column) -> Column:
@@ -154,10 +155,12 @@ def source_share_proxy(df: DataFrame, label: str, constants: dict[str, float]) -
 
 
 def group_size_stats(df: DataFrame, key: str, large: int = 100) -> DataFrame:
-    sizes = df.groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    """Sizes of groups. They are counted by size first: what meets in one task grows with the number of different sizes."""
+    sizes = df.groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("g"))
+    zero = F.lit(0).cast("long")
     return sizes.agg(
-        F.count(F.lit(1)).alias("groups"), F.min("n").alias("smallest"), F.percentile("n", 0.5).alias("median"), F.round(F.avg("n"), 6).alias("mean"), F.max("n").alias("largest"),
-        F.count_if(F.col("n") >= large).alias("large_groups"), F.count_if(F.col("n") == 1).alias("singletons"),
+        F.coalesce(F.sum("g"), zero).alias("groups"), F.min("n").alias("smallest"), F.percentile("n", 0.5, "g").alias("median"), F.round(F.sum(F.col("n") * F.col("g")) / F.sum("g"), 6).alias("mean"), F.max("n").alias("largest"),
+        F.coalesce(F.sum(F.when(F.col("n") >= large, F.col("g")).otherwise(0)), zero).alias("large_groups"), F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("g")).otherwise(0)), zero).alias("singletons"),
     )
 
 
@@ -167,9 +170,11 @@ def value_counts_topk(df: DataFrame, column: str, k: int) -> DataFrame:
 
 def key_profile_per_label(df: DataFrame, key: str, label: str, usual: tuple) -> DataFrame:
     """Per label: n, median key, distinct keys, share of usual keys (such as ports 80 and 443)."""
-    return df.groupBy(col(label).alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile(col(key), 0.5).alias("median_key"), F.count_distinct(col(key)).alias("distinct_keys"), F.round(F.avg(F.when(col(key).isin(*usual), 1.0).otherwise(0.0)), 6).alias("usual_share")
-    )
+    pairs = df.select(col(label).alias("label"), col(key).alias("key"))
+    keys = pairs.groupBy("label", "key").agg(F.count(F.lit(1)).alias("c"))
+    plain = keys.groupBy("label").agg(F.sum("c").alias("n"), F.count("key").alias("distinct_keys"), F.round(F.sum(F.when(F.col("key").isin(*usual), F.col("c")).otherwise(0)) / F.sum("c"), 6).alias("usual_share"))
+    median = pivoted(exact_quantiles(pairs, ["label"], "key", [0.5]), ["label"], ["median_key"]).withColumnRenamed("label", "_label")
+    return plain.join(median, F.col("label").eqNullSafe(F.col("_label")), "left").select("label", "n", "median_key", "distinct_keys", "usual_share")
 
 
 def feature_stats_per_label(df: DataFrame, features: list[str], label: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlab.functions.fingerprint import fingerprint_hash, md5_bucket, md5_share
 from flowlab.operators.quality import conflicting_groups
+from flowlab.operators.quantiles import exact_quantiles
 
 
 def dedup_exact(df: DataFrame, features: list[str], order: str) -> DataFrame:
@@ -53,20 +54,25 @@ def split_random(df: DataFrame, key: str, share: float = 0.7, salt: str = "42")
 
 def split_stratified(df: DataFrame, label: str, key: str, share: float = 0.2, salt: str = "42", buckets: int = 256) -> DataFrame:
     """Exactly ceil(share * n) rows of every label to test, in order of a hash of the row key. Labels are ranked in hash
-    buckets, so a label with most of the rows is not one task."""
+    buckets, and only rows of the bucket in which the share is reached are ordered."""
     h = F.md5(F.concat(F.lit(salt), F.col(key).cast("string")))
     rows = df.withColumn("_h", h).withColumn("_b", F.pmod(F.conv(F.substring("_h", 1, 2), 16, 10).cast("int"), F.lit(buckets)))
     sizes = rows.groupBy(F.col(label).alias("_l"), F.col("_b").alias("_sb")).agg(F.count(F.lit(1)).alias("_n"))
     by = Window.partitionBy("_l")
-    bases = sizes.select("_l", "_sb", F.coalesce(F.sum("_n").over(by.orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.sum("_n").over(by).alias("_all"))
-    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key)))
-    joined = ranked.join(bases, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_sb")))
-    return joined.withColumn("split", F.when(F.col("_r") + F.col("_base") <= F.ceil(share * F.col("_all")), "test").otherwise("train")).drop("_h", "_b", "_l", "_sb", "_base", "_all", "_r")
+    bases = sizes.select("_l", "_sb", "_n", F.coalesce(F.sum("_n").over(by.orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.sum("_n").over(by).alias("_all"))
+    joined = rows.join(bases, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_sb"))).withColumn("_left", F.ceil(share * F.col("_all")) - F.col("_base"))
+    # only the bucket in which the share is reached is ordered
+    open_ = (F.col("_left") > 0) & (F.col("_left") < F.col("_n"))
+    ranked = joined.filter(open_).withColumn("_r", F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key)))
+    cut = ranked.withColumn("split", F.when(F.col("_r") <= F.col("_left"), "test").otherwise("train")).drop("_r")
+    whole = joined.filter(~open_).withColumn("split", F.when(F.col("_left") > 0, "test").otherwise("train"))
+    return whole.unionByName(cut).drop("_h", "_b", "_l", "_sb", "_base", "_all", "_n", "_left")
 
 
 def split_temporal_median(df: DataFrame, ts: str, features: list[str] | None = None) -> DataFrame:
     """df with split early or late at the median time; with features, late rows whose vector occurs early are dropped."""
-    cut = df.select(F.percentile(F.unix_micros(F.col(ts)) / 1_000_000, 0.5).alias("m")).first()["m"]
+    middle = exact_quantiles(df.select((F.unix_micros(F.col(ts)) / 1_000_000).alias("t")), [], "t", [0.5]).first()
+    cut = middle["quantile"] if middle else None
     out = df.withColumn("split", F.when(F.unix_micros(F.col(ts)) / 1_000_000 < F.lit(cut), "early").otherwise("late"))
     if not features:
         return out

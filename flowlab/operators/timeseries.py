@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from flowlab.operators.quantiles import exact_quantiles, pivoted
+
 
 def grid(spark: SparkSession, start: str, minutes: int, seconds: int) -> DataFrame:
     """(bucket): minutes * 60 // seconds + 1 instants, aligned on epoch seconds, both ends included."""
@@ -50,7 +52,9 @@ def aggregate_peak(series: DataFrame) -> DataFrame:
 
 def surge(series: DataFrame) -> DataFrame:
     """Per family: peak, median, surge = peak / median - 1 (null without a median) and the rank of its volume."""
-    per = series.groupBy("family").agg(F.max("value").alias("peak"), F.percentile("value", 0.5).alias("median"), F.sum("value").alias("volume"))
+    per = series.groupBy("family").agg(F.max("value").alias("peak"), F.sum("value").alias("volume"))
+    median = pivoted(exact_quantiles(series, ["family"], "value", [0.5]), ["family"], ["median"]).withColumnRenamed("family", "_family")
+    per = per.join(median, F.col("family").eqNullSafe(F.col("_family")), "left")
     return per.select("family", "peak", F.round("median", 6).alias("median"), F.round(F.when(F.col("median") > 0, F.col("peak") / F.col("median") - 1), 6).alias("surge"), F.rank().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("volume"))).alias("rank"))
 
 
