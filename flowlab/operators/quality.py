@@ -159,7 +159,7 @@ def group_size_stats(df: DataFrame, key: str, large: int = 100) -> DataFrame:
     sizes = df.groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("g"))
     zero = F.lit(0).cast("long")
     return sizes.agg(
-        F.coalesce(F.sum("g"), zero).alias("groups"), F.min("n").alias("smallest"), F.percentile("n", 0.5, "g").alias("median"), F.round(F.sum(F.col("n") * F.col("g")) / F.sum("g"), 6).alias("mean"), F.max("n").alias("largest"),
+        F.coalesce(F.sum("g"), zero).alias("groups"), F.min("n").alias("smallest"), F.percentile("n", F.lit(0.5), F.col("g")).alias("median"), F.round(F.sum(F.col("n") * F.col("g")) / F.sum("g"), 6).alias("mean"), F.max("n").alias("largest"),
         F.coalesce(F.sum(F.when(F.col("n") >= large, F.col("g")).otherwise(0)), zero).alias("large_groups"), F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("g")).otherwise(0)), zero).alias("singletons"),
     )
 

@@ -22,8 +22,9 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, shares: list[float
     margin = 3 / ACCURACY
     ends = [(max(0.0, q - margin), min(1.0, q + margin)) for q in shares]
     sketch = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", [e for pair in ends for e in pair], ACCURACY).alias("_p"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    few = F.col("_n") <= 10 * ACCURACY  # a bracket must be several rows wide
     brackets = F.array(*[
-        F.struct(F.lit(i).alias("i"), (F.col("_lo") if a == 0 else F.col("_p")[2 * i]).alias("lo"), (F.col("_hi") if z == 1 else F.col("_p")[2 * i + 1]).alias("hi"))
+        F.struct(F.lit(i).alias("i"), F.when(few | F.lit(a == 0), F.col("_lo")).otherwise(F.col("_p")[2 * i]).alias("lo"), F.when(few | F.lit(z == 1), F.col("_hi")).otherwise(F.col("_p")[2 * i + 1]).alias("hi"))
         for i, (a, z) in enumerate(ends)
     ])
     groups = sketch.select(*[F.col(n).alias(f"g{n}") for n in names], "_n", brackets.alias("_b"))
@@ -47,7 +48,8 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, shares: list[float
     upto = Window.partitionBy(*group, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ordered = values.join(hit, on).withColumn("upto", F.col("before") + F.sum("c").over(upto))
     found = lambda r: F.min(F.when(F.col("upto") > r, F.col("v")))
-    ends_of = ordered.groupBy(*group, "place").agg(found(low).alias("a"), found(high).alias("b"))
+    ends_of = ordered.groupBy(*group, "place").agg(found(low).alias("a"), found(high).alias("b"), F.min("part").alias("part"))
+    ends_of = ends_of.withColumn("a", F.when(F.col("part") < 0, F.raise_error(F.lit("a rank lies below its bracket"))).otherwise(F.col("a")))
     between = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((high - F.col("place")) * F.col("a") + (F.col("place") - low) * F.col("b"))
     return ends_of.select(*[F.col(n).alias(c) for n, c in zip(names, by, strict=True)], "i", between.alias("quantile"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def test_exact_quantiles_against_numpy(spark, monkeypatch):
     """Small accuracy and few parts, so that brackets hold part of the values; ties, signs, nulls and groups of any size."""
-    monkeypatch.setattr(quantiles, "ACCURACY", 100)
+    monkeypatch.setattr(quantiles, "ACCURACY", 100)  # groups of over 1,000 values are bracketed
     monkeypatch.setattr(quantiles, "PARTS", 8)
     rng = random.Random(1)
     make = {"a": lambda: rng.gauss(0, 1), "b": lambda: float(rng.randint(0, 3)), "c": lambda: 10 ** rng.uniform(-9, 9), None: lambda: -5.0, "one": lambda: 7.0}
