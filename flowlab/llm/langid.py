@@ -29,7 +29,7 @@ UNDETERMINED = "und"
 @dataclass
 class Model:
     """langs in order of the outputs; input (512, 2H): for each direction and byte what it adds to gate and candidate;
-    gate, cand (2, H, H); out (2H, L), bias (L)."""
+    gate, cand (2, H, H); out (2H, L), bias (L); seen (65536): the pairs of bytes that the training texts hold."""
 
     langs: list[str]
     input: np.ndarray
@@ -37,6 +37,7 @@ class Model:
     cand: np.ndarray
     out: np.ndarray
     bias: np.ndarray
+    seen: np.ndarray
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -113,6 +114,17 @@ def _gradients(m: Model, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return [d_input, d_gate, d_cand, d_out, d.sum((0, 1))]
 
 
+def _pairs(text: bytes) -> np.ndarray:
+    """Every byte and the one before it as one number; a space stands before the first."""
+    b = np.frombuffer(b" " + text, np.uint8).astype(np.int64)
+    return b[:-1] << 8 | b[1:]
+
+
+def familiar(m: Model, texts: list[bytes]) -> np.ndarray:
+    """For each text the share of its byte pairs that the training texts hold; 0 for empty texts."""
+    return np.array([m.seen[_pairs(t)].mean() if t else 0.0 for t in texts])
+
+
 def train(texts: list[str], langs: list[str], rounds: int = ROUNDS, hidden: int = HIDDEN, seed: int = SEED) -> Model | None:
     """Fit by Adam on random windows, each language in equal number. None without labelled texts."""
     names = sorted(set(langs))
@@ -122,7 +134,10 @@ def train(texts: list[str], langs: list[str], rounds: int = ROUNDS, hidden: int
     pools = [[b for t, g in zip(texts, langs, strict=True) if g == n and (b := t.encode())] for n in names]
     pools = [p or [b" "] for p in pools]
     small = lambda *shape: (rng.standard_normal(shape) * 0.3).astype(np.float32)
-    m = Model(names, small(512, 2 * hidden), small(2, hidden, hidden), small(2, hidden, hidden), small(2 * hidden, len(names)), np.zeros(len(names), np.float32))
+    m = Model(names, small(512, 2 * hidden), small(2, hidden, hidden), small(2, hidden, hidden), small(2 * hidden, len(names)), np.zeros(len(names), np.float32), np.zeros(1 << 16, bool))
+    for pool in pools:
+        for b in pool:
+            m.seen[_pairs(b)] = True
     weights = [m.input, m.gate, m.cand, m.out, m.bias]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for r in range(1, rounds + 1):
@@ -224,12 +239,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return train(*training_sample(docs, key, text, lang))
 
 
-OWN = {"lang_pred": "string", "score": "double", "agreeing": "double", "n_runs": "bigint"}
+OWN = {"lang_pred": "string", "score": "double", "margin": "double", "agreeing": "double", "n_runs": "bigint", "familiar": "double"}
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The columns of docs with lang_pred, score (the pooled probability of that language), agreeing (the share of byte
-    positions labelled with it) and n_runs (runs of equal labels).
+    """The columns of docs with lang_pred, score (the pooled probability of that language), margin (how far it is above the
+    second one's; the score if there is none), agreeing (the share of byte positions labelled with it), n_runs (runs of equal
+    labels) and familiar (the share of byte pairs that the training texts hold: low for scripts and letter sequences never learned).
 
     Only the text is read. Null texts and texts without a letter, and all texts if there is no model, are `und` with
     zeros. Repeated rows are each predicted. Columns of docs named like the results are replaced. Whole texts are
@@ -238,7 +254,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     away, back = shelved(docs, OWN)
     t = F.col(f"`{text}`")
     known = F.coalesce(t.rlike(r"\p{L}"), F.lit(False))
-    none = [F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("agreeing"), F.lit(0).cast("bigint").alias("n_runs")]
+    none = [F.lit(UNDETERMINED if k == "string" else 0).cast(k).alias(c) for c, k in OWN.items()]
     if model is None:
         return docs.select(*away).select(*back, *none)
     bounded_batches(docs.sparkSession)
@@ -255,7 +271,8 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
                 best = p.argmax(1)
                 every = np.arange(len(part))
                 share = counts[every, best] / np.maximum(counts.sum(1), 1)
-                made.append(pd.DataFrame({"lang_pred": names[best], "score": np.clip(p[every, best], 0, 1), "agreeing": share, "n_runs": runs}))
+                second = np.sort(p, 1)[:, -2] if len(names) > 1 else 0.0
+                made.append(pd.DataFrame({"lang_pred": names[best], "score": np.clip(p[every, best], 0, 1), "margin": np.clip(p[every, best] - second, 0, 1), "agreeing": share, "n_runs": runs, "familiar": familiar(m, part)}))
             yield pd.concat(made) if made else pd.DataFrame({c: [] for c in OWN})
 
     made = F.pandas_udf(predict, "struct<" + ",".join(f"{c}:{k}" for c, k in OWN.items()) + ">")

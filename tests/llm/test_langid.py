@@ -71,13 +71,21 @@ def test_rows_against_plain_loops():
         assert np.allclose(alone[0][0], p[i]) and alone[2][0] == runs[i] == len(langid.position_labels(m, t.decode()))
 
 
+def test_unlearned_scripts_and_letters_are_unfamiliar():
+    rng = random.Random(3)
+    m = langid.train([prose(rng, g) for g in SYLLABLES for _ in range(60)], [g for g in SYLLABLES for _ in range(60)], rounds=1)
+    known = [prose(rng, g).encode() for g in SYLLABLES]
+    other = ["привет как дела".encode(), "今天天气很好".encode(), b"xqzj vkpw zzx qwjrk"]
+    assert langid.familiar(m, known).min() > 0.98 and langid.familiar(m, other).max() < 0.4 and langid.familiar(m, [b""]) == 0
+
+
 def test_ties_and_clashing_names(spark):
     flat = langid.train(["ab " * 30, "cd " * 30], ["x", "b"], rounds=1)
     for w in (flat.input, flat.gate, flat.cand, flat.out, flat.bias):
         w[:] = 0
     df = spark.createDataFrame([(1, "abc", 5, 6, 7)], "doc_id bigint, text string, _p int, _known int, Score int")
     got = langid.identify(df, flat).collect()[0].asDict()
-    assert got == {"doc_id": 1, "text": "abc", "_p": 5, "_known": 6, "lang_pred": "b", "score": 0.5, "agreeing": 1.0, "n_runs": 1}
+    assert got == {"doc_id": 1, "text": "abc", "_p": 5, "_known": 6, "lang_pred": "b", "score": 0.5, "margin": 0.0, "agreeing": 1.0, "n_runs": 1, "familiar": 2 / 3}
 
 
 def test_held_out_accuracy_and_edge_cases(spark):

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 from flowlab.llm import bpe, decontam, langid
 from flowlab.llm.common import read_bytes
@@ -30,12 +31,30 @@ def fixture(rng):
         words = rows[i - 50][1].split()
         words[5] = words[70] = "zz"
         rows.append((i, " ".join(words), rows[i - 50][2]))
+    mixed = " ".join(a + " " + b for a, b in zip(prose(rng, "aa", 60).split(), prose(rng, "bb", 60).split(), strict=True))
+    rows += [(90, prose(rng, "aa", 70), "bb"), (91, mixed, "aa"), (92, "Привет, как дела? Сегодня хорошая погода. " * 5, None), (93, "привет", None), (94, prose(rng, "cc", 40), None)]
+    rows += [(95, "\n".join(prose(rng, "bb", 30) for _ in range(700)), "bb")]
     rows += [(80, None, "aa"), (81, "", "aa"), (82, "123 !!", "bb"), (83, rows[3][1], rows[3][2]), (3, rows[3][1], rows[3][2])]
     return [(i, t, g, "s", len(t or "")) for i, t, g in rows], items
 
 
+def reason(text, lang, model):
+    if not text or not any(c.isalpha() for c in text):
+        return "no letter"
+    b = text.lower().encode()
+    p = np.sort(langid.pooled(model, [b])[0][0])
+    best = model.langs[int(langid.pooled(model, [b])[0][0].argmax())]
+    if len(text) < corpus_pipeline.LONG:
+        return None
+    if langid.familiar(model, [b])[0] < corpus_pipeline.FAMILIAR:
+        return "unlearned"
+    if p[-1] - p[-2] < corpus_pipeline.MIXED:
+        return "mixed"
+    return "mislabelled" if lang in model.langs and best != lang and p[-1] - p[-2] >= corpus_pipeline.SURE else None
+
+
 def plain(rows, hashes, items, model):
-    kept = [r for r in rows if r[1] and any(c.isalpha() for c in r[1]) and langid.pooled(model, [r[1].lower().encode()]).max() >= corpus_pipeline.LEAST_SCORE]
+    kept = [r for r in rows if reason(r[1], r[2], model) is None]
     gone = line_rules({(r[0], hashes[r[1]], r[1]) for r in kept})
     texts = [(r[0], r[2], "\n".join(x for n, x in enumerate(r[1].split("\n")) if n not in gone[(r[0], r[1])])) for r in kept]
     out = []
@@ -55,6 +74,7 @@ def test_run_against_plain_rules(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     hashes = {r["text"]: r["h"] for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+    assert {reason(t, g, m) for m in [langid.fit(spark.read.parquet(f"{tmp_path}/documents.parquet"))] for i, t, g, _, _ in rows if i in (90, 92)} == {"mislabelled", "unlearned"}
     model = langid.fit(spark.read.parquet(f"{tmp_path}/documents.parquet"))
     want = plain(rows, hashes, items, model)
     got = sorted((r["doc_id"], r["lang"], list(r["ids"])) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
@@ -68,4 +88,6 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == corpus_pipeline.COLUMNS and docs.collect() == []
+    spark.createDataFrame([], SCHEMA + ", hits int").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
     assert len(corpus_pipeline.STAGES) == 5
