@@ -120,8 +120,25 @@ def stream_score_gate(spark, d):
 
 @book.add()
 def stream_adaptive_policy(spark, d):
+    """The policy of each event type after one micro-batch over all events; every fiftieth event has a verdict."""
     rows = stream(spark, d).withColumn("polarity", F.when(F.col("event_id") % 50 == 0, F.when(F.col("event_type") == "error", 1).otherwise(0)))
-    return finished(spark, adaptive.adapt(rows, "event_type", "p", "polarity"))
+    root = f"{shared_dir(spark).rstrip('/')}/flowlab/policy-{uuid.uuid4().hex}"
+    detection.start(rows, adaptive.policy_sink(root, "event_type", "p", "ts", "event_id", "polarity"), f"{root}/checkpoint").awaitTermination()
+    return adaptive.telemetry(spark, root)
+
+
+@book.add(f"""WITH w AS (SELECT event_type AS key, p, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC, p DESC) AS r, polarity IS NOT NULL AS v, p <= 0.0257502 AS low, p >= 0.257502 AS a
+ FROM (SELECT *, CASE WHEN event_id % 50 = 0 THEN 1 END AS polarity FROM {SQL_S})),
+ b AS (SELECT key, greatest(0, least(19, CAST(floor(p * 20) AS INTEGER))) AS bin, count(*) AS n FROM w WHERE r <= 2000 GROUP BY ALL)
+ SELECT key, n, alerts, learned, nominal, 0.257502 AS threshold, scores, round(top, 9) AS top_share FROM (SELECT key, CAST(count(*) AS BIGINT) AS n, count(*) FILTER (a) AS alerts, count(*) FILTER (v) AS learned, count(*) FILTER (low) AS nominal FROM w GROUP BY 1)
+ JOIN (SELECT key, CAST(sum(n) AS BIGINT) AS scores, max(n) / sum(n) AS top FROM b GROUP BY 1) USING (key)""")
+def adaptive_first_batch(spark, d):
+    """Counts of a policy's first micro-batch, its threshold, and the size and largest share of the baseline it leaves."""
+    rows = events(spark, d).withColumn("polarity", F.when(F.col("event_id") % 50 == 0, 1))
+    root = f"{shared_dir(spark).rstrip('/')}/flowlab/policy-{uuid.uuid4().hex}"
+    adaptive.policy_sink(root, "event_type", "p", "ts", "event_id", "polarity")(rows, 0)
+    state = adaptive.snapshot(spark, root).select("key", F.size("window").cast("bigint").alias("scores"), F.round(F.array_max("baseline"), 9).alias("top_share"))
+    return adaptive.telemetry(spark, root).select("key", "n", "alerts", "learned", "nominal", "threshold").join(state, "key")
 
 
 @book.add(f"""SELECT key, threshold, CAST(count(*) AS BIGINT) AS n, count(*) FILTER (p >= threshold) AS alerts FROM (SELECT event_type AS key, p, 0.1 + length(event_type) / 100 AS threshold FROM {SQL_S}) GROUP BY ALL""")

@@ -1,19 +1,26 @@
-"""Per-key adaptive thresholds: drift against a baseline, a rate controller and a bounded residual calibrator, as keyed
-streaming state. One global policy is the case of a constant key."""
+"""Per-key adaptive thresholds: drift against a baseline, a rate controller and a bounded residual calibrator.
+
+The state of a policy is a table with a row for each key, and a micro-batch advances it once: rows are first reduced to one
+summary for each key (counts, the newest scores, sums of gradients), and the new state is an expression over old state and
+summary. Nothing depends on how rows are cut into batches of a worker or in which order tasks see them. Every version of the
+state is written under the number of its micro-batch, so a batch that runs again reads the version before it and replaces its own.
+One global policy is the case of a constant key: its rows are reduced before they meet.
+"""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-BINS, EDGE = 20, 1e-9
+from flowlab.sources.shared import stage
+
+BINS, EDGE, FEATURES = 20, 1e-9, 5
+#: Parts in which the rows of a key are cut to the newest ones first.
+PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -37,135 +44,217 @@ class Config:
     most_shift: float = 1.5
     margin: float = 0.10
     nominal_weight: float = 0.25
-    most_nominal: int = 256
 
     def band(self) -> tuple[float, float]:
         low = self.anchor * self.lower
         return low, max(low, min(self.anchor * self.upper, self.ceiling))
 
 
-def _logit(p: np.ndarray) -> np.ndarray:
-    p = np.clip(p, EDGE, 1 - EDGE)
-    return np.log(p / (1 - p))
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def shares(scores: np.ndarray) -> np.ndarray:
-    n = np.bincount(np.clip((scores * BINS).astype(int), 0, BINS - 1), minlength=BINS)
-    return n / max(1, n.sum())
-
-
-def psi(reference: np.ndarray, observed: np.ndarray) -> float:
-    r, o = np.maximum(reference, 1e-4), np.maximum(observed, 1e-4)
-    return float(((o - r) * np.log(o / r)).sum())
-
-
-def ks(reference: np.ndarray, observed: np.ndarray) -> float:
-    return float(np.abs(np.cumsum(reference) - np.cumsum(observed)).max())
-
-
-@dataclass
-class State:
-    """All that is kept for a key; its size is bounded by the window."""
-
-    threshold: float
-    weights: list[float] = field(default_factory=lambda: [0.0] * 5)
-    squares: list[float] = field(default_factory=lambda: [0.0] * 5)
-    baseline: list[float] | None = None
-    window: list[float] = field(default_factory=list)
-    batches: int = 0
-    streak: int = 0
-    anchors: int = 0
-    psi: float = 0.0
-    ks: float = 0.0
-    verdict: str = "unobserved"
-    saturated: bool = False
-
-    def features(self, p: np.ndarray) -> np.ndarray:
-        """One row per score: 1, log odds, bot, novelty, drift."""
-        base = np.asarray(self.baseline or [1 / BINS] * BINS)
-        rare = np.clip(np.log(1 / np.maximum(base[np.clip((p * BINS).astype(int), 0, BINS - 1)], 1e-3)), 0, 5)
-        one = np.ones_like(p)
-        return np.stack([one, _logit(p), 0 * one, rare, one * min(1.0, max(0.0, self.psi))], 1)
-
-    def adapted(self, p: np.ndarray, c: Config) -> np.ndarray:
-        """Scores with the residual; exactly the scores while nothing has been learned."""
-        shift = np.clip(self.features(p) @ np.asarray(self.weights), -c.most_shift, c.most_shift)
-        return np.where(shift == 0, p, _sigmoid(_logit(p) + shift))
-
-    def learn(self, p: float, label: int, weight: float, c: Config) -> None:
-        """One AdaGrad step on the weighted log loss, with decay."""
-        x, w, g2 = self.features(np.array([p]))[0], np.asarray(self.weights), np.asarray(self.squares)
-        g = (_sigmoid(x @ w) - label) * weight * x + c.l2 * w
-        g2 = g2 + g * g
-        self.weights = list((w - c.rate * g / (np.sqrt(g2) + 1e-8)) * (1 - c.decay))
-        self.squares = list(g2)
-
-    def observe(self, scores: np.ndarray, c: Config) -> None:
-        """A batch of scores: drift of the window, re-anchoring when a shift lasts, a step of the threshold."""
-        scores = scores[np.isfinite(scores)]
-        if not len(scores):
-            return
-        self.batches += 1
-        self.window = [*self.window, *scores.tolist()][-c.window :]
-        now = shares(np.asarray(self.window))
-        if self.baseline is None:
-            self.baseline = list(now)
-        base = np.asarray(self.baseline)
-        self.psi, self.ks = psi(base, now), ks(base, now)
-        self.verdict = "severe" if self.psi >= 0.5 else "shift" if self.psi >= 0.25 or self.ks >= 0.15 else "stable"
-        if self.verdict != "stable" and self.batches > c.warmup:
-            self.streak += 1
-            if self.streak >= c.patience:
-                self.baseline = list((1 - c.blend) * base + c.blend * now)
-                self.streak, self.verdict, self.anchors = 0, "stable", self.anchors + 1
+STATE = "key string, threshold double, weights array<double>, squares array<double>, baseline array<double>, window array<double>, batches int, streak int, anchors int, psi double, ks double, verdict string, saturated boolean, learned bigint"
+TELEMETRY = ["key", "batch", "batches", "n", "alerts", "threshold", "psi", "ks", "verdict", "anchors", "saturated", "shift", "learned", "nominal"]
+
+
+def _logit(p: Column) -> Column:
+    inside = F.least(F.greatest(p, F.lit(EDGE)), F.lit(1 - EDGE))
+    return F.log(inside / (1 - inside))
+
+
+def _sigmoid(x: Column) -> Column:
+    return 1 / (1 + F.exp(-x))
+
+
+def _bin(p: Column) -> Column:
+    return F.greatest(F.least(F.floor(p * BINS), F.lit(BINS - 1)), F.lit(0)).cast("int")
+
+
+def _total(xs: Column) -> Column:
+    return F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def shares(scores: Column) -> Column:
+    """The share of each of BINS equal bins among an array of scores."""
+    at = F.transform(scores, _bin)
+    return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.size(F.filter(at, lambda x: x == b)) / F.greatest(F.size(scores), F.lit(1)))
+
+
+def psi(reference: Column, observed: Column) -> Column:
+    floor = lambda x: F.greatest(x, F.lit(1e-4))
+    return _total(F.zip_with(reference, observed, lambda r, o: (floor(o) - floor(r)) * F.log(floor(o) / floor(r))))
+
+
+def ks(reference: Column, observed: Column) -> Column:
+    first = F.struct(F.lit(0.0).alias("run"), F.lit(0.0).alias("top"))
+    gaps = F.zip_with(observed, reference, lambda o, r: o - r)
+    return F.aggregate(gaps, first, lambda acc, g: F.struct((acc["run"] + g).alias("run"), F.greatest(acc["top"], F.abs(acc["run"] + g)).alias("top")), lambda acc: acc["top"])
+
+
+def features(p: Column, bot: Column, baseline: Column, drift: Column) -> Column:
+    """1, log odds, bot probability around a half (0 if unknown), novelty of the score, drift between 0 and 1."""
+    share = F.coalesce(F.get(baseline, _bin(p)), F.lit(1 / BINS))
+    rare = F.least(F.greatest(F.log(1 / F.greatest(share, F.lit(1e-3))), F.lit(0.0)), F.lit(5.0))
+    return F.array(F.lit(1.0), _logit(p), F.coalesce(bot - 0.5, F.lit(0.0)), rare, F.least(F.greatest(drift, F.lit(0.0)), F.lit(1.0)))
+
+
+def _dot(x: Column, w: Column) -> Column:
+    return _total(F.zip_with(x, w, lambda a, b: a * b))
+
+
+def adapted(p: Column, x: Column, weights: Column, c: Config) -> Column:
+    """Scores with the residual; exactly the scores while nothing has been learned."""
+    shift = F.greatest(F.least(_dot(x, weights), F.lit(c.most_shift)), F.lit(-c.most_shift))
+    return F.when(shift == 0, p).otherwise(_sigmoid(_logit(p) + shift))
+
+
+def initial(keys: DataFrame, c: Config) -> DataFrame:
+    """STATE of keys(key) that have none yet."""
+    zeros = F.array(*[F.lit(0.0)] * FEATURES)
+    none = F.array().cast("array<double>")
+    values = [
+        F.lit(c.anchor), zeros, zeros, none, none, F.lit(0), F.lit(0), F.lit(0), F.lit(0.0), F.lit(0.0), F.lit("unobserved"), F.lit(False), F.lit(0).cast("bigint"),
+    ]
+    names = [x.split()[0] for x in STATE.split(", ")]
+    return keys.select("key", *[v.alias(n) for v, n in zip(values, names[1:], strict=True)])
+
+
+def summarised(rows: DataFrame, state: DataFrame, c: Config) -> DataFrame:
+    """One row for each key of rows(key, p, bot, t, id, y): s_key, n, alerts, recent (the newest scores, oldest first), verdicts
+    and nominal (how many rows were learned from), and g, the sum of weighted gradients at the weights in force.
+
+    Rows are judged by the policy that was in force when they came. Verdicts are rows with a y; nominal rows are those clearly
+    below the threshold, unless drift is severe. Rows of a key meet as partial sums; its newest rows are cut in PARTS parts first."""
+    met = rows.filter(F.col("p").isNotNull() & ~F.isnan("p") & (F.abs("p") < float("inf"))).join(state.withColumnRenamed("key", "s_key"), F.col("key") == F.col("s_key"))
+    x = features(F.col("p"), F.col("bot"), F.col("baseline"), F.col("psi"))
+    plain = features(F.col("p"), F.lit(None).cast("double"), F.col("baseline"), F.col("psi"))
+    low = (F.col("p") <= c.margin * F.col("threshold")) & (F.col("verdict") != "severe")
+    error = lambda f, y, w: (_sigmoid(_dot(f, F.col("weights"))) - y) * w
+    judged = met.select(
+        "key", adapted(F.col("p"), x, F.col("weights"), c).alias("a"), "threshold", F.col("y").isNotNull().alias("v"), low.alias("low"), x.alias("x"), plain.alias("plain"),
+        F.when(F.col("y").isNotNull(), error(x, F.col("y").cast("double"), 1.0)).otherwise(0.0).alias("e"), F.when(low, error(plain, F.lit(0.0), c.nominal_weight)).otherwise(0.0).alias("e0"),
+    )
+    sums = [F.sum(F.col("e") * F.col("x")[i] + F.col("e0") * F.col("plain")[i]).alias(f"g{i}") for i in range(FEATURES)]
+    totals = judged.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") >= F.col("threshold")).alias("alerts"), F.count_if("v").alias("verdicts"), F.count_if("low").alias("nominal"), *sums)
+    cut = lambda df, *by: df.withColumn("_r", F.row_number().over(Window.partitionBy("key", *by).orderBy(F.desc("t"), F.desc("id"), F.desc("p")))).filter(F.col("_r") <= c.window)
+    newest = cut(cut(met.select("key", "t", "id", "p").withColumn("_part", F.pmod(F.xxhash64("id", "p"), F.lit(PARTS))), "_part"))
+    recent = newest.groupBy(F.col("key").alias("r_key")).agg(F.transform(F.sort_array(F.collect_list(F.struct("t", "id", "p"))), lambda r: r["p"]).alias("recent"))
+    both = totals.join(recent, F.col("key") == F.col("r_key"))
+    return both.select(F.col("key").alias("s_key"), "n", "alerts", "verdicts", "nominal", F.array(*[F.col(f"g{i}") for i in range(FEATURES)]).alias("g"), "recent")
+
+
+def advanced(state: DataFrame, summary: DataFrame, c: Config) -> DataFrame:
+    """State after one micro-batch, with n, alerts, verdicts and nominal of the batch. Keys without rows keep their state.
+
+    A key's window takes the new scores; drift is that of the window against the baseline (the first window). A shift that lasts
+    `patience` batches moves the baseline; the threshold takes a step toward the quantile of adapted scores that meets the budget,
+    inside the band; the weights take one AdaGrad step on the mean gradient of the batch, and decay."""
+    low, high = c.band()
+    df = state.join(summary, F.col("key") == F.col("s_key"), "left")
+    seen = F.col("s_key").isNotNull()
+    scores = F.concat("window", "recent")
+    df = df.withColumn("w2", F.slice(scores, F.greatest(F.size(scores) - c.window + 1, F.lit(1)), c.window)).withColumn("now", shares(F.col("w2")))
+    df = df.withColumn("base", F.when(F.size("baseline") > 0, F.col("baseline")).otherwise(F.col("now"))).withColumn("b2", F.col("batches") + 1)
+    df = df.withColumn("psi2", psi(F.col("base"), F.col("now"))).withColumn("ks2", ks(F.col("base"), F.col("now")))
+    verdict = F.when(F.col("psi2") >= 0.5, "severe").when((F.col("psi2") >= 0.25) | (F.col("ks2") >= 0.15), "shift").otherwise("stable")
+    df = df.withColumn("found", verdict).withColumn("run", F.when((F.col("found") != "stable") & (F.col("b2") > c.warmup), F.col("streak") + 1).otherwise(0))
+    df = df.withColumn("moves", F.col("run") >= c.patience)
+    mixed = F.zip_with("base", "now", lambda r, o: (1 - c.blend) * r + c.blend * o)
+    df = df.withColumn("base2", F.when(F.col("moves"), mixed).otherwise(F.col("base")))
+    # the window holds scores without a bot probability
+    flat = F.array_sort(F.transform("w2", lambda p: adapted(p, features(p, F.lit(None).cast("double"), F.col("base2"), F.col("psi2")), F.col("weights"), c)))
+    df = df.withColumn("sorted", flat).withColumn("place", (1 - c.budget) * (F.size("sorted") - 1))
+    at = F.floor("place").cast("int")
+    left, right = F.get("sorted", at), F.coalesce(F.get("sorted", at + 1), F.get("sorted", at))
+    df = df.withColumn("target", left + (F.col("place") - at) * (right - left)).withColumn("held", F.least(F.greatest(F.col("target"), F.lit(low)), F.lit(high)))
+    steers = (F.size("w2") >= c.least_window) & (F.col("b2") > c.warmup)
+    moved = F.least(F.greatest(F.col("threshold") + c.step * (F.col("held") - F.col("threshold")), F.lit(low)), F.lit(high))
+    rows = F.col("verdicts") + F.col("nominal")
+    df = df.withColumn("grad", F.zip_with("g", "weights", lambda g, w: g / F.greatest(rows, F.lit(1)) + c.l2 * w)).withColumn("sq2", F.zip_with("squares", "grad", lambda s, g: s + g * g))
+    step = F.zip_with(F.zip_with("grad", "sq2", lambda g, s: c.rate * g / (F.sqrt(s) + 1e-8)), "weights", lambda d, w: (w - d) * (1 - c.decay))
+    learns = seen & (rows > 0)
+    new = {
+        "threshold": F.when(seen & steers, moved).otherwise(F.col("threshold")), "weights": F.when(learns, step).otherwise(F.col("weights")), "squares": F.when(learns, F.col("sq2")).otherwise(F.col("squares")),
+        "baseline": F.when(seen, F.col("base2")).otherwise(F.col("baseline")), "window": F.when(seen, F.col("w2")).otherwise(F.col("window")), "batches": F.when(seen, F.col("b2")).otherwise(F.col("batches")),
+        "streak": F.when(seen, F.when(F.col("moves"), 0).otherwise(F.col("run"))).otherwise(F.col("streak")), "anchors": F.when(seen & F.col("moves"), F.col("anchors") + 1).otherwise(F.col("anchors")),
+        "psi": F.when(seen, F.col("psi2")).otherwise(F.col("psi")), "ks": F.when(seen, F.col("ks2")).otherwise(F.col("ks")), "verdict": F.when(seen, F.when(F.col("moves"), "stable").otherwise(F.col("found"))).otherwise(F.col("verdict")),
+        "saturated": F.when(seen & steers, F.abs(F.col("held") - F.col("target")) > 1e-9).otherwise(F.col("saturated")), "learned": F.col("learned") + F.when(seen, F.col("verdicts")).otherwise(0),
+    }
+    return df.select("key", *[v.alias(n) for n, v in new.items()], *[F.coalesce(x, F.lit(0)).alias(x) for x in ("n", "alerts", "verdicts", "nominal")], seen.alias("seen"))
+
+
+def _versions(spark: SparkSession, path: str, before: int | None) -> DataFrame | None:
+    """The rows of all versions (of those before one) under a path, or None."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
+        return None
+    df = spark.read.parquet(path)
+    return df if before is None else df.filter(F.col("version") < before)
+
+
+def snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """The newest STATE under root (of the versions before one), or None."""
+    rows = _versions(spark, f"{root}/state", before)
+    last = rows.agg(F.max("version")).first()[0] if rows is not None else None
+    return None if last is None else rows.filter(F.col("version") == last).drop("version")
+
+
+def restored(saved: DataFrame, c: Config) -> DataFrame:
+    """STATE from a table that may lack columns or hold values that no longer fit: what is missing, null or not finite starts
+    anew, arrays of another length too, and the threshold is clamped to the present band."""
+    low, high = c.band()
+    keys = saved.filter(F.col("key").isNotNull()).groupBy(F.col("key").cast("string").alias("key")).agg(*[F.first(x).alias(f"_{x}") for x in saved.columns if x != "key"])
+    fresh = initial(keys.select("key"), c)
+    names = fresh.columns
+    lengths = {"weights": FEATURES, "squares": FEATURES, "baseline": BINS}
+    out = keys.join(fresh, "key")
+    for n in names[1:]:
+        if f"_{n}" not in keys.columns:
+            continue
+        kind, old = dict(fresh.dtypes)[n], F.col(f"_{n}")
+        if kind.startswith("array"):
+            value = F.transform(old.cast(kind), lambda v: v)
+            fine = F.forall(value, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+            fine = fine & (F.size(value) == lengths[n]) if n in lengths else fine
         else:
-            self.streak = 0
-        if len(self.window) >= c.least_window and self.batches > c.warmup:
-            target = float(np.quantile(self.adapted(np.asarray(self.window), c), 1 - c.budget))
-            low, high = c.band()
-            held = min(high, max(low, target))
-            self.saturated = abs(held - target) > 1e-9
-            self.threshold = min(high, max(low, self.threshold + c.step * (held - self.threshold)))
-
-    def nominal(self, scores: np.ndarray, c: Config) -> int:
-        """Learn from clearly low scores, unless the drift is severe."""
-        low = scores[np.isfinite(scores) & (scores <= c.margin * self.threshold)][: c.most_nominal] if self.verdict != "severe" else []
-        for p in low:
-            self.learn(float(p), 0, c.nominal_weight, c)
-        return len(low)
-
-
-TELEMETRY = "key string, batches int, n int, alerts int, threshold double, psi double, ks double, verdict string, anchors int, saturated boolean, shift double, learned int"
-
-
-def adapt(df: DataFrame, key: str, score: str, polarity: str, config: Config = Config()) -> DataFrame:
-    """Telemetry per key and micro-batch of a stream with scores and, where known, verdicts (1, 0 or null). State survives
-    restarts and lost executors in the state store."""
-
-    def step(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        s = State(**json.loads(state.get[0])) if state.exists else State(config.anchor)
-        n = alerts = learned = 0
-        for pdf in frames:
-            p = pd.to_numeric(pdf["score"], errors="coerce").to_numpy(float)
-            fine = p[np.isfinite(p)]
-            s.observe(fine, config)
-            alerts += int((s.adapted(fine, config) >= s.threshold).sum())
-            n += len(fine)
-            for x, y in zip(p, pdf["polarity"], strict=True):
-                if np.isfinite(x) and pd.notna(y):
-                    s.learn(float(x), int(y), 1.0, config)
-                    learned += 1
-            learned += s.nominal(fine, config)
-        state.update((json.dumps(asdict(s)),))
-        shift = float(np.linalg.norm(s.weights))
-        yield pd.DataFrame([(str(name[0]), s.batches, n, alerts, s.threshold, s.psi, s.ks, s.verdict, s.anchors, s.saturated, shift, learned)], columns=[c.split()[0] for c in TELEMETRY.split(", ")])
-
-    rows = df.select(F.col(key).cast("string").alias("key"), F.col(score).alias("score"), F.col(polarity).alias("polarity"))
-    return rows.groupBy("key").applyInPandasWithState(step, TELEMETRY, "state string", "append", GroupStateTimeout.NoTimeout)
+            value = old.cast(kind)
+            fine = ~F.isnan(value) & (F.abs(value) < float("inf")) if kind == "double" else value.isNotNull()
+        out = out.withColumn(n, F.when(F.coalesce(fine, F.lit(False)), value).otherwise(F.col(n)))
+    clamped = F.least(F.greatest(F.col("threshold"), F.lit(low)), F.lit(high))
+    return out.withColumn("threshold", clamped).select(*names)
+
+
+def policy_sink(root: str, key: str, score: str, time: str, row_id: str, polarity: str, bot: str | None = None, config: Config = Config()) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch callback that advances the policy by one micro-batch and writes state, telemetry and the ids of the verdicts
+    learned from under root. A verdict whose id was learned from in an earlier batch, or that occurs twice in one, counts once."""
+
+    def step(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        y = F.col(polarity).cast("int")
+        rows = batch.select(
+            F.col(key).cast("string").alias("key"), F.col(score).cast("double").alias("p"), (F.col(bot).cast("double") if bot else F.lit(None).cast("double")).alias("bot"), F.col(time).alias("t"), F.col(row_id).cast("string").alias("id"), y.alias("y")
+        ).filter(F.col("key").isNotNull())
+        named = F.col("y").isNotNull() & F.col("id").isNotNull()  # a verdict without an id cannot be known again, and counts
+        once = F.row_number().over(Window.partitionBy("id").orderBy("t", "p")) == 1
+        labelled = rows.filter(named).withColumn("y", F.when(once, F.col("y")))
+        known = _versions(spark, f"{root}/verdicts", n)
+        if known is not None:
+            seen = known.select(F.col("id").alias("k_id")).distinct()
+            labelled = labelled.join(seen, F.col("id") == F.col("k_id"), "left").withColumn("y", F.when(F.col("k_id").isNull(), F.col("y"))).drop("k_id")
+        every = stage(rows.filter(~named).unionByName(labelled), "batch")
+        old = snapshot(spark, root, n)
+        keys = every.select("key").distinct()
+        state = initial(keys, config) if old is None else old.unionByName(initial(keys.join(old.select("key"), "key", "left_anti"), config))
+        state = stage(state, "policy")
+        now = stage(advanced(state, summarised(every, state, config), config).withColumn("version", F.lit(n)), "advanced")
+        now.select("key", *[x.split()[0] for x in STATE.split(", ")][1:]).write.mode("overwrite").parquet(f"{root}/state/version={n}")
+        every.filter(named).select("id").write.mode("overwrite").parquet(f"{root}/verdicts/version={n}")
+        norm = F.sqrt(reduce(lambda a, b: a + b, [F.col("weights")[i] * F.col("weights")[i] for i in range(FEATURES)]))
+        out = now.filter("seen").withColumn("batch", F.col("version")).withColumn("shift", norm).withColumn("learned", F.col("verdicts")).select(*TELEMETRY)
+        out.write.mode("overwrite").parquet(f"{root}/telemetry/version={n}")
+
+    return step
+
+
+def telemetry(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/telemetry").drop("version")
 
 
 def apply_policy(df: DataFrame, key: str, score: str, states: DataFrame) -> DataFrame:
