@@ -23,6 +23,14 @@ def source_file(df: DataFrame, names: Iterable[str], keep: bool = True) -> DataF
     return df.filter(hit if keep else ~hit)
 
 
+def source_path(df: DataFrame, parts: Iterable[str], keep: bool = True) -> DataFrame:
+    """Rows of a scan from files whose path holds one of the parts, such as a day's folder (or all others)."""
+    hit: Column = F.lit(False)
+    for p in parts:
+        hit = hit | F.col("_metadata.file_path").contains(p)
+    return df.filter(hit if keep else ~hit)
+
+
 def date_range(df: DataFrame, ts: str, first: str, last: str) -> DataFrame:
     """Whole days, the last one included."""
     t = F.col(f"`{ts}`")

@@ -37,7 +37,7 @@ def logistic(label: str, features: str = "scaled") -> LogisticRegression:
     return LogisticRegression(labelCol=label, featuresCol=features, maxIter=20, regParam=0.01)
 
 
-def specialist(df: DataFrame, label: str, target: str, key: str, features: str = "scaled", trees: int = 20, depth: int = 6):
+def specialist(df: DataFrame, label: str, target: str, key: str, features: str = "scaled", trees: int = 100, depth: int = 12):
     """A one-vs-rest forest on all rows of the target class and about as many others."""
     from flowlab.operators.splits import sample_balanced
 
@@ -74,14 +74,14 @@ def auc(df: DataFrame, label: str, raw: str = "rawPrediction") -> float | None:
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw).evaluate(df)
 
 
-def _fit_and_recall(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int) -> DataFrame:
+def _fit_and_recall(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int, depth: int = 10) -> DataFrame:
     pipe = scaler_pipeline(features).fit(train)
     indexer = index_labels(train, label)
-    model = random_forest("label_idx", trees=trees, depth=5).fit(indexer.transform(pipe.transform(train)))
+    model = random_forest("label_idx", trees=trees, depth=depth).fit(indexer.transform(pipe.transform(train)))
     return metrics.per_class_recall(predict_labels(pipe.transform(test), model, indexer.labels, [label]), label, "predicted")
 
 
-def leakage_causal_test(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 10) -> DataFrame:
+def leakage_causal_test(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 50) -> DataFrame:
     """Recall per class with the test set as it is and without rows whose vector occurs in training."""
     from flowlab.operators.joins import shared_vectors
 
@@ -90,17 +90,17 @@ def leakage_causal_test(train: DataFrame, test: DataFrame, features: list[str],
     return base.join(clean, "label", "full_outer").withColumn("drop", F.round(F.col("recall_all") - F.col("recall_clean"), 6))
 
 
-def scaler_leakage_test(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 10) -> DataFrame:
+def scaler_leakage_test(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 50) -> DataFrame:
     """Recall per class with the scaler fitted on training rows and on all rows."""
     own = _fit_and_recall(train, test, features, label, trees).select("label", F.col("recall").alias("recall_train_scaler"))
     pipe = scaler_pipeline(features).fit(train.unionByName(test))
     indexer = index_labels(train, label)
-    model = random_forest("label_idx", trees=trees, depth=5).fit(indexer.transform(pipe.transform(train)))
+    model = random_forest("label_idx", trees=trees).fit(indexer.transform(pipe.transform(train)))
     both = metrics.per_class_recall(predict_labels(pipe.transform(test), model, indexer.labels, [label]), label, "predicted").select("label", F.col("recall").alias("recall_all_scaler"))
     return own.join(both, "label", "full_outer")
 
 
-def transform_ablation(train: DataFrame, test: DataFrame, features: list[str], logged: list[str], label: str, trees: int = 10) -> DataFrame:
+def transform_ablation(train: DataFrame, test: DataFrame, features: list[str], logged: list[str], label: str, trees: int = 50) -> DataFrame:
     """Recall per class with and without log1p on the named features."""
     from flowlab.operators.clean import log1p_with_floor
 
@@ -115,9 +115,14 @@ def vectors(df: DataFrame, column: str, out: str = "scaled") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(column).cast("array<double>")))
 
 
-def save(model, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_bundle(path: str, parts: dict) -> None:
+    """Fitted models of any kind (scaler, indexer with its labels, forest, regression, clusters) under their names; each is saved as a
+    pipeline, so that one reader loads them all."""
+    for name, model in parts.items():
+        whole = model if isinstance(model, PipelineModel) else PipelineModel([model])
+        whole.write().overwrite().save(f"{path}/{name}")
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_bundle(path: str, names: list[str]) -> dict[str, PipelineModel]:
+    """What `save_bundle` saved; the model itself is the last of `stages`."""
+    return {n: PipelineModel.load(f"{path}/{n}") for n in names}

@@ -98,6 +98,22 @@ def corpus_build(parts: Iterable[tuple[DataFrame, SourceSpec]], features: list[s
     return out
 
 
+def count_report(df: DataFrame, label: str, expected: Mapping[str, int]) -> DataFrame:
+    """(label, expected, actual, passed) for every expected label."""
+    counts = df.groupBy(F.col(f"`{label}`").alias("_label")).agg(F.count(F.lit(1)).alias("n"))
+    want = df.sparkSession.createDataFrame(list(expected.items()), "label string, expected bigint")
+    actual = F.coalesce("n", F.lit(0).cast("bigint"))
+    return want.join(counts, F.col("label") == F.col("_label"), "left").select("label", "expected", actual.alias("actual"), (actual == F.col("expected")).alias("passed"))
+
+
+def assert_counts(df: DataFrame, label: str, expected: Mapping[str, int]) -> DataFrame:
+    """df, if every expected label has its count; else an error that names those that have not."""
+    wrong = count_report(df, label, expected).filter(~F.col("passed")).limit(20).collect()
+    if wrong:
+        raise ValueError("counts differ: " + ", ".join(f"{r['label']} {r['actual']} instead of {r['expected']}" for r in wrong))
+    return df
+
+
 def schema_coverage(df: DataFrame, spec: SourceSpec, features: list[str]) -> DataFrame:
     """(column, status, filled): every canonical column a source lacks, has, or has besides, with its non-null values."""
     named = rename_by_map(strip_column_names(df), spec.rename).drop(*spec.drop)

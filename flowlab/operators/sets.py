@@ -13,6 +13,13 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def union_positional(left: DataFrame, right: DataFrame) -> DataFrame:
+    """By place, under the names of left; both must have as many columns."""
+    if len(left.columns) != len(right.columns):
+        raise ValueError(f"{len(left.columns)} columns against {len(right.columns)}")
+    return left.unionAll(right.toDF(*left.columns))
+
+
 def intersect_vectors(left: DataFrame, right: DataFrame, features: list[str]) -> DataFrame:
     columns = [F.col(f"`{f}`") for f in features]
     return left.select(*columns).intersect(right.select(*columns))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from flowlab.functions import labels
 from flowlab.functions.fingerprint import fingerprint_md5
 from flowlab.operators import clean, feeds, filters, joins, quality, schema, sets, splits
 from flowlab.plans.base import F3, F4, KEY, SQL_L, Book, events, lineitem, long_sql, md5_bucket_sql, table
+from flowlab.sources.shared import shared_dir
 
 book = Book()
 LONG4 = long_sql(F4, "l_returnflag")
@@ -112,11 +115,13 @@ def filter_array_overlap(spark, d):
     return filters.array_overlap(per, "types", ["error", "signup"]).select("user_id", "n")
 
 
-@book.add("SELECT count(*) AS n FROM lineitem")
+@book.add("SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag = 'A'")
 def filter_source_file(spark, d):
-    name = table(spark, d, "lineitem").select("_metadata.file_name").distinct()
-    names = [r[0] for r in name.collect()]  # as many as the table has files
-    return filters.source_file(table(spark, d, "lineitem"), names).agg(F.count(F.lit(1)).alias("n"))
+    """Of a table in three folders the rows of one, by the path they were read from."""
+    path = f"{shared_dir(spark).rstrip('/')}/flowlab/files-{uuid.uuid4().hex}"
+    plain = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    plain.withColumn("day", F.col("l_returnflag")).write.partitionBy("day").parquet(path)
+    return filters.source_path(spark.read.schema(plain.schema).parquet(path), ["day=A/"]).drop("day")
 
 
 @book.add("""WITH w AS (SELECT l_returnflag AS label, least(50.0, sum(count(*)) OVER () / (count(*) OVER () * count(*))) AS w FROM lineitem GROUP BY 1)

@@ -24,7 +24,7 @@ def forest_scores(spark, d):
     train, test = split_flows(spark, d)
     pipe = models.scaler_pipeline(F4).fit(train)
     indexer = models.index_labels(train, "l_returnflag")
-    model = models.random_forest("label_idx", trees=10, depth=5).fit(indexer.transform(pipe.transform(train)))
+    model = models.random_forest("label_idx").fit(indexer.transform(pipe.transform(train)))
     return pipe, indexer, model, test
 
 
@@ -54,7 +54,7 @@ def train_lr_binary(spark, d):
 def train_specialist(spark, d):
     train, test = split_flows(spark, d)
     pipe = models.scaler_pipeline(F4).fit(train)
-    model = models.specialist(pipe.transform(train), "l_returnflag", "R", KEY, trees=10)
+    model = models.specialist(pipe.transform(train), "l_returnflag", "R", KEY)
     return metrics.per_class_score(models.score(pipe.transform(test), model, "p", ["l_returnflag"]), "l_returnflag", "p", 0.5)
 
 
@@ -68,19 +68,19 @@ def train_kmeans(spark, d):
 @book.add()
 def leakage_causal_test(spark, d):
     train, test = split_flows(spark, d)
-    return models.leakage_causal_test(train, test, ["l_quantity", "l_discount", "l_tax"], "l_returnflag", 5)
+    return models.leakage_causal_test(train, test, ["l_quantity", "l_discount", "l_tax"], "l_returnflag")
 
 
 @book.add()
 def scaler_leakage_test(spark, d):
     train, test = split_flows(spark, d)
-    return models.scaler_leakage_test(train.drop("split"), test.drop("split"), F4, "l_returnflag", 5)
+    return models.scaler_leakage_test(train.drop("split"), test.drop("split"), F4, "l_returnflag")
 
 
 @book.add()
 def transform_ablation(spark, d):
     train, test = split_flows(spark, d)
-    return models.transform_ablation(train, test, F4, ["l_extendedprice"], "l_returnflag", 5)
+    return models.transform_ablation(train, test, F4, ["l_extendedprice"], "l_returnflag")
 
 
 # -- streams: the events table as a file stream, read once -----------------------------------------------------------------

@@ -141,14 +141,20 @@ def sink_upsert_state(spark, d):
     states = events(spark, d).select(F.col("event_type").alias("key"), F.col("event_id").alias("version"), F.col("value").alias("threshold"))
     for part in (1, 0):
         sinks.upsert_state(states.filter(F.col("version") % 2 == part), path, ["key"], "version")
-    return sinks.latest_state(spark, path, ["key"], "version")
+    return sinks.latest_state(spark, path)
 
 
-@book.add(f"SELECT 'nodes' AS name, count(*) AS n FROM {graphs.NODES} UNION ALL SELECT 'edges', count(*) FROM {graphs.EDGES} UNION ALL SELECT 'communities', count(DISTINCT community) FROM {graphs.PARTS}")
+@book.add(f"""SELECT 'nodes' AS name, ip AS a, CAST(NULL AS BIGINT) AS b, total_flows AS n, CAST(NULL AS VARCHAR) AS community FROM {graphs.NODES} UNION ALL SELECT 'edges', src, dst, weight, s.community FROM {graphs.EDGES} JOIN {graphs.PARTS} s ON s.ip = src
+ UNION ALL SELECT 'communities', NULL, NULL, size, community FROM {graphs.STATS}""")
 def sink_graph_tables(spark, d):
     parts = graphs.parts(spark, d)
     version = sinks.write_graph({"nodes": graphs.nodes(spark, d), "edges": graph.endpoint_communities(graphs.edges(spark, d), parts), "communities": graphs.stats(spark, d)}, folder(spark))
-    return sets.union_all([spark.read.parquet(f"{version}/{n}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in ("nodes", "edges", "communities")])
+    none, rows = F.lit(None).cast("bigint"), lambda n: spark.read.parquet(f"{version}/{n}").withColumn("name", F.lit(n))
+    return sets.union_all([
+        rows("nodes").select("name", F.col("ip").alias("a"), none.alias("b"), F.col("total_flows").alias("n"), F.lit(None).cast("string").alias("community")),
+        rows("edges").select("name", F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("n"), F.col("src_community").alias("community")),
+        rows("communities").select("name", none.alias("a"), none.alias("b"), F.col("size").alias("n"), "community"),
+    ])
 
 
 @book.add(f"SELECT src_ip AS source, event_type AS attack FROM {GRADED} WHERE p >= 0.8")
@@ -230,11 +236,12 @@ def community_attack_stats(spark, d):
     return graphs.stats(spark, d).select(F.col("community").alias("src_community"), "attack_edges", "bytes")
 
 
-@book.add(f"SELECT user_id, CASE WHEN count(*) >= 90 THEN 'Critical' WHEN count(*) >= 70 THEN 'High' ELSE 'Medium' END AS severity FROM {SQL_S} GROUP BY 1")
+@book.add("""WITH c AS (SELECT user_id, date_trunc('day', ts) AS w, count(*) AS k FROM events GROUP BY ALL) SELECT user_id, w AS window_start, CASE WHEN k >= 6 THEN 'Critical' WHEN k >= 4 THEN 'High' ELSE 'Medium' END AS severity
+ FROM c WHERE k >= 2 AND w + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 30 SECOND FROM events)""")
 def stream_spike_severity(spark, d):
-    from flowlab.functions.scores import spike_severity
-
-    return events(spark, d).groupBy("user_id").agg(spike_severity(F.count(F.lit(1)), 90, 70).alias("severity"))
+    """Severity of the spikes of a stream, each window once its watermark has passed."""
+    df = detection.spikes(stream(spark, d), "user_id", "ts", "value", "event_type", "1 day", 2, 4, 6)
+    return finished(spark, df.select("user_id", "window_start", "severity"))
 
 
 @book.add("SELECT event_id, date_trunc('second', ts) AS event_ts FROM events")
@@ -261,6 +268,6 @@ def feedback_poll(spark, d):
     return v.unionByName(v).dropDuplicates(["event_id"]).join(seen, "event_id", "left_anti").filter(F.col("label").isNotNull())
 
 
-@book.add("SELECT feature, count(*) AS n FROM (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature FROM lineitem) GROUP BY 1")
+@book.add(f"SELECT l_rowkey, unnest([{', '.join(repr(f) for f in F4)}]) AS feature, unnest([{', '.join(F4)}]) AS value FROM {SQL_L}")
 def wide_to_long(spark, d):
-    return lineitem(spark, d).select(KEY, *F4).unpivot([KEY], F4, "feature", "value").groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    return lineitem(spark, d).select(KEY, *F4).unpivot([KEY], F4, "feature", "value")

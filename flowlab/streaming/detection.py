@@ -42,6 +42,25 @@ def nominal(df: DataFrame, score: str, cut: float, keep: Column) -> DataFrame:
     return df.filter(~above(F.col(score), cut) & keep)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark dropped in the batches that the query still reports."""
+    return sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in p["stateOperators"])
+
+
+def run_all(parts: dict[str, tuple[DataFrame, Callable[[DataFrame, int], None]]], checkpoints: str, mode: str = "append") -> None:
+    """Several queries together, each with a checkpoint of its own; returns when all have read what is there. The first error is raised
+    after the others have ended."""
+    queries = [start(df, sink, f"{checkpoints}/{name}", mode) for name, (df, sink) in parts.items()]
+    errors = []
+    for q in queries:
+        try:
+            q.awaitTermination()
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+    if errors:
+        raise errors[0]
+
+
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Run on what is there and stop; each query has its own checkpoint. Errors fail the query, so no batch is lost."""
     return df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -45,5 +45,5 @@ def test_every_query_but_a_few_has_sql():
     assert set(registry.oracle_sql()) <= set(registry.queries())
     assert without == {
         "graph_communities", "graph_label_propagation", "train_rf_multiclass", "topn_feature_importance", "train_lr_binary", "train_specialist",
-        "train_kmeans", "leakage_causal_test", "scaler_leakage_test", "transform_ablation", "stream_adaptive_policy",
+        "train_kmeans", "leakage_causal_test", "scaler_leakage_test", "transform_ablation", "stream_adaptive_policy", "train_rf_binary", "train_lr_multinomial", "stream_score_forest",
     }
