@@ -28,7 +28,8 @@ def rotate_perspectives(
     rendering on which the perspective's own texts stand) and mask_chars.
 
     A turn is rendered as <|role name|> line, text, <|end|> line: `assistant` for the perspective itself, `system` for a
-    narrator, `user NAME` for anyone else. Joining the parts' texts in order gives the whole rendering; conversations of
+    narrator, `user NAME` for anyone else. Names and texts are rendered as they are: a marker or line feed in them is not
+    escaped, so only the mask, not the text, says for sure where a turn ends. Joining the parts' texts in order gives the whole rendering; conversations of
     up to `part_turns` turns are one row.
 
     Null or empty roles are the speaker `unknown`; null texts are empty; null turns come first and equal turns follow
