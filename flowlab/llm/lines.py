@@ -13,6 +13,7 @@ missed.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pandas as pd
@@ -23,8 +24,6 @@ from flowlab.llm import bloom, textops
 from flowlab.llm.common import bounded_batches, frugal, shelved, stage, whole_key
 from flowlab.llm.skew import join_weighted
 
-#: Words from which copies of a line are removed.
-MIN_WORDS = 1
 #: Defaults: words from which near lines are compared by words, and characters from which lines of fewer words are by characters.
 NEAR_WORDS, NEAR_CHARACTERS = 8, 24
 
@@ -41,24 +40,43 @@ NO_KEY = -(1 << 63)
 
 
 class _Lines:
-    """The lines of some texts, of at least `least` words, as ranges of word hashes with sums of hash * Q^position. With
-    `words_below` the ranges are of character hashes, and the lines those of at least `least` characters and at most so many words."""
-
-    def __init__(self, texts: list[bytes], least: int, words_below: int | None = None):
-        characters = words_below is not None
-        self.salt = _CHARACTERS if characters else np.uint64(0)
-        if characters:
-            code, text, line = textops.characters(texts)
-            h = textops.mix(code.astype(np.uint64) + np.uint64(1))
-        else:
-            h, text, line = textops.words(texts, textops.NOT_SPACE)
+    """The lines of some texts as ranges of word hashes with sums of hash * Q^position; `short` gives some of them as ranges of
+    character hashes. `text` and `pos` say where a line is, `index` is its number among the lines of the texts that have a word."""
+
+    def __init__(self, texts: list[bytes]):
+        h, text, line, first, last = textops.words(texts, textops.NOT_SPACE, places=True)
         new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (line[1:] != line[:-1])])) if len(h) else np.zeros(0, np.int64)
+        self._texts = texts
+        self._first, self._last = first[new], last[np.concatenate([new[1:], [len(h)]]) - 1] if len(h) else new
+        self.salt = np.uint64(0)
+        self.text, self.pos, self.index = text[new], line[new], np.arange(len(new))
+        self._summed(h, new)
+
+    def of_words(self, least: int) -> _Lines:
+        """The lines of at least `least` words."""
+        out = copy(self)
+        keep = self.n >= least
+        out.start, out.n, out.text, out.pos, out.index = self.start[keep], self.n[keep], self.text[keep], self.pos[keep], self.index[keep]
+        return out
+
+    def short(self, least: int, most_words: int) -> _Lines:
+        """The lines of at most `most_words` words and at least `least` characters, in characters. Only these lines are decoded."""
+        at = np.flatnonzero((self.n <= most_words) & (self._last - self._first >= least))
+        joined = b"\n".join([*self._texts, b""])
+        code, line, _ = textops.characters([joined[a:z] for a, z in zip(self._first[at].tolist(), self._last[at].tolist(), strict=True)])
+        new = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(code) else np.zeros(0, np.int64)
+        out = copy(self)
+        out.salt = _CHARACTERS
+        out.index = self.index[at]
+        out.text, out.pos = self.text[at], self.pos[at]
+        out._summed(textops.mix(code.astype(np.uint64) + np.uint64(1)), new)
+        keep = out.n >= least
+        out.start, out.n, out.text, out.pos, out.index = out.start[keep], out.n[keep], out.text[keep], out.pos[keep], out.index[keep]
+        return out
+
+    def _summed(self, h: np.ndarray, new: np.ndarray) -> None:
         count = np.diff(np.concatenate([new, [len(h)]]))
-        keep = count >= least
-        if characters and len(h):
-            keep &= np.add.reduceat(code == 32, new, dtype=np.int64) < words_below
-        self.start, self.n = new[keep], count[keep]
-        self.text, self.pos = text[self.start] if len(h) else new, line[self.start] if len(h) else new
+        self.start, self.n = new, count
         self.words = h
         self.at = np.arange(len(h)) - np.repeat(new, count)  # position in the line
         longest = int(count.max()) if len(count) else 0
@@ -70,10 +88,6 @@ class _Lines:
         s = self.start[line] + first
         return textops.mix((self.sum[s + count] - self.sum[s]) * self.down[first] + count.astype(np.uint64)) ^ self.salt
 
-    def place(self) -> np.ndarray:
-        """The text and the number of each line as one number, ascending."""
-        return self.text.astype(np.int64) << 32 | self.pos
-
     def ids(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits that name the line's words."""
         every = np.arange(len(self.n))
@@ -102,15 +116,14 @@ def _line_rows(near_words: int, near_characters: int):
         for pdf in batches:
             ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
             for first, part in textops.slices(list(pdf["text"])):
-                lines = _Lines(part, MIN_WORDS)
+                lines = _Lines(part)
                 if len(lines.n):
                     a, b = lines.ids()
                     at = first + lines.text
                     halves = np.full((len(at), 8), NO_HALF, np.int64)
-                    long = lines.n >= near_words
-                    halves[long, :4] = _signed(lines.halves()[long])
-                    short = _Lines(part, near_characters, near_words)
-                    halves[np.searchsorted(lines.place(), short.place()), 4:] = _signed(short.halves())
+                    long, short = lines.of_words(near_words), lines.short(near_characters, near_words)
+                    halves[long.index, :4] = _signed(long.halves())
+                    halves[short.index, 4:] = _signed(short.halves())
                     yield pd.DataFrame({"doc_id": ids[at], "th": hashes[at], "pos": lines.pos, "a": _signed(a), "b": _signed(b)} | dict(zip(HALVES, halves.T, strict=True)))
 
     return rows
@@ -156,12 +169,12 @@ def _variant_rows(table: np.ndarray, bits: int, near_words: int, near_characters
         for pdf in batches:
             ids, hashes = pdf["doc_id"].to_numpy(), pdf["th"].to_numpy()
             for first, part in textops.slices(list(pdf["text"])):
-                every = _Lines(part, MIN_WORDS)
+                every = _Lines(part)
                 if not len(every.n):
                     continue
                 names, _ = every.ids()
-                for kind, lines in ((0, _Lines(part, near_words)), (2, _Lines(part, near_characters, near_words))):
-                    made = _variants(lines, names[np.searchsorted(every.place(), lines.place())], table, bits, first + lines.text, ids, hashes, kind)
+                for kind, lines in ((0, every.of_words(near_words)), (2, every.short(near_characters, near_words))):
+                    made = _variants(lines, names[lines.index], table, bits, first + lines.text, ids, hashes, kind)
                     if made is not None:
                         yield made
 

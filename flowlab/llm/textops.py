@@ -50,9 +50,9 @@ def slices(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, part
 
 
-def words(texts: list[bytes], word_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text index, line index in the text) of every word, in order. Words are runs of bytes for which
-    word_byte (256 booleans, false for the line feed) holds; lines end at line feeds."""
+def words(texts: list[bytes], word_byte: np.ndarray, places: bool = False) -> tuple[np.ndarray, ...]:
+    """(hash, text index, line index in the text) of every word, in order, with `places` also its start and end in the texts joined by
+    line feeds. Words are runs of bytes for which word_byte (256 booleans, false for the line feed) holds; lines end at line feeds."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     inside = word_byte[data]
     edge = np.diff(np.concatenate([[False], inside]).astype(np.int8))
@@ -65,7 +65,7 @@ def words(texts: list[bytes], word_byte: np.ndarray) -> tuple[np.ndarray, np.nda
     last = np.cumsum([len(t) + 1 for t in texts]) - 1  # the line feed behind each text
     text = np.searchsorted(last, start)
     before = np.concatenate([[0], np.searchsorted(feeds, last[:-1]) + 1]) if len(texts) else np.zeros(0, np.int64)
-    return hashes, text, line - before[text]
+    return (hashes, text, line - before[text], start, end) if places else (hashes, text, line - before[text])
 
 
 def characters(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ def brute(rows):
         gone = []
         for pos, line in enumerate((text or "").split("\n")):
             w = line.split()
-            if len(w) >= lines.MIN_WORDS:
+            if w:
                 if any(w == s or (min(len(w), len(s)) >= lines.NEAR_WORDS and near(w, s)) for s in seen):
                     gone.append(pos)
                 seen.append(w)
