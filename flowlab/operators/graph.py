@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.sources.shared import stage
+from flowlab.sources.shared import stage, unstage
 
 
 def build_edges(flows: DataFrame) -> DataFrame:
@@ -57,7 +57,8 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 200, tolerance
     for _ in range(rounds):
         given = ranks.select("ip", "r").join(share, F.col("ip") == F.col("src")).groupBy("dst").agg(F.sum(F.col("r") * F.col("p")).alias("g"))
         met = ranks.select("ip", "has_out", F.col("r").alias("old")).join(given, F.col("ip") == F.col("dst"), "left")
-        ranks = stage(met.select("ip", "has_out", "old", (F.lit((1 - alpha) / n + alpha * lost / n) + alpha * F.coalesce("g", F.lit(0.0))).alias("r")), "ranks")
+        last, ranks = ranks, stage(met.select("ip", "has_out", "old", (F.lit((1 - alpha) / n + alpha * lost / n) + alpha * F.coalesce("g", F.lit(0.0))).alias("r")), "ranks")
+        unstage(last)
         row = ranks.agg(F.sum(F.abs(F.col("r") - F.col("old"))).alias("change"), F.coalesce(F.sum(F.when(~F.col("has_out"), F.col("r"))), F.lit(0.0)).alias("lost")).first()
         lost = row["lost"]
         if row["change"] < n * tolerance:
@@ -101,7 +102,8 @@ def label_propagation(edges: DataFrame, rounds: int = 10) -> DataFrame:
             a, b = open_.select(F.col("ip").alias("x"), F.col("h").alias("hx")), open_.select(F.col("ip").alias("y"), F.col("h").alias("hy"))
             waits = both.join(a, "x").join(b, "y").filter("hy < hx OR (hy = hx AND y < x)").select(F.col("x").alias("ip"), F.lit(True).alias("waits")).distinct()
             moved = wish.join(waits, "ip", "left").select("ip", F.when(F.col("waits"), F.col("community")).otherwise(F.col("new")).alias("community"))
-        labels = stage(moved, "labels")
+        last, labels = labels, stage(moved, "labels")
+        unstage(last, wish)
 
 
 def _quality(level: DataFrame, home: DataFrame, m2: float) -> float:

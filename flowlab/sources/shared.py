@@ -22,3 +22,12 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/flowlab/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, such as those of a round that a later one has replaced."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/flowlab/" in f}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
