@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlab.llm.skew import join_weighted
-from flowlab.sources.shared import stage
+from flowlab.sources.shared import stage, unstage
 
-__all__ = ["bounded_batches", "exclusive_sums", "frugal", "others", "read_bytes", "shelved", "stage", "table", "whole_key"]
+__all__ = ["bounded_batches", "exclusive_sums", "frugal", "others", "read_bytes", "shelved", "stage", "table", "unstage", "whole_key"]
 
 #: Elements per block in `exclusive_sums`; within a block the cost is quadratic, so it stays small.
 BLOCK = 256

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import stage
+from flowlab.llm.common import stage, unstage
 from flowlab.llm.skew import join_weighted
 
 
@@ -24,6 +24,8 @@ def connected(edges: DataFrame) -> DataFrame:
         of = lower.groupBy(F.col("label").alias("o_label")).agg(F.count(F.lit(1)).alias("n")).join(labels.select(F.col("id").alias("l_id"), F.col("label").alias("l_label")), F.col("o_label") == F.col("l_id"))
         of = stage(of.select("o_label", "l_label", "n"), "jumps")
         new = stage(join_weighted(lower, of, F.col("label") == F.col("o_label"), "n").select("id", "old", F.least("label", "l_label").alias("label"), "edges"), "labels")
+        unstage(labels, lower, of)
         labels = new.select("id", "label", "edges")
         if new.filter("old <> label").isEmpty():
+            unstage(both)
             return labels.select("id", "label")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm import bloom, textops
-from flowlab.llm.common import bounded_batches, frugal, shelved, stage
+from flowlab.llm.common import bounded_batches, frugal, shelved, stage, unstage
 from flowlab.llm.components import connected
 from flowlab.llm.skew import join_weighted
 
@@ -246,7 +246,9 @@ def forest(sets: DataFrame, sure: int) -> tuple[DataFrame, DataFrame]:
     kept = nodes.join(used, F.col("n_node") == F.col("node"), "left_semi").groupBy("n_at", "m", "s", "xa", "xb", "sa").agg(F.min(F.struct("first_tree", "n_node")).alias("f"))
     kept = stage(kept.select(F.col("f.n_node").alias("k_node"), F.col("f.first_tree").alias("tree"), blocks, F.col("m").alias("k_m")), "kept")
     members = join_weighted(placed.drop("m"), kept, F.col("node") == F.col("k_node"), "k_m")
-    return stage(members.select("node", "at", "tree", "blocks", "a", "b", "depth"), "members"), depths
+    members = stage(members.select("node", "at", "tree", "blocks", "a", "b", "depth"), "members")
+    unstage(rows, nodes, met, placed, kept)
+    return members, depths
 
 
 def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
@@ -269,6 +271,7 @@ def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD
         .sortWithinPartitions(*KEYS)
     )
     found = stage(dealt.mapInPandas(_verify_rows(threshold), FOUND), "found")
+    unstage(members)
     links = found.groupBy("a", "b").agg(F.sum("texts").alias("texts"), F.sum("copies").alias("copies"))
     ends = (F.struct(F.col("a"), F.col("b")).alias("x"), F.struct(F.col("to_a").alias("a"), F.col("to_b").alias("b")).alias("y"))
     component = connected(found.select(*ends).filter("x <> y"))
