@@ -36,7 +36,11 @@ def saved_scores(spark) -> dict:
     return models.load_bundle(path, ["gate", "specialist"])
 
 
-HINT = F.when(F.col("event_type") == "view", "Benign").when(F.col("event_type") == "click", "Infiltration").when(F.col("event_type") == "signup", F.lit(None)).otherwise(F.col("event_type"))
+def hinted(df):
+    """A class name for some event types, as a hint to the verdict."""
+    kind = F.col("event_type")
+    return df.withColumn("hint", F.when(kind == "view", "Benign").when(kind == "click", "Infiltration").when(kind == "signup", F.lit(None)).otherwise(kind))
+
 
 
 @book.add(alerts.book.sql["classify_flow"])
@@ -44,7 +48,7 @@ def stream_score(spark, d):
     """The whole scoring stream with loaded models, through the alert sink; its alerts are those of the batch."""
     path = folder(spark)
     loaded = saved_scores(spark)
-    rows = stream(spark, d).select("event_id", "event_type", "value").withColumn("hint", HINT)
+    rows = hinted(stream(spark, d).select("event_id", "event_type", "value"))
     sink = sinks.alert_sink(f"{path}/alerts", "ml", lambda b: scoring.scored_alerts(b, loaded, ["event_id"], alerts.TH, "hint"))
     detection.start(rows, sink, f"{path}/checkpoint").awaitTermination()
     return verdicts(spark.read.option("recursiveFileLookup", True).parquet(f"{path}/alerts"))
