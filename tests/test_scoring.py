@@ -80,4 +80,4 @@ def test_counts_unions_paths_and_state(spark, flows, tmp_path):
     assert filters.source_path(rows, ["day=Bot/"], keep=False).count() == flows.count() - n["Bot"]
     for v, t in ((1, 0.5), (3, 0.7), (2, 0.6)):
         sinks.upsert_state(spark.createDataFrame([("k", v, t), (f"k{v}", v, t)], "key string, v int, t double"), f"{tmp_path}/state", ["key"], "v")
-    assert {r["key"]: r["t"] for r in sinks.latest_state(spark, f"{tmp_path}/state").collect()} == {"k": 0.7, "k1": 0.5, "k2": 0.6, "k3": 0.7}
+    assert {r["key"]: r["t"] for r in sinks.latest_state(spark, f"{tmp_path}/state", ["key"], "v").collect()} == {"k": 0.7, "k1": 0.5, "k2": 0.6, "k3": 0.7}
