@@ -16,7 +16,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Language ID rejects texts of at least LONG characters of which less than FAMILIAR of the byte pairs were learned, whose best two languages
 #: are less than MIXED apart, or whose language is not the one they are labelled with, and SURE above every other. Shorter texts
 #: tell too little: clean ones are unsure too.
-LONG, FAMILIAR, MIXED, SURE = 100, 0.6, 0.2, 0.5
+LONG, FAMILIAR, MIXED, SURE = 100, 0.6, 0.1, 0.5
 
 
 def rejection(lang: Column, n_chars: Column) -> Column:
