@@ -22,7 +22,7 @@ SAMPLE_PER_LANG, SAMPLE_CHARS, SAMPLE_LANGS = 1536, 160, 200
 SAMPLE_PARTS = 64
 HIDDEN, STEPS_TRAIN, BATCH, ROUNDS, RATE, SEED = 12, 48, 256, 260, 0.02, 7
 #: Inference: bytes that a row of the batch labels, bytes read before and behind them, and rows run together.
-STEPS, CONTEXT, ROWS = 208, 24, 512
+STEPS, CONTEXT, ROWS = 208, 24, 1024
 UNDETERMINED = "und"
 
 
@@ -68,10 +68,11 @@ def _states(m: Model, x: np.ndarray, keep: bool = False):
         c = _sigmoid(c)
         c += c
         c -= 1  # tanh(x) = 2 sigmoid(2x) - 1
-        h = h + f * (c - h)
-        out[t] = h
         if keep:
             gates[t], cands[t] = f, c
+        c -= h
+        c *= f
+        h = np.add(h, c, out=out[t])
     return (out, gates, cands, ids) if keep else out
 
 
@@ -79,9 +80,9 @@ def _position_probabilities(m: Model, states: np.ndarray) -> np.ndarray:
     """(steps, rows, L)"""
     hidden = m.gate.shape[1]
     logits = states[:, 0] @ m.out[:hidden] + states[::-1, 1] @ m.out[hidden:] + m.bias
-    logits -= logits.max(-1, keepdims=True)
+    np.clip(logits, -60, 60, out=logits)  # far beyond what trained weights give; exp stays finite
     np.exp(logits, out=logits)
-    logits /= logits.sum(-1, keepdims=True)
+    logits /= logits @ np.ones((logits.shape[-1], 1), logits.dtype)
     return logits
 
 
@@ -116,8 +117,8 @@ def _gradients(m: Model, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
 
 def _pairs(text: bytes) -> np.ndarray:
     """Every byte and the one before it as one number; a space stands before the first."""
-    b = np.frombuffer(b" " + text, np.uint8).astype(np.int64)
-    return b[:-1] << 8 | b[1:]
+    b = np.frombuffer(b" " + text, np.uint8).astype(np.uint16)
+    return b[:-1] << np.uint16(8) | b[1:]
 
 
 def familiar(m: Model, texts: list[bytes]) -> np.ndarray:
