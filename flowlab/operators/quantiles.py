@@ -59,7 +59,7 @@ def pivoted(quantiles: DataFrame, by: list[str], names: list[str]) -> DataFrame:
     return quantiles.groupBy(*by).agg(*[F.max(F.when(F.col("i") == i, F.col("quantile"))).alias(n) for i, n in enumerate(names)])
 
 
-def range_parts(df: DataFrame, by: list[str], value: str, out: str, parts: int = 256) -> DataFrame:
+def range_parts(df: DataFrame, by: list[str], value: str, out: str, parts: int = 32) -> DataFrame:
     """df with `out`: the part, of about `parts` of equal size in its group, that holds the value; parts are in order of values."""
     cuts = df.groupBy(*by).agg(F.array_distinct(F.percentile_approx(value, [i / parts for i in range(1, parts)], ACCURACY)).alias("_cuts")).select(*[F.col(c).alias(f"_c{j}") for j, c in enumerate(by)], "_cuts")
     met = df.join(cuts, [F.col(c).eqNullSafe(F.col(f"_c{j}")) for j, c in enumerate(by)])
