@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import ann, bpe, chat, decontam, jaccard, langid, lines, secrets, token_counts, urls
+from flowlab.llm import ann, bpe, chat, decontam, jaccard, langid, lines, repair, secrets, token_counts, urls
 from flowlab.llm.common import stage, table
 
 #: The URL rules of op5.
@@ -71,10 +71,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminations(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = repair.damage(said)
+    planned = stage(repair.plans(rows, said), "plans")
+    digests = repair.digests(rows, planned).withColumnRenamed("conv_id", "d_conv")
+    return planned.join(digests, F.col("conv_id").eqNullSafe(F.col("d_conv"))).drop("d_conv")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_language_id, op2_chat_formatting, op3_secret_scans, op4_ngram_jaccard_join, op5_url_filters,
-        op6_byte_level_bpe, op7_token_counts, op8_line_dedup, op9_nearest_neighbours, op10_decontamination,
+        op6_byte_level_bpe, op7_token_counts, op8_line_dedup, op9_nearest_neighbours, op10_decontamination, op12_conversation_repair,
     )
     return {f.__name__: f for f in every}
 
