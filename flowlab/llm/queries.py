@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import ann, bpe, chat, decontam, jaccard, langid, lines, repair, secrets, token_counts, urls
+from flowlab.llm import ann, bpe, chat, decontam, jaccard, langid, lines, packing, repair, secrets, token_counts, urls
 from flowlab.llm.common import stage, table
 
 #: The URL rules of op5.
@@ -79,10 +79,15 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.join(digests, F.col("conv_id").eqNullSafe(F.col("d_conv"))).drop("d_conv")
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(stage(packing.pieces(table(spark, sf_dir, "documents")), "pieces"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_language_id, op2_chat_formatting, op3_secret_scans, op4_ngram_jaccard_join, op5_url_filters,
-        op6_byte_level_bpe, op7_token_counts, op8_line_dedup, op9_nearest_neighbours, op10_decontamination, op12_conversation_repair,
+        op6_byte_level_bpe, op7_token_counts, op8_line_dedup, op9_nearest_neighbours, op10_decontamination,
+        op12_conversation_repair, op13_best_fit_packing,
     )
     return {f.__name__: f for f in every}
 
