@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import ann, bpe, chat, decontam, jaccard, langid, lines, packing, repair, secrets, token_counts, urls
+from flowlab.llm import ann, bpe, chat, decontam, filter_audit, jaccard, langid, lines, packing, repair, secrets, token_counts, urls
 from flowlab.llm.common import stage, table
 
 #: The URL rules of op5.
@@ -71,6 +71,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminations(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failing(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = repair.damage(said)
@@ -87,7 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_language_id, op2_chat_formatting, op3_secret_scans, op4_ngram_jaccard_join, op5_url_filters,
         op6_byte_level_bpe, op7_token_counts, op8_line_dedup, op9_nearest_neighbours, op10_decontamination,
-        op12_conversation_repair, op13_best_fit_packing,
+        op11_filter_audit, op12_conversation_repair, op13_best_fit_packing,
     )
     return {f.__name__: f for f in every}
 
@@ -144,5 +148,24 @@ SELECT conv_id, perspective, CAST(seq // {chat.PART_TURNS} AS INTEGER) AS part,
 FROM o GROUP BY conv_id, perspective, seq // {chat.PART_TURNS}"""
 
 
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS txt FROM documents),
+w AS (SELECT *, regexp_extract_all(txt, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY txt) AS least FROM d),
+f AS (SELECT doc_id, part, CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(txt, '[^A-Z]', '', 'g')) > 10 * length(txt) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(txt, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS fails FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+a(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM a, a b, a c, a d, a e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter, filter_order[:step - 1] AS before FROM o, range(1, 6) r(step)),
+j AS (SELECT part, filter_order, step, fails, n, n_good, n_toxic, contains(fails, letter) AS own, fails = letter AS only_own, len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 AND before <> '' AND fails <> '' AS gone FROM c, s)
+SELECT part, filter_order, step, CAST(coalesce(sum(n) FILTER (NOT own AND NOT gone), 0) AS BIGINT) AS kept, CAST(coalesce(sum(n) FILTER (own AND NOT gone), 0) AS BIGINT) AS removed,
+       CAST(coalesce(sum(n) FILTER (own AND gone), 0) AS BIGINT) AS redundant, CAST(coalesce(sum(n) FILTER (only_own), 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(sum(n_good) FILTER (own AND NOT gone), 0) AS BIGINT) AS good_lost, CAST(coalesce(sum(n_toxic) FILTER (own AND NOT gone), 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(n * 120 // greatest(length(fails), 1)) FILTER (own), 0) AS BIGINT) AS shapley
+FROM j GROUP BY part, filter_order, step"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": CHAT_SQL, "op3_secret_scans": _secrets_sql(), "op5_url_filters": _urls_sql()}
+    return {"op2_chat_formatting": CHAT_SQL, "op3_secret_scans": _secrets_sql(), "op5_url_filters": _urls_sql(), "op11_filter_audit": AUDIT_SQL}
