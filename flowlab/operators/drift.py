@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlab.functions.scores import novelty as novelty_of
 from flowlab.functions.scores import score_bin
+from flowlab.operators import scan
 
 BINS, EPS = 20, 1e-4
 
@@ -36,21 +37,22 @@ def novelty(df: DataFrame, score: str, reference: DataFrame, bins: int = BINS) -
     return df.withColumn("_b", score_bin(F.col(score), bins)).join(F.broadcast(share), F.col("_b") == F.col("_bin"), "left").withColumn("novelty", F.round(novelty_of(F.coalesce("_share", F.lit(0.0))), 6)).drop("_b", "_bin", "_share")
 
 
-def streaks(verdicts: DataFrame, key: str, order: str, patience: int = 5) -> DataFrame:
-    """Runs of drifted windows: (key, window, streak, act); act when a run is `patience` long (gaps and islands)."""
-    w = Window.partitionBy(key).orderBy(order)
-    drifted = F.col("verdict") != "stable"
-    island = F.sum(F.when(drifted, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    marked = verdicts.withColumn("_i", island)
-    streak = F.count_if(drifted).over(Window.partitionBy(key, "_i").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return marked.withColumn("streak", streak).withColumn("act", (F.col("streak") > 0) & (F.col("streak") % patience == 0)).drop("_i")
+def streaks(verdicts: DataFrame, key: str, order: str, patience: int = 5, rows: int | None = None) -> DataFrame:
+    """The columns of verdicts with streak, the length of the run of drifted windows that ends here (0 if this one is stable), and act: the run
+    is a multiple of `patience` long. A null verdict is stable. A prefix scan: a key of any number of windows is many tasks (of `rows` each)."""
+    runs = scan.run_lengths(F.col("verdict") != "stable")
+    out = scan.prefix_scan(verdicts, [key], [order], runs, "_run", rows).withColumn("streak", F.col("_run.run")).drop("_run")
+    return out.withColumn("act", (F.col("streak") > 0) & (F.col("streak") % patience == 0))
 
 
-def ema(df: DataFrame, key: str, order: str, value: str, alpha: float) -> DataFrame:
-    """(key, ema): exponential mean over the ordered values of each key, as a fold."""
-    values = F.transform(F.sort_array(F.collect_list(F.struct(order, value))), lambda x: x[value].cast("double"))
-    fold = F.aggregate(F.slice("v", 2, F.greatest(F.size("v") - 1, F.lit(0))), F.col("v")[0], lambda acc, x: acc + alpha * (x - acc))
-    return df.groupBy(key).agg(values.alias("v")).select(key, F.round(fold, 6).alias("ema"))
+def ema(df: DataFrame, key: str, order: str, value: str, alpha: float, rows: int | None = None) -> DataFrame:
+    """(key, ema): exponential mean over the ordered values of each key, null where it has none. A fold of affine maps over many tasks."""
+    return scan.fold(df, [key], [order, value], scan.affine(value, alpha), "_run", rows).select(key, F.round(scan.mean_of(F.col("_run")), 6).alias("ema"))
+
+
+def ema_running(df: DataFrame, key: str, order: str, value: str, alpha: float, rows: int | None = None) -> DataFrame:
+    """df with the exponential mean of its key up to each row."""
+    return scan.prefix_scan(df, [key], [order, value], scan.affine(value, alpha), "_run", rows).withColumn("ema", F.round(scan.mean_of(F.col("_run")), 6)).drop("_run")
 
 
 def reanchor(reference: DataFrame, observed: DataFrame, blend: float = 0.25) -> DataFrame:

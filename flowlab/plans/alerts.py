@@ -404,6 +404,22 @@ def win_ema(spark, d):
     return drift.ema(v, "k", "day", "x", 0.1)
 
 
+@book.add("""WITH RECURSIVE v AS (SELECT event_type AS k, event_id, value AS x, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS i FROM events), e AS (SELECT k, i, event_id, x AS m FROM v WHERE i = 1 UNION ALL SELECT v.k, v.i, v.event_id, e.m + 0.05 * (v.x - e.m) FROM e JOIN v ON v.k = e.k AND v.i = e.i + 1)
+ SELECT event_id, k, round(m, 6) AS ema FROM e""")
+def win_ema_running(spark, d):
+    """The mean after every event of its type: few keys of many rows."""
+    e = events(spark, d).select(F.col("event_type").alias("k"), "event_id", "value")
+    return drift.ema_running(e, "k", "event_id", "value", 0.05).select("event_id", "k", "ema")
+
+
+@book.add("""WITH v AS (SELECT event_type AS k, event_id, CASE WHEN value > 30 THEN 'shift' ELSE 'stable' END AS verdict FROM events), i AS (SELECT *, sum(CASE WHEN verdict = 'stable' THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY event_id) AS i FROM v)
+ SELECT event_id, k, CAST(sum(CASE WHEN verdict <> 'stable' THEN 1 ELSE 0 END) OVER (PARTITION BY k, i ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS streak FROM i""")
+def win_streak_rows(spark, d):
+    """Runs of high values among the events of a type."""
+    v = events(spark, d).select(F.col("event_type").alias("k"), "event_id", F.when(F.col("value") > 30, "shift").otherwise("stable").alias("verdict"))
+    return drift.streaks(v, "k", "event_id").select("event_id", "k", "streak")
+
+
 @book.add(f"SELECT r.bin, round(0.75 * r.share + 0.25 * h.share, 9) AS share FROM {REF} r JOIN (SELECT bin, share FROM {HIST} WHERE key = 'error') h USING (bin)")
 def drift_reanchor(spark, d):
     e = events(spark, d)

@@ -10,7 +10,7 @@ from flowlab.plans import registry
 DATA = Path("/root/testdata/sf0.001")
 CHOICE = [
     "spike_rollup", "harmonise", "clean_features", "feature_summary", "duplicate_stats", "split_grouped", "split_stratified", "join_left_anti_deleak", "threshold_sweep",
-    "matched_fpr_compare", "classify_flow", "alert_rollup", "diversified_pick", "drift_psi_ks", "win_ema", "ts_best_lag", "graph_build_edges", "graph_collapse_peers", "stream_tumbling_spike",
+    "matched_fpr_compare", "classify_flow", "alert_rollup", "diversified_pick", "drift_psi_ks", "win_ema", "win_ema_running", "win_streak", "win_streak_rows", "ts_best_lag", "graph_build_edges", "graph_collapse_peers", "stream_tumbling_spike",
 ]
 
 
