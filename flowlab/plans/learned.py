@@ -123,7 +123,7 @@ def stream_adaptive_policy(spark, d):
     """The policy of each event type after one micro-batch over all events; every fiftieth event has a verdict."""
     rows = stream(spark, d).withColumn("polarity", F.when(F.col("event_id") % 50 == 0, F.when(F.col("event_type") == "error", 1).otherwise(0)))
     root = f"{shared_dir(spark).rstrip('/')}/flowlab/policy-{uuid.uuid4().hex}"
-    detection.start(rows, adaptive.policy_sink(root, "event_type", "p", "ts", "event_id", "polarity"), f"{root}/checkpoint").awaitTermination()
+    detection.start(adaptive.once(rows, "event_id", "ts", "polarity"), adaptive.policy_sink(root, "event_type", "p", "ts", "event_id", "polarity"), f"{root}/checkpoint").awaitTermination()
     return adaptive.telemetry(spark, root)
 
 
@@ -141,6 +141,35 @@ def adaptive_first_batch(spark, d):
     return adaptive.telemetry(spark, root).select("key", "n", "alerts", "learned", "nominal", "threshold").join(state, "key")
 
 
+@book.add("SELECT key, CAST(count(*) AS BIGINT) AS n, CAST(sum(y) AS BIGINT) AS positive FROM (SELECT event_type AS key, event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS y FROM events WHERE event_id % 7 = 0) GROUP BY 1")
+def learn_feedback(spark, d):
+    """Verdicts of a stream in which every event comes twice, in files that follow each other: each counts once."""
+    root = f"{shared_dir(spark).rstrip('/')}/flowlab/feedback-{uuid.uuid4().hex}"
+    said = events(spark, d).select("event_id", "ts", F.col("event_type").alias("key"), F.when(F.col("event_id") % 7 == 0, (F.col("event_type") == "error").cast("int")).alias("y"))
+    schema = said.schema
+    for _ in range(2):
+        said.repartition(3, "event_id").write.mode("append").parquet(f"{root}/in")
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    out = finished(spark, adaptive.once(rows, "event_id", "ts", "y", "365 days"))
+    return out.filter(F.col("y").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positive"))
+
+
+@book.add("""SELECT event_type AS key, CAST(3 AS BIGINT) AS batches, CAST(count(*) FILTER (event_id % 50 = 0) AS BIGINT) AS learned, CAST(least(count(*), 2000) AS BIGINT) AS scores FROM events GROUP BY 1""")
+def state_save_restore(spark, d):
+    """Two micro-batches in one stream, its snapshot saved, and a third in another stream that starts from it."""
+    root = f"{shared_dir(spark).rstrip('/')}/flowlab/policy-{uuid.uuid4().hex}"
+    rows = events(spark, d).withColumn("polarity", F.when(F.col("event_id") % 50 == 0, 1))
+    part = lambda i: rows.filter(F.pmod("event_id", F.lit(3)) == i)
+    names = ("event_type", "p", "ts", "event_id", "polarity")
+    first = adaptive.policy_sink(f"{root}/one", *names)
+    for n in (0, 1):
+        first(part(n), n)
+    adaptive.snapshot(spark, f"{root}/one").write.parquet(f"{root}/saved")
+    adaptive.policy_sink(f"{root}/two", *names, saved=spark.read.parquet(f"{root}/saved"))(part(2), 0)
+    state = adaptive.snapshot(spark, f"{root}/two")
+    return state.select("key", F.col("batches").cast("bigint").alias("batches"), "learned", F.size("window").cast("bigint").alias("scores"))
+
+
 @book.add(f"""SELECT key, threshold, CAST(count(*) AS BIGINT) AS n, count(*) FILTER (p >= threshold) AS alerts FROM (SELECT event_type AS key, p, 0.1 + length(event_type) / 100 AS threshold FROM {SQL_S}) GROUP BY ALL""")
 def adapt_and_classify(spark, d):
     e = events(spark, d)

@@ -1,57 +1,25 @@
 """Per-key adaptive thresholds: drift against a baseline, a rate controller and a bounded residual calibrator.
 
-The state of a policy is a table with a row for each key, and a micro-batch advances it once: rows are first reduced to one
-summary for each key (counts, the newest scores, sums of gradients), and the new state is an expression over old state and
-summary. Nothing depends on how rows are cut into batches of a worker or in which order tasks see them. Every version of the
-state is written under the number of its micro-batch, so a batch that runs again reads the version before it and replaces its own.
-One global policy is the case of a constant key: its rows are reduced before they meet.
+A micro-batch advances a policy once. Its rows are first reduced to one summary for each key (counts, the newest scores, sums of gradients at
+the policy in force), and the stateful stream of `controller` applies the summaries. Nothing depends on how rows are cut into batches of a
+worker or in which order tasks see them. A summary is written once under the number of its micro-batch, and the state remembers
+the last one, so a batch that runs again changes nothing. One global policy is the case of a constant key: its rows are reduced before they meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowlab.sources.shared import stage
+from flowlab.sources.shared import stage, unstage
+from flowlab.streaming import controller
+from flowlab.streaming.controller import BINS, EDGE, FEATURES, POLICY, Config
 
-BINS, EDGE, FEATURES = 20, 1e-9, 5
 #: Parts in which the rows of a key are cut to the newest ones first.
 PARTS = 64
-
-
-@dataclass(frozen=True)
-class Config:
-    """The defaults of the adaptive layer."""
-
-    anchor: float = 0.257502
-    ceiling: float = 0.493131
-    lower: float = 0.5
-    upper: float = 4.0
-    budget: float = 0.05
-    step: float = 0.25
-    window: int = 2000
-    least_window: int = 200
-    warmup: int = 3
-    patience: int = 5
-    blend: float = 0.25
-    rate: float = 0.08
-    l2: float = 2e-3
-    decay: float = 0.01
-    most_shift: float = 1.5
-    margin: float = 0.10
-    nominal_weight: float = 0.25
-
-    def band(self) -> tuple[float, float]:
-        low = self.anchor * self.lower
-        return low, max(low, min(self.anchor * self.upper, self.ceiling))
-
-
-STATE = "key string, threshold double, weights array<double>, squares array<double>, baseline array<double>, window array<double>, batches int, streak int, anchors int, psi double, ks double, verdict string, saturated boolean, learned bigint"
-TELEMETRY = ["key", "batch", "batches", "n", "alerts", "threshold", "psi", "ks", "verdict", "anchors", "saturated", "shift", "learned", "nominal"]
+STATE = f"key string, {POLICY}"
 
 
 def _logit(p: Column) -> Column:
@@ -71,23 +39,6 @@ def _total(xs: Column) -> Column:
     return F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def shares(scores: Column) -> Column:
-    """The share of each of BINS equal bins among an array of scores."""
-    at = F.transform(scores, _bin)
-    return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.size(F.filter(at, lambda x: x == b)) / F.greatest(F.size(scores), F.lit(1)))
-
-
-def psi(reference: Column, observed: Column) -> Column:
-    floor = lambda x: F.greatest(x, F.lit(1e-4))
-    return _total(F.zip_with(reference, observed, lambda r, o: (floor(o) - floor(r)) * F.log(floor(o) / floor(r))))
-
-
-def ks(reference: Column, observed: Column) -> Column:
-    first = F.struct(F.lit(0.0).alias("run"), F.lit(0.0).alias("top"))
-    gaps = F.zip_with(observed, reference, lambda o, r: o - r)
-    return F.aggregate(gaps, first, lambda acc, g: F.struct((acc["run"] + g).alias("run"), F.greatest(acc["top"], F.abs(acc["run"] + g)).alias("top")), lambda acc: acc["top"])
-
-
 def features(p: Column, bot: Column, baseline: Column, drift: Column) -> Column:
     """1, log odds, bot probability around a half (0 if unknown), novelty of the score, drift between 0 and 1."""
     share = F.coalesce(F.get(baseline, _bin(p)), F.lit(1 / BINS))
@@ -140,60 +91,10 @@ def summarised(rows: DataFrame, state: DataFrame, c: Config) -> DataFrame:
     return both.select(F.col("key").alias("s_key"), "n", "alerts", "verdicts", "nominal", F.array(*[F.col(f"g{i}") for i in range(FEATURES)]).alias("g"), "recent")
 
 
-def advanced(state: DataFrame, summary: DataFrame, c: Config) -> DataFrame:
-    """State after one micro-batch, with n, alerts, verdicts and nominal of the batch. Keys without rows keep their state.
-
-    A key's window takes the new scores; drift is that of the window against the baseline (the first window). A shift that lasts
-    `patience` batches moves the baseline; the threshold takes a step toward the quantile of adapted scores that meets the budget,
-    inside the band; the weights take one AdaGrad step on the mean gradient of the batch, and decay."""
-    low, high = c.band()
-    df = state.join(summary, F.col("key") == F.col("s_key"), "left")
-    seen = F.col("s_key").isNotNull()
-    scores = F.concat("window", "recent")
-    df = df.withColumn("w2", F.slice(scores, F.greatest(F.size(scores) - c.window + 1, F.lit(1)), c.window)).withColumn("now", shares(F.col("w2")))
-    df = df.withColumn("base", F.when(F.size("baseline") > 0, F.col("baseline")).otherwise(F.col("now"))).withColumn("b2", F.col("batches") + 1)
-    df = df.withColumn("psi2", psi(F.col("base"), F.col("now"))).withColumn("ks2", ks(F.col("base"), F.col("now")))
-    verdict = F.when(F.col("psi2") >= 0.5, "severe").when((F.col("psi2") >= 0.25) | (F.col("ks2") >= 0.15), "shift").otherwise("stable")
-    df = df.withColumn("found", verdict).withColumn("run", F.when((F.col("found") != "stable") & (F.col("b2") > c.warmup), F.col("streak") + 1).otherwise(0))
-    df = df.withColumn("moves", F.col("run") >= c.patience)
-    mixed = F.zip_with("base", "now", lambda r, o: (1 - c.blend) * r + c.blend * o)
-    df = df.withColumn("base2", F.when(F.col("moves"), mixed).otherwise(F.col("base")))
-    # the window holds scores without a bot probability
-    flat = F.array_sort(F.transform("w2", lambda p: adapted(p, features(p, F.lit(None).cast("double"), F.col("base2"), F.col("psi2")), F.col("weights"), c)))
-    df = df.withColumn("sorted", flat).withColumn("place", (1 - c.budget) * (F.size("sorted") - 1))
-    at = F.floor("place").cast("int")
-    left, right = F.get("sorted", at), F.coalesce(F.get("sorted", at + 1), F.get("sorted", at))
-    df = df.withColumn("target", left + (F.col("place") - at) * (right - left)).withColumn("held", F.least(F.greatest(F.col("target"), F.lit(low)), F.lit(high)))
-    steers = (F.size("w2") >= c.least_window) & (F.col("b2") > c.warmup)
-    moved = F.least(F.greatest(F.col("threshold") + c.step * (F.col("held") - F.col("threshold")), F.lit(low)), F.lit(high))
-    rows = F.col("verdicts") + F.col("nominal")
-    df = df.withColumn("grad", F.zip_with("g", "weights", lambda g, w: g / F.greatest(rows, F.lit(1)) + c.l2 * w)).withColumn("sq2", F.zip_with("squares", "grad", lambda s, g: s + g * g))
-    step = F.zip_with(F.zip_with("grad", "sq2", lambda g, s: c.rate * g / (F.sqrt(s) + 1e-8)), "weights", lambda d, w: (w - d) * (1 - c.decay))
-    learns = seen & (rows > 0)
-    new = {
-        "threshold": F.when(seen & steers, moved).otherwise(F.col("threshold")), "weights": F.when(learns, step).otherwise(F.col("weights")), "squares": F.when(learns, F.col("sq2")).otherwise(F.col("squares")),
-        "baseline": F.when(seen, F.col("base2")).otherwise(F.col("baseline")), "window": F.when(seen, F.col("w2")).otherwise(F.col("window")), "batches": F.when(seen, F.col("b2")).otherwise(F.col("batches")),
-        "streak": F.when(seen, F.when(F.col("moves"), 0).otherwise(F.col("run"))).otherwise(F.col("streak")), "anchors": F.when(seen & F.col("moves"), F.col("anchors") + 1).otherwise(F.col("anchors")),
-        "psi": F.when(seen, F.col("psi2")).otherwise(F.col("psi")), "ks": F.when(seen, F.col("ks2")).otherwise(F.col("ks")), "verdict": F.when(seen, F.when(F.col("moves"), "stable").otherwise(F.col("found"))).otherwise(F.col("verdict")),
-        "saturated": F.when(seen & steers, F.abs(F.col("held") - F.col("target")) > 1e-9).otherwise(F.col("saturated")), "learned": F.col("learned") + F.when(seen, F.col("verdicts")).otherwise(0),
-    }
-    return df.select("key", *[v.alias(n) for n, v in new.items()], *[F.coalesce(x, F.lit(0)).alias(x) for x in ("n", "alerts", "verdicts", "nominal")], seen.alias("seen"))
-
-
-def _versions(spark: SparkSession, path: str, before: int | None) -> DataFrame | None:
-    """The rows of all versions (of those before one) under a path, or None."""
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
-        return None
-    df = spark.read.parquet(path)
-    return df if before is None else df.filter(F.col("version") < before)
-
-
-def snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest STATE under root (of the versions before one), or None."""
-    rows = _versions(spark, f"{root}/state", before)
-    last = rows.agg(F.max("version")).first()[0] if rows is not None else None
-    return None if last is None else rows.filter(F.col("version") == last).drop("version")
+def snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """STATE under root after the last finished batch, or None; a table of it can be saved, and given to `policy_sink` as `saved`."""
+    found = controller.stored(spark, root)
+    return None if found is None else found.drop("batch")
 
 
 def restored(saved: DataFrame, c: Config) -> DataFrame:
@@ -221,40 +122,64 @@ def restored(saved: DataFrame, c: Config) -> DataFrame:
     return out.withColumn("threshold", clamped).select(*names)
 
 
-def policy_sink(root: str, key: str, score: str, time: str, row_id: str, polarity: str, bot: str | None = None, config: Config = Config()) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch callback that advances the policy by one micro-batch and writes state, telemetry and the ids of the verdicts
-    learned from under root. A verdict whose id was learned from in an earlier batch, or that occurs twice in one, counts once."""
+def once(rows: DataFrame, row_id: str, time: str, polarity: str, within: str = "1 hour") -> DataFrame:
+    """A stream in which a verdict counts once: a row whose polarity and id are known is dropped if a row of its id came before, as long as both
+    lie within the given time of the newest event. State is bounded by that time; nothing reads what was learned earlier. Rows
+    without a verdict or an id pass; so do those without a time, which the watermark cannot place. A batch is deduplicated by id alone."""
+    known = F.col(polarity).isNotNull() & F.col(row_id).isNotNull() & F.col(time).isNotNull()
+    named, rest = rows.filter(known), rows.filter(~known)
+    named = named.withWatermark(time, within).dropDuplicatesWithinWatermark([row_id]) if rows.isStreaming else named.dropDuplicates([row_id])
+    return rest.unionByName(named)
+
+
+def policy_sink(root: str, key: str, score: str, time: str, row_id: str, polarity: str, bot: str | None = None, config: Config = Config(), saved: DataFrame | None = None, ttl_ms: int | None = None) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch callback that advances the policy by one micro-batch and writes state and telemetry under root. Give it a stream that has
+    passed `once`, if verdicts may repeat.
+
+    saved: a `snapshot` of another stream to start from, as `restored` accepts it. ttl_ms: a key that had no rows for so long starts anew."""
 
     def step(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        y = F.col(polarity).cast("int")
-        rows = batch.select(
-            F.col(key).cast("string").alias("key"), F.col(score).cast("double").alias("p"), (F.col(bot).cast("double") if bot else F.lit(None).cast("double")).alias("bot"), F.col(time).alias("t"), F.col(row_id).cast("string").alias("id"), y.alias("y")
-        ).filter(F.col("key").isNotNull())
-        named = F.col("y").isNotNull() & F.col("id").isNotNull()  # a verdict without an id cannot be known again, and counts
-        once = F.row_number().over(Window.partitionBy("id").orderBy("t", "p")) == 1
-        labelled = rows.filter(named).withColumn("y", F.when(once, F.col("y")))
-        known = _versions(spark, f"{root}/verdicts", n)
-        if known is not None:
-            seen = known.select(F.col("id").alias("k_id")).distinct()
-            labelled = labelled.join(seen, F.col("id") == F.col("k_id"), "left").withColumn("y", F.when(F.col("k_id").isNull(), F.col("y"))).drop("k_id")
-        every = stage(rows.filter(~named).unionByName(labelled), "batch")
-        old = snapshot(spark, root, n)
-        keys = every.select("key").distinct()
-        state = initial(keys, config) if old is None else old.unionByName(initial(keys.join(old.select("key"), "key", "left_anti"), config))
-        state = stage(state, "policy")
-        now = stage(advanced(state, summarised(every, state, config), config).withColumn("version", F.lit(n)), "advanced")
-        now.select("key", *[x.split()[0] for x in STATE.split(", ")][1:]).write.mode("overwrite").parquet(f"{root}/state/version={n}")
-        every.filter(named).select("id").write.mode("overwrite").parquet(f"{root}/verdicts/version={n}")
-        norm = F.sqrt(reduce(lambda a, b: a + b, [F.col("weights")[i] * F.col("weights")[i] for i in range(FEATURES)]))
-        out = now.filter("seen").withColumn("batch", F.col("version")).withColumn("shift", norm).withColumn("learned", F.col("verdicts")).select(*TELEMETRY)
-        out.write.mode("overwrite").parquet(f"{root}/telemetry/version={n}")
+        path = f"{root}/summaries/batch={n}"
+        start = restored(saved, config) if saved is not None else None
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            old = snapshot(spark, root)
+            old = start if old is None else old
+            rows = batch.select(
+                F.col(key).cast("string").alias("key"), F.col(score).cast("double").alias("p"), (F.col(bot).cast("double") if bot else F.lit(None).cast("double")).alias("bot"), F.col(time).alias("t"),
+                F.col(row_id).cast("string").alias("id"), F.col(polarity).cast("int").alias("y"),
+            ).filter(F.col("key").isNotNull())
+            every = stage(rows, "batch")
+            keys = every.select("key").distinct()
+            state = initial(keys, config) if old is None else old.unionByName(initial(keys.join(old.select("key"), "key", "left_anti"), config))
+            state = stage(state, "policy")
+            summary = summarised(every, state, config).withColumnRenamed("s_key", "key").withColumn("batch", F.lit(n).cast("bigint"))
+            summary.select(*[c.split()[0] for c in controller.SUMMARY.split(", ")]).write.mode("overwrite").parquet(path)
+            unstage(every, state)
+        controller.run(spark, f"{root}/summaries", root, config, start, ttl_ms)
+        _forget(spark, f"{root}/summaries", n)
 
     return step
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _forget(spark: SparkSession, path: str, last: int) -> None:
+    """Delete the summaries of batches that ended before the last one; only the last can run again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(at):
+        name = f.getPath().getName()
+        if name.startswith("batch=") and int(name.split("=")[1]) < last:
+            fs.delete(f.getPath(), True)
+
+
 def telemetry(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/telemetry").drop("version")
+    """A row for each key and micro-batch."""
+    return spark.read.schema(controller.RECORD).option("recursiveFileLookup", True).parquet(f"{root}/telemetry")
 
 
 def apply_policy(df: DataFrame, key: str, score: str, states: DataFrame) -> DataFrame:

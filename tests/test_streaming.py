@@ -143,6 +143,20 @@ def batches(seed, n_batches, shift_from):
     return out
 
 
+def deduplicated(given):
+    """What `once` leaves of batches."""
+    seen, out = set(), []
+    for rows in given:
+        kept = []
+        for r in rows:
+            if r[5] is None or r[4] not in seen:
+                kept.append(r)
+            if r[5] is not None:
+                seen.add(r[4])
+        out.append(kept)
+    return out
+
+
 def advance(spark, root, given, first=0, config=None):
     sink = adaptive.policy_sink(str(root), "k", "p", "t", "id", "y", "bot", config or adaptive.Config())
     for n, rows in enumerate(given, first):
@@ -150,10 +164,10 @@ def advance(spark, root, given, first=0, config=None):
 
 
 def test_policy_against_a_plain_fold(spark, tmp_path):
-    """Telemetry of every micro-batch, with verdicts that repeat and drift; also where workers get other batches, where a batch runs
+    """Telemetry of every micro-batch, with verdicts and drift; also where workers get other batches, where a batch runs
     twice, and after a restart."""
     c = adaptive.Config(window=300, least_window=100, warmup=1, patience=2)
-    given = batches(1, 6, 2)
+    given = deduplicated(batches(1, 20, 8))
     advance(spark, tmp_path / "one", given, config=c)
     got = {(r["key"], r["batch"]): r.asDict() for r in adaptive.telemetry(spark, str(tmp_path / "one")).collect()}
     for k in "ab":
@@ -165,11 +179,11 @@ def test_policy_against_a_plain_fold(spark, tmp_path):
     assert any(r["anchors"] for r in got.values()) and any(r["nominal"] for r in got.values()) and any(r["learned"] for r in got.values())
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
     advance(spark, tmp_path / "two", given[:3], config=c)
-    advance(spark, tmp_path / "two", given[2:], 2, config=c)  # batch 2 runs again
+    advance(spark, tmp_path / "two", given[2:6], 2, config=c)  # batch 2 runs again
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     again = {(r["key"], r["batch"]): r.asDict() for r in adaptive.telemetry(spark, str(tmp_path / "two")).collect()}
-    assert again.keys() == got.keys()
-    assert all(again[k][name] == pytest.approx(got[k][name], abs=1e-9) if isinstance(v, float) else again[k][name] == v for k in got for name, v in got[k].items())
+    assert again.keys() == {(k, n) for k in "ab" for n in range(6)}
+    assert all(again[k][name] == pytest.approx(got[k][name], abs=1e-9) if isinstance(v, float) else again[k][name] == v for k in again for name, v in got[k].items())
 
 
 def test_snapshot_and_tolerant_restore(spark, tmp_path):
@@ -208,14 +222,20 @@ def test_no_evidence_no_change_and_band(spark, tmp_path):
 def test_policy_as_a_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     given = batches(3, 3, 1)
+    for rows in given[1:]:
+        rows += [r for r in given[0] if r[5] is not None]  # verdicts of the first batch come again
     sink = adaptive.policy_sink(str(tmp_path / "policy"), "k", "p", "t", "id", "y", "bot")
     for n, rows in enumerate(given):
-        pd.DataFrame(rows, columns=[c.split()[0] for c in ROWS.split(", ")]).to_json(tmp_path / "in" / f"{n}.json", orient="records", lines=True)
-        source = spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
-        detection.start(source, sink, f"{tmp_path}/check").awaitTermination()
+        pd.DataFrame(rows, columns=[c.split()[0] for c in ROWS.split(", ")]).astype({"y": "Int64"}).to_json(tmp_path / "in" / f"{n}.json", orient="records", lines=True)
+        source = spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in")).withColumn("t", F.timestamp_seconds("t"))
+        detection.start(adaptive.once(source, "id", "t", "y"), sink, f"{tmp_path}/check").awaitTermination()
     got = {(r["key"], r["batch"]): r for r in adaptive.telemetry(spark, str(tmp_path / "policy")).collect()}
     assert set(got) == {(k, n) for k in "ab" for n in range(3)}
-    assert sum(r["n"] for r in got.values()) == sum(map(len, given))
+    kept = deduplicated(given)
+    assert [sum(got[k, n]["n"] for k in "ab") for n in range(3)] == list(map(len, kept))
+    assert [sum(got[k, n]["learned"] for k in "ab") for n in range(3)] == [sum(r[5] is not None for r in rows) for rows in kept]
+    # what was read and is done with is deleted
+    assert [p.name for p in (tmp_path / "policy" / "summaries").iterdir()] == ["batch=2"]
 
 
 
