@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.functions.fingerprint import fingerprint_hash
+from flowlab.operators import heavy
+from flowlab.operators.joins import sized
 from flowlab.operators.quantiles import exact_quantiles, pivoted
 
 
@@ -129,8 +131,12 @@ def duplicate_rate_per_label(df: DataFrame, features: list[str], label: str) ->
 
 
 def top_duplicate_groups(df: DataFrame, features: list[str], label: str, k: int = 10) -> DataFrame:
-    """The k largest groups of equal vectors: size, the vector and the label mix (label:count, by label)."""
-    by_label = df.groupBy(*[col(f) for f in features], col(label).alias("label")).agg(F.count(F.lit(1)).alias("c"))
+    """The k largest groups of equal vectors: size, the vector and the label mix (label:count, by label). Only rows of vectors that are frequent
+    enough, by a summary of their MD5, are grouped."""
+    marked = df.select(*[col(f) for f in features], col(label).alias("label"), F.md5(F.to_json(F.struct(*[col(f) for f in features]))).alias("_fp"))
+    often = heavy.frequent(marked, "_fp", k)
+    rows = marked.join(sized(often.select(F.col("value").alias("_often"))), F.col("_fp") == F.col("_often"), "left_semi")
+    by_label = rows.groupBy(*[col(f) for f in features], "label").agg(F.count(F.lit(1)).alias("c"))
     mix = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("label", "c"))), lambda x: F.concat_ws(":", x["label"], x["c"])), ",")
     groups = by_label.groupBy(*[col(f) for f in features]).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_labels"), mix.alias("labels"))
     return groups.orderBy(F.desc("n"), *features).limit(k)
@@ -165,7 +171,8 @@ def group_size_stats(df: DataFrame, key: str, large: int = 100) -> DataFrame:
 
 
 def value_counts_topk(df: DataFrame, column: str, k: int) -> DataFrame:
-    return df.groupBy(col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(k)
+    """The k most frequent values, exactly; see `heavy`."""
+    return heavy.top_values(df, column, k)
 
 
 def key_profile_per_label(df: DataFrame, key: str, label: str, usual: tuple) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowlab.functions import labels
 from flowlab.functions.fingerprint import fingerprint_md5
-from flowlab.operators import clean, feeds, filters, joins, quality, schema, sets, splits
+from flowlab.operators import clean, feeds, filters, heavy, joins, quality, schema, sets, splits
 from flowlab.plans.base import F3, F4, KEY, SQL_L, Book, events, lineitem, long_sql, md5_bucket_sql, table
 from flowlab.sources.shared import shared_dir
 
@@ -301,6 +301,12 @@ def value_counts_topk(spark, d):
     return quality.value_counts_topk(lineitem(spark, d), "l_quantity", 10)
 
 
+@book.add("SELECT l_partkey AS value, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) >= (SELECT min(n) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_partkey ORDER BY n DESC LIMIT 20))")
+def frequent_values(spark, d):
+    """Every part that occurs as often as the twentieth most frequent one, from summaries of few counters."""
+    return heavy.frequent(lineitem(spark, d), "l_partkey", 20, 64)
+
+
 @book.add("SELECT l_returnflag AS label, count(*) AS n, quantile_cont(l_suppkey, 0.5) AS median_key, count(DISTINCT l_suppkey) AS distinct_keys, round(avg(CASE WHEN l_suppkey IN (8, 44) THEN 1.0 ELSE 0.0 END), 6) AS usual_share FROM lineitem GROUP BY 1")
 def key_profile_per_label(spark, d):
     return quality.key_profile_per_label(lineitem(spark, d), "l_suppkey", "l_returnflag", (8, 44))

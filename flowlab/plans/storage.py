@@ -12,9 +12,10 @@ from flowlab.plans import graphs
 from flowlab.plans.alerts import GRADED, graded, is_error, predicted
 from flowlab.plans.base import F3, F4, KEY, SQL_L, SQL_S, Book, events, lineitem
 from flowlab.plans.learned import finished, stream
-from flowlab.sources import sinks, tables
+from flowlab.sources import alerts as alert_store
+from flowlab.sources import keyed, ledger, sinks, tables
 from flowlab.sources.shared import shared_dir
-from flowlab.streaming import detection
+from flowlab.streaming import detection, late
 
 book = Book()
 PLAIN = "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem"
@@ -93,6 +94,70 @@ def stream_incremental_pull(spark, d):
     return spark.read.option("recursiveFileLookup", True).schema(e.schema).parquet(f"{out}/rows").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
+LATE = """(SELECT *, event_id % 10 = 0 AS held, date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FILTER (event_id % 10 > 0) FROM events) - INTERVAL 1 DAY AS closed FROM events)"""
+
+
+@book.add(f"""SELECT CASE WHEN held AND closed THEN 'late' ELSE 'on time' END AS kind, CAST(date_trunc('day', ts) AS DATE) AS day, count(*) AS n, count(DISTINCT event_id) AS events FROM {LATE} GROUP BY ALL
+ UNION ALL SELECT 'dropped by the engine', NULL, 0, 0""")
+def stream_late_drop(spark, d):
+    """Every tenth event comes in a second file, after a watermark of a day has closed most windows: late rows are set apart, the others reach the
+    windowed count of a further stream, and that drops none."""
+    root = folder(spark)
+    e = events(spark, d).select("event_id", "ts")
+    for held in (False, True):
+        e.filter((F.col("event_id") % 10 == 0) == held).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    rows = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    detection.start(rows, late.part(root, "ts", 86_400, 3_600), f"{root}/checkpoint").awaitTermination()
+    counter = late.DropCounter()
+    spark.streams.addListener(counter)
+    on_time = spark.readStream.schema(e.schema).option("recursiveFileLookup", True).parquet(f"{root}/on_time")
+    windows = on_time.withWatermark("ts", "1 day").groupBy(F.window("ts", "1 hour")).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("event_id").alias("about"))
+    query = detection.start(windows, lambda b, n: b.write.mode("overwrite").parquet(f"{root}/windows/batch_id={n}"), f"{root}/counts", "update")
+    query.awaitTermination()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    spark.streams.removeListener(counter)
+    kept, gone = late.both(spark, root, "event_id bigint, ts timestamp")
+    by_day = lambda df, kind: df.groupBy(F.lit(kind).alias("kind"), F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("events"))
+    engine = spark.range(1).select(F.lit("dropped by the engine").alias("kind"), F.lit(None).cast("date").alias("day"), F.lit(counter.dropped(query.id)).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("events"))
+    return by_day(kept, "on time").unionByName(by_day(gone, "late")).unionByName(engine)
+
+
+def alert_table(spark, d):
+    """Graded events as a stored alert table, a file for each day."""
+    path = folder(spark)
+    g = graded(spark, d).select("event_id", "severity", "ts", F.to_date("ts").alias("day"))
+    for n, r in enumerate(g.select("day").distinct().orderBy("day").collect()):  # a few weeks
+        alert_store.append(g.filter(F.col("day") == r["day"]).drop("day").coalesce(1), path, "ts", n)
+    return path
+
+
+@book.add(f"SELECT event_id, severity, true AS few_files FROM {GRADED} ORDER BY ts DESC, event_id LIMIT 25")
+def scan_alert_store(spark, d):
+    """The newest alerts of a stored table, of which at most three files are opened."""
+    newest, opened = alert_store.recent(spark, alert_table(spark, d), "ts", "event_id", 25)
+    return newest.select("event_id", "severity", F.lit(opened <= 3).alias("few_files"))
+
+
+@book.add("SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, round(sum(value), 6) AS total FROM events GROUP BY 1")
+def scan_file_glob_incremental(spark, d):
+    """A corpus built from files as they come, through a crash between writing and entering a step."""
+    root = folder(spark)
+    e = events(spark, d).select("event_id", "event_type", "value")
+    read = lambda s, paths: s.read.schema(e.schema).parquet(*paths)
+    for part in (0, 1):
+        e.filter(F.col("event_id") % 2 == part).repartition(5, "event_id").write.mode("append").parquet(f"{root}/in")
+
+        def crash(n):
+            if n == 1:
+                raise InterruptedError
+
+        try:
+            ledger.append_new(spark, f"{root}/in", f"{root}/corpus", read, "*.parquet", 2, crash)
+        except InterruptedError:
+            ledger.append_new(spark, f"{root}/in", f"{root}/corpus", read, "*.parquet", 2)
+    return ledger.corpus(spark, f"{root}/corpus").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.round(F.sum("value"), 6).alias("total"))
+
+
 # -- sinks --------------------------------------------------------------------------------------------------------------
 
 
@@ -140,8 +205,20 @@ def sink_upsert_state(spark, d):
     path = folder(spark)
     states = events(spark, d).select(F.col("event_type").alias("key"), F.col("event_id").alias("version"), F.col("value").alias("threshold"))
     for part in (1, 0):
-        sinks.upsert_state(states.filter(F.col("version") % 2 == part), path, ["key"], "version")
-    return sinks.latest_state(spark, path, ["key"], "version")
+        keyed.upsert_state(states.filter(F.col("version") % 2 == part), path, ["key"], "version")
+    return keyed.latest_state(spark, path, ["key"], "version")
+
+
+@book.add("SELECT user_id, max(event_id) AS version, arg_max(value, event_id) AS value, arg_max(event_type, event_id) AS event_type FROM events WHERE user_id % 3 < 2 GROUP BY 1")
+def sink_upsert_batches(spark, d):
+    """Micro-batches of a stream's last state of each user, of which one comes again after a later one and one touches few users."""
+    path = folder(spark)
+    rows = events(spark, d).filter("user_id % 3 < 2").select("user_id", F.col("event_id").alias("version"), "value", "event_type")
+    parts = [rows.filter("version % 2 = 0"), rows.filter("version % 2 = 1 AND user_id % 3 = 0"), rows.filter("version % 2 = 1 AND user_id % 3 = 1")]
+    for n, i in enumerate((0, 1, 2)):
+        keyed.upsert_state(parts[i], path, ["user_id"], "version", n, 16)
+    keyed.upsert_state(parts[1].withColumn("version", F.col("version") + 10**9), path, ["user_id"], "version", 1, 16)  # an earlier number: left out
+    return keyed.latest_state(spark, path, ["user_id"], "version")
 
 
 @book.add(f"""SELECT 'nodes' AS name, ip AS a, CAST(NULL AS BIGINT) AS b, total_flows AS n, CAST(NULL AS VARCHAR) AS community FROM {graphs.NODES} UNION ALL SELECT 'edges', src, dst, weight, s.community FROM {graphs.EDGES} JOIN {graphs.PARTS} s ON s.ip = src
@@ -168,9 +245,19 @@ def sink_alert_csv(spark, d):
 @book.add("SELECT count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' - INTERVAL 72 HOUR")
 def sink_expired_rewrite(spark, d):
     path = folder(spark)
-    events(spark, d).select("event_id", "ts").write.parquet(f"{path}/old")
-    sinks.expire(spark, f"{path}/old", f"{path}/new", "ts", "2024-01-10 00:00:00", 72)
-    return spark.read.parquet(f"{path}/new").agg(F.count(F.lit(1)).alias("n"))
+    sinks.write_dated(events(spark, d).select("event_id", "ts"), path, "ts")
+    sinks.expire(spark, path, "ts", "2024-01-10 00:00:00", 72)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+
+
+@book.add("SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-12 13:30:00' - INTERVAL 100 HOUR")
+def sink_expired_days(spark, d):
+    """A time to live that ends within a day, applied twice as time goes on."""
+    path = folder(spark)
+    sinks.write_dated(events(spark, d).select("event_id", "ts"), path, "ts")
+    for now in ("2024-01-10 06:00:00", "2024-01-12 13:30:00"):
+        sinks.expire(spark, path, "ts", now, 100)
+    return spark.read.parquet(path).select("event_id", "day")
 
 
 # -- smaller operators of the inventory ---------------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from flowlab.sources import files
 from flowlab.sources.shared import stage, unstage
 from flowlab.streaming import controller
 from flowlab.streaming.controller import BINS, EDGE, FEATURES, POLICY, Config
@@ -142,7 +143,7 @@ def policy_sink(root: str, key: str, score: str, time: str, row_id: str, polarit
         spark = batch.sparkSession
         path = f"{root}/summaries/batch={n}"
         start = restored(saved, config) if saved is not None else None
-        if not _exists(spark, f"{path}/_SUCCESS"):
+        if not files.exists(spark, f"{path}/_SUCCESS"):
             old = snapshot(spark, root)
             old = start if old is None else old
             rows = batch.select(
@@ -162,19 +163,11 @@ def policy_sink(root: str, key: str, score: str, time: str, row_id: str, polarit
     return step
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
 def _forget(spark: SparkSession, path: str, last: int) -> None:
     """Delete the summaries of batches that ended before the last one; only the last can run again."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    for f in fs.listStatus(at):
-        name = f.getPath().getName()
+    for name in files.names(spark, path):
         if name.startswith("batch=") and int(name.split("=")[1]) < last:
-            fs.delete(f.getPath(), True)
+            files.delete(spark, f"{path}/{name}")
 
 
 def telemetry(spark: SparkSession, root: str) -> DataFrame:

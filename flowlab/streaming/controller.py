@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from flowlab.sources import files
+
 BINS, EDGE, FEATURES = 20, 1e-9, 5
 POLICY = "threshold double, weights array<double>, squares array<double>, baseline array<double>, window array<double>, batches int, streak int, anchors int, psi double, ks double, verdict string, saturated boolean, learned bigint"
 FIELDS = [x.split()[0] for x in POLICY.split(", ")]
@@ -165,7 +167,6 @@ def run(spark: SparkSession, summaries: str, root: str, config: Config, initial:
 
 def stored(spark: SparkSession, root: str) -> DataFrame | None:
     """(key, POLICY, batch) as the state store holds it after the last finished batch, or None before the first one."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state/commits/0")
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+    if not files.exists(spark, f"{root}/state/commits/0"):
         return None
     return spark.read.format("statestore").option("stateVarName", "policy").load(f"{root}/state").select(F.col("key.key").alias("key"), *[F.col(f"value.{f}").alias(f) for f in [*FIELDS, "batch"]])

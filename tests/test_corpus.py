@@ -1,7 +1,7 @@
 import pytest
 from flowlab.functions.fingerprint import fingerprint_hash
 from flowlab.operators import clean, joins, metrics, quality, schema, splits
-from flowlab.sources import sinks, tables
+from flowlab.sources import keyed, sinks, tables
 from pyspark.sql import functions as F
 
 
@@ -101,6 +101,6 @@ def test_sources_and_sinks(spark, tmp_path):
     write(frame(spark, 3), 1)
     assert spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "alerts")).count() == 8
     assert tables.with_source_file(spark.read.parquet(str(tmp_path / "out"))).first()["source_file"].endswith(".parquet")
-    sinks.upsert_state(spark.createDataFrame([("a", 1, 0.5), ("b", 1, 0.1)], "key string, v int, t double"), str(tmp_path / "state"), ["key"], "v")
-    sinks.upsert_state(spark.createDataFrame([("a", 2, 0.7)], "key string, v int, t double"), str(tmp_path / "state"), ["key"], "v")
-    assert {r["key"]: r["t"] for r in sinks.latest_state(spark, str(tmp_path / "state"), ["key"], "v").collect()} == {"a": 0.7, "b": 0.1}
+    keyed.upsert_state(spark.createDataFrame([("a", 1, 0.5), ("b", 1, 0.1)], "key string, v int, t double"), str(tmp_path / "state"), ["key"], "v")
+    keyed.upsert_state(spark.createDataFrame([("a", 2, 0.7)], "key string, v int, t double"), str(tmp_path / "state"), ["key"], "v")
+    assert {r["key"]: r["t"] for r in keyed.latest_state(spark, str(tmp_path / "state"), ["key"], "v").collect()} == {"a": 0.7, "b": 0.1}

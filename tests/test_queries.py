@@ -11,6 +11,8 @@ DATA = Path("/root/testdata/sf0.001")
 CHOICE = [
     "spike_rollup", "harmonise", "clean_features", "feature_summary", "duplicate_stats", "split_grouped", "split_stratified", "join_left_anti_deleak", "threshold_sweep",
     "matched_fpr_compare", "classify_flow", "alert_rollup", "diversified_pick", "drift_psi_ks", "win_ema", "win_ema_running", "win_streak", "win_streak_rows", "ts_best_lag", "graph_build_edges", "graph_collapse_peers", "stream_tumbling_spike",
+    "stream_late_drop", "scan_alert_store", "scan_file_glob_incremental", "frequent_values", "value_counts_topk", "top_duplicate_groups", "sink_upsert_state", "sink_upsert_batches",
+    "sink_expired_rewrite", "sink_expired_days", "learn_feedback", "state_save_restore", "adaptive_first_batch",
 ]
 
 

@@ -5,7 +5,7 @@ import random
 import duckdb
 import pytest
 from flowlab.operators import filters, metrics, models, policy, schema, sets
-from flowlab.sources import sinks
+from flowlab.sources import keyed, sinks
 from flowlab.streaming import detection, scoring
 from pyspark.sql import functions as F
 
@@ -79,5 +79,5 @@ def test_counts_unions_paths_and_state(spark, flows, tmp_path):
     assert {r["label"] for r in filters.source_path(rows, ["day=Bot/"]).collect()} == {"Bot"}
     assert filters.source_path(rows, ["day=Bot/"], keep=False).count() == flows.count() - n["Bot"]
     for v, t in ((1, 0.5), (3, 0.7), (2, 0.6)):
-        sinks.upsert_state(spark.createDataFrame([("k", v, t), (f"k{v}", v, t)], "key string, v int, t double"), f"{tmp_path}/state", ["key"], "v")
-    assert {r["key"]: r["t"] for r in sinks.latest_state(spark, f"{tmp_path}/state", ["key"], "v").collect()} == {"k": 0.7, "k1": 0.5, "k2": 0.6, "k3": 0.7}
+        keyed.upsert_state(spark.createDataFrame([("k", v, t), (f"k{v}", v, t)], "key string, v int, t double"), f"{tmp_path}/state", ["key"], "v")
+    assert {r["key"]: r["t"] for r in keyed.latest_state(spark, f"{tmp_path}/state", ["key"], "v").collect()} == {"k": 0.7, "k1": 0.5, "k2": 0.6, "k3": 0.7}
