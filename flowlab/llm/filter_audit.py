@@ -1,9 +1,10 @@
 """How quality filters interact, over a sparse document-term matrix.
 
 Words are dictionary-encoded twice. A task encodes the words of its documents with a dictionary of its own and writes compressed
-sparse rows (CSR) over it, in blocks; only the distinct words of a task go on. They meet by word in one table, which gives
-every word of the corpus a number from 0 on without gaps, and each task's blocks meet the numbers of its words again: the shards of
-one matrix, with global columns. A common word comes once from each shard, so no word is hot.
+sparse rows (CSR) over it, in blocks; only the distinct words of a task go on. They meet in the parts of one dictionary (by a hash of the word),
+which gives every word of the corpus a number of its own, and each task's blocks meet the numbers of its words again: the shards of
+one matrix, with global columns. A common word comes once from each shard, so no word is hot. Words and numbers move as packed bytes, a row for each shard and
+part.
 
 Row sums of the matrix are counts of words, and the numbers of nonzero entries are counts of distinct ones. With flags that the
 first pass took from the texts, and the smallest id among equal texts, each document has the set of the filters that it
@@ -15,20 +16,23 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from itertools import permutations
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowlab.llm.common import bounded_batches, frugal, stage
 from flowlab.llm.skew import join_weighted
 
-#: A shard ends at the first batch after which it has so many words, or bytes of text. Words go on in lists of LIST or LIST_BYTES.
-SHARD_WORDS, SHARD_BYTES, LIST, LIST_BYTES = 400_000, 64 << 20, 32_768, 4 << 20
+#: A shard ends at the first batch after which it has so many words, or bytes of text.
+SHARD_WORDS, SHARD_BYTES = 1_000_000, 128 << 20
+#: Parts of the dictionary: so many for each partition of the input, between a least and a most. A part is held by one task at a time.
+PARTS, LEAST_PARTS, MOST_PARTS = 4, 16, 4096
 #: The filters' parameters.
 FEWEST_WORDS, LEAST_DISTINCT, MOST_CAPITALS, SYMBOLS = 100, 80, 10, "#$%&*|"
 FILTERS = "ABCDE"
@@ -46,7 +50,7 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), at
 
 
-def _sparse_rows(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sparse_rows(texts: pa.Array, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(indptr, indices, data) of the texts' words; words that the vocabulary lacks get the next numbers in it. Words lie between ASCII white space."""
     lists = pc.ascii_split_whitespace(texts)
     row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
@@ -54,7 +58,7 @@ def _sparse_rows(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarra
     some = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
     row, words = row[some.to_numpy(zero_copy_only=False)], words.filter(some)
     coded = words.dictionary_encode()
-    number = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+    number = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in coded.dictionary.cast(pa.binary()).to_pylist()), np.int64, len(coded.dictionary))
     entry = row * np.int64(max(len(vocabulary), 1)) + number[coded.indices.to_numpy()]
     entry, data = np.unique(entry, return_counts=True)
     row, indices = np.divmod(entry, max(len(vocabulary), 1))
@@ -65,15 +69,16 @@ _DOCUMENT = "part:string,capitals:bigint,chars:bigint,symbol:boolean,address:bin
 _BLOCK = "indptr binary, indices binary, data binary"
 
 
-def _scanned(docs: DataFrame, key: str, text: str, part: str) -> DataFrame:
-    """The first pass: blocks (kind 1) with documents, indptr, indices, data; and the words of each shard (kind 0), from number `base` on."""
+def _scanned(docs: DataFrame, key: str, text: str, part: str, parts: int) -> DataFrame:
+    """The first pass: blocks (kind 1) with documents, indptr, indices, data; and the words of each shard (kind 0), joined by line feeds, with their
+    numbers in the shard, in a row for each part of the dictionary."""
     bounded_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    ddl = f"shard bigint, kind int, block int, documents array<struct<key:{kind},{_DOCUMENT}>>, {_BLOCK}, base int, words array<string>"
+    ddl = f"shard bigint, kind int, block int, documents array<struct<key:{kind},{_DOCUMENT}>>, {_BLOCK}, dictionary int, words binary, numbers binary"
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], ddl).schema)
 
     def batch_of(row: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in schema], schema=schema)
+        return pa.RecordBatch.from_arrays([row[f.name] if isinstance(row.get(f.name), pa.Array) else pa.array([row.get(f.name)], f.type) for f in schema], schema=schema)
 
     @frugal
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,15 +86,14 @@ def _scanned(docs: DataFrame, key: str, text: str, part: str) -> DataFrame:
         vocabulary, block, size = {}, 0, 0
 
         def words() -> Iterator[pa.RecordBatch]:
-            own, base, bytes_ = [], 0, 0
-            for w in vocabulary:
-                own.append(w)
-                bytes_ += len(w)
-                if len(own) == LIST or bytes_ > LIST_BYTES:
-                    yield batch_of({"shard": shard, "kind": 0, "base": base, "words": own})
-                    own, base, bytes_ = [], base + len(own), 0
-            if own:
-                yield batch_of({"shard": shard, "kind": 0, "base": base, "words": own})
+            own = list(vocabulary)
+            of = np.fromiter((crc32(w) % parts for w in own), np.int64, len(own))
+            order = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[order], np.arange(parts + 1))
+            for p in range(parts):
+                at = order[ends[p] : ends[p + 1]]
+                if len(at):
+                    yield batch_of({"shard": shard, "kind": 0, "dictionary": p, "words": b"\n".join([own[i] for i in at]), "numbers": at.astype("<i4").tobytes()})
 
         for batch in batches:
             if not batch.num_rows:
@@ -101,8 +105,7 @@ def _scanned(docs: DataFrame, key: str, text: str, part: str) -> DataFrame:
             indptr, indices, counts = _sparse_rows(texts, vocabulary)
             members = [batch[0], pc.fill_null(batch[2], ""), pa.array(flags[0]), pa.array(flags[1]), pa.array(flags[2] > 0), pa.array(address, pa.binary())]
             documents = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), pa.StructArray.from_arrays(members, fields=list(schema.field("documents").type.value_type)))
-            made = {"shard": shard, "kind": 1, "block": block, "indptr": indptr.tobytes(), "indices": indices.tobytes(), "data": counts.tobytes()}
-            yield pa.RecordBatch.from_arrays([documents if f.name == "documents" else pa.array([made.get(f.name)], f.type) for f in schema], schema=schema)
+            yield batch_of({"shard": shard, "kind": 1, "block": block, "documents": documents, "indptr": indptr.tobytes(), "indices": indices.tobytes(), "data": counts.tobytes()})
             block, size = block + 1, size + len(data)
             if len(vocabulary) >= SHARD_WORDS or size >= SHARD_BYTES:
                 yield from words()
@@ -112,44 +115,67 @@ def _scanned(docs: DataFrame, key: str, text: str, part: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"), F.col(f"`{part}`").cast("string")).mapInArrow(scan, ddl)
 
 
+def _numbered(scanned: DataFrame, parts: int, new_words: bool) -> DataFrame:
+    """(shard, numbers, word_ids) for each shard and part of the dictionary; with new_words the dictionary (word, word_id) itself. A part's words are met in
+    the order of shards, so a task that runs again gives the same numbers."""
+    rows = scanned.filter("kind = 0").select("dictionary", "shard", "words", "numbers").repartition("dictionary").sortWithinPartitions("dictionary", "shard")
+    ddl = "word string, word_id bigint" if new_words else "shard bigint, numbers binary, word_ids binary"
+    schema = to_arrow_schema(scanned.sparkSession.createDataFrame([], ddl).schema)
+
+    @frugal
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, known = None, {}
+        for batch in batches:
+            for i, p in enumerate(batch["dictionary"].to_pylist()):
+                if p != part:
+                    part, known = p, {}
+                before, words = len(known), batch["words"][i].as_py().split(b"\n")
+                ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words)) * parts + p
+                if new_words:
+                    fresh = {w: n for w, n in zip(words, ids.tolist(), strict=True) if n >= before * parts}
+                    yield pa.RecordBatch.from_arrays([pa.array(list(fresh), pa.binary()).cast(pa.string()), pa.array(list(fresh.values()), pa.int64())], schema=schema)
+                else:
+                    yield pa.RecordBatch.from_arrays([batch["shard"].slice(i, 1), batch["numbers"].slice(i, 1), pa.array([ids.astype("<i8").tobytes()], pa.binary())], schema=schema)
+
+    return rows.mapInArrow(number, ddl)
+
+
 def document_term_matrix(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(matrix, dictionary). matrix: a row for each block of documents: shard, block, documents (an array with the key, part, capitals, chars,
     symbol, address of each) and their words as CSR, little-endian: indptr (int64), indices (int64, word_id) and data (int32, how often).
-    dictionary: word, word_id (0, 1, ... without gaps).
+    dictionary: word, word_id (unique; its parts are numbered in turn, so there are few gaps).
 
     Words are maximal runs without ASCII white space, case-sensitive. Null texts are empty; a text without a word is an empty row. Repeated rows
     and null keys are rows of their own; a null part is the empty string. Other columns are not carried. An empty table has no blocks. A text of any
     length is one row; it is the only thing that makes a block or a shard larger than the constants say."""
-    scanned = stage(_scanned(docs, key, text, part), "shards")
-    own = scanned.filter("kind = 0").select("shard", "base", F.posexplode("words").alias("place", "word")).select("shard", (F.col("base") + F.col("place")).alias("local"), "word")
-    # numbers run from 0 in every task of the write; the table of tasks is as small as their number
-    distinct = stage(own.select("word").distinct().withColumn("at", F.monotonically_increasing_id()), "words")
-    task, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    before = Window.partitionBy(F.lit(0)).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    tasks = distinct.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    dictionary = distinct.withColumn("place", place).withColumn("in_task", task).join(tasks, F.col("in_task") == F.col("task")).select("word", (F.col("first") + F.col("place")).alias("word_id"))
-    dictionary = stage(dictionary, "dictionary")
-    # the numbers of a shard's words, in the order of its own; a shard's vocabulary is bounded
-    numbers = own.join(dictionary.withColumnRenamed("word", "d_word"), F.col("word") == F.col("d_word")).groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("local", "word_id"))).alias("n"))
-    numbers = numbers.select("shard", F.lit(0).alias("kind"), F.transform("n", lambda x: x["word_id"]).alias("numbers"))
-    blocks = scanned.filter("kind = 1").select("shard", "kind", "block", "documents", "indptr", "indices", "data")
-    both = numbers.unionByName(blocks, allowMissingColumns=True).repartition("shard").sortWithinPartitions("shard", "kind", "block")
-    ddl = ", ".join(f"{c} {blocks.schema[c].dataType.simpleString()}" for c in blocks.columns if c != "kind")
+    parts = min(MOST_PARTS, max(LEAST_PARTS, PARTS * docs.rdd.getNumPartitions()))
+    scanned = stage(_scanned(docs, key, text, part, parts), "shards")
+    blocks = scanned.filter("kind = 1").select("shard", "block", "documents", "indptr", "indices", "data")
+    # the numbers of a shard's words, then its blocks
+    both = _numbered(scanned, parts, False).withColumn("at", F.col("shard") * 2).drop("shard").unionByName(blocks.withColumn("at", F.col("shard") * 2 + 1), allowMissingColumns=True)
+    both = both.repartition(F.shiftright("at", 1)).sortWithinPartitions("at")
+    ddl = ", ".join(f"{c} {blocks.schema[c].dataType.simpleString()}" for c in blocks.columns)
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], ddl).schema)
 
     @frugal
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = np.zeros(0, np.int64)
+        shard, met, number = None, [], None
         for batch in batches:
-            for i, kind in enumerate(batch["kind"].to_pylist()):
-                if kind == 0:
-                    number = batch["numbers"][i].values.to_numpy(zero_copy_only=False)
+            for i, at in enumerate(batch["at"].to_pylist()):
+                if at >> 1 != shard:
+                    shard, met, number = at >> 1, [], None
+                if at % 2 == 0:
+                    met.append((np.frombuffer(batch["numbers"][i].as_py(), "<i4"), np.frombuffer(batch["word_ids"][i].as_py(), "<i8")))
                     continue
-                local = np.frombuffer(batch["indices"][i].as_py(), np.int32)
-                glob = pa.array([number[local].astype("<i8").tobytes()], pa.binary())
-                yield pa.RecordBatch.from_arrays([glob if f.name == "indices" else batch[f.name].slice(i, 1) for f in schema], schema=schema)
-
-    return both.mapInArrow(encode, ddl), dictionary
+                if number is None:
+                    number = np.zeros(sum(len(x) for x, _ in met), np.int64)
+                    for local, word_id in met:
+                        number[local] = word_id
+                    met = []
+                glob = number[np.frombuffer(batch["indices"][i].as_py(), np.int32)].astype("<i8")
+                yield pa.RecordBatch.from_arrays([pa.array([glob.tobytes()], pa.binary()) if f.name == "indices" else batch[f.name].slice(i, 1) for f in schema], schema=schema)
+
+    return both.mapInArrow(encode, ddl), _numbered(scanned, parts, True)
 
 
 def row_statistics(matrix: DataFrame) -> DataFrame:
