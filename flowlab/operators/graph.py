@@ -94,6 +94,7 @@ def label_propagation(edges: DataFrame, rounds: int = 10) -> DataFrame:
         wish = stage(labels.join(best, labels["ip"] == best["x"]).select("ip", "community", "new", F.xxhash64("ip", F.lit(i)).alias("h")), "wishes")
         open_ = wish.filter("new <> community")
         if open_.isEmpty():
+            unstage(both, wish)
             return labels
         if i < rounds:
             turn = F.pmod("h", F.lit(2)) == 0
@@ -142,19 +143,31 @@ def communities(edges: DataFrame, patience: int = 4) -> DataFrame:
             moves = F.col("top") > F.col("here") + 1e-9
             new = stage(home.join(wish, "x").select("x", "k", F.when(turn & moves, F.col("to")).otherwise(F.col("c")).alias("c"), moves.alias("open")), "homes")
             if new.filter("open").isEmpty():
+                unstage(new)
                 break
+            if home is not best:
+                unstage(home)
             home = new.select("x", "k", "c")
             q = _quality(level, home, m2)
-            best, best_q, stale = (home, q, 0) if q > best_q + 1e-9 else (best, best_q, stale + 1)
+            if q > best_q + 1e-9:
+                unstage(best)
+                best, best_q, stale = home, q, 0
+            else:
+                stale += 1
             if stale == patience:
                 break
+        if home is not best:
+            unstage(home)
         if best_q <= first + 1e-9:
+            unstage(best)
             break
-        to = best.select("x", "c")
+        to, last = best.select("x", "c"), (parts, level, best)
         parts = stage(parts.join(to.select(F.col("x").alias("community"), F.col("c").alias("to")), "community").select("ip", F.col("to").alias("community")), "parts")
         level = stage(
             level.join(to.withColumnRenamed("c", "cx"), "x").join(to.select(F.col("x").alias("y"), F.col("c").alias("cy")), "y").groupBy(F.col("cx").alias("x"), F.col("cy").alias("y")).agg(F.sum("w").alias("w")), "level"
         )
+        unstage(*last)
+    unstage(both, level)
     return parts
 
 

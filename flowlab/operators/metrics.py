@@ -45,6 +45,20 @@ def per_class_prf(confusion: DataFrame) -> DataFrame:
     return per.select("label", "support", F.round(F.coalesce(p, zero), 6).alias("precision"), F.round(F.coalesce(r, zero), 6).alias("recall"), F.round(F.coalesce(f1, zero), 6).alias("f1"))
 
 
+EVALUATION = "n bigint, accuracy double, classes array<struct<label:string,support:bigint,precision:double,recall:double,f1:double,predicted:map<string,bigint>>>"
+
+
+def evaluation(confusion: DataFrame) -> DataFrame:
+    """One nested row from confusion counts: n, accuracy, and the classes by name, each with its metrics and a map of what it was predicted as. As many
+    entries as there are classes, squared at most."""
+    total = confusion.agg(F.sum("n").alias("n"), F.round(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)) / F.sum("n"), 6).alias("accuracy"))
+    said = confusion.filter(F.col("prediction").isNotNull()).groupBy(F.col("label").alias("c_label")).agg(F.map_from_entries(F.collect_list(F.struct("prediction", "n"))).alias("predicted"))
+    rows = per_class_prf(confusion).join(said, F.col("label") == F.col("c_label"), "left")
+    fields = F.struct("label", "support", "precision", "recall", "f1", "predicted")
+    classes = rows.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("label").alias("by"), fields.alias("c"))), lambda a, b: F.when(a["by"] < b["by"], -1).when(a["by"] > b["by"], 1).otherwise(0)), lambda x: x["c"]).alias("classes"))
+    return total.join(F.broadcast(classes), how="cross")  # one row each
+
+
 def multiclass_metrics(confusion: DataFrame) -> DataFrame:
     """One row from confusion counts (label, prediction, n): accuracy, macro F1, and precision, recall and F1 weighted by support."""
     total = confusion.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("correct"))

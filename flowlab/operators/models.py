@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlab.operators import metrics
+from flowlab.sources.shared import shared_dir
 
 
 def scaler_pipeline(features: list[str], out: str = "scaled") -> Pipeline:
@@ -77,7 +80,7 @@ def auc(df: DataFrame, label: str, raw: str = "rawPrediction") -> float | None:
 def _fit_and_recall(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int, depth: int = 10) -> DataFrame:
     pipe = scaler_pipeline(features).fit(train)
     indexer = index_labels(train, label)
-    model = random_forest("label_idx", trees=trees, depth=depth).fit(indexer.transform(pipe.transform(train)))
+    model = stored(train.sparkSession, random_forest("label_idx", trees=trees, depth=depth).fit(indexer.transform(pipe.transform(train))))
     return metrics.per_class_recall(predict_labels(pipe.transform(test), model, indexer.labels, [label]), label, "predicted")
 
 
@@ -95,7 +98,7 @@ def scaler_leakage_test(train: DataFrame, test: DataFrame, features: list[str],
     own = _fit_and_recall(train, test, features, label, trees).select("label", F.col("recall").alias("recall_train_scaler"))
     pipe = scaler_pipeline(features).fit(train.unionByName(test))
     indexer = index_labels(train, label)
-    model = random_forest("label_idx", trees=trees).fit(indexer.transform(pipe.transform(train)))
+    model = stored(train.sparkSession, random_forest("label_idx", trees=trees).fit(indexer.transform(pipe.transform(train))))
     both = metrics.per_class_recall(predict_labels(pipe.transform(test), model, indexer.labels, [label]), label, "predicted").select("label", F.col("recall").alias("recall_all_scaler"))
     return own.join(both, "label", "full_outer")
 
@@ -123,6 +126,14 @@ def save_bundle(path: str, parts: dict) -> None:
         whole.write().overwrite().save(f"{path}/{name}")
 
 
+def stored(spark: SparkSession, model) -> PipelineModel:
+    """A fitted model, saved and loaded again, to score with: a model that was just fitted holds its training summary, with the tables of the
+    training, and would take them into every task's closure."""
+    path = f"{shared_dir(spark).rstrip('/')}/flowlab/model-{uuid.uuid4().hex}"
+    save_bundle(path, {"model": model})
+    return load_bundle(path, ["model"])["model"]
+
+
 def load_bundle(path: str, names: list[str]) -> dict[str, PipelineModel]:
     """What `save_bundle` saved; the model itself is the last of `stages`."""
     return {n: PipelineModel.load(f"{path}/{n}") for n in names}

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlab.operators.joins import sized
+from flowlab.sources.shared import stage
+
 #: Accuracy of the approximate quantiles that bracket a rank (their error is at most one row in so many), and parts of a bracket.
 ACCURACY, PARTS = 10_000, 4096
 
@@ -27,7 +30,8 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, shares: list[float
         F.struct(F.lit(i).alias("i"), F.when(few | F.lit(a == 0), F.col("_lo")).otherwise(F.col("_p")[2 * i]).alias("lo"), F.when(few | F.lit(z == 1), F.col("_hi")).otherwise(F.col("_p")[2 * i + 1]).alias("hi"))
         for i, (a, z) in enumerate(ends)
     ])
-    groups = sketch.select(*[F.col(n).alias(f"g{n}") for n in names], "_n", brackets.alias("_b"))
+    # a row for each group: few are sent to every task and no row moves; many are small groups, and rows meet theirs
+    groups = sized(stage(sketch.select(*[F.col(n).alias(f"g{n}") for n in names], "_n", brackets.alias("_b")), "brackets"))
     same = [F.col(n).eqNullSafe(F.col(f"g{n}")) for n in names]
     met = rows.join(groups, same, "inner") if names else rows.join(F.broadcast(groups), how="cross")  # one row
     inside = F.filter(F.col("_b"), lambda b: F.col("_v") <= b["hi"])
@@ -62,5 +66,5 @@ def pivoted(quantiles: DataFrame, by: list[str], names: list[str]) -> DataFrame:
 def range_parts(df: DataFrame, by: list[str], value: str, out: str, parts: int = 32) -> DataFrame:
     """df with `out`: the part, of about `parts` of equal size in its group, that holds the value; parts are in order of values."""
     cuts = df.groupBy(*by).agg(F.array_distinct(F.percentile_approx(value, [i / parts for i in range(1, parts)], ACCURACY)).alias("_cuts")).select(*[F.col(c).alias(f"_c{j}") for j, c in enumerate(by)], "_cuts")
-    met = df.join(cuts, [F.col(c).eqNullSafe(F.col(f"_c{j}")) for j, c in enumerate(by)])
+    met = df.join(sized(stage(cuts, "cuts")), [F.col(c).eqNullSafe(F.col(f"_c{j}")) for j, c in enumerate(by)])
     return met.withColumn(out, F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts", *[f"_c{j}" for j in range(len(by))])

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from flowlab.operators.joins import sized
 from flowlab.operators.quantiles import exact_quantiles, pivoted
 
 
@@ -34,11 +35,17 @@ def first_seen(text: Column) -> Column:
     return F.try_to_timestamp(F.trim(text), F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
+#: Families in one list.
+FAMILIES = 10_000
+
+
 def densify(volume: DataFrame, buckets: DataFrame, value: str = "n") -> DataFrame:
-    """(bucket, family, value): every family on every bucket, zero where there was nothing. Families are few and repeated
-    over the grid by an exploded array."""
-    families = volume.select("family").distinct().agg(F.sort_array(F.collect_set("family")).alias("f"))
-    full = buckets.join(F.broadcast(families), how="cross").select("bucket", F.explode("f").alias("family"))
+    """(bucket, family, value): every family on every bucket, zero where there was nothing. Families are dealt by a hash to lists of about
+    FAMILIES at most, and every bucket meets every list; few families are one list."""
+    families = volume.select("family").distinct()
+    lists = max(1, -(-families.count() // FAMILIES))
+    dealt = families.groupBy(F.pmod(F.xxhash64("family"), F.lit(lists)).alias("list")).agg(F.sort_array(F.collect_list("family")).alias("f"))
+    full = buckets.withColumn("list", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(lists - 1).cast("bigint")))).join(sized(dealt), "list").select("bucket", F.explode("f").alias("family"))
     return full.join(volume.select("bucket", "family", value), ["bucket", "family"], "left").select("bucket", "family", F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("value"))
 
 

@@ -405,11 +405,11 @@ def win_ema(spark, d):
 
 
 @book.add("""WITH RECURSIVE v AS (SELECT event_type AS k, event_id, value AS x, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS i FROM events), e AS (SELECT k, i, event_id, x AS m FROM v WHERE i = 1 UNION ALL SELECT v.k, v.i, v.event_id, e.m + 0.05 * (v.x - e.m) FROM e JOIN v ON v.k = e.k AND v.i = e.i + 1)
- SELECT event_id, k, round(m, 6) AS ema FROM e""")
+ SELECT event_id, k, round(m, 4) AS ema FROM e""")
 def win_ema_running(spark, d):
     """The mean after every event of its type: few keys of many rows."""
     e = events(spark, d).select(F.col("event_type").alias("k"), "event_id", "value")
-    return drift.ema_running(e, "k", "event_id", "value", 0.05).select("event_id", "k", "ema")
+    return drift.ema_running(e, "k", "event_id", "value", 0.05).select("event_id", "k", F.round("ema", 4).alias("ema"))
 
 
 @book.add("""WITH v AS (SELECT event_type AS k, event_id, CASE WHEN value > 30 THEN 'shift' ELSE 'stable' END AS verdict FROM events), i AS (SELECT *, sum(CASE WHEN verdict = 'stable' THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY event_id) AS i FROM v)
@@ -428,13 +428,15 @@ def drift_reanchor(spark, d):
 
 # -- time series --------------------------------------------------------------------------------------------------------
 
-START = "2024-01-02 00:00:00"
-GRID = f"(SELECT TIMESTAMP '{START}' + to_seconds(3600 * CAST(i AS INTEGER)) AS bucket FROM range(0, 169) t(i))"
+ENDS = "(SELECT CAST(floor(epoch(min(ts)) / 3600) AS BIGINT) AS lo, CAST(floor(epoch(max(ts)) / 3600) AS BIGINT) AS hi FROM events)"
+GRID = f"(SELECT to_timestamp(3600 * t)::TIMESTAMP AS bucket FROM (SELECT unnest(range(lo, hi + 1)) AS t FROM {ENDS}))"
+FRAMES = f"(SELECT unnest(range(0, (hi - lo + 1 - 16) // 8 + 1)) AS frame FROM {ENDS})"
 SERIES = f"(SELECT bucket, family, coalesce(CAST(n AS DOUBLE), 0.0) AS value FROM {GRID} CROSS JOIN (SELECT DISTINCT family FROM {VOLUME}) LEFT JOIN {VOLUME} USING (bucket, family))"
 
 
 def series(spark, d):
-    return timeseries.densify(volume(spark, d), timeseries.grid(spark, START, 7 * 24 * 60, 3600))
+    """Hourly volumes of all families from the first to the last event."""
+    return timeseries.densify(volume(spark, d), timeseries.grid_over(events(spark, d), "ts", 3600))
 
 
 @book.add(f"SELECT * FROM {SERIES}")
@@ -483,70 +485,8 @@ def ts_classify_shape(spark, d):
     return timeseries.shape(series(spark, d))
 
 
-@book.add(f"""WITH s AS (SELECT family, value, CAST(epoch(bucket) / 3600 AS BIGINT) - min(CAST(epoch(bucket) / 3600 AS BIGINT)) OVER (PARTITION BY family) AS i FROM {SERIES}), f AS (SELECT family, value, frame, i - frame * 8 AS k FROM s, (SELECT unnest(range(0, 20)) AS frame) WHERE i >= frame * 8 AND i < frame * 8 + 16),
+@book.add(f"""WITH s AS (SELECT family, value, CAST(epoch(bucket) / 3600 AS BIGINT) - min(CAST(epoch(bucket) / 3600 AS BIGINT)) OVER (PARTITION BY family) AS i FROM {SERIES}), f AS (SELECT family, value, frame, i - frame * 8 AS k FROM s, {FRAMES} WHERE i >= frame * 8 AND i < frame * 8 + 16),
  x AS (SELECT family, frame, k, (value - avg(value) OVER (PARTITION BY family, frame)) * (0.5 - 0.5 * cos(2 * pi() * k / 15)) AS x FROM f), m AS (SELECT family, frame, b AS bin, sqrt(power(sum(x * cos(2 * pi() * b / 16 * k)), 2) + power(sum(x * sin(2 * pi() * b / 16 * k)), 2)) AS m FROM x, (SELECT CAST(unnest(range(0, 9)) AS INTEGER) AS b) GROUP BY ALL),
  q AS (SELECT *, max(m) OVER (PARTITION BY family) AS peak FROM m) SELECT family, CAST(frame AS BIGINT) AS frame, bin, round(20 * log10(greatest(m, peak * 1e-6) / peak), 4) AS db FROM q""")
 def ts_stft(spark, d):
     return timeseries.stft(series(spark, d), 3600)
-
-
-# The same over the whole range of the events; those above are of one week, as their SQL is.
-
-ENDS = "(SELECT CAST(floor(epoch(min(ts)) / 3600) AS BIGINT) AS lo, CAST(floor(epoch(max(ts)) / 3600) AS BIGINT) AS hi FROM events)"
-WHOLE_GRID = f"(SELECT to_timestamp(3600 * t)::TIMESTAMP AS bucket FROM (SELECT unnest(range(lo, hi + 1)) AS t FROM {ENDS}))"
-FRAMES = f"(SELECT unnest(range(0, (hi - lo + 1 - 16) // 8 + 1)) AS frame FROM {ENDS})"
-
-
-def over_all(name: str) -> str:
-    """The SQL of a query of one week, on the grid of the whole range."""
-    return book.sql[name].replace(GRID, WHOLE_GRID).replace("(SELECT unnest(range(0, 20)) AS frame)", FRAMES)
-
-
-def whole_series(spark, d):
-    return timeseries.densify(volume(spark, d), timeseries.grid_over(events(spark, d), "ts", 3600))
-
-
-@book.add(over_all("ts_densify"))
-def ts_densify_all(spark, d):
-    return whole_series(spark, d)
-
-
-@book.add(over_all("ts_aggregate_peak"))
-def ts_aggregate_peak_all(spark, d):
-    return timeseries.aggregate_peak(whole_series(spark, d))
-
-
-@book.add(over_all("ts_surge"))
-def ts_surge_all(spark, d):
-    return timeseries.surge(whole_series(spark, d))
-
-
-@book.add(over_all("ts_pearson"))
-def ts_pearson_all(spark, d):
-    return timeseries.pearson(whole_series(spark, d))
-
-
-@book.add(over_all("ts_best_lag"))
-def ts_best_lag_all(spark, d):
-    return timeseries.best_lag(timeseries.lag_correlation(whole_series(spark, d), 3600))
-
-
-@book.add(over_all("ts_narrative"))
-def ts_narrative_all(spark, d):
-    return timeseries.narrative(ts_best_lag_all(spark, d), 3600, 0.1)
-
-
-@book.add(over_all("ts_classify_shape"))
-def ts_classify_shape_all(spark, d):
-    return timeseries.shape(whole_series(spark, d))
-
-
-@book.add(over_all("ts_stft"))
-def ts_stft_all(spark, d):
-    return timeseries.stft(whole_series(spark, d), 3600)
-
-
-@book.add("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M') AS label, date_trunc('second', ts) AS seen FROM events")
-def time_labels(spark, d):
-    text = F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" "))
-    return events(spark, d).select("event_id", timeseries.bucket_label(F.col("ts"), 60).alias("label"), timeseries.first_seen(text).alias("seen"))

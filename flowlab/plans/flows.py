@@ -434,13 +434,9 @@ def denoise_conflicts(spark, d):
     return splits.denoise_conflicts(lineitem(spark, d), F3, "l_returnflag").select(KEY)
 
 
-@book.add(f"SELECT l_rowkey FROM {SQL_L} ORDER BY md5('42' || l_rowkey), l_rowkey LIMIT 100")
-def sort_global_shuffle(spark, d):
-    return splits.shuffled(lineitem(spark, d), KEY).select(KEY).limit(100)
-
-
 @book.add(f"SELECT l_rowkey, row_number() OVER (ORDER BY md5('42' || l_rowkey), l_rowkey) AS position FROM {SQL_L}")
-def sort_global_positions(spark, d):
+def sort_global_shuffle(spark, d):
+    """Every row with its place in the random order."""
     return splits.positions(lineitem(spark, d), KEY).select(KEY, "position")
 
 

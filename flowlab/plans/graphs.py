@@ -114,12 +114,14 @@ def graph_modularity(spark, d):
 
 @book.add()
 def graph_communities(spark, d):
-    return graph.communities(edges(spark, d))
+    """Of all customers and suppliers."""
+    return graph.communities(graph_build_edges_large(spark, d))
 
 
 @book.add()
 def graph_label_propagation(spark, d):
-    return graph.label_propagation(edges(spark, d))
+    """Of all customers and suppliers."""
+    return graph.label_propagation(graph_build_edges_large(spark, d))
 
 
 @book.add(f"SELECT * FROM {STATS}")

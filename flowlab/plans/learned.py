@@ -31,6 +31,7 @@ def forest_scores(spark, d):
 @book.add()
 def train_rf_multiclass(spark, d):
     pipe, indexer, model, test = forest_scores(spark, d)
+    model = models.stored(spark, model)
     return metrics.per_class_prf(metrics.confusion_counts(models.predict_labels(pipe.transform(test), model, indexer.labels, ["l_returnflag"]), "l_returnflag", "predicted"))
 
 
@@ -45,7 +46,7 @@ def train_lr_binary(spark, d):
     train, test = split_flows(spark, d)
     y = F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0)
     pipe = models.scaler_pipeline(F4).fit(train)
-    model = models.logistic("y").fit(pipe.transform(train).withColumn("y", y))
+    model = models.stored(spark, models.logistic("y").fit(pipe.transform(train).withColumn("y", y)))
     out = models.score(pipe.transform(test), model, "p", ["l_linestatus"])
     return metrics.threshold_sweep(out, "p", F.col("l_linestatus") == "F", [0.4, 0.5, 0.6])
 
@@ -54,7 +55,7 @@ def train_lr_binary(spark, d):
 def train_specialist(spark, d):
     train, test = split_flows(spark, d)
     pipe = models.scaler_pipeline(F4).fit(train)
-    model = models.specialist(pipe.transform(train), "l_returnflag", "R", KEY)
+    model = models.stored(spark, models.specialist(pipe.transform(train), "l_returnflag", "R", KEY))
     return metrics.per_class_score(models.score(pipe.transform(test), model, "p", ["l_returnflag"]), "l_returnflag", "p", 0.5)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowlab.operators import filters, metrics, models, schema, sets
 from flowlab.plans import alerts, graphs
-from flowlab.plans.base import F4, KEY, SQL_S, Book, events, lineitem
+from flowlab.plans.base import F4, KEY, SQL_S, Book, events, lineitem, table
 from flowlab.plans.learned import split_flows, stream
 from flowlab.sources import sinks
 from flowlab.sources.shared import shared_dir
@@ -74,7 +74,7 @@ def train_rf_binary(spark, d):
     train, test = split_flows(spark, d)
     y = F.when(F.col("l_returnflag") == "N", 1.0).otherwise(0.0)
     pipe = models.scaler_pipeline(F4).fit(train)
-    model = models.random_forest("y").fit(pipe.transform(train).withColumn("y", y))
+    model = models.stored(spark, models.random_forest("y").fit(pipe.transform(train).withColumn("y", y)))
     out = models.score(pipe.transform(test), model, "p", ["l_returnflag"])
     return metrics.threshold_sweep(out, "p", F.col("l_returnflag") == "N", [0.3, 0.5, 0.7])
 
@@ -84,7 +84,7 @@ def train_lr_multinomial(spark, d):
     train, test = split_flows(spark, d)
     pipe = models.scaler_pipeline(F4).fit(train)
     indexer = models.index_labels(train, "l_returnflag")
-    model = models.logistic("label_idx").fit(indexer.transform(pipe.transform(train)))
+    model = models.stored(spark, models.logistic("label_idx").fit(indexer.transform(pipe.transform(train))))
     out = models.predict_labels(pipe.transform(test), model, indexer.labels, ["l_returnflag"])
     return metrics.multiclass_metrics(metrics.confusion_counts(out, "l_returnflag", "predicted"))
 
@@ -126,11 +126,26 @@ def union_positional(spark, d):
     return sets.union_positional(left, e.filter("event_id % 2 = 1").select("event_id", F.upper("event_type")))
 
 
-@book.add("SELECT l_returnflag AS label, CAST(count(*) AS BIGINT) AS expected, CAST(count(*) AS BIGINT) AS actual, true AS passed FROM lineitem GROUP BY 1 UNION ALL SELECT 'X', 5, 0, false")
+@book.add("""SELECT coalesce(e.label, a.label) AS label, coalesce(e.n, 0) AS expected, coalesce(a.n, 0) AS actual, coalesce(e.n, 0) = coalesce(a.n, 0) AS passed FROM (SELECT o_orderpriority AS label, count(*) AS n FROM orders GROUP BY 1 UNION ALL SELECT 'X', 5) e
+ LEFT JOIN (SELECT o_orderpriority AS label, count(DISTINCT l_orderkey) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) a USING (label)""")
 def assert_counts(spark, d):
-    """Counts of a harmonised source against those it must have; a label that is missing fails."""
-    want = {r["label"]: r["n"] for r in lineitem(spark, d).groupBy(F.col("l_returnflag").alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    return schema.count_report(lineitem(spark, d), "l_returnflag", want | {"X": 5})
+    """Orders as their lines have them against the counts of the table of orders; a label that is missing fails."""
+    orders = table(spark, d, "orders")
+    want = {r["label"]: r["n"] for r in orders.groupBy(F.col("o_orderpriority").alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    seen = lineitem(spark, d).select("l_orderkey").distinct().join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return schema.count_report(seen, "o_orderpriority", want | {"X": 5})
+
+
+@book.add(f"""SELECT t.n, round(t.correct / t.n, 6) AS accuracy, p.label, p.support, p.precision, p.recall, p.f1, c.cells FROM (SELECT count(*) AS n, count(*) FILTER (event_type = pred) AS correct FROM {alerts.PRED}) t, {alerts.PRF} p
+ JOIN (SELECT label, string_agg(pred || '=' || n, ',' ORDER BY pred) AS cells FROM (SELECT event_type AS label, pred, count(*) AS n FROM {alerts.PRED} GROUP BY ALL) GROUP BY 1) c USING (label)""")
+def sink_metrics_json(spark, d):
+    """The nested artifact of an evaluation (totals, a list of classes, of each a map of its predictions) written as one JSON document and read back."""
+    path = folder(spark)
+    counts = metrics.confusion_counts(alerts.predicted(spark, d), "event_type", "pred")
+    sinks.write_artifact(metrics.evaluation(counts), path)
+    read = spark.read.schema(metrics.EVALUATION).json(path).select("n", "accuracy", F.explode("classes").alias("c"))
+    cells = F.array_join(F.transform(F.array_sort(F.map_entries("c.predicted")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+    return read.select("n", "accuracy", "c.label", "c.support", "c.precision", "c.recall", "c.f1", cells.alias("cells"))
 
 
 @book.add(f"SELECT src, dst, weight, has_attack, greatest(1.0, least(5.0, weight / 10)) AS width FROM {graphs.EDGES} WHERE src <> dst")

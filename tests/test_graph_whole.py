@@ -2,8 +2,12 @@
 
 import pytest
 from flowlab.operators import graph
+from flowlab.plans import graphs
+from flowlab.sources import files
+from flowlab.sources.shared import shared_dir
+from pyspark.sql import functions as F
 
-from tests.test_queries import oracle, test_query_equals_sql as equals_sql  # noqa: F401
+from tests.test_queries import DATA, oracle, test_query_equals_sql as equals_sql  # noqa: F401
 
 
 def test_labels_settle(spark):
@@ -22,3 +26,30 @@ def test_labels_settle(spark):
 @pytest.mark.parametrize("name", ["graph_degrees_large", "graph_pagerank_large"])
 def test_large_graph_equals_sql(spark, oracle, name):  # noqa: F811
     equals_sql(spark, oracle, name)
+
+
+def modularity_of(spark, edges, parts):
+    return graph.modularity(graph.undirected(edges), parts).first()["modularity"]
+
+
+def test_communities_of_customers_and_suppliers(spark):
+    """Communities are no worse than settled labels and than none, cover every node, and hold together."""
+    e = graphs.graph_build_edges_large(spark, str(DATA)).cache()
+    parts, labels = graph.communities(e).cache(), graph.label_propagation(e).cache()
+    nodes = e.select("src").union(e.select("dst")).distinct().count()
+    assert parts.count() == labels.count() == nodes
+    found = modularity_of(spark, e, parts)
+    alone = modularity_of(spark, e, parts.select("ip", F.col("ip").cast("string").alias("community")))
+    assert found >= modularity_of(spark, e, labels) and found > max(alone, 0.0)
+
+
+def test_iterative_jobs_leave_no_tables(spark):
+    pairs = [(i, (i * 7 + 1) % 30, 1 + i % 3) for i in range(30)] + [(i, i + 1, 9) for i in range(0, 28, 2)]
+    e = spark.createDataFrame(pairs, "src bigint, dst bigint, weight bigint")
+    folder = f"{shared_dir(spark)}/flowlab"
+    before = set(files.names(spark, folder))
+    for job in (graph.communities, graph.label_propagation):
+        job(e).collect()
+        left = set(files.names(spark, folder)) - before
+        assert len(left) == 1, left  # its result
+        before |= left

@@ -16,4 +16,4 @@ def test_every_row_has_its_place_in_the_order(spark):
 
 
 def test_query_equals_row_numbers_over_the_whole_table(spark, oracle):  # noqa: F811
-    equals_sql(spark, oracle, "sort_global_positions")
+    equals_sql(spark, oracle, "sort_global_shuffle")

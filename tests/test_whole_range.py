@@ -13,11 +13,11 @@ NAMES = ["densify", "aggregate_peak", "surge", "pearson", "best_lag", "narrative
 
 @pytest.mark.parametrize("name", NAMES)
 def test_whole_range_equals_sql(spark, oracle, name):  # noqa: F811
-    equals_sql(spark, oracle, f"ts_{name}_all")
+    equals_sql(spark, oracle, f"ts_{name}")
 
 
 def test_every_event_is_in_the_series(spark, oracle):  # noqa: F811
-    rows = registry.queries()["ts_densify_all"](spark, str(DATA)).collect()
+    rows = registry.queries()["ts_densify"](spark, str(DATA)).collect()
     assert sum(r["value"] for r in rows) == oracle.sql("SELECT count(*) FROM events").fetchall()[0][0]
 
 
