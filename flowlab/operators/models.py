@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,15 @@ def logistic(label: str, features: str = "scaled") -> LogisticRegression:
     return LogisticRegression(labelCol=label, featuresCol=features, maxIter=20, regParam=0.01)
 
 
+def category_tree(label: str, categories: list[str], out: str, classes: bool = False, depth: int = 8) -> Pipeline:
+    """A decision tree over text columns, each indexed as a category (at most 32 values). `out` is the share of a 0/1 label in the leaf; with classes
+    it is the more frequent class (a tree of classes is pruned where leaves agree, so its shares are of merged leaves)."""
+    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categories]
+    assembled = VectorAssembler(inputCols=[f"{c}_idx" for c in categories], outputCol="tree_features", handleInvalid="keep")
+    kind = DecisionTreeClassifier if classes else DecisionTreeRegressor
+    return Pipeline(stages=[*indexers, assembled, kind(labelCol=label, featuresCol="tree_features", predictionCol=out, maxDepth=depth, maxBins=33)])
+
+
 def specialist(df: DataFrame, label: str, target: str, key: str, features: str = "scaled", trees: int = 100, depth: int = 12):
     """A one-vs-rest forest on all rows of the target class and about as many others."""
     from flowlab.operators.splits import sample_balanced

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from flowlab.plans import alerts, flows, graphs, learned, scoring, storage
+from flowlab.plans import alerts, fitted, flows, graphs, learned, scoring, storage
 from flowlab.plans.base import Query
 
-BOOKS = (flows.book, alerts.book, graphs.book, learned.book, storage.book, scoring.book)
+BOOKS = (flows.book, alerts.book, graphs.book, learned.book, storage.book, scoring.book, fitted.book)
 
 
 def queries() -> dict[str, Query]:
