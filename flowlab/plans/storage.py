@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlab.functions import labels
 from flowlab.operators import feeds, graph, joins, metrics, quality, sets
 from flowlab.plans import graphs
 from flowlab.plans.alerts import GRADED, graded, is_error, predicted
@@ -225,8 +226,11 @@ def sink_upsert_batches(spark, d):
  UNION ALL SELECT 'communities', NULL, NULL, size, community FROM {graphs.STATS}""")
 def sink_graph_tables(spark, d):
     parts = graphs.parts(spark, d)
-    version = sinks.write_graph({"nodes": graphs.nodes(spark, d), "edges": graph.endpoint_communities(graphs.edges(spark, d), parts), "communities": graphs.stats(spark, d)}, folder(spark))
-    none, rows = F.lit(None).cast("bigint"), lambda n: spark.read.parquet(f"{version}/{n}").withColumn("name", F.lit(n))
+    root = folder(spark)
+    for size in (5, None):  # an earlier version, and the one that is read
+        nodes = graphs.nodes(spark, d)
+        sinks.write_graph({"nodes": nodes.limit(size) if size else nodes, "edges": graph.endpoint_communities(graphs.edges(spark, d), parts), "communities": graphs.stats(spark, d)}, root)
+    none, rows = F.lit(None).cast("bigint"), lambda n: sinks.read_graph(spark, root, n).withColumn("name", F.lit(n))
     return sets.union_all([
         rows("nodes").select("name", F.col("ip").alias("a"), none.alias("b"), F.col("total_flows").alias("n"), F.lit(None).cast("string").alias("community")),
         rows("edges").select("name", F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("n"), F.col("src_community").alias("community")),
@@ -345,14 +349,18 @@ def stream_update_mode(spark, d):
     return rows.groupBy("user_id", "window_start").agg(F.max("connection_count").alias("connection_count"))
 
 
-@book.add("SELECT event_id, CAST(1 AS INTEGER) AS label FROM events WHERE event_type = 'error' AND event_id % 2 = 0 UNION ALL SELECT event_id, CAST(0 AS INTEGER) FROM events WHERE event_type = 'view' AND event_id % 2 = 0")
+@book.add("""SELECT event_id, CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS INTEGER) AS label, true AS only_new_files FROM events WHERE event_type IN ('error', 'view') AND ts > (SELECT max(ts) - INTERVAL 5 DAY FROM events)""")
 def feedback_poll(spark, d):
-    """Verdicts that are new since the last poll (odd ids were seen), each once."""
-    from flowlab.functions.labels import verdict
-
-    v = events(spark, d).select("event_id", verdict(F.when(is_error(), "confirmed").when(F.col("event_type") == "view", "benign")).alias("label"))
-    seen = v.filter("event_id % 2 = 1").select("event_id")
-    return v.unionByName(v).dropDuplicates(["event_id"]).join(seen, "event_id", "left_anti").filter(F.col("label").isNotNull())
+    """Verdicts of a stored table that are new since the last poll, each once: only files that reach beyond it are opened."""
+    path = folder(spark)
+    said = F.when(is_error(), "confirmed").when(F.col("event_type") == "view", "benign")
+    v = events(spark, d).select("event_id", "ts", labels.verdict(said).alias("label"), F.to_date("ts").alias("day"))
+    days = [r["day"] for r in v.select("day").distinct().orderBy("day").collect()]  # a few weeks
+    for n, day in enumerate([*days, days[-1]]):  # the last day is stored twice
+        alert_store.append(v.filter(F.col("day") == day).drop("day").coalesce(1), path, "ts", n)
+    last = v.agg(F.max("ts") - F.expr("INTERVAL 5 DAYS")).first()[0]
+    new, opened = alert_store.since(spark, path, "ts", last)
+    return new.filter(F.col("label").isNotNull()).dropDuplicates(["event_id"]).select("event_id", "label", F.lit(opened <= 7).alias("only_new_files"))
 
 
 @book.add(f"SELECT l_rowkey, unnest([{', '.join(repr(f) for f in F4)}]) AS feature, unnest([{', '.join(F4)}]) AS value FROM {SQL_L}")

@@ -37,6 +37,21 @@ def rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(f"{path}/rows")
 
 
+def since(spark: SparkSession, path: str, ts: str, after, least_overlap: int = 0) -> tuple[DataFrame, int]:
+    """(rows later than a time, how many files were opened): a poll that goes on where the last one ended opens only files that reach beyond it. after: a
+    timestamp, or None for all rows with a time. least_overlap: seconds before it that are read again, for rows that were stored late."""
+    every = zones(spark, path).filter("n_timed > 0")
+    schema = rows(spark, path).schema
+    if after is not None:
+        cut = F.lit(after) - F.make_dt_interval(secs=F.lit(least_overlap))
+        every = every.filter(F.col("greatest") > cut)
+    opened = [r["file"] for r in every.select("file").collect()]  # what is new since the last poll
+    if not opened:
+        return spark.createDataFrame([], schema), 0
+    found = spark.read.schema(schema).parquet(*[f"{path}/rows/{f}" for f in opened]).filter(F.col(ts).isNotNull())
+    return (found if after is None else found.filter(F.col(ts) > cut)), len(opened)
+
+
 def recent(spark: SparkSession, path: str, ts: str, key: str, k: int) -> tuple[DataFrame, int]:
     """(the newest k rows with a time, ties by key; how many files were opened).
 

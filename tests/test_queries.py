@@ -12,7 +12,7 @@ CHOICE = [
     "spike_rollup", "harmonise", "clean_features", "feature_summary", "duplicate_stats", "split_grouped", "split_stratified", "join_left_anti_deleak", "threshold_sweep",
     "matched_fpr_compare", "classify_flow", "alert_rollup", "diversified_pick", "drift_psi_ks", "win_ema", "win_ema_running", "win_streak", "win_streak_rows", "ts_best_lag", "graph_build_edges", "graph_collapse_peers", "stream_tumbling_spike",
     "stream_late_drop", "scan_alert_store", "scan_file_glob_incremental", "frequent_values", "value_counts_topk", "top_duplicate_groups", "sink_upsert_state", "sink_upsert_batches",
-    "sink_expired_rewrite", "sink_expired_days", "learn_feedback", "state_save_restore", "adaptive_first_batch", "assert_counts", "sink_metrics_json", "clean_column_names", "fix_positional_duplicate", "fit_scaler_train_only", "score_models", "stream_score_tree", "rate_controller", "residual_calibrator",
+    "sink_expired_rewrite", "sink_expired_days", "learn_feedback", "state_save_restore", "adaptive_first_batch", "assert_counts", "sink_metrics_json", "feedback_poll", "sink_graph_tables", "clean_column_names", "fix_positional_duplicate", "fit_scaler_train_only", "score_models", "stream_score_tree", "rate_controller", "residual_calibrator",
      "single_feature_auc", "key_profile_per_label",
 ]
 

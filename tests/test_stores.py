@@ -83,6 +83,16 @@ def test_newest_rows_open_few_files(spark, tmp_path):
         assert [(r["id"], r["ts"]) for r in got.orderBy(F.desc("ts"), "id").collect()] == timed[:k]
         assert opened <= most
     assert alerts.rows(spark, path).count() == len(every)
+    for after, most in ((None, 12), (dt.datetime(2024, 1, 11, 12), 3), (dt.datetime(2025, 1, 1), 0)):
+        got, opened = alerts.since(spark, path, "ts", after)
+        assert sorted(r["id"] for r in got.collect()) == sorted(i for i, t in every if t and (after is None or t > after)) and opened <= most
+
+
+def test_graph_versions(spark, tmp_path):
+    for n in range(4):
+        sinks.write_graph({"nodes": spark.range(n + 1), "edges": spark.range(n)}, str(tmp_path))
+        assert sinks.read_graph(spark, str(tmp_path), "nodes").count() == n + 1
+    assert len(list(tmp_path.iterdir())) == 3  # two versions and their list
 
 
 def test_ledger_resumes_and_replaces(spark, tmp_path):
