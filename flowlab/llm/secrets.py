@@ -6,7 +6,8 @@ joins findings back to every path that holds the blob. All of it is DataFrame op
 
 Addresses are compared before any text moves. While a text is addressed, a plain hint of every rule (a fragment that each
 of its matches holds) is looked for in place: a blob without the hint of a pending rule is done with it, and only texts that
-are both unseen and hinted at are brought together, one for each blob.
+are both unseen and hinted at are brought together, one for each blob (as long as the unseen ones are few enough to be sent to every task; a first scan of
+a large corpus moves every hinted text once).
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ ADDED = (
 )
 RULES = BASE + ADDED
 
+#: Wanted blobs that may be sent to every task, as 8 bytes each.
+SENT = 500_000
 LEDGER = "blob string, scanned array<string>, findings array<struct<rule:string,start:bigint,end:bigint>>"
 
 
@@ -96,16 +99,25 @@ def pending_blobs(paths: DataFrame, ledger: DataFrame | None = None, rules: tupl
     return blobs.join(seen, F.col("blob") == F.col("s_blob"), "left").select("blob", "hinted", pending.alias("pending")).filter(F.size("pending") > 0)
 
 
+def _texts_due(versions: DataFrame, wanted: DataFrame, might: Column, text: str = "text") -> DataFrame:
+    """(blob, text) of the rows whose blob is wanted, copies included. Up to SENT wanted blobs go to every task as 64-bit hashes, so that no other text
+    moves; beyond them all texts with a hint meet the wanted blobs by shuffle."""
+    hinted = versions.filter(might).select(blob_of(F.col(f"`{text}`")).alias("blob"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    if wanted.limit(SENT + 1).count() > SENT:
+        return hinted
+    hashes = wanted.select(F.xxhash64("w_blob").alias("w_hash")).distinct()
+    return hinted.join(F.broadcast(hashes), F.xxhash64("blob") == F.col("w_hash"), "left_semi")
+
+
 def scan(versions: DataFrame, pending: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """Ledger rows for the pending pairs. A blob without findings has a row too: it need not be scanned again. Texts are
-    brought together only of blobs whose text holds a hint of a pending rule."""
+    """Ledger rows for the pending pairs. A blob without findings has a row too: it need not be scanned again. Pending blobs come first: texts are
+    brought together, one for each blob, only of blobs that are pending and hold a hint of a pending rule."""
     none = F.array().cast("array<struct<rule:string,start:bigint,end:bigint>>")
-    due = pending.withColumn("due", F.array_intersect("pending", "hinted"))
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    due = stage(pending.withColumn("due", F.array_intersect("pending", "hinted")), "pending")
     ids = {r["id"] for r in due.select(F.explode("due").alias("id")).distinct().collect()}  # at most a row for each rule
-    might = t.rlike("|".join(f"(?:{r.hint})" for r in rules if r.id in ids)) if ids else F.lit(False)
-    texts = versions.filter(might).select(blob_of(F.col(f"`{text}`")).alias("blob"), t.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    might = F.coalesce(F.col(f"`{text}`"), F.lit("")).rlike("|".join(f"(?:{r.hint})" for r in rules if r.id in ids)) if ids else F.lit(False)
     wanted = due.filter(F.size("due") > 0).select(F.col("blob").alias("w_blob"), "pending", "due")
+    texts = _texts_due(versions, wanted, might, text).groupBy("blob").agg(F.first("text").alias("text"))
     met = texts.join(wanted, F.col("blob") == F.col("w_blob"))
     found = [F.when(F.array_contains("due", r.id), _spans(F.col("text"), r)).otherwise(none).alias(f"f{i}") for i, r in enumerate(rules)]
     read = met.select("blob", "pending", *found).select("blob", F.col("pending").alias("scanned"), F.concat(*[F.col(f"f{i}") for i in range(len(rules))]).alias("findings"))

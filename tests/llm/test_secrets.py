@@ -3,6 +3,7 @@ import re
 
 from flowlab.llm import secrets
 from flowlab.llm.common import stage
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id bigint, text string"
 PATTERNS = {
@@ -52,6 +53,27 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert found == {1: ["assign"], 9: ["jwt"]}
 
 
+def test_a_full_ledger_moves_only_new_texts(spark):
+    """With all but one document known, one text passes to the exchange; beyond the bound of what is sent the result is the same."""
+    old = [(i, f"secret=abcdef{i:04d}") for i in range(300)]
+    _, first = scanned(spark, old)
+    docs = spark.createDataFrame([*old, (1000, "token: fresh-one"), (1001, "token: fresh-one")], SCHEMA)
+    paths = stage(secrets.addressed(docs), "paths")
+    pending = secrets.pending_blobs(paths, first)
+    wanted = pending.select(F.col("blob").alias("w_blob"))
+    due = secrets._texts_due(docs, wanted, F.lit(True))
+    assert sorted(r["text"] for r in due.collect()) == ["token: fresh-one"] * 2
+    plan = due.groupBy("blob").agg(F.first("text"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.index("Exchange hashpartitioning(blob") < plan.index("BroadcastHashJoin")
+    got = [(r["scanned"], r["findings"]) for r in secrets.scan(docs, pending).collect()]
+    assert len(got) == 1 and [f["rule"] for f in got[0][1]] == ["assign:1"]
+    sent, secrets.SENT = secrets.SENT, 0
+    try:
+        assert [(r["scanned"], r["findings"]) for r in secrets.scan(docs, pending).collect()] == got
+    finally:
+        secrets.SENT = sent
+
+
 def test_hints_lose_no_match():
     """Every match that passes holds the hint of its rule."""
     rng = random.Random(3)
