@@ -11,6 +11,7 @@ only rows of leaves that a query visits are scored. Large blocks and busy ones a
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -239,14 +240,19 @@ def calibrate(tree: Tree, index: DataFrame, k: int, target: float) -> float:
 
     found = index.select("v", "leaf").mapInPandas(nearest_here, "q int, near double, leaf int")
     best = found.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near")))).filter(F.col("n") <= k).select("q", "leaf").collect()
-    orders = [tree.order(q, tree.leaves) for q in queries]
-    place = [{leaf: i for i, leaf in enumerate(o)} for o in orders]
-    needed = np.array([place[r["q"]][r["leaf"]] for r in best])
+    home = defaultdict(list)  # at most k leaves for each query
+    for r in best:
+        home[r["q"]].append(r["leaf"])
+    needed, place = [], np.empty(tree.leaves, np.int64)
+    for i, q in enumerate(queries):  # one order of leaves at a time
+        place[tree.order(q, tree.leaves)] = np.arange(tree.leaves)
+        needed += place[home[i]].tolist()
+    needed = np.array(needed)
     visits = 1
     while (needed < visits).mean() < target and visits < tree.leaves:
         visits += max(1, visits // 32)
     tree.visits = min(visits, tree.leaves)
-    return float(np.mean([tree.sizes[o[: tree.visits]].sum() for o in orders]) / tree.sizes.sum())
+    return float(np.mean([tree.sizes[tree.order(q, tree.visits)].sum() for q in queries]) / tree.sizes.sum())
 
 
 def nearest(vectors: DataFrame, divisor: int = 50, k: int = 5, key: str = "vec_id", vector: str = "embedding", target: float = TARGET_RECALL) -> DataFrame:
