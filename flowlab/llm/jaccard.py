@@ -1,12 +1,13 @@
 """N-gram Jaccard join by a MinHash LSH forest with exact verification.
 
 Texts with the same set of word shingles are one representative. Each tree of the forest labels every representative with
-DEEPEST MinHash values of eight bits, packed most significant first into one number; a tree is the sorted trie of those
-labels, and what two labels share from the front is a node of it. Representatives start from the longest prefix. It
-is shortened, in all trees at once, until two sets at the threshold itself share a node in some tree with the target
-probability, and then further for every representative that has met few others on the shorter prefix: those in sparse
-parts of the tries are compared with all that share five values in some tree, those in crowded ones with what
-the target needs. Candidates are verified on whole shingle sets.
+DEEPEST MinHash values of BITS bits, packed most significant first into one number; a tree is the sorted trie of those
+labels, and what two labels share from the front is a node of it. Representatives start from the longest prefix. For each it is shortened,
+in all trees at once, until the estimated recall reaches the target: two sets of similarity s share a prefix of d values in some tree with
+probability 1 - (1 - s^d)^trees, and s is read off the tries themselves, as the share of the meetings at one depth that go on to
+the next one (a meeting goes on with probability s), drawn toward the threshold by PRIOR meetings, less its standard error, and never below the threshold. A set whose
+neighbours are nearly equal is compared at a long prefix, one with few or less similar ones at a shorter, at the shortest at which the threshold itself reaches the
+target. Candidates are verified on whole shingle sets.
 
 Large nodes are cut into blocks and verified block against block: only counts of links and one row per member leave a
 block, never all pairs.
@@ -26,10 +27,9 @@ from flowlab.llm.common import bounded_batches, frugal, shelved, stage, unstage
 from flowlab.llm.components import connected
 from flowlab.llm.skew import join_weighted
 
-SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.995
-#: Trees; values in a label; the shortest prefix used, and how many others a representative that goes on to a shorter prefix may
-#: meet on it in one tree.
-TREES, DEEPEST, SHORTEST, FEW = 24, 8, 5, 32
+SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.999
+#: Trees; values in a label, and bits of a value; meetings at the threshold that every set is given before its own are counted.
+TREES, DEEPEST, BITS, PRIOR = 24, 10, 6, 32.0
 #: Members and shingles in a block, about; columns of a block's incidence matrix held at once.
 BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS = 128, 150_000, 16_384
 
@@ -55,7 +55,7 @@ def _labels(sets: list[np.ndarray], trees: int) -> np.ndarray:
     out = np.zeros((trees, len(sets)), np.uint64)
     for k in range(trees * DEEPEST):
         least = np.minimum.reduceat((every ^ flip[k]) * times[k] >> np.uint64(32), first)
-        out[k // DEEPEST] = out[k // DEEPEST] << np.uint64(8) | textops.mix(least + np.uint64(k)) >> np.uint64(56)
+        out[k // DEEPEST] = out[k // DEEPEST] << np.uint64(BITS) | textops.mix(least + np.uint64(k)) >> np.uint64(64 - BITS)
     return out.T
 
 
@@ -153,7 +153,7 @@ def _verified(group: dict, threshold: float) -> tuple[np.ndarray, np.ndarray, np
     if group["i"] != group["j"]:
         side = group["block"] == group["i"]
         due &= side[:, None] != side
-    for p in (group["labels"] >> np.uint64(8 * (DEEPEST - group["at"]))).T[: group["tree"]]:
+    for p in (group["labels"] >> np.uint64(BITS * (DEEPEST - group["at"]))).T[: group["tree"]]:
         due &= p[:, None] != p
     root = np.arange(len(sizes))
     if not due.any():
@@ -218,17 +218,28 @@ def _verify_rows(threshold: float):
 
 def _node(depth: Column) -> Column:
     """The trie node of a label at a depth."""
-    bits = F.lit(8) * (F.lit(DEEPEST) - depth)
+    bits = F.lit(BITS) * (F.lit(DEEPEST) - depth)
     return F.xxhash64("tree", depth, F.call_function("shiftrightunsigned", F.col("label"), bits.cast("int")))
 
 
-def forest(sets: DataFrame, sure: int) -> tuple[DataFrame, DataFrame]:
+def _depth(meetings: Column, sure: int, threshold: float, recall: float, trees: int) -> Column:
+    """The longest prefix whose estimated recall is enough, of a set with meetings(at, c) at the depths from `sure` on; `sure` if none is."""
+    at = lambda d: F.coalesce(F.get(F.filter(meetings, lambda x: x["at"] == d), F.lit(0))["c"], F.lit(0))
+    counts = [at(d).cast("double") for d in range(sure, DEEPEST + 1)]
+    went_on, met = sum(counts[1:], F.lit(PRIOR * threshold)), sum(counts[:-1], F.lit(PRIOR))
+    share = went_on / met
+    s = F.greatest(share - F.sqrt(share * F.greatest(1 - share, F.lit(0.0)) / met), F.lit(threshold))
+    enough = lambda d: 1 - F.pow(1 - F.pow(s, F.lit(d)), F.lit(trees)) >= recall
+    return F.coalesce(*[F.when(enough(d), F.lit(d)) for d in range(DEEPEST, sure, -1)], F.lit(sure))
+
+
+def forest(sets: DataFrame, threshold: float, recall: float, trees: int) -> tuple[DataFrame, DataFrame]:
     """(members, depths) of sets(a, b, n, labels). depths: a, b, depth, the prefix each representative is compared at; absent
-    if nothing shares even SHORTEST values with it. members: node, at (its depth), tree, blocks, a, b, depth, a row for each
+    if nothing shares the shortest prefix with it. members: node, at (its depth), tree, blocks, a, b, depth, a row for each
     member of a node at which some representative is compared."""
-    shortest = min(SHORTEST, sure)
-    levels = F.array(*[F.lit(d) for d in range(shortest, sure + 1)])
-    at = sets.select("a", "b", "n", F.posexplode("labels").alias("tree", "label")).withColumn("top", _node(F.lit(shortest)))
+    sure = sure_depth(threshold, recall, trees)
+    levels = F.array(*[F.lit(d) for d in range(DEEPEST, sure - 1, -1)])
+    at = sets.select("a", "b", "n", F.posexplode("labels").alias("tree", "label")).withColumn("top", _node(F.lit(sure)))
     # most labels share no node of the shortest prefix with another one, and are done
     shared = at.groupBy("top").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("top")
     rows = stage(at.join(shared, "top", "left_semi").select("a", "b", "n", "tree", "label", F.explode(levels).alias("at")).withColumn("node", _node(F.col("at"))).drop("label"), "trie")
@@ -236,9 +247,8 @@ def forest(sets: DataFrame, sure: int) -> tuple[DataFrame, DataFrame]:
     marks = (F.bit_xor("a").alias("xa"), F.bit_xor("b").alias("xb"), F.sum(F.col("a") % 1_000_003).alias("sa"))
     nodes = stage(rows.groupBy("node").agg(F.min("at").alias("n_at"), *size, *marks).filter("m > 1").withColumnRenamed("node", "n_node"), "nodes")
     met = stage(join_weighted(rows, nodes, F.col("node") == F.col("n_node"), "m").select("node", "at", "a", "b", "m"), "met")
-    # the shortest prefix on which only a few others are met in any tree; without one the prefix that is sure to reach the recall
-    few = F.min(F.when(F.col("met") <= FEW, F.col("at")))
-    depths = stage(met.groupBy("a", "b", "at").agg(F.max(F.col("m") - 1).alias("met")).groupBy("a", "b").agg(F.coalesce(few, F.lit(sure)).alias("depth")), "depths")
+    meetings = met.groupBy("a", "b", "at").agg(F.sum(F.col("m") - 1).alias("c")).groupBy("a", "b").agg(F.collect_list(F.struct("at", "c")).alias("meetings"))
+    depths = stage(meetings.select("a", "b", _depth(F.col("meetings"), sure, threshold, recall, trees).alias("depth")), "depths")
     placed = stage(met.join(depths, ["a", "b"]), "placed")
     used = placed.filter("at = depth").select("node").distinct()
     # the same members often meet in several trees; the first tree stands for all of them
@@ -254,7 +264,7 @@ def forest(sets: DataFrame, sure: int) -> tuple[DataFrame, DataFrame]:
 def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
     """(found, depths). sets: a, b, n, copies, labels of each distinct shingle set, staged; texts: one column text. found: a, b,
     texts, copies (links to other sets, and to documents that hold those) and label struct<a,b> of the connected component, for sets with a link."""
-    members, depths = forest(sets, sure_depth(threshold, recall, trees))
+    members, depths = forest(sets, threshold, recall, trees)
     table, bits = bloom.build(members.select("a").distinct(), "a")
     sent = texts.sparkSession.sparkContext.broadcast(table)
     lowered = texts.select(F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("text"))
@@ -289,7 +299,7 @@ def _grouped(names: DataFrame, least: Column, texts: DataFrame, threshold: float
         sets.drop("labels")
         .join(found.withColumnRenamed("copies", "linked"), ["a", "b"], "left")
         .join(depths, ["a", "b"], "left")
-        .select("a", "b", "copies", "least", "label", F.coalesce("texts", zero).alias("texts"), F.coalesce("linked", zero).alias("linked"), F.coalesce("depth", F.lit(min(SHORTEST, sure_depth(threshold, recall, trees)))).alias("depth"))
+        .select("a", "b", "copies", "least", "label", F.coalesce("texts", zero).alias("texts"), F.coalesce("linked", zero).alias("linked"), F.coalesce("depth", F.lit(sure_depth(threshold, recall, trees))).alias("depth"))
     )
     labelled = stage(labelled, "labelled")
     together = labelled.filter(F.col("label").isNotNull())
@@ -311,7 +321,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     one shingle. A link between different sets at the threshold itself is found with probability `recall`, more similar ones
     more surely; copies always. class_id is the smallest key of the connected component; n_links counts other documents linked
     to this one, n_link_texts the different shingle sets among them, depth is the prefix at which its set was
-    compared. Texts without a word (null, empty) are linked to nothing, form their own class and have depth null. Keys of any
+    compared (see the module). Texts without a word (null, empty) are linked to nothing, form their own class and have depth null. Keys of any
     sortable type; null keys count as the largest, and a component of null keys has class null. Repeated rows are copies of each other.
     Columns of docs named like the results are replaced; an empty table gives an empty result.
     """
