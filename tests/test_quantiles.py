@@ -34,3 +34,18 @@ def test_rank_auc_over_many_values(spark):
     for i, f in ((1, "x"), (2, "y")):
         pos, neg = np.array([r[i] for r in rows if r[0]]), np.array([r[i] for r in rows if not r[0]])
         assert got[f] == pytest.approx(((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg)), abs=1e-6)
+
+
+def test_rows_do_not_move_by_group(spark):
+    """With automatic broadcast off, as the estimate of a great table would have it: rows meet the brackets and cuts of their group where they are."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") % 997).cast("double").alias("v"))
+        got = {r["g"]: r["quantile"] for r in quantiles.exact_quantiles(df, ["g"], "v", [0.5]).collect()}
+        assert set(got) == {0, 1, 2}
+        plan = quantiles.range_parts(df, ["g"], "v", "part")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        met = quantiles.exact_quantiles(df, ["g"], "v", [0.5])._jdf.queryExecution().optimizedPlan().toString()
+        assert "strategy=broadcast" in met
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -5,7 +5,8 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from flowlab.sources import sinks, tables
+from flowlab.sources import files, sinks, tables
+from flowlab.sources.shared import shared_dir
 from flowlab.streaming import adaptive, detection
 from pyspark.sql import functions as F
 
@@ -176,6 +177,7 @@ def test_policy_against_a_plain_fold(spark, tmp_path):
             mine = got[k, n]
             for name, want in fold.batch([r[1:] for r in rows if r[0] == k]).items():
                 assert mine[name] == (pytest.approx(want, abs=1e-9) if isinstance(want, float) else want), (k, n, name)
+    assert not [n for n in files.names(spark, f"{shared_dir(spark)}/flowlab") if n.startswith("batch-")]  # what a batch staged is gone
     assert any(r["anchors"] for r in got.values()) and any(r["nominal"] for r in got.values()) and any(r["learned"] for r in got.values())
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
     advance(spark, tmp_path / "two", given[:3], config=c)
