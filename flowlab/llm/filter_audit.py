@@ -31,7 +31,7 @@ from flowlab.llm.skew import join_weighted
 
 #: A shard ends at the first batch after which it has so many words, or bytes of text.
 SHARD_WORDS, SHARD_BYTES = 1_000_000, 128 << 20
-#: Parts of the dictionary: so many for each partition of the input, between a least and a most. A part is held by one task at a time.
+#: Parts of the dictionary: so many for each shuffle partition, between a least and a most. A part is held by one task at a time.
 PARTS, LEAST_PARTS, MOST_PARTS = 4, 16, 4096
 #: The filters' parameters.
 FEWEST_WORDS, LEAST_DISTINCT, MOST_CAPITALS, SYMBOLS = 100, 80, 10, "#$%&*|"
@@ -148,7 +148,7 @@ def document_term_matrix(docs: DataFrame, key: str = "doc_id", text: str = "text
     Words are maximal runs without ASCII white space, case-sensitive. Null texts are empty; a text without a word is an empty row. Repeated rows
     and null keys are rows of their own; a null part is the empty string. Other columns are not carried. An empty table has no blocks. A text of any
     length is one row; it is the only thing that makes a block or a shard larger than the constants say."""
-    parts = min(MOST_PARTS, max(LEAST_PARTS, PARTS * docs.rdd.getNumPartitions()))
+    parts = min(MOST_PARTS, max(LEAST_PARTS, PARTS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     scanned = stage(_scanned(docs, key, text, part, parts), "shards")
     blocks = scanned.filter("kind = 1").select("shard", "block", "documents", "indptr", "indices", "data")
     # the numbers of a shard's words, then its blocks
