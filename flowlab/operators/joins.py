@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,39 +48,13 @@ def keys_in(df: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") ->
     return df.join(keys.select(on).distinct(), on, how)
 
 
-#: Bits of a Bloom filter at most.
-MOST_BITS = 1 << 28
+#: Hashes of keys that may be sent to every task, 8 bytes each.
+HASHES = 1_000_000
 
 
-def bloom_bits(keys: DataFrame, column: str, items: int, error: float = 0.001) -> tuple[np.ndarray, int, int]:
-    """(words, bits, hashes) of a Bloom filter for `items` keys, built by an aggregation over bit positions. Its size follows
-    from items and error: about 1.8 MB for a million keys at 0.1 %, and at most MOST_BITS (32 MB), beyond which it is fuller and passes more
-    rows, never fewer. It goes before an exact semi-join (`keys_in`), never instead of it."""
-    bits = min(MOST_BITS, max(64, int(np.ceil(-items * np.log(error) / np.log(2) ** 2 / 64)) * 64))
-    hashes = max(1, round(bits / max(items, 1) * np.log(2)))
-    set_bits = keys.select(F.explode(_positions(F.col(column), bits, hashes)).alias("p")).groupBy(F.shiftright("p", 6).alias("w"))
-    words = np.zeros(bits // 64, np.int64)
-    for batch in set_bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("v")).toArrow().to_batches():
-        words[batch["w"].to_numpy()] = batch["v"].to_numpy()
-    return words, bits, hashes
-
-
-def _positions(key: Column, bits: int, hashes: int) -> Column:
-    a, b = F.xxhash64(key), F.xxhash64(key, F.lit("second"))
-    return F.transform(F.sequence(F.lit(0), F.lit(hashes - 1)), lambda i: F.pmod(F.shiftright(a, 1) + i * F.shiftright(b, 8), F.lit(bits).cast("long")))
-
-
-def bloom_semi_join(df: DataFrame, on: str, filter_: tuple[np.ndarray, int, int]) -> DataFrame:
-    """Rows whose key may be in the filter: never misses a key, passes others at the filter's error rate. The filter is
-    a binary literal probed by a vectorised UDF."""
-    words, bits, hashes = filter_
-    sent = df.sparkSession.sparkContext.broadcast(words.view(np.uint64))
-
-    def probe(positions: pd.Series) -> pd.Series:
-        if not len(positions):
-            return pd.Series([], dtype=bool)
-        p = np.stack(positions.to_numpy()).astype(np.uint64)
-        return pd.Series(((sent.value[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1).all(1))
-
-    probe_udf = F.pandas_udf(probe, "boolean")
-    return df.filter(F.col(f"`{on}`").isNotNull()).filter(probe_udf(_positions(F.col(f"`{on}`"), bits, hashes)))
+def likely_in(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is probably listed: those whose key has the 64-bit hash of a listed one. No listed key is missed, and one that is not passes
+    with probability (number of keys) / 2^64. It is a small filter for long keys (up to HASHES of them go to every task, more are left to
+    the engine's own join and run-time filters), and goes before an exact semi-join (`keys_in`), never instead of it. Null keys are not listed."""
+    hashes = keys.filter(F.col(f"`{on}`").isNotNull()).select(F.xxhash64(on).alias("_hash")).distinct()
+    return df.filter(F.col(f"`{on}`").isNotNull()).join(sized(hashes, HASHES), F.xxhash64(F.col(f"`{on}`")) == F.col("_hash"), "left_semi")
