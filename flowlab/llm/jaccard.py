@@ -7,7 +7,7 @@ in all trees at once, until the estimated recall reaches the target: two sets of
 probability 1 - (1 - s^d)^trees, and s is read off the tries themselves, as the share of the meetings at one depth that go on to
 the next one (a meeting goes on with probability s), drawn toward the threshold by PRIOR meetings, less its standard error, and never below the threshold. A set whose
 neighbours are nearly equal is compared at a long prefix, one with few or less similar ones at a shorter, at the shortest at which the threshold itself reaches the
-target. Candidates are verified on whole shingle sets.
+target. It is compared in as many trees as the target takes at its prefix. Candidates are verified on whole shingle sets.
 
 Large nodes are cut into blocks and verified block against block: only counts of links and one row per member leave a
 block, never all pairs.
@@ -222,15 +222,17 @@ def _node(depth: Column) -> Column:
     return F.xxhash64("tree", depth, F.call_function("shiftrightunsigned", F.col("label"), bits.cast("int")))
 
 
-def _depth(meetings: Column, sure: int, threshold: float, recall: float, trees: int) -> Column:
-    """The longest prefix whose estimated recall is enough, of a set with meetings(at, c) at the depths from `sure` on; `sure` if none is."""
+def _reach(meetings: Column, sure: int, threshold: float, recall: float, trees: int) -> Column:
+    """struct<depth, trees> of a set with meetings(at, c) at the depths from `sure` on: the longest prefix whose estimated recall is enough in all
+    trees (`sure` if none is), and how many trees it takes there."""
     at = lambda d: F.coalesce(F.get(F.filter(meetings, lambda x: x["at"] == d), F.lit(0))["c"], F.lit(0))
     counts = [at(d).cast("double") for d in range(sure, DEEPEST + 1)]
     went_on, met = sum(counts[1:], F.lit(PRIOR * threshold)), sum(counts[:-1], F.lit(PRIOR))
     share = went_on / met
     s = F.greatest(share - F.sqrt(share * F.greatest(1 - share, F.lit(0.0)) / met), F.lit(threshold))
-    enough = lambda d: 1 - F.pow(1 - F.pow(s, F.lit(d)), F.lit(trees)) >= recall
-    return F.coalesce(*[F.when(enough(d), F.lit(d)) for d in range(DEEPEST, sure, -1)], F.lit(sure))
+    needed = lambda d: F.ceil(F.log(F.lit(1 - recall)) / F.log(F.greatest(1 - F.pow(s, F.lit(d)), F.lit(1e-9)))).cast("int")
+    at_depth = lambda d: F.struct(F.lit(d).alias("depth"), F.least(needed(d), F.lit(trees)).alias("trees"))
+    return F.coalesce(*[F.when(needed(d) <= trees, at_depth(d)) for d in range(DEEPEST, sure, -1)], at_depth(sure))
 
 
 def forest(sets: DataFrame, threshold: float, recall: float, trees: int) -> tuple[DataFrame, DataFrame]:
@@ -246,19 +248,19 @@ def forest(sets: DataFrame, threshold: float, recall: float, trees: int) -> tupl
     size = (F.count(F.lit(1)).alias("m"), F.sum(F.col("n").cast("long")).alias("s"), F.min("tree").alias("first_tree"))
     marks = (F.bit_xor("a").alias("xa"), F.bit_xor("b").alias("xb"), F.sum(F.col("a") % 1_000_003).alias("sa"))
     nodes = stage(rows.groupBy("node").agg(F.min("at").alias("n_at"), *size, *marks).filter("m > 1").withColumnRenamed("node", "n_node"), "nodes")
-    met = stage(join_weighted(rows, nodes, F.col("node") == F.col("n_node"), "m").select("node", "at", "a", "b", "m"), "met")
+    met = stage(join_weighted(rows, nodes, F.col("node") == F.col("n_node"), "m").select("node", "at", "tree", "a", "b", "m"), "met")
     meetings = met.groupBy("a", "b", "at").agg(F.sum(F.col("m") - 1).alias("c")).groupBy("a", "b").agg(F.collect_list(F.struct("at", "c")).alias("meetings"))
-    depths = stage(meetings.select("a", "b", _depth(F.col("meetings"), sure, threshold, recall, trees).alias("depth")), "depths")
+    depths = stage(meetings.select("a", "b", _reach(F.col("meetings"), sure, threshold, recall, trees).alias("r")).select("a", "b", "r.*"), "depths")
     placed = stage(met.join(depths, ["a", "b"]), "placed")
-    used = placed.filter("at = depth").select("node").distinct()
+    used = placed.filter("at = depth and tree < trees").select("node").distinct()
     # the same members often meet in several trees; the first tree stands for all of them
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK_MEMBERS, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     kept = nodes.join(used, F.col("n_node") == F.col("node"), "left_semi").groupBy("n_at", "m", "s", "xa", "xb", "sa").agg(F.min(F.struct("first_tree", "n_node")).alias("f"))
     kept = stage(kept.select(F.col("f.n_node").alias("k_node"), F.col("f.first_tree").alias("tree"), blocks, F.col("m").alias("k_m")), "kept")
-    members = join_weighted(placed.drop("m"), kept, F.col("node") == F.col("k_node"), "k_m")
+    members = join_weighted(placed.drop("m", "tree", "trees"), kept, F.col("node") == F.col("k_node"), "k_m")
     members = stage(members.select("node", "at", "tree", "blocks", "a", "b", "depth"), "members")
     unstage(rows, nodes, met, placed, kept)
-    return members, depths
+    return members, depths.drop("trees")
 
 
 def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
