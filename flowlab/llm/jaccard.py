@@ -31,7 +31,7 @@ SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.999
 #: Trees; values in a label, and bits of a value; meetings at the threshold that every set is given before its own are counted.
 TREES, DEEPEST, BITS, PRIOR = 24, 10, 6, 32.0
 #: Members and shingles in a block, about; columns of a block's incidence matrix held at once.
-BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS = 128, 150_000, 16_384
+BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS = 512, 600_000, 8_192
 
 
 def sure_depth(threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES) -> int:
