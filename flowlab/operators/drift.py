@@ -50,9 +50,12 @@ def ema(df: DataFrame, key: str, order: str, value: str, alpha: float, rows: int
     return scan.fold(df, [key], [order, value], scan.affine(value, alpha), "_run", rows).select(key, F.round(scan.mean_of(F.col("_run")), 6).alias("ema"))
 
 
-def ema_running(df: DataFrame, key: str, order: str, value: str, alpha: float, rows: int | None = None) -> DataFrame:
-    """df with the exponential mean of its key up to each row."""
-    return scan.prefix_scan(df, [key], [order, value], scan.affine(value, alpha), "_run", rows).withColumn("ema", F.round(scan.mean_of(F.col("_run")), 6)).drop("_run")
+def ema_running(df: DataFrame, key: str, order: str, value: str, alpha: float, rows: int | None = None, digits: int = 6) -> DataFrame:
+    """df with the exponential mean of its key up to each row, rounded once, to `digits`: as the plain loop over the rows gives it to the last bit, so that
+    means half way between two rounded values fall on its side. They are scaled before they are rounded, as DuckDB does."""
+    out = scan.run_exactly(df, [key], [order, value], value, alpha, "_run", rows)
+    scaled = F.col("_run") * 10.0**digits
+    return out.withColumn("ema", F.when(F.abs(scaled) < 1e15, F.round(scaled) / 10.0**digits).otherwise(F.col("_run"))).drop("_run")
 
 
 def reanchor(reference: DataFrame, observed: DataFrame, blend: float = 0.25) -> DataFrame:

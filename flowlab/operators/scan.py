@@ -98,6 +98,53 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], m: Monoid, out
     return each_row.select("z.row.*", m.combine(F.col("__scan_all"), F.col("z.run")).alias(out))
 
 
+def run_exactly(df: DataFrame, keys: list[str], order: list[str], value: str, alpha: float, out: str, rows: int | None = None) -> DataFrame:
+    """df with `out`: the exponential mean of its keys up to each row, bit for bit as one loop m + alpha * (x - m) over all rows of a key gives
+    it, which a composition of maps (`affine`) does not. Null and NaN values leave the mean as it is.
+
+    Maps are composed only for the guess that each part starts from. Parts run the loop; then each one starts from what the one before
+    ended with, until all ends are the starts that follow. A wrong last bit is forgotten within some multiples of 1 / alpha rows, so two or three rounds
+    are enough where a part has more rows than that; otherwise there are more, at most one for each part of a key."""
+    rows = rows or ROWS
+    n_parts = max(1, -(-df.count() // rows))
+    x = F.col(value).cast("double")
+    placed = df.withColumn("__scan_x", F.when(~F.isnan(x), x)).repartitionByRange(n_parts, *keys, *order).withColumn("__scan_part", F.spark_partition_id())
+    placed = stage(placed, "scan-rows")
+    by, none = [*keys, "__scan_part"], F.lit(None).cast("double")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
+    kept = F.struct(F.col("__scan_place"), F.col("__scan_x"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    blocks = placed.withColumn("__scan_place", place).withColumn("__scan_block", (F.col("__scan_place") / FAN).cast("int")).groupBy(*by, "__scan_block").agg(F.array_sort(F.collect_list(kept), lambda a, b: a["__scan_place"] - b["__scan_place"]).alias("rows"))
+    blocks = stage(blocks, "scan-blocks")
+    unstage(placed)
+    step = lambda m, x: F.coalesce(m + alpha * (x - m), m, x)
+    loop = lambda m, values: F.aggregate(values, m, step)
+    in_order = F.array_sort(F.collect_list(F.struct("__scan_block", F.transform("rows", lambda r: r["__scan_x"]).alias("x"))), lambda a, b: a["__scan_block"] - b["__scan_block"])
+    parts = stage(blocks.groupBy(*by).agg(F.transform(in_order, lambda b: b["x"]).alias("values")), "scan-parts")
+    before = Window.partitionBy(*keys).orderBy("__scan_part")  # a value for each part that a key reaches
+    m = affine("x", alpha)
+    lifted = lambda v: F.struct(v.alias("first"), F.when(v.isNotNull(), 1 - alpha).otherwise(1.0).alias("slope"), F.coalesce(alpha * v, F.lit(0.0)).alias("shift"))
+    total = F.aggregate(F.flatten("values"), m.identity, lambda acc, v: m.combine(acc, lifted(v)))
+    totals = F.collect_list("total").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    guess = mean_of(F.aggregate(totals, m.identity, m.combine))
+    starts = stage(parts.select(*by, total.alias("total")).select(*by, guess.alias("start")), "scan-starts")
+    while True:
+        met = parts.join(starts.select(*[F.col(c).alias(f"__scan_of_{i}") for i, c in enumerate(by)], "start"), _same(by, [f"__scan_of_{i}" for i in range(len(by))]))
+        ends = met.select(*by, "start", F.aggregate("values", F.col("start"), loop).alias("end"))
+        after = stage(ends.select(*by, F.col("start").alias("was"), F.lag("end").over(before).alias("start")), "scan-starts")
+        unstage(starts)
+        starts = after
+        if starts.filter(~F.col("was").eqNullSafe(F.col("start"))).isEmpty():
+            break
+    begins = F.aggregate("values", F.array("start"), lambda acc, b: F.concat(acc, F.array(loop(F.element_at(acc, -1), b))))
+    names = [f"__scan_of_{i}" for i in range(len(by))]
+    starts = starts.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)], "start")
+    each = parts.join(starts, _same(by, names)).select(*names, begins.alias("begins"))
+    met = blocks.join(each, _same(by, names)).select("rows", F.element_at("begins", F.col("__scan_block") + 1).alias("begin"))
+    runs = F.aggregate("rows", F.array("begin"), lambda acc, r: F.concat(acc, F.array(step(F.element_at(acc, -1), r["__scan_x"]))))
+    zipped = F.arrays_zip(F.transform("rows", lambda r: r["row"]).alias("row"), F.slice(runs, 2, F.size("rows")).alias("run"))
+    return met.select(F.explode(zipped).alias("z")).select("z.row.*", F.col("z.run").alias(out))
+
+
 def fold(df: DataFrame, keys: list[str], order: list[str], m: Monoid, out: str, rows: int | None = None) -> DataFrame:
     """(keys, out): the combination of all rows of each key, in order; one row for each key. What goes up is one value a block."""
     rows = rows or ROWS

@@ -409,7 +409,7 @@ def win_ema(spark, d):
 def win_ema_running(spark, d):
     """The mean after every event of its type: few keys of many rows."""
     e = events(spark, d).select(F.col("event_type").alias("k"), "event_id", "value")
-    return drift.ema_running(e, "k", "event_id", "value", 0.05).select("event_id", "k", F.round("ema", 4).alias("ema"))
+    return drift.ema_running(e, "k", "event_id", "value", 0.05, digits=4).select("event_id", "k", "ema")
 
 
 @book.add("""WITH v AS (SELECT event_type AS k, event_id, CASE WHEN value > 30 THEN 'shift' ELSE 'stable' END AS verdict FROM events), i AS (SELECT *, sum(CASE WHEN verdict = 'stable' THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY event_id) AS i FROM v)

@@ -1,5 +1,6 @@
 """Prefix scans against plain loops, with keys that reach over many parts."""
 
+import math
 import random
 
 import pytest
@@ -55,3 +56,26 @@ def test_one_key_is_many_tasks_and_nothing_stays_nothing(spark):
     parts = df.repartitionByRange(20, "k", "t").groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) == 20 and max(r["count"] for r in parts) < 300
     assert drift.streaks(spark.createDataFrame([], "k string, w int, verdict string"), "k", "w").count() == 0
+
+
+def test_means_are_those_of_a_loop_to_the_last_bit(spark):
+    rng = random.Random(7)
+    rows = [("prices", i, rng.choice([None, float("nan"), round(rng.expovariate(0.02), 2)]) if i % 9 == 0 else round(rng.expovariate(0.02), 2)) for i in range(4000)]
+    rows += [("constant", i, 8.35215) for i in range(1000)] + [(None, i, float(i)) for i in range(300)] + [("none", i, None) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t int, x double")
+    got = {(r["k"], r["t"]): r["m"] for r in scan.run_exactly(df, ["k"], ["t"], "x", 0.05, "m", rows=130).collect()}
+    assert len(got) == len(rows)
+    last = {}
+    for k, t, x in rows:
+        if x is not None and x == x:
+            last[k] = last[k] + 0.05 * (x - last[k]) if k in last else x
+        assert got[k, t] == last.get(k)
+
+
+def test_means_are_rounded_once(spark):
+    rows = [("k", 0, 6.55), ("k", 1, 12.31), ("k", 2, 36.29), ("twice", 0, 0.1234499)]  # 0.12345 when rounded to 6 digits
+    df = spark.createDataFrame(rows, "k string, t int, x double")
+    m = 6.55 + 0.05 * (12.31 - 6.55)
+    m = m + 0.05 * (36.29 - m)
+    got = {(r["k"], r["t"]): r["ema"] for r in drift.ema_running(df, "k", "t", "x", 0.05, digits=4).collect()}
+    assert got["twice", 0] == 0.1234 and got["k", 2] == math.floor(m * 10_000 + 0.5) / 10_000
