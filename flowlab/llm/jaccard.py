@@ -345,7 +345,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     bounded_batches(docs.sparkSession)
     k, th = F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))
     slim = docs.select(k.alias("k"), th.alias("th"), F.col(f"`{text}`").alias("text"))
-    names = stage(named(slim, "text", trees).filter("n > 0"), "named")
+    # filtered once it is written: a filter on what Python made would be pushed below it, and Python run twice, in two workers a task
+    names = stage(named(slim, "text", trees), "named").filter("n > 0")
     order = F.struct(F.col("k").isNull().alias("none"), F.col("k").alias("k"), F.col("th").alias("th"))
     groups = _grouped(names, order, slim.select("text"), threshold, recall, trees)
     rows = join_weighted(names.select("k", "th", "a", "b"), groups.select("s_a", "s_b", "copies", "c_least"), _of_set(), "copies")

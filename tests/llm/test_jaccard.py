@@ -2,6 +2,7 @@ import random
 import re
 
 from flowlab.llm import jaccard
+from flowlab.llm.common import stage
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -69,6 +70,19 @@ def test_one_of_each(spark):
     assert sorted(map(tuple, got), key=repr) == sorted([(1, same), rows[3], rows[4], rows[5], rows[6]], key=repr)
 
 
+def test_texts_of_one_of_each_are_signed_once(spark, monkeypatch):
+    plans = {}
+
+    def keep(df, label="stage"):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, label)
+
+    monkeypatch.setattr(jaccard, "stage", keep)
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, ""), (4, None)], "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in jaccard.one_of_each(df).collect()) == [1, 3, 4]
+    assert plans["named"].count("ArrowEvalPython") == 1
+
+
 def test_prefix_is_shortened_for_each_set_until_the_recall_is_reached(spark):
     """Pairs of similarity 0.8 to 0.85: measured recall, at depths that differ between sets. A group of nearly equal texts stays at
     the longest prefix, sets with less similar neighbours go on to shorter ones, none below what the target needs at the threshold."""
