@@ -60,3 +60,24 @@ def test_a_forest_uses_all_cores_and_leaves_no_tables(spark, rows, monkeypatch):
     one, other = (models.fit_forest(x, "label", trees=3, depth=4) for x in (made.coalesce(1), made.repartition(7)))
     assert parts == [4, 4] and set(files.names(spark, folder)) == before
     assert one.toDebugString.split("\n")[1:] == other.toDebugString.split("\n")[1:]
+
+
+@pytest.fixture
+def fitted(monkeypatch):
+    """The number of rows of each forest that is fitted."""
+    seen, fit = [], models.fit_forest
+    monkeypatch.setattr(models, "fit_forest", lambda df, *a, **k: seen.append(df.count()) or fit(df, *a, **k))
+    return seen
+
+
+@pytest.fixture(scope="module")
+def halves(rows):
+    made = rows.select(*NAMES, F.when(F.col("label") > 0, "bad").otherwise("good").alias("kind"))
+    return made.filter("x1 < 3"), made.filter("x1 >= 2")
+
+
+def test_one_forest_for_both_test_sets(halves, fitted):
+    train, test = halves
+    got = {r["label"]: r for r in models.leakage_causal_test(train, test, ["x0", "x1"], "kind", trees=3).collect()}
+    assert fitted == [train.count()] and set(got) == {"good", "bad"}
+    assert all(0.9 < r["recall_all"] <= 1 and r["recall_clean"] is not None for r in got.values())
