@@ -81,3 +81,15 @@ def test_one_forest_for_both_test_sets(halves, fitted):
     got = {r["label"]: r for r in models.leakage_causal_test(train, test, ["x0", "x1"], "kind", trees=3).collect()}
     assert fitted == [train.count()] and set(got) == {"good", "bad"}
     assert all(0.9 < r["recall_all"] <= 1 and r["recall_clean"] is not None for r in got.values())
+
+
+@pytest.mark.parametrize("kind", ["scaler"])
+def test_experiments_fit_all_training_rows(halves, fitted, kind):
+    train, test = halves
+    if kind == "scaler":
+        out = models.scaler_leakage_test(train, test, ["x0", "x1"], "kind", trees=3)
+    else:
+        out = models.transform_ablation(train, test, ["x0", "x1"], ["x0"], "kind", trees=3)
+    got = out.collect()
+    assert fitted == [train.count()] * 2 and {r["label"] for r in got} == {"good", "bad"}
+    assert all(abs(r[1] - r[2]) < 0.05 and r[1] > 0.9 for r in got)  # a forest hardly minds a scale
