@@ -83,7 +83,7 @@ def test_one_forest_for_both_test_sets(halves, fitted):
     assert all(0.9 < r["recall_all"] <= 1 and r["recall_clean"] is not None for r in got.values())
 
 
-@pytest.mark.parametrize("kind", ["scaler"])
+@pytest.mark.parametrize("kind", ["scaler", "logs"])
 def test_experiments_fit_all_training_rows(halves, fitted, kind):
     train, test = halves
     if kind == "scaler":
