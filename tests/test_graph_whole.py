@@ -53,3 +53,19 @@ def test_iterative_jobs_leave_no_tables(spark):
         assert len(left) == 1, left  # its result
         before |= left
     assert found[0] >= found[1]
+
+
+def test_a_hub_does_not_make_its_neighbours_wait(spark, monkeypatch):
+    """Rows of a graph of two sides settle in few rounds, as the side with fewer neighbours moves at once."""
+    pairs = [(i, 1000 + (i * k * 7 + k) % 12, 1 + (i + k) % 5) for i in range(300) for k in range(6)]
+    e = spark.createDataFrame(pairs, "src bigint, dst bigint, weight bigint")
+    made, stage = [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, name: made.append(name) or stage(df, name))
+    parts = {r["ip"]: r["community"] for r in graph.label_propagation(e, rounds=0).collect()}
+    assert made.count("wishes") <= 12
+    for n in parts:
+        votes = {}
+        for a, b, w in pairs:
+            if n in (a, b):
+                votes[parts[a + b - n]] = votes.get(parts[a + b - n], 0) + w
+        assert parts[n] == min(votes, key=lambda c: (-votes[c], c))
