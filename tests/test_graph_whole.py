@@ -69,3 +69,11 @@ def test_a_hub_does_not_make_its_neighbours_wait(spark, monkeypatch):
             if n in (a, b):
                 votes[parts[a + b - n]] = votes.get(parts[a + b - n], 0) + w
         assert parts[n] == min(votes, key=lambda c: (-votes[c], c))
+
+
+def test_graph_sink_reads_the_lines_once(spark, monkeypatch):
+    from flowlab.plans import storage
+
+    made, edges = [], graphs.edges
+    monkeypatch.setattr(graphs, "edges", lambda *a: made.append(a) or edges(*a))
+    assert storage.sink_graph_tables(spark, str(DATA)).count() > 0 and len(made) == 1
