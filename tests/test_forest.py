@@ -4,6 +4,7 @@ import random
 
 import pytest
 from flowlab.operators import models
+from flowlab.plans import registry
 from flowlab.sources import files
 from flowlab.sources.shared import shared_dir
 from pyspark.ml.functions import array_to_vector
@@ -93,3 +94,10 @@ def test_experiments_fit_all_training_rows(halves, fitted, kind):
     got = out.collect()
     assert fitted == [train.count()] * 2 and {r["label"] for r in got} == {"good", "bad"}
     assert all(abs(r[1] - r[2]) < 0.05 and r[1] > 0.9 for r in got)  # a forest hardly minds a scale
+
+
+@pytest.mark.parametrize("name", ["train_rf_multiclass"])
+def test_queries_fit_points(spark, fitted, monkeypatch, name):
+    fit = models.fit_forest
+    monkeypatch.setattr(models, "fit_forest", lambda df, label: fit(df, label, trees=2, depth=3))
+    assert registry.queries()[name](spark, "/root/testdata/sf0.001").count() >= 3 and len(fitted) == 1
