@@ -96,7 +96,7 @@ def test_experiments_fit_all_training_rows(halves, fitted, kind):
     assert all(abs(r[1] - r[2]) < 0.05 and r[1] > 0.9 for r in got)  # a forest hardly minds a scale
 
 
-@pytest.mark.parametrize("name", ["train_rf_multiclass", "topn_feature_importance"])
+@pytest.mark.parametrize("name", ["train_rf_multiclass", "topn_feature_importance", "train_rf_binary"])
 def test_queries_fit_points(spark, fitted, monkeypatch, name):
     fit = models.fit_forest
     monkeypatch.setattr(models, "fit_forest", lambda df, label: fit(df, label, trees=2, depth=3))
